@@ -287,8 +287,10 @@ class KnnImputer:
         coded = text.select(
             col(self.id_col).alias("__i"), *[c.alias(x) for c, x in zip(_codes(text, numeric, labels), xs)]
         )
+        gap = reduce(Column.__or__, [F.col(x).isNull() for x in xs])
         stats = coded.agg(
             F.count(F.lit(1)).alias("n"),
+            *[F.avg(F.when(gap, F.col(x).isNotNull().cast("double"))).alias(f"o{x}") for x in xs],
             *[F.avg(x).alias(f"m{x}") for x in xs],
             *[F.stddev_pop(x).alias(f"s{x}") for x in xs],
         ).first()
@@ -302,10 +304,14 @@ class KnnImputer:
         )
 
     def _splits(self, coded: DataFrame, xs: list[str], stats) -> dict[int, list[float]]:
-        """Halve the column with the widest remaining spread until cells are small enough."""
+        """Halve the column with the widest remaining spread until cells are small enough.
+
+        A coordinate that incomplete rows rarely have separates little for them.
+        """
         cells = min(MAX_CELLS, stats["n"] / self.cell_rows)
         halvings = math.ceil(math.log2(cells)) if cells > 1 else 0
-        spread = {i: stats[f"s{x}"] or 0.0 for i, x in enumerate(xs)}
+        observed = [1.0 if stats[f"o{x}"] is None else stats[f"o{x}"] for x in xs]
+        spread = {i: (stats[f"s{x}"] or 0.0) * observed[i] for i, x in enumerate(xs)}
         depth = dict.fromkeys(spread, 0)
         for _ in range(halvings):
             widest = max(spread, key=lambda i: spread[i] / 2 ** depth[i])
