@@ -24,6 +24,6 @@ from .kinds import (
     numeric_columns,
     numeric_then_categorical,
 )
-from .stats import pair_corr, pct, tidy
+from .stats import half_even, pair_corr, pct, tidy
 
 __all__ = [n for n in dir() if not n.startswith("_")]

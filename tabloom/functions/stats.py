@@ -20,6 +20,12 @@ def pct(part: Column, total: Column, digits: int = 2) -> Column:
     return F.round(F.try_divide(part * F.lit(100.0), total.cast("double")), digits)
 
 
+def half_even(value: Column, digits: int) -> Column:
+    """Round the stored binary value, exact halves to even."""
+    scale = F.lit(float(10**digits))
+    return F.rint(value * scale) / scale
+
+
 def tidy(frame, wide: dict[str, dict[str, str]], key: str = "column"):
     """Turn one wide row of aggregates into one row per key.
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.kinds import categorical_columns, clean_double, col, numeric_columns
-from ..functions.stats import pct, tidy
+from ..functions.stats import half_even, pct, tidy
 from .correlate import correlations
 from .quantiles import quantiles
 
@@ -186,9 +186,9 @@ def spread(df: DataFrame, column: str, digits: int = 2) -> DataFrame:
     """Mean, minimum and maximum of one column."""
     x = clean_double(df, column)
     return df.agg(
-        F.round(F.avg(x), digits).alias("mean"),
-        F.round(F.min(x), digits).alias("min"),
-        F.round(F.max(x), digits).alias("max"),
+        half_even(F.avg(x), digits).alias("mean"),
+        half_even(F.min(x), digits).alias("min"),
+        half_even(F.max(x), digits).alias("max"),
     )
 
 

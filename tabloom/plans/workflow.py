@@ -302,7 +302,7 @@ def fit_workflow(spec: Mapping, raw: DataFrame, reports: bool = False) -> Fitted
 
             def build(base=base, data=data):
                 model = train(base, data, scoring, seed, models.get("grids", {}).get(base, models.get("grid")),
-                              models.get("parallelism", 4))
+                              models.get("parallelism", 8))
                 if models.get("tune_threshold"):
                     model, _ = model.tune_threshold(data, models.get("threshold_scoring", "f1"), reuse=True)
                 return model
