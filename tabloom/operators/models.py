@@ -186,21 +186,27 @@ class TrainedModel:
         """The same configuration trained on another frame."""
         return _fit_one(self.name, self.best_params, df, self.seed, self.fourier, None, self.threshold)
 
-    def out_of_fold(
-        self, df: DataFrame, fold: str = FOLD, prefix: str = "", reuse: bool = False
-    ) -> DataFrame:
-        """Every row scored by a copy that did not see its fold, at the default threshold.
+    def fold_copies(self, df: DataFrame, fold: str = FOLD, reuse: bool = False) -> list["TrainedModel"]:
+        """Per fold, a copy that did not see it, at the default threshold.
 
         ``reuse`` takes the copies the search already fitted; only for the searched frame.
         """
-        plain = self.with_threshold(0.5)
-        parts = []
+        plain, out = self.with_threshold(0.5), []
         for i in _folds(df, fold):
             if reuse and i < len(self.fold_models):
-                copy = replace(plain, model=self.fold_models[i])
+                out.append(replace(plain, model=self.fold_models[i]))
             else:
-                copy = plain.refit(df.where(F.col(fold) != i))
-            parts.append(copy.score(df.where(F.col(fold) == i), prefix))
+                out.append(plain.refit(df.where(F.col(fold) != i)))
+        return out
+
+    def out_of_fold(
+        self, df: DataFrame, fold: str = FOLD, prefix: str = "", reuse: bool = False
+    ) -> DataFrame:
+        """Every row scored by the copy that did not see its fold."""
+        parts = [
+            copy.score(df.where(F.col(fold) == i), prefix)
+            for i, copy in enumerate(self.fold_copies(df, fold, reuse))
+        ]
         return reduce(DataFrame.unionByName, parts)
 
     def tune_threshold(

@@ -14,6 +14,9 @@ from .correlate import correlations
 from .quantiles import quantiles
 
 
+MAX_TARGET_VALUES = 10_000  # what a report on the driver may hold
+
+
 def _missing(df: DataFrame, name: str) -> Column:
     c = col(name)
     if isinstance(df.schema[name].dataType, (T.FloatType, T.DoubleType)):
@@ -50,7 +53,10 @@ def drop_sparse(df: DataFrame, threshold: float) -> DataFrame:
 
 def info(df: DataFrame, target: str) -> dict:
     """Shape, column kinds and target distribution."""
-    counts = {r["value"]: r["count"] for r in value_counts(df, target).collect()}
+    found = value_counts(df, target).limit(MAX_TARGET_VALUES + 1).collect()
+    if len(found) > MAX_TARGET_VALUES:
+        raise ValueError(f"target {target!r} has more than {MAX_TARGET_VALUES} values; use value_counts")
+    counts = {r["value"]: r["count"] for r in found}
     total = sum(counts.values())
     counts.pop(None, None)
     return {

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -251,11 +252,9 @@ class FittedWorkflow:
         if key != "ensemble":
             scored = self._scored(cleaned, self.entries[key]).withColumnRenamed("prediction", "__code")
         else:
-            frames = [self._scored(cleaned, self.entries[m], f"{m}_") for m in self.vote.members]
-            joined = frames[0]
-            for f in frames[1:]:
-                joined = joined.join(f, id_col)
-            scored = joined.withColumn("__code", self._decide())
+            members = [(self.entries[m].variant, self.entries[m].model, f"{m}_") for m in self.vote.members]
+            scored = score_side_by_side(self.prepared, cleaned, members, [id_col])
+            scored = scored.withColumn("__code", self._decide())
         return self.prepared.labels.decode(scored, "__code", output).select(col(id_col), col(output))
 
     def _decide(self):
@@ -283,6 +282,19 @@ class FittedWorkflow:
             cleaned.unpersist()
 
 
+def score_side_by_side(
+    prepared: Prepared, cleaned: DataFrame, members: list[tuple[Variant, TrainedModel, str]], keep: list[str]
+) -> DataFrame:
+    """Score columns of several models. Each reads the same packed row, so nothing is joined."""
+    df = cleaned.select(F.struct(*[col(c) for c in cleaned.columns]).alias("__row"))
+    done: list[str] = []
+    for variant, model, prefix in members:
+        vectors = prepared.vectors(df.select("__row", *done, "__row.*"), variant, ["__row", *done])
+        df = model.score(vectors, prefix).drop("features")
+        done += [f"{prefix}probability", f"{prefix}prediction"]
+    return df.select(*[F.col("__row")[k].alias(k) for k in keep], *[col(c) for c in done])
+
+
 def fit_workflow(spec: Mapping, raw: DataFrame, reports: bool = False) -> FittedWorkflow:
     """Prepare, search every active model and its variants, then form the vote."""
     prepared, cleaned = prepare(spec, raw)
@@ -291,7 +303,7 @@ def fit_workflow(spec: Mapping, raw: DataFrame, reports: bool = False) -> Fitted
     meta = [prepared.id_col, LABEL, FOLD]
     digest = store.config_hash(spec, spec["loader"].get("train_path")) if cache.get("enabled") else ""
     entries: dict[str, Entry] = {}
-    held_out: dict[str, DataFrame] = {}
+    copies: dict[str, list[TrainedModel]] = {}
     ens = spec.get("ensemble", {})
     wanted = list(ens.get("members", models["active"])) if ens.get("enabled") else []
     cached = []
@@ -312,29 +324,30 @@ def fit_workflow(spec: Mapping, raw: DataFrame, reports: bool = False) -> Fitted
             else:
                 model = build()
             oof = None
-            if key in wanted or reports:
-                held_out[key] = model.out_of_fold(data, prefix=f"{key}_", reuse=True).drop("features")
+            if key in wanted:
+                copies[key] = model.fold_copies(data, reuse=True)
             if reports:
-                oof = ev.score_value(held_out[key], scoring, LABEL, f"{key}_prediction")
+                oof = ev.score_value(model.out_of_fold(data, reuse=True), scoring)
             entries[key] = Entry(key, base, variant, model, oof)
-        vote = _form_vote(ens, wanted, entries, held_out, prepared.id_col, scoring) if wanted else None
+        vote = _form_vote(ens, wanted, entries, copies, prepared, cleaned, scoring) if wanted else None
     finally:
         for frame in [*cached, cleaned]:
             frame.unpersist()
     return FittedWorkflow(spec, prepared, entries, vote)
 
 
-def _form_vote(ens, wanted, entries, held_out, id_col, scoring) -> Vote | None:
+def _form_vote(ens, wanted, entries, copies, prepared, cleaned, scoring) -> Vote | None:
     scores = {k: float(e.model.best_score) for k, e in entries.items()}
     weights, skipped = member_weights(wanted, scores, ens.get("weights", "auto"))
     if len(weights) < 2:
         return None
     voting = ens.get("voting", "soft")
     kind = "probability" if voting == "soft" else "prediction"
-    joined = None
-    for m in weights:
-        part = held_out[m].select(col(id_col), F.col(LABEL), F.col(f"{m}_{kind}"))
-        joined = part if joined is None else joined.join(part.drop(LABEL), id_col)
+    parts = []
+    for i in range(len(copies[next(iter(weights))])):
+        members = [(entries[m].variant, copies[m][i], f"{m}_") for m in weights]
+        parts.append(score_side_by_side(prepared, cleaned.where(F.col(FOLD) == i), members, [LABEL]))
+    held_out = reduce(DataFrame.unionByName, parts)
     mean = weighted_mean({f"{m}_{kind}": w for m, w in weights.items()})
-    decided = joined.withColumn("vote", (mean >= F.lit(0.5)).cast("double"))
+    decided = held_out.withColumn("vote", (mean >= F.lit(0.5)).cast("double"))
     return Vote(weights, voting, ev.score_value(decided, scoring, LABEL, "vote"), skipped)
