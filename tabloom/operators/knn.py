@@ -25,7 +25,9 @@ from ..functions.kinds import categorical_columns, clean_double, col, numeric_co
 from ..session import checkpointed
 from .encode import discover_categories
 
-MAX_CELLS = 16_384
+MAX_CELLS = 16_384  # per layout
+MAX_LAYOUTS = 4
+_LAYOUT_BITS = 40
 
 
 @dataclass(frozen=True)
@@ -37,9 +39,13 @@ class _Boxes:
     present: np.ndarray  # cells x columns: donors with that column
     low: np.ndarray
     high: np.ndarray
+    depth: np.ndarray  # layouts x columns: how often a layout halves a column
 
     def lower_bounds(self, x: np.ndarray) -> np.ndarray:
-        """Smallest possible squared distance from each target to each cell."""
+        """Smallest possible squared distance from each target to each cell.
+
+        A target uses the layout that separates best on the columns it has.
+        """
         width = x.shape[1]
         seen = ~np.isnan(x)
         full = self.present == self.rows[:, None]
@@ -49,8 +55,10 @@ class _Boxes:
             xj = x[:, j][:, None]
             gap = np.maximum(np.maximum(self.low[:, j] - xj, xj - self.high[:, j]), 0.0)
             total += np.where(seen[:, j][:, None] & full[:, j], gap * gap, 0.0)
+        layout = (seen.astype(float) @ self.depth.T).argmax(axis=1)
+        usable = (shared > 0) & (layout[:, None] == self.cell[None, :] >> _LAYOUT_BITS)
         with np.errstate(divide="ignore", invalid="ignore"):
-            return np.where(shared > 0, total * width / shared, np.inf)
+            return np.where(usable, total * width / shared, np.inf)
 
     def nearest(self, x: np.ndarray, bounds: np.ndarray, k: int) -> np.ndarray:
         """Cells visited first: in order of distance until every gap has k donors."""
@@ -112,7 +120,6 @@ class KnnModel:
     categories: dict[str, list[str]]
     means: list[float | None]
     donors: DataFrame  # id, x0.., cell
-    splits: dict[int, list[float]]
     boxes: _Boxes
     cell_rows: int
     unknown: str = "first"
@@ -287,50 +294,71 @@ class KnnImputer:
         coded = text.select(
             col(self.id_col).alias("__i"), *[c.alias(x) for c, x in zip(_codes(text, numeric, labels), xs)]
         )
-        gap = reduce(Column.__or__, [F.col(x).isNull() for x in xs])
         stats = coded.agg(
             F.count(F.lit(1)).alias("n"),
-            *[F.avg(F.when(gap, F.col(x).isNotNull().cast("double"))).alias(f"o{x}") for x in xs],
             *[F.avg(x).alias(f"m{x}") for x in xs],
             *[F.stddev_pop(x).alias(f"s{x}") for x in xs],
         ).first()
-        splits = self._splits(coded, xs, stats)
+        layouts = self._layouts(coded, xs, stats)
+        cuts = _cut_points(coded, xs, layouts)
         copies = Window.partitionBy(*xs).orderBy("__i")
         kept = coded.withColumn("at", F.row_number().over(copies)).where(F.col("at") <= self.k).drop("at")
-        donors = checkpointed(_with_cell(kept, xs, splits))
+        if len(layouts) > 1:
+            kept = checkpointed(kept)
+        placed = [_with_cell(kept, xs, c, i) for i, c in enumerate(cuts)]
+        donors = checkpointed(reduce(DataFrame.unionByName, placed))
+        depth = np.array([[d.get(i, 0) for i in range(len(xs))] for d in layouts], dtype=float)
         return KnnModel(
-            self.k, self.id_col, numeric, labels, [stats[f"m{x}"] for x in xs], donors, splits,
-            _collect_boxes(donors, xs), self.cell_rows, self.unknown,
+            self.k, self.id_col, numeric, labels, [stats[f"m{x}"] for x in xs], donors,
+            _collect_boxes(donors, xs, depth), self.cell_rows, self.unknown,
         )
 
-    def _splits(self, coded: DataFrame, xs: list[str], stats) -> dict[int, list[float]]:
-        """Halve the column with the widest remaining spread until cells are small enough.
+    def _layouts(self, coded: DataFrame, xs: list[str], stats) -> list[dict[int, int]]:
+        """Halvings per column, one layout per common pattern of gaps.
 
-        A coordinate that incomplete rows rarely have separates little for them.
+        Each halves the column with the widest remaining spread among those the
+        pattern has, since a cell tells nothing about a coordinate that is missing.
         """
         cells = min(MAX_CELLS, stats["n"] / self.cell_rows)
         halvings = math.ceil(math.log2(cells)) if cells > 1 else 0
-        observed = [1.0 if stats[f"o{x}"] is None else stats[f"o{x}"] for x in xs]
-        spread = {i: (stats[f"s{x}"] or 0.0) * observed[i] for i, x in enumerate(xs)}
-        depth = dict.fromkeys(spread, 0)
-        for _ in range(halvings):
-            widest = max(spread, key=lambda i: spread[i] / 2 ** depth[i])
-            depth[widest] += 1
-        used = {i: d for i, d in depth.items() if d}
-        if not used:
-            return {}
-        row = coded.agg(
-            *[
-                F.percentile_approx(xs[i], [q / 2**d for q in range(1, 2**d)], 100 * 2**d).alias(f"c{i}")
-                for i, d in used.items()
-            ]
-        ).first()
-        return {i: sorted(set(row[f"c{i}"] or [])) for i in used}
+        if not halvings:
+            return [{}]
+        gap = reduce(Column.__or__, [F.col(x).isNull() for x in xs])
+        pattern = F.concat(*[F.when(F.col(x).isNull(), "0").otherwise("1") for x in xs])
+        common = (
+            coded.where(gap).groupBy(pattern.alias("p")).agg(F.count(F.lit(1)).alias("n"))
+            .orderBy(F.desc("n"), "p").limit(4 * MAX_LAYOUTS).collect()
+        )
+        layouts: list[dict[int, int]] = []
+        for p in [r["p"] for r in common] or ["1" * len(xs)]:
+            spread = {i: stats[f"s{x}"] or 0.0 for i, x in enumerate(xs) if p[i] == "1"}
+            depth = dict.fromkeys(spread, 0)
+            for _ in range(halvings if spread else 0):
+                widest = max(spread, key=lambda i: spread[i] / 2 ** depth[i])
+                depth[widest] += 1
+            used = {i: d for i, d in depth.items() if d and spread[i] > 0}
+            if used not in layouts and len(layouts) < MAX_LAYOUTS:
+                layouts.append(used)
+        return layouts
+
+
+def _cut_points(coded: DataFrame, xs: list[str], layouts: list[dict[int, int]]) -> list[dict[int, list[float]]]:
+    """Approximate equal-count cuts; any cuts are correct, even ones balance the cells."""
+    wanted = sorted({item for layout in layouts for item in layout.items()})
+    if not wanted:
+        return [{} for _ in layouts]
+    row = coded.agg(
+        *[
+            F.percentile_approx(xs[i], [q / 2**d for q in range(1, 2**d)], 100 * 2**d).alias(f"c{i}_{d}")
+            for i, d in wanted
+        ]
+    ).first()
+    return [{i: sorted(set(row[f"c{i}_{d}"] or [])) for i, d in layout.items()} for layout in layouts]
 
 
-def _with_cell(df: DataFrame, xs: list[str], splits: dict[int, list[float]]) -> DataFrame:
-    """Mixed-radix cell number; a missing coordinate has a bin of its own."""
-    cell, radix, out = F.lit(0).cast("long"), 1, df
+def _with_cell(df: DataFrame, xs: list[str], splits: dict[int, list[float]], layout: int) -> DataFrame:
+    """Mixed-radix cell number within a layout; a missing coordinate has a bin of its own."""
+    cell, radix, out = F.lit(layout << _LAYOUT_BITS).cast("long"), 1, df
     for i, cuts in splits.items():
         edges = [-math.inf, *cuts, math.inf]
         out = Bucketizer(splits=edges, inputCol=xs[i], outputCol=f"__b{i}", handleInvalid="keep").transform(out)
@@ -340,7 +368,7 @@ def _with_cell(df: DataFrame, xs: list[str], splits: dict[int, list[float]]) ->
     return out.withColumn("cell", cell).drop(*[f"__b{i}" for i in splits])
 
 
-def _collect_boxes(donors: DataFrame, xs: list[str]) -> _Boxes:
+def _collect_boxes(donors: DataFrame, xs: list[str], depth: np.ndarray) -> _Boxes:
     rows = donors.groupBy("cell").agg(
         F.count(F.lit(1)).alias("n"),
         *[F.count(x).alias(f"n{x}") for x in xs],
@@ -354,5 +382,5 @@ def _collect_boxes(donors: DataFrame, xs: list[str]) -> _Boxes:
 
     return _Boxes(
         np.array([r["cell"] for r in rows], dtype=np.int64), np.array([r["n"] for r in rows], dtype=float),
-        grid("n"), grid("l"), grid("h"),
+        grid("n"), grid("l"), grid("h"), depth,
     )

@@ -264,11 +264,11 @@ def _fit_one(
     rows = df.count() if rows is None else rows
     data = df if fourier is None else fourier.transform(df, "__z")
     features = FEATURES if fourier is None else "__z"
-    model = _estimator(name, params, rows, seed, features).fit(data)
+    model = REGISTRY[name](name).estimator(params, rows, seed, features).fit(data)
     trained = TrainedModel(
         name, model, dict(params), score, rows, seed, threshold, fourier, None, tuple(fold_models)
     )
-    return replace(trained, platt=_calibrate(trained, data, features)) if name == "svm" else trained
+    return trained if model.hasParam("probabilityCol") else replace(trained, platt=_calibrate(trained, data, features))
 
 
 def _calibrate(trained: TrainedModel, data: DataFrame, features: str) -> Model:
@@ -281,7 +281,8 @@ def _calibrate(trained: TrainedModel, data: DataFrame, features: str) -> Model:
                 copy = trained.fold_models[i]
             else:
                 rest = data.where(F.col(FOLD) != i)
-                copy = _estimator("svm", trained.best_params, trained.rows, trained.seed, features).fit(rest)
+                family = REGISTRY[trained.name](trained.name)
+                copy = family.estimator(trained.best_params, trained.rows, trained.seed, features).fit(rest)
             parts.append(copy.transform(data.where(F.col(FOLD) == i)))
         margins = reduce(DataFrame.unionByName, parts)
     else:

@@ -80,3 +80,12 @@ def test_markers_and_mapping(spark):
     assert [r[0] for r in normalise_markers(df).collect()] == [None, None, None, "null", None, "ok"]
     mapped = df.select(map_values(F.col("v"), {"ok": 1}, 0)).collect()
     assert [r[0] for r in mapped] == [0, 0, 0, 0, 0, 1]
+
+
+def test_social_class_golden(spark):
+    rows = [(i, f"X, Mr. N{i}", *r) for i, r in enumerate(
+        [(1, 100.0, 0, 0, 35.0), (2, 30.0, 1, 0, 25.0), (3, 8.0, 0, 1, 10.0), (3, 7.5, 2, 1, 5.0), (1, 90.0, 0, 0, 45.0)]
+    )]
+    df = spark.createDataFrame(rows, "id int, Name string, Pclass int, Fare double, SibSp int, Parch int, Age double")
+    out = PassengerFeatures().fit_transform(df).orderBy("id").collect()
+    assert [r["SocialClass"] for r in out] == [1, 6, 7, 9, 3]

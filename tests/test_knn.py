@@ -67,3 +67,33 @@ def test_row_order_and_partitioning_do_not_matter(spark):
     a = KnnImputer(2, "id").fit(df).transform(df).orderBy("id").collect()
     shuffled = df.orderBy(F.desc("id")).repartition(3)
     assert a == KnnImputer(2, "id").fit(shuffled).transform(shuffled).orderBy("id").collect()
+
+
+def test_a_gap_in_the_widest_column_does_not_visit_every_cell(spark):
+    rng = np.random.default_rng(7)
+    rows = [(i, None if i % 10 == 0 else float(a), float(b)) for i, (a, b) in
+            enumerate(zip(rng.normal(0, 100, 2000), rng.normal(0, 1, 2000)))]
+    df = spark.createDataFrame(rows, "id long, wide double, narrow double")
+    model = KnnImputer(3, "id", cell_rows=100).fit(df)
+    x = np.array([[np.nan if r[1] is None else r[1], r[2]] for r in rows])
+    gaps = x[np.isnan(x[:, 0])]
+    bounds = model.boxes.lower_bounds(gaps)
+    assert len(model.boxes.cell) >= 16
+    assert model.boxes.nearest(gaps, bounds, 3).sum() <= 2 * len(gaps)
+    assert (np.isfinite(bounds) & (bounds > 0)).sum(axis=1).mean() > 0.8 * len(model.boxes.cell)
+    out = model.transform(df).orderBy("id").toPandas()
+    assert np.allclose(out[["wide", "narrow"]].to_numpy(), brute(x, range(2000), x, 3))
+
+
+def test_several_gap_patterns_get_their_own_layout(spark):
+    rng = np.random.default_rng(8)
+    x = rng.normal(0, [50.0, 40.0, 1.0], (400, 3))
+    x[0:60, 0] = np.nan
+    x[60:110, 1] = np.nan
+    x[110:130, :2] = np.nan
+    rows = [(i, *[None if np.isnan(v) else float(v) for v in r]) for i, r in enumerate(x)]
+    df = spark.createDataFrame(rows, "id long, a double, b double, c double")
+    model = KnnImputer(4, "id", cell_rows=50).fit(df)
+    assert len(model.boxes.depth) > 1
+    out = model.transform(df).orderBy("id").toPandas()
+    assert np.allclose(out[list("abc")].to_numpy(), brute(x, range(400), x, 4))

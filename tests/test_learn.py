@@ -168,3 +168,20 @@ def test_digest_follows_settings_and_data(spark, tmp_path):
     assert a != store.config_hash({"models": {"cv": 3}}, folder)
     spark.range(9).write.mode("overwrite").parquet(folder)
     assert a != store.config_hash({"models": {"cv": 5}}, folder)
+
+
+def test_registering_a_family(vectors, monkeypatch):
+    from pyspark.ml.classification import NaiveBayes
+
+    from tabloom.operators import models
+
+    class Bayes(models.Classifier):
+        def points(self, grid):
+            return list(grid or [{"smoothing": 1.0}])
+
+        def estimator(self, params, rows, seed, features):
+            return NaiveBayes(featuresCol=features, labelCol="label", modelType="gaussian", **params)
+
+    monkeypatch.setitem(models.REGISTRY, "bayes", Bayes)
+    model = train("bayes", vectors)
+    assert model.platt is None and model.evaluate(vectors)["accuracy"] > 0.65
