@@ -27,6 +27,7 @@ from ..operators.outliers import Outliers
 from ..operators.quantiles import exact_quantiles, grouped_quantiles
 from ..operators.reduce import Reducer
 from ..operators.split import Splitter, add_folds
+from ..session import shared_dir
 from ..sources.tables import as_records
 from ..streaming.records import chain
 from .workflow import fit_workflow
@@ -654,18 +655,6 @@ def scored_table(spark, sf_dir):
 # ---- records as they arrive -----------------------------------------------------
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """A new folder under the checkpoint folder every executor reaches."""
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if base is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        import tempfile
-
-        base = tempfile.gettempdir()
-    return f"{base.rstrip('/')}/tabloom-{uuid.uuid4().hex}"
-
-
 @query
 def stream_prepared(spark, sf_dir):
     """Steps fitted on the events table, applied to the events as a stream."""
@@ -674,7 +663,8 @@ def stream_prepared(spark, sf_dir):
     encoder = Encoder("standard", "ordinal").fit(bounds.transform(events), ["event_id"])
     arriving = spark.readStream.schema(table(spark, sf_dir, "events").schema).parquet(f"{sf_dir}/events*.parquet")
     steps = [bounds.transform, lambda d: encoder.transform(d, ["event_id"])]
-    out, state = shared_folder(spark), shared_folder(spark)
+    run = f"{shared_dir(spark)}/tabloom-{uuid.uuid4().hex}"
+    out, state = f"{run}/rows", f"{run}/state"
     done = (
         chain(arriving.select("event_id", "event_type", "value"), steps).writeStream.format("parquet")
         .outputMode("append").option("checkpointLocation", state).trigger(availableNow=True).start(out)

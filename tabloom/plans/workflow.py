@@ -135,10 +135,11 @@ def variants_of(spec: Mapping) -> list[tuple[str, str, Variant]]:
     return out
 
 
-def prepare(spec: Mapping, raw: DataFrame) -> tuple[Prepared, DataFrame]:
+def prepare(spec: Mapping, raw: DataFrame) -> tuple[Prepared, DataFrame, DataFrame]:
     """Fit the preparation steps; also returns the cleaned training frame with label and fold.
 
-    The cleaned frame is persisted: every later fit reads it. The caller unpersists it.
+    Every later fit reads the cleaned rows, so they are persisted; the last value is the
+    frame the caller has to unpersist.
     """
     check_spec(spec)
     loader, id_col = loader_of(spec), spec["loader"]["id_col"]
@@ -198,7 +199,7 @@ def prepare(spec: Mapping, raw: DataFrame) -> tuple[Prepared, DataFrame]:
             wide = prepared.matrix(cleaned_folds, plain, meta)
             names = [c for c in wide.columns if c not in meta]
             prepared.reducers[v] = Reducer(share).fit(wide, names)
-    return prepared, cleaned_folds
+    return prepared, cleaned_folds, cleaned
 
 
 @dataclass
@@ -297,7 +298,7 @@ def score_side_by_side(
 
 def fit_workflow(spec: Mapping, raw: DataFrame, reports: bool = False) -> FittedWorkflow:
     """Prepare, search every active model and its variants, then form the vote."""
-    prepared, cleaned = prepare(spec, raw)
+    prepared, cleaned, cached = prepare(spec, raw)
     models, cache = spec["models"], spec.get("model_cache", {})
     scoring, seed = models.get("scoring", "f1_weighted"), models.get("random_state", 42)
     meta = [prepared.id_col, LABEL, FOLD]
@@ -306,11 +307,9 @@ def fit_workflow(spec: Mapping, raw: DataFrame, reports: bool = False) -> Fitted
     copies: dict[str, list[TrainedModel]] = {}
     ens = spec.get("ensemble", {})
     wanted = list(ens.get("members", models["active"])) if ens.get("enabled") else []
-    cached = []
     try:
         for key, base, variant in variants_of(spec):
-            data = prepared.vectors(cleaned, variant, meta).persist(StorageLevel.MEMORY_AND_DISK)
-            cached.append(data)
+            data = prepared.vectors(cleaned, variant, meta)  # the search caches what it rereads
 
             def build(base=base, data=data):
                 model = train(base, data, scoring, seed, models.get("grids", {}).get(base, models.get("grid")),
@@ -331,8 +330,7 @@ def fit_workflow(spec: Mapping, raw: DataFrame, reports: bool = False) -> Fitted
             entries[key] = Entry(key, base, variant, model, oof)
         vote = _form_vote(ens, wanted, entries, copies, prepared, cleaned, scoring) if wanted else None
     finally:
-        for frame in [*cached, cleaned]:
-            frame.unpersist()
+        cached.unpersist()
     return FittedWorkflow(spec, prepared, entries, vote)
 
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import tempfile
+
+from pyspark.sql import DataFrame, SparkSession
 
 # Correctness-neutral settings that a cluster profile may override.
 DEFAULTS = {
@@ -31,16 +33,19 @@ def local_session(cores: int | str = 8, app: str = "tabloom", **conf: str) -> Sp
     return spark
 
 
-def checkpointed(df):
-    """Cut lineage through reliable storage, in the folder the cluster names."""
+def shared_dir(spark: SparkSession) -> str:
+    """The folder all executors reach, as the session names it; a local one only in tests."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+        folder = tempfile.mkdtemp(prefix="tabloom-shared-")
+    return folder.rstrip("/")
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Cut lineage through reliable storage."""
     sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
-        folder = sc.getConf().get("spark.checkpoint.dir")
-        if folder is None:
-            if not sc.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-            import tempfile
-
-            folder = tempfile.mkdtemp(prefix="tabloom-checkpoint-")
-        sc.setCheckpointDir(folder)
+        sc.setCheckpointDir(shared_dir(df.sparkSession))
     return df.checkpoint()

@@ -101,8 +101,9 @@ def vectors(learnable):
 
 
 @pytest.mark.parametrize("name,grid", [
-    ("logreg", None), ("decision_tree", None), ("random_forest", None), ("svm", None),
-    ("svm", [{"kernel": "rbf", "C": 10, "gamma": "scale"}]),
+    ("logreg", None), ("decision_tree", None), ("random_forest", None),
+    ("svm", [{"kernel": "linear", "C": 1, "max_iter": 10}]),
+    ("svm", [{"kernel": "rbf", "C": 10, "gamma": "scale", "max_iter": 10}]),
     ("xgboost", [{"n_estimators": 3, "max_depth": 3, "learning_rate": 0.3}]),
 ])
 def test_models_beat_the_majority(vectors, name, grid):
@@ -144,7 +145,9 @@ def test_workflow(spark, learnable, tmp_path):
         "model_cache": {"enabled": True, "path": str(tmp_path / "models")},
     }
     assert [k for k, _, _ in variants_of(spec)] == ["logreg", "logreg_pca", "decision_tree"]
+    kept_before = len(spark.sparkContext._jsc.getPersistentRDDs())
     fitted = fit_workflow(spec, learnable)
+    assert len(spark.sparkContext._jsc.getPersistentRDDs()) == kept_before  # nothing stays cached
     board = fitted.leaderboard(spark).collect()
     assert {r["model"] for r in board} == {"logreg", "logreg_pca", "decision_tree", "ensemble"}
     assert [r["score"] for r in board] == sorted((r["score"] for r in board), reverse=True)
