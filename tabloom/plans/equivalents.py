@@ -372,9 +372,8 @@ def equivalents() -> dict[str, str]:
             CASE WHEN o_orderkey % 2 <> 0 THEN o_custkey END AS o_custkey FROM orders""",
         "features_only": "SELECT doc_id, quality FROM labels",
         "numeric_block_first": "SELECT p_partkey, p_size, p_retailprice, p_brand, p_type FROM part",
-        "drop_missing_rows": with_tables(
-            "SELECT o_orderkey, o_totalprice FROM m WHERE o_totalprice IS NOT NULL", m=MASKED_ORDERS
-        ),
+        "drop_missing_rows": """SELECT doc_id, lang, quality FROM documents LEFT JOIN labels USING (doc_id)
+            WHERE quality IS NOT NULL""",
         "derived_columns": """SELECT l_orderkey, l_linenumber, round(l_extendedprice * (1 - l_discount), 4) AS net,
             l_quantity > 25 AS bulk FROM lineitem""",
         "missing_report": _missing_report(),

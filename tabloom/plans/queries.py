@@ -140,7 +140,9 @@ def numeric_block_first(spark, sf_dir):
 
 @query
 def drop_missing_rows(spark, sf_dir):
-    return masked_orders(spark, sf_dir).where(col("o_totalprice").isNotNull()).select("o_orderkey", "o_totalprice")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang")
+    marked = docs.join(table(spark, sf_dir, "labels"), "doc_id", "left")
+    return marked.where(col("quality").isNotNull()).select("doc_id", "lang", "quality")
 
 
 @query
