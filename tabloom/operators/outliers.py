@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import clip
-from ..functions.kinds import clean_double, col, numeric_columns
+from ..functions.kinds import clean_double, numeric_columns
 from ..functions.stats import pct, tidy
 from .quantiles import quantiles
 
