@@ -29,7 +29,7 @@ from tabloom.session import checkpointed
 
 BUCKETS, WIDTH, NONZERO = 1 << 14, 32, 2
 FEATURES = 2 * WIDTH + 4
-SAMPLE_ROWS, HIDDEN, EPOCHS = 20_000, 32, 60
+SAMPLE_ROWS, HIDDEN, EPOCHS, LEAST_STEPS = 20_000, 32, 60, 2_000
 #: Buckets that are added up together, and words that are pooled together.
 BLOCK, SLICE = 256, 4_096
 
@@ -146,13 +146,14 @@ class Network:
         weights = [rng.normal(0, 1 / np.sqrt(x.shape[1]), (x.shape[1], HIDDEN)), np.zeros(HIDDEN), rng.normal(0, 1 / np.sqrt(HIDDEN), HIDDEN), np.zeros(1)]
         first, second = [np.zeros_like(w) for w in weights], [np.zeros_like(w) for w in weights]
         z, target, steps = (x[train] - self.mean) / self.scale, y[train].astype(float), 0
-        for _ in range(EPOCHS):
-            for part in np.array_split(rng.permutation(len(train)), max(1, len(train) // 128)):
+        parts = max(1, len(train) // 128)
+        for _ in range(max(EPOCHS, -(-LEAST_STEPS // parts))):
+            for part in np.array_split(rng.permutation(len(train)), parts):
                 a = np.maximum(z[part] @ weights[0] + weights[1], 0)
                 p = 1 / (1 + np.exp(-np.clip(a @ weights[2] + weights[3], -30, 30)))
                 d = (p - target[part]) / len(part)
                 back = np.outer(d, weights[2]) * (a > 0)
-                slopes = [z[part].T @ back + 1e-4 * weights[0], back.sum(axis=0), a.T @ d, d.sum(keepdims=True)]
+                slopes = [z[part].T @ back + 1e-3 * weights[0], back.sum(axis=0), a.T @ d, d.sum(keepdims=True)]
                 steps += 1
                 for i, g in enumerate(slopes):
                     first[i] = 0.9 * first[i] + 0.1 * g
@@ -181,7 +182,11 @@ def quality(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     vectors = checkpointed(pooled(df, word_vectors(df, text_col), id_col, text_col))
     known = labels.where(F.col(label_col).isNotNull()).select(F.col(id_col), (F.col(label_col) > 0).cast("int").alias("y"))
     order = F.xxhash64(F.col(id_col).cast("string"))
-    taken = vectors.join(known, id_col).select(order.alias("key"), "y", "pooled").orderBy("key", "y").limit(rows).toArrow()
+    joined = vectors.join(known, id_col).select(order.alias("key"), "y", "pooled")
+    # the smallest keys are wanted; so far below the limit that enough of them are left, other rows needn't be sorted
+    share = min(1.0, 1.2 * rows / max(1, joined.count()) + 1e-9)
+    low = F.col("key").cast("double") / 2.0**64 + 0.5 <= share
+    taken = joined.where(low).orderBy("key", "y").limit(rows).toArrow()
     x = np.array(taken.column("pooled").to_pylist(), np.float64).reshape(taken.num_rows, FEATURES)
     network = Network(x, np.array(taken.column("y").to_pylist(), int))
 
