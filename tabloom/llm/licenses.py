@@ -171,7 +171,7 @@ def rules() -> list[tuple[int, str, str, str]]:
 
 #: Words of which every rule's matches have one, so that other texts are done at once.
 GATES = ("licen", "copyright", "spdx", "apache", "cc  by", "cc0", "creative", "permission", "redistribut", "public  domain", "warranty", "rights  reserved",
-         "proprietary", "prohibited", "only", "wtfpl", "unencumbered", "verbatim", "advertising", "reproduced", "endorse", "open  font", "sil  org", "gpl", "mpl",
+         "proprietary", "prohibited", "use  only", "purposes  only", "wtfpl", "unencumbered", "verbatim", "advertising", "reproduced", "endorse", "open  font", "sil  org", "gpl", " mpl ",
          "opendatacommons", "mozilla", "eclipse", "general  public", "gnu  org", "free  software", "terms  of  use")
 
 
