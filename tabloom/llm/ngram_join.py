@@ -5,11 +5,11 @@ A document's set are the distinct hashes of its n-grams. Documents with equal se
 1. Tiles. Sets are banded by size, and a set meets its own band and, if it may be the larger partner of one there, the band
    below. Within a band the hash space falls into more parts than a pair above the threshold can differ in, so such a
    pair has a part in which both agree entirely. A tile is a band, a part and the n-grams in it; sets that share no tile
-   are not similar. Tiles of only one set are dropped before anything larger than their key is moved.
+   are not similar. Tiles of only one set are dropped before anything larger than their key is moved. In a tile, sizes and
+   signatures (a bit for each hashed n-gram, toggled) bound the overlap from above; only what may link is connected.
 2. Groups. Sets that tiles connect form a group; only these can hold links. A group is dealt into blocks of bounded
    size, and tasks get one block or a pair of them with the sorted n-grams.
-3. Links. In a task, signatures (a bit for each hashed n-gram, toggled) bound the overlap of two sets from above: each bit that
-   differs stands for an n-gram that only one of them has. What passes is decided by the exact intersection of the
+3. Links. In a task, signatures bound the overlap of two sets again: each bit that differs stands for an n-gram that only one of them has. What passes is decided by the exact intersection of the
    sorted arrays. Pairs that are connected already are skipped, so that a block of copies yields a chain, not all pairs.
 4. First each block by itself, then one set of each part that came out, then the pairs of blocks that still are in
    more than one part. Components of the links are the classes' components.
@@ -37,6 +37,8 @@ from tabloom.session import checkpointed
 
 #: Width of a band, n-grams of a block and sets of a block, spare parts of a band.
 BAND_WIDTH, BLOCK_NGRAMS, BLOCK_SETS, SPARE = 1.25, 2_000_000, 4_096, 2
+#: Sets of a tile that signatures are compared for.
+TILE_SETS = 8_192
 
 _WORD = byte_values(23, bytes(c + 32 if 65 <= c <= 90 else c or 255 for c in range(256)))
 _NGRAM = np.random.default_rng(24).integers(1, 1 << 63, 64, np.uint64) * np.uint64(2) + np.uint64(1)
@@ -117,7 +119,12 @@ def tiles(ngram_set: np.ndarray, bands: Bands) -> list[np.ndarray]:
     return out
 
 
-def _members(n: int):
+def _width(size: int, percent: int) -> int:
+    """Bits of a signature: enough to tell what differs too much, the same for all sets of about this size."""
+    return 1 << max(7, int(4 * size * (100 - percent) // percent).bit_length())
+
+
+def _members(n: int, percent: int):
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows:
             at = 0
@@ -125,7 +132,8 @@ def _members(n: int):
                 own = sets(texts, n)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(at, len(own)), batch.column(1).slice(at, len(own)), pa.array([len(s) for s in own], pa.int64()),
-                     pa.array([set_id(s) if len(s) else None for s in own], pa.int64())], ["id", "place", "size", "set"])
+                     pa.array([set_id(s) if len(s) else None for s in own], pa.int64()),
+                     pa.array([_bits([s], _width(len(s), percent)).tobytes() for s in own], pa.binary())], ["id", "place", "size", "set", "bits"])
                 at += len(own)
 
     return run
@@ -220,6 +228,48 @@ def linked(groups: list[np.ndarray], percent: int, part: np.ndarray, side: np.nd
     return out
 
 
+def _folded(bits: list[bytes], sizes: np.ndarray) -> np.ndarray:
+    """Signatures as rows of the smallest width among them; halves of a wider one are put together."""
+    rows = [np.frombuffer(b, np.uint64) for b in bits]
+    least = min(map(len, rows))
+    return np.stack([np.bitwise_xor.reduce(r.reshape(-1, least), axis=0) for r in rows])
+
+
+def _meet_rows(percent: int):
+    """Sets that may link in a tile, connected; rows come sorted by tile, and one tile is held at a time."""
+
+    def meets(held: list[tuple]) -> list[tuple[int, int]]:
+        sets_, sizes, bits = zip(*sorted(held, key=lambda r: (r[1], r[0])))
+        size, sign = np.array(sizes, np.int64), _folded(bits, np.array(sizes))
+        known, out = _Union(len(size)), []
+        for i in range(1, len(size)):
+            low = np.searchsorted(size[:i], -(-int(size[i]) * percent // 100))
+            near = low + np.flatnonzero(known.root[low:i] != known.root[i])
+            differ = np.bitwise_count(sign[near] ^ sign[i]).sum(axis=1, dtype=np.int64)
+            most = (size[near] + size[i] - differ) // 2  # of the overlap
+            for j in near[100 * most >= percent * (size[near] + size[i] - most)].tolist():
+                if known.join(i, j):
+                    out.append((sets_[i], sets_[j]))
+        return out
+
+    def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, name, found = [], None, []
+        for batch in rows:
+            for tile, own, size, bits in zip(*(c.to_pylist() for c in batch.columns)):
+                if tile != name:
+                    found += meets(held) if len(held) > 1 else []
+                    held, name = [], tile
+                held.append((own, size, bits))
+            if len(found) > 10_000:
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*found)], ["u", "v"])
+                found = []
+        found += meets(held) if len(held) > 1 else []
+        if found:
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*found)], ["u", "v"])
+
+    return run
+
+
 def _link_rows(percent: int):
     """Rows come sorted by (group, a, b); one of these at a time is held."""
 
@@ -267,13 +317,19 @@ def near_duplicates(df: DataFrame, n: int = 5, percent: int = 80, id_col: str =
     bands = Bands(percent)
     rows = df.select(F.col(id_col).alias("id"), F.xxhash64(F.col(id_col), F.col(text_col)).alias("place"), F.col(text_col).alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
-    members = checkpointed(rows.mapInArrow(_members(n), f"id {kind}, place long, size long, set long"))
+    members = checkpointed(rows.mapInArrow(_members(n, percent), f"id {kind}, place long, size long, set long, bits binary"))
     classes = members.where("set is not null").groupBy("set").agg(F.min("id").alias("low"), F.min("place").alias("place"), F.max("size").alias("size"))
+    signed = members.where("set is not null").select("set", "size", "bits").dropDuplicates(["set"])
 
     keys = rows.select("text").mapInArrow(_tile_rows(n, bands), "tile long, set long")
     shared = keys.groupBy("tile").agg(F.min("set").alias("least"), F.max("set").alias("most")).where("least <> most").select("tile", "least")
-    meets = keys.join(shared, "tile").where("set <> least").select(F.col("set").alias("u"), F.col("least").alias("v")).distinct()
-    groups = components(meets)
+    met = checkpointed(keys.join(shared, "tile").distinct())
+    crowd = met.groupBy("tile").agg(F.count("*").alias("n")).where(F.col("n") > TILE_SETS).select("tile")
+    # a tile that is too crowded for one task connects all of its sets; in others, signatures tell which may link
+    crowded = met.join(crowd, "tile", "left_semi").where("set <> least").select(F.col("set").alias("u"), F.col("least").alias("v"))
+    tiled = met.join(crowd, "tile", "left_anti").join(signed, "set").select("tile", "set", "size", "bits")
+    bounded = tiled.repartition("tile").sortWithinPartitions("tile").mapInArrow(_meet_rows(percent), "u long, v long")
+    groups = components(crowded.unionByName(bounded))
 
     listed = checkpointed(groups.withColumnRenamed("node", "set").withColumnRenamed("component", "grp").join(classes, "set"))
     total = listed.groupBy("grp").agg(F.sum("size").alias("ngrams"), F.count("*").alias("members"))
