@@ -39,6 +39,8 @@ from tabloom.session import checkpointed
 BAND_WIDTH, BLOCK_NGRAMS, BLOCK_SETS, SPARE = 1.25, 2_000_000, 4_096, 2
 #: Sets of a tile that signatures are compared for.
 TILE_SETS = 8_192
+#: Sets that a task remembers to have sent.
+SENT_SETS = 500_000
 
 _WORD = byte_values(23, bytes(c + 32 if 65 <= c <= 90 else c or 255 for c in range(256)))
 _NGRAM = np.random.default_rng(24).integers(1, 1 << 63, 64, np.uint64) * np.uint64(2) + np.uint64(1)
@@ -141,14 +143,17 @@ def _members(n: int, percent: int):
 
 def _tile_rows(n: int, bands: Bands):
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sent: set[int] = set()
         for batch in rows:
             for texts in slices(utf8(batch)):
-                keys, owners, last = [], [], None
+                keys, owners = [], []
+                if len(sent) > SENT_SETS:
+                    sent.clear()
                 for s in sets(texts, n):
                     own = set_id(s) if len(s) else None
-                    if own is None or own == last:
+                    if own is None or own in sent:
                         continue
-                    last = own
+                    sent.add(own)
                     for key in tiles(s, bands):
                         keys.append(key)
                         owners.append(np.full(len(key), own, np.int64))
@@ -321,7 +326,8 @@ def near_duplicates(df: DataFrame, n: int = 5, percent: int = 80, id_col: str =
     classes = members.where("set is not null").groupBy("set").agg(F.min("id").alias("low"), F.min("place").alias("place"), F.max("size").alias("size"))
     signed = members.where("set is not null").select("set", "size", "bits").dropDuplicates(["set"])
 
-    keys = rows.select("text").mapInArrow(_tile_rows(n, bands), "tile long, set long")
+    # dealt out once for both uses; a task sends a set's keys once, however many copies of it there are
+    keys = rows.select("text").mapInArrow(_tile_rows(n, bands), "tile long, set long").repartition("tile")
     shared = keys.groupBy("tile").agg(F.min("set").alias("least"), F.max("set").alias("most")).where("least <> most").select("tile", "least")
     met = checkpointed(keys.join(shared, "tile").distinct())
     crowd = met.groupBy("tile").agg(F.count("*").alias("n")).where(F.col("n") > TILE_SETS).select("tile")
