@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,9 +20,23 @@ NULL_TOKENS = (
 )
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
-    """A headed CSV file. Without a schema, types are found after null tokens are removed."""
-    reader = spark.read.option("header", True).option("escape", '"').option("multiLine", False)
+#: How a number is written; a cast alone would also take suffixes, so that seat 12D became 12.0.
+NUMBER = r"^[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?$|^[+-]?(?i:inf|infinity)$"
+
+
+def as_number(cell: Column, kind: str) -> Column:
+    """The number a cell writes, or NULL."""
+    return F.when(cell.rlike(NUMBER), cell.try_cast(kind))
+
+
+def read_csv(
+    spark: SparkSession, path: str, schema: T.StructType | str | None = None, multi_line: bool = False
+) -> DataFrame:
+    """A headed CSV file. Without a schema, types are found after null tokens are removed.
+
+    ``multi_line`` reads quoted cells with line breaks; a file is then read by one task.
+    """
+    reader = spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line)
     if schema is not None:
         return nan_to_null(reader.schema(schema).csv(path))
     text = reader.csv(path)
@@ -37,8 +51,8 @@ def infer_types(text: DataFrame) -> DataFrame:
         cell = F.trim(col(c))
         checks += [
             F.count(col(c)).alias(f"n{i}"),
-            F.count(cell.try_cast("bigint")).alias(f"i{i}"),
-            F.count(cell.try_cast("double")).alias(f"d{i}"),
+            F.count(as_number(cell, "bigint")).alias(f"i{i}"),
+            F.count(as_number(cell, "double")).alias(f"d{i}"),
             F.count_if(col(c).isin("True", "False", "TRUE", "FALSE", "true", "false")).alias(f"b{i}"),
         ]
     row = text.agg(*checks).first()

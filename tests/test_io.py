@@ -128,3 +128,10 @@ def test_columns_with_dots_and_spaces(spark):
     encoded = Encoder().fit_transform(out, ["the id"], ["the id"])
     assert encoded.columns == ["the id", "a.b", "c d_unknown"]
     assert out.where(F.col("`a.b`") == 1.0).count() == 2
+
+
+def test_csv_keeps_codes_that_only_look_like_numbers(spark, tmp_path):
+    (tmp_path / "t.csv").write_text("seat,grade,hex,n,x\n12D,1f,0x1,1,1e5\n3F,2d,0x2,-2,.5\n")
+    df = read_csv(spark, str(tmp_path / "t.csv"))
+    assert dict(df.dtypes) == {"seat": "string", "grade": "string", "hex": "string", "n": "bigint", "x": "double"}
+    assert [tuple(r) for r in df.orderBy("n").collect()] == [("3F", "2d", "0x2", -2, 0.5), ("12D", "1f", "0x1", 1, 1e5)]
