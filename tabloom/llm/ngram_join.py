@@ -5,7 +5,8 @@ A document's set are the distinct hashes of its n-grams. Documents with equal se
 1. Tiles. Sets are banded by size, and a set meets its own band and, if it may be the larger partner of one there, the band
    below. Within a band the hash space falls into more parts than a pair above the threshold can differ in, so such a
    pair has a part in which both agree entirely. A tile is a band, a part and the n-grams in it; sets that share no tile
-   are not similar. Tiles of only one set are dropped before anything larger than their key is moved. In a tile, sizes and
+   are not similar. Tiles of only one set are dropped before anything larger than their key is moved, and of tiles that hold
+   the same sets one stays. In a tile, sizes and
    signatures (a bit for each hashed n-gram, toggled) bound the overlap from above; only what may link is connected.
 2. Groups. Sets that tiles connect form a group; only these can hold links. A group is dealt into blocks of bounded
    size, and tasks get one block or a pair of them with the sorted n-grams.
@@ -328,12 +329,15 @@ def near_duplicates(df: DataFrame, n: int = 5, percent: int = 80, id_col: str =
 
     # dealt out once for both uses; a task sends a set's keys once, however many copies of it there are
     keys = rows.select("text").mapInArrow(_tile_rows(n, bands), "tile long, set long").repartition("tile")
-    shared = keys.groupBy("tile").agg(F.min("set").alias("least"), F.max("set").alias("most")).where("least <> most").select("tile", "least")
+    shared = keys.groupBy("tile").agg(F.min("set").alias("least"), F.max("set").alias("most")).where("least <> most").select("tile")
     met = checkpointed(keys.join(shared, "tile").distinct())
-    crowd = met.groupBy("tile").agg(F.count("*").alias("n")).where(F.col("n") > TILE_SETS).select("tile")
+    # tiles that hold the same sets say the same, so one of them stays before signatures are moved
+    held = met.groupBy("tile").agg(F.count("*").alias("n"), F.min("set").alias("least"), F.bit_xor(F.xxhash64("set")).alias("x"),
+                                   F.bit_xor(F.xxhash64(F.lit(1), "set")).alias("y"))
+    kept = checkpointed(met.join(held.groupBy("n", "least", "x", "y").agg(F.min("tile").alias("tile")).select("tile", "n", "least"), "tile"))
     # a tile that is too crowded for one task connects all of its sets; in others, signatures tell which may link
-    crowded = met.join(crowd, "tile", "left_semi").where("set <> least").select(F.col("set").alias("u"), F.col("least").alias("v"))
-    tiled = met.join(crowd, "tile", "left_anti").join(signed, "set").select("tile", "set", "size", "bits")
+    crowded = kept.where((F.col("n") > TILE_SETS) & (F.col("set") != F.col("least"))).select(F.col("set").alias("u"), F.col("least").alias("v"))
+    tiled = kept.where(F.col("n") <= TILE_SETS).join(signed, "set").select("tile", "set", "size", "bits")
     bounded = tiled.repartition("tile").sortWithinPartitions("tile").mapInArrow(_meet_rows(percent), "u long, v long")
     groups = components(crowded.unionByName(bounded))
 
