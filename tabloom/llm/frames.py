@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -32,6 +32,14 @@ def strings(batch: pa.RecordBatch, name: str = "text") -> list[str]:
     return [value or "" for value in batch.column(batch.schema.get_field_index(name)).to_pylist()]
 
 
+def small(rows: Iterator[pa.RecordBatch], size: int = 1_000) -> Iterator[pa.RecordBatch]:
+    """The rows in batches of at most `size`, so that a task holds few copies of texts; its buffers are given back at the end."""
+    for batch in rows:
+        for at in range(0, batch.num_rows, size):
+            yield batch.slice(at, size)
+    pa.default_memory_pool().release_unused()
+
+
 def batches(rows: dict[str, list], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(rows[f.name], f.type) for f in schema], schema=schema)
 

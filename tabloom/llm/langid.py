@@ -26,7 +26,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabloom.llm.frames import strings
+from tabloom.llm.frames import small, strings
 
 SAMPLE_ROWS, SAMPLE_CHARS, ROW_CHARS, LANGUAGES, STRETCH = 200, 20_000, 2_000, 64, 128
 UNKNOWN = "und"
@@ -193,7 +193,7 @@ def identify(df: DataFrame, parser: Parser, id_col: str = "doc_id", text_col: st
     sent = df.sparkSession.sparkContext.broadcast(parser)  # at most LANGUAGES tables of 2 x SAMPLE_CHARS states
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in rows:
+        for batch in small(rows):
             langs, scores = _predicted(sent.value, strings(batch))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(langs, pa.string()), pa.array(scores)], ["id", "lang_pred", "score"])
 
@@ -208,7 +208,7 @@ def in_known_language(df: DataFrame, parser: Parser, text_col: str = "text", lan
     where, named = df.columns.index(text_col), df.columns.index(lang_col)
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in rows:
+        for batch in small(rows):
             langs = pa.array(_predicted(sent.value, [t or "" for t in batch.column(where).to_pylist()])[0], pa.string())
             columns = list(batch.columns)
             columns[named] = pc.coalesce(columns[named], langs.cast(columns[named].type))

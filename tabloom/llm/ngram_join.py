@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabloom.llm.frames import utf8
+from tabloom.llm.frames import small, utf8
 from tabloom.llm.graph import components
 from tabloom.llm.words import Words, byte_values, mixed, slices
 from tabloom.session import checkpointed
@@ -129,7 +129,7 @@ def _width(size: int, percent: int) -> int:
 
 def _members(n: int, percent: int):
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in rows:
+        for batch in small(rows):
             at = 0
             for texts in slices(utf8(batch)):
                 own = sets(texts, n)
@@ -145,7 +145,7 @@ def _members(n: int, percent: int):
 def _tile_rows(n: int, bands: Bands):
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sent: set[int] = set()
-        for batch in rows:
+        for batch in small(rows):
             for texts in slices(utf8(batch)):
                 keys, owners = [], []
                 if len(sent) > SENT_SETS:
@@ -166,7 +166,7 @@ def _tile_rows(n: int, bands: Bands):
 
 def _set_rows(n: int):
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in rows:
+        for batch in small(rows):
             at = 0
             for texts in slices(utf8(batch)):
                 own = sets(texts, n)

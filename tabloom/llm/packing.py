@@ -33,12 +33,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tabloom.llm.frames import Memo, utf8
+from tabloom.llm.frames import Memo, small, utf8
 from tabloom.session import checkpointed
 
 CAPACITY, END_ID = 4096, 1
 #: Words whose ids a task keeps at a time, and the bytes up to which a word is kept.
-KNOWN_WORDS, KEPT_BYTES = 400_000, 64
+KNOWN_WORDS, KEPT_BYTES = 100_000, 64
 
 
 #: The tokenizer's split of lower-case ASCII text, and the characters for which its byte-level step writes bytes. Fixed values.
@@ -106,7 +106,7 @@ def pieces(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, task, count = _Known(path), TaskContext.get().partitionId(), defaultdict(int)
-        for batch in rows:
+        for batch in small(rows):
             for at in range(0, batch.num_rows, 256):
                 out, source, own = [], [], []
                 for i, text in enumerate(utf8(batch.slice(at, 256))):
