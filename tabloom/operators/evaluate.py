@@ -12,6 +12,12 @@ from ..functions.kinds import col
 
 # Candidate decision thresholds 0.30 .. 0.70.
 DEFAULT_THRESHOLDS = tuple(float(t) for t in np.arange(0.30, 0.71, 0.01))
+#: Scores of a search that are taken from the counts of a class report, and its rows that are not classes.
+COUNTED_SCORES = (
+    "balanced_accuracy", "f1_macro", "f1_micro", "precision_macro", "precision_micro", "precision_weighted",
+    "recall_macro", "recall_micro", "recall_weighted",
+)
+SUMMARIES = ("accuracy", "macro avg", "weighted avg")
 THRESHOLD_METRICS = ("f1", "f1_weighted", "accuracy", "recall", "precision")
 
 
@@ -119,11 +125,17 @@ def metrics(
 
 
 def score_value(df: DataFrame, scoring: str, label: str = "label", prediction: str = "prediction") -> float:
-    """One number in the requested metric."""
-    if scoring in ("f1_weighted", "f1_macro"):
-        kind = scoring.removeprefix("f1_") + " avg"
-        row = class_report(df, label, prediction).where(F.col("class") == kind).first()
-        return row["f1"]
+    """One number in the requested metric, which decisions alone must determine."""
+    metric, _, kind = scoring.rpartition("_")
+    if scoring == "balanced_accuracy":
+        per = class_report(df, label, prediction).where((F.col("support") > 0) & ~F.col("class").isin(*SUMMARIES))
+        return per.agg(F.avg("recall")).first()[0]
+    if kind in ("macro", "weighted"):
+        return class_report(df, label, prediction).where(F.col("class") == f"{kind} avg").first()[metric]
+    if kind == "micro":
+        scoring = "accuracy"
+    if scoring not in ("accuracy", "f1", "precision", "recall"):
+        raise ValueError(f"{scoring!r} doesn't follow from decisions")
     row = metrics(df, label, prediction).first()
     return row["f1_score" if scoring == "f1" else scoring]
 

@@ -21,7 +21,7 @@ from pyspark.ml.classification import (
     LogisticRegression,
     RandomForestClassifier,
 )
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
@@ -57,7 +57,7 @@ FULL_GRIDS = {
                      subsample=(0.8, 1.0), min_child_weight=(1, 3)),
     "svm": _grid(kernel=("rbf",), C=(0.1, 1, 10), gamma=("scale", 0.1)) + _grid(kernel=("linear",), C=(0.1, 1, 10)),
 }
-# A distributed fit has a fixed cost, so the default search is short.
+# A distributed fit has a fixed cost; callers may ask for a short search.
 SHORT_GRIDS = {
     "logreg": _grid(C=(0.1, 1), l1_ratio=(0.0,)),
     "decision_tree": _grid(max_depth=(3, 5), criterion=("gini",), min_samples_leaf=(1,)),
@@ -66,7 +66,7 @@ SHORT_GRIDS = {
     "svm": _grid(kernel=("linear",), C=(1,)),
 }
 MAX_DEPTH = 30
-MAX_KEPT_COPIES = 32  # fold copies the driver keeps from one search
+UNTIL_SETTLED = 1_000_000  # iterations; the tolerance ends the fit
 FOURIER_FEATURES = 128
 
 
@@ -112,7 +112,7 @@ def _estimator(name: str, params: Mapping, rows: int, seed: int, features: str):
     if name == "logreg":
         return LogisticRegression(
             **io, regParam=1.0 / (params["C"] * rows), elasticNetParam=params.get("l1_ratio", 0.0),
-            standardization=False, maxIter=params.get("max_iter", 100), tol=1e-4,
+            standardization=False, maxIter=params.get("max_iter", 5000), tol=1e-4,
         )
     if name == "decision_tree":
         return DecisionTreeClassifier(
@@ -131,12 +131,27 @@ def _estimator(name: str, params: Mapping, rows: int, seed: int, features: str):
             minInstancesPerNode=params.get("min_child_weight", 1), seed=seed,
         )
     return LinearSVC(**io, regParam=1.0 / (params["C"] * rows), standardization=False,
-                     maxIter=params.get("max_iter", 100), tol=1e-3)
+                     maxIter=params.get("max_iter", UNTIL_SETTLED), tol=1e-3)
 
 
-def evaluator(scoring: str) -> MulticlassClassificationEvaluator:
+class _Counted:
+    """A score that follows from the confusion counts."""
+
+    def __init__(self, scoring: str):
+        self.scoring = scoring
+
+    def evaluate(self, scored: DataFrame) -> float:
+        return ev.score_value(scored, self.scoring, LABEL, "prediction")
+
+
+def evaluator(scoring: str):
+    """What scores the held-out rows of a search, by the usual names of scores."""
     names = {"f1_weighted": "f1", "accuracy": "accuracy", "f1": "fMeasureByLabel",
              "precision": "precisionByLabel", "recall": "recallByLabel"}
+    if scoring == "roc_auc":
+        return BinaryClassificationEvaluator(labelCol=LABEL, rawPredictionCol="rawPrediction")
+    if scoring in ev.COUNTED_SCORES:
+        return _Counted(scoring)
     if scoring not in names:
         raise ValueError(f"unknown scoring {scoring!r}")
     return MulticlassClassificationEvaluator(
@@ -189,14 +204,14 @@ class TrainedModel:
     def fold_copies(self, df: DataFrame, fold: str = FOLD, reuse: bool = False) -> list["TrainedModel"]:
         """Per fold, a copy that did not see it, at the default threshold.
 
-        ``reuse`` takes the copies the search already fitted; only for the searched frame.
+        ``reuse`` takes the copies the search already fitted; only for the searched frame. Either
+        way a copy is penalised for the rows it sees and calibrated on these alone.
         """
-        plain, out = self.with_threshold(0.5), []
+        out = []
         for i in _folds(df, fold):
-            if reuse and i < len(self.fold_models):
-                out.append(replace(plain, model=self.fold_models[i]))
-            else:
-                out.append(plain.refit(df.where(F.col(fold) != i)))
+            rest = df.where(F.col(fold) != i)
+            known = self.fold_models[i] if reuse and i < len(self.fold_models) else None
+            out.append(_fit_one(self.name, self.best_params, rest, self.seed, self.fourier, model=known))
         return out
 
     def out_of_fold(
@@ -258,13 +273,18 @@ def _folds(df: DataFrame, fold: str) -> list[int]:
     return list(range(df.agg(F.max(fold)).first()[0] + 1))
 
 
+def _fold_sizes(df: DataFrame) -> dict[int, int]:
+    return {r[0]: r[1] for r in df.groupBy(FOLD).count().orderBy(FOLD).collect()}
+
+
 def _fit_one(
-    name, params, df, seed, fourier, rows=None, threshold=0.5, score=float("nan"), fold_models=()
+    name, params, df, seed, fourier, rows=None, threshold=0.5, score=float("nan"), fold_models=(), model=None
 ) -> TrainedModel:
     rows = df.count() if rows is None else rows
     data = df if fourier is None else fourier.transform(df, "__z")
     features = FEATURES if fourier is None else "__z"
-    model = REGISTRY[name](name).estimator(params, rows, seed, features).fit(data)
+    if model is None:
+        model = REGISTRY[name](name).estimator(params, rows, seed, features).fit(data)
     trained = TrainedModel(
         name, model, dict(params), score, rows, seed, threshold, fourier, None, tuple(fold_models)
     )
@@ -273,16 +293,16 @@ def _fit_one(
 
 def _calibrate(trained: TrainedModel, data: DataFrame, features: str) -> Model:
     """Logistic curve over out-of-fold margins (Platt, 1999); margins of the fit without folds."""
-    present = [r[0] for r in data.select(FOLD).distinct().collect()] if FOLD in data.columns else []
+    present = _fold_sizes(data) if FOLD in data.columns else {}
     if len(present) > 1:
         parts = []
-        for i in present:
+        for i, held_out in present.items():
             if i < len(trained.fold_models):
                 copy = trained.fold_models[i]
             else:
                 rest = data.where(F.col(FOLD) != i)
                 family = REGISTRY[trained.name](trained.name)
-                copy = family.estimator(trained.best_params, trained.rows, trained.seed, features).fit(rest)
+                copy = family.estimator(trained.best_params, trained.rows - held_out, trained.seed, features).fit(rest)
             parts.append(copy.transform(data.where(F.col(FOLD) == i)))
         margins = reduce(DataFrame.unionByName, parts)
     else:
@@ -304,7 +324,7 @@ def train(
 ) -> TrainedModel:
     """Grid search over the ``fold`` column, then refit the best point on all rows.
 
-    ``grid='full'`` searches the full grid, the default a short one. The frame holds
+    The full grid is searched unless ``grid`` gives points or is ``'short'``. The frame holds
     ``features``, ``label`` and ``fold``; it is read once per fit, so it is cached here.
     """
     if name not in REGISTRY:
@@ -320,9 +340,9 @@ class Classifier:
     options: Mapping = field(default_factory=dict)
 
     def points(self, grid) -> list[Mapping]:
-        if grid == "full":
+        if grid is None or grid == "full":
             return FULL_GRIDS[self.name]
-        return SHORT_GRIDS[self.name] if grid is None else list(grid)
+        return SHORT_GRIDS[self.name] if grid == "short" else list(grid)
 
     def estimator(self, params: Mapping, rows: int, seed: int, features: str):
         return _estimator(self.name, params, rows, seed, features)
@@ -330,16 +350,14 @@ class Classifier:
     def train(self, df, scoring="f1_weighted", seed=42, grid=None, parallelism=8) -> TrainedModel:
         data = df.select(FEATURES, LABEL, FOLD).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            head = data.agg(F.count(F.lit(1)).alias("n"), F.max(FOLD).alias("k")).first()
-            rows, k = head["n"], head["k"] + 1
-            best = None
+            sizes = _fold_sizes(data)
+            rows, best = sum(sizes.values()), None
             for fourier, points in self._groups(data, self.points(grid), seed):
                 view = data if fourier is None else fourier.transform(data, "__z")
                 features = FEATURES if fourier is None else "__z"
-                scores, copies = self._search(view, points, rows, k, scoring, seed, features, parallelism)
-                for i, score in enumerate(scores):
-                    if best is None or score > best[0]:
-                        best = (score, points[i], fourier, copies[i] if copies else ())
+                score, point, copies = self._search(view, points, sizes, scoring, seed, features, parallelism)
+                if best is None or score > best[0]:
+                    best = (score, point, fourier, copies)
             score, params, fourier, copies = best
             return _fit_one(
                 self.name, params, data, seed, fourier, rows, score=float(score), fold_models=copies
@@ -360,25 +378,29 @@ class Classifier:
                 value = kernel_scale(data, width) if gamma == "scale" else float(gamma)
                 yield FourierMap(value, width, seed), members
 
-    def _search(self, view, points, rows, k, scoring, seed, features, parallelism):
-        """Mean fold score of every point; also the fold copies per point if few enough.
+    def _search(self, view, points, sizes, scoring, seed, features, parallelism):
+        """Best mean fold score, its point, and that point's copy per fold.
 
-        Folds and points are fitted side by side, each by a distributed job of its own.
+        Folds and points are fitted side by side, each by a distributed job of its own. A point's
+        copies are let go once a better point is known.
         """
-        judge = evaluator(scoring)
-        keep = len(points) * k <= MAX_KEPT_COPIES
+        judge, rows, k = evaluator(scoring), sum(sizes.values()), max(sizes) + 1
 
         def attempt(task: tuple[int, int]):
             point, fold = task
-            copy = self.estimator(points[point], rows, seed, features).fit(view.where(F.col(FOLD) != fold))
-            return judge.evaluate(copy.transform(view.where(F.col(FOLD) == fold))), copy if keep else None
+            seen = rows - sizes.get(fold, 0)
+            copy = self.estimator(points[point], seen, seed, features).fit(view.where(F.col(FOLD) != fold))
+            return judge.evaluate(copy.transform(view.where(F.col(FOLD) == fold))), copy
 
-        tasks = list(product(range(len(points)), range(k)))
+        tasks, best = list(product(range(len(points)), range(k))), None
         with ThreadPool(min(parallelism, len(tasks))) as pool:
-            found = pool.map(inheritable_thread_target(view.sparkSession)(attempt), tasks, chunksize=1)
-        by_point = [found[i * k : (i + 1) * k] for i in range(len(points))]
-        scores = [sum(score for score, _ in folds) / k for folds in by_point]
-        return scores, [[copy for _, copy in folds] for folds in by_point] if keep else None
+            found = pool.imap(inheritable_thread_target(view.sparkSession)(attempt), tasks)
+            for point in points:
+                folds = [next(found) for _ in range(k)]
+                score = sum(s for s, _ in folds) / k
+                if best is None or score > best[0]:
+                    best = (score, point, tuple(copy for _, copy in folds))
+        return best
 
 
 REGISTRY = {name: Classifier for name in FULL_GRIDS}

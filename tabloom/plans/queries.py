@@ -597,7 +597,7 @@ def training_frame(spark, sf_dir, folds: int = 3) -> DataFrame:
     return assemble(data, [c for c in data.columns if c not in ("doc_id", "label", "fold")], ["doc_id", "label", "fold"])
 
 
-def _trained(name: str, grid=None):
+def _trained(name: str, grid="short"):
     def run(spark, sf_dir):
         data = training_frame(spark, sf_dir)
         return train(name, data, grid=grid).score(data).drop("features")
@@ -619,13 +619,13 @@ query(_kernel)
 @query
 def oof_report(spark, sf_dir):
     data = training_frame(spark, sf_dir)
-    return train("decision_tree", data).oof_report(data, reuse=True)
+    return train("decision_tree", data, grid="short").oof_report(data, reuse=True)
 
 
 @query
 def tuned_threshold(spark, sf_dir):
     data = training_frame(spark, sf_dir)
-    return train("logreg", data).tune_threshold(data, reuse=True)[1]
+    return train("logreg", data, grid="short").tune_threshold(data, reuse=True)[1]
 
 
 @lru_cache(maxsize=1)
@@ -637,7 +637,7 @@ def document_spec() -> dict:
         "multicollinearity": {"threshold": 0.85, "apply_to": ["logreg"]},
         "pca": {"n_components": 0.95, "apply_to": ["logreg"]},
         "encoder": {"num_strategy": "standard", "cat_strategy": "ohe"},
-        "models": {"active": ["logreg", "decision_tree"], "cv": 3, "scoring": "f1_weighted"},
+        "models": {"active": ["logreg", "decision_tree"], "cv": 3, "scoring": "f1_weighted", "grid": "short"},
         "ensemble": {"enabled": True, "voting": "soft", "weights": "auto"},
     }
 

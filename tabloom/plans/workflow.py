@@ -302,7 +302,7 @@ def fit_workflow(spec: Mapping, raw: DataFrame, reports: bool = False) -> Fitted
     models, cache = spec["models"], spec.get("model_cache", {})
     scoring, seed = models.get("scoring", "f1_weighted"), models.get("random_state", 42)
     meta = [prepared.id_col, LABEL, FOLD]
-    digest = store.config_hash(spec, spec["loader"].get("train_path")) if cache.get("enabled") else ""
+    digest = store.config_hash(spec, spec["loader"].get("train_path"), raw) if cache.get("enabled") else ""
     entries: dict[str, Entry] = {}
     copies: dict[str, list[TrainedModel]] = {}
     ens = spec.get("ensemble", {})

@@ -6,7 +6,8 @@ import hashlib
 import json
 from collections.abc import Callable, Mapping
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def _session() -> SparkSession:
@@ -52,11 +53,21 @@ def source_state(path: str) -> list[tuple[str, int, int]]:
     return sorted(out)
 
 
-def config_hash(config: Mapping, source: str | None = None) -> str:
-    """12 hex digits over the model settings and, if given, the state of the source files."""
+def frame_state(df: DataFrame) -> list:
+    """Row count and two sums of row hashes; they follow any change of a row, a column or its type."""
+    h = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+    row = df.agg(F.count(F.lit(1)), F.bit_xor(h), F.sum(F.shiftrightunsigned(h, 33))).first()
+    return [df.dtypes, *row]
+
+
+def config_hash(config: Mapping, source: str | None = None, data: DataFrame | None = None) -> str:
+    """12 hex digits over the settings and, if given, the state of the source files or of the rows themselves."""
     relevant = {k: config[k] for k in HASHED_SECTIONS if k in config}
+    relevant["loader"] = {k: v for k, v in config.get("loader", {}).items() if not k.endswith("_path")}
     if source is not None:
         relevant["source"] = source_state(source)
+    elif data is not None:
+        relevant["source"] = frame_state(data)
     text = json.dumps(relevant, sort_keys=True, default=str)
     return hashlib.md5(text.encode()).hexdigest()[:12]
 

@@ -101,7 +101,7 @@ def vectors(learnable):
 
 
 @pytest.mark.parametrize("name,grid", [
-    ("logreg", None), ("decision_tree", None), ("random_forest", None),
+    ("logreg", "short"), ("decision_tree", "short"), ("random_forest", "short"),
     ("svm", [{"kernel": "linear", "C": 1, "max_iter": 10}]),
     ("svm", [{"kernel": "rbf", "C": 10, "gamma": "scale", "max_iter": 10}]),
     ("xgboost", [{"n_estimators": 3, "max_depth": 3, "learning_rate": 0.3}]),
@@ -117,7 +117,7 @@ def test_models_beat_the_majority(vectors, name, grid):
 
 
 def test_threshold_report_and_reload(vectors, tmp_path):
-    model, scan = train("logreg", vectors).tune_threshold(vectors, reuse=True)
+    model, scan = train("logreg", vectors, grid="short").tune_threshold(vectors, reuse=True)
     assert scan.count() == 41 and 0.3 <= model.threshold <= 0.7
     refitted, _ = model.tune_threshold(vectors)
     assert refitted.threshold == model.threshold  # kept fold copies equal fresh ones
@@ -132,6 +132,38 @@ def test_threshold_report_and_reload(vectors, tmp_path):
     assert [len(g) for g in FULL_GRIDS.values()] == [27, 30, 8, 32, 9]
 
 
+@pytest.mark.parametrize("name,points", [
+    ("logreg", [{"C": 0.01}]), ("logreg", [{"C": c} for c in (0.01, 1e-9)]),
+    ("svm", [{"kernel": "linear", "C": 0.01, "max_iter": 3}]),
+])
+def test_kept_fold_copies_equal_fresh_ones(vectors, name, points):
+    model = train(name, vectors, grid=points)
+    assert model.best_params == points[0] and len(model.fold_models) == 3
+    kept, fresh = model.fold_copies(vectors, reuse=True), model.fold_copies(vectors)
+    for a, b in zip(kept, fresh):
+        assert a.rows == b.rows < 200 and np.allclose(a.model.coefficients, b.model.coefficients)
+        if a.platt is not None:  # calibrated on the rows the copy has seen
+            assert np.allclose(a.platt.coefficients, b.platt.coefficients)
+    if model.platt is not None:
+        return
+    a, b = (model.out_of_fold(vectors, reuse=r).orderBy("id").toPandas()["probability"] for r in (True, False))
+    assert np.allclose(a, b)
+
+
+def test_scores_of_a_search(spark):
+    from tabloom.operators.models import evaluator
+
+    df = spark.createDataFrame([(0.0, 0.0), (0.0, 1.0), (1.0, 1.0), (1.0, 1.0), (1.0, 0.0), (1.0, 1.0)], "label double, prediction double")
+    assert evaluator("balanced_accuracy").evaluate(df) == pytest.approx((0.5 + 0.75) / 2)
+    assert evaluator("f1_macro").evaluate(df) == pytest.approx((0.5 + 0.75) / 2)
+    assert evaluator("recall_micro").evaluate(df) == pytest.approx(4 / 6)
+    assert evaluator("precision_weighted").evaluate(df) == pytest.approx((2 * 0.5 + 4 * 0.75) / 6)
+    ranked = spark.createDataFrame([(0.0, 0.1), (0.0, 0.6), (1.0, 0.5), (1.0, 0.9)], "label double, rawPrediction double")
+    assert evaluator("roc_auc").evaluate(ranked) == pytest.approx(0.75)
+    with pytest.raises(ValueError):
+        evaluator("nope")
+
+
 def test_workflow(spark, learnable, tmp_path):
     spec = {
         "loader": {"target_col": "y", "id_col": "id"},
@@ -167,8 +199,11 @@ def test_digest_follows_settings_and_data(spark, tmp_path):
     folder = str(tmp_path / "t")
     spark.range(3).write.parquet(folder)
     a = store.config_hash({"models": {"cv": 5}, "loader": {"x": 1}}, folder)
-    assert len(a) == 12 and a == store.config_hash({"models": {"cv": 5}, "loader": {"x": 2}}, folder)
+    assert len(a) == 12 and a == store.config_hash({"models": {"cv": 5}, "loader": {"x": 1, "train_path": "elsewhere"}}, folder)
+    assert a != store.config_hash({"models": {"cv": 5}, "loader": {"x": 2}}, folder)
     assert a != store.config_hash({"models": {"cv": 3}}, folder)
+    held = [store.config_hash({}, data=spark.range(n)) for n in (3, 3, 4)]
+    assert held[0] == held[1] != held[2]
     spark.range(9).write.mode("overwrite").parquet(folder)
     assert a != store.config_hash({"models": {"cv": 5}}, folder)
 

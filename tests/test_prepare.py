@@ -88,10 +88,24 @@ def test_correlation_edges(spark):
     assert r[("a", "b")] == 1.0 and r[("a", "k")] is None and r[("k", "k")] is None
     assert profile.correlation(df, ["a"]).count() == 0
     pairs = [("a", "b"), ("a", "k"), ("a", "a")]
-    wide = correlations(df, pairs, wide_above=0)
+    wide = correlations(df, pairs, a_pass=2)
     assert wide[("a", "b")] == pytest.approx(1.0) and wide[("a", "k")] is None
 
 
+def test_correlation_is_the_same_for_any_width(spark):
+    rng = np.random.default_rng(3)
+    a = rng.normal(size=2000)
+    far = rng.normal(size=20)
+    a[:20] = 1e8 + far
+    c = [float(x + 0.1 * e) for x, e in zip(far, rng.normal(size=20))] + [None] * 1980
+    df = spark.createDataFrame([(float(x), y) for x, y in zip(a, c)], "a double, c double")
+    wide = df.withColumns({f"x{i}": F.col("a") * i for i in range(26)})
+    narrow = correlations(df, [("a", "c")])[("a", "c")]
+    names = wide.columns
+    many = correlations(wide, [(p, q) for i, p in enumerate(names) for q in names[i + 1 :]])
+    assert narrow == pytest.approx(np.corrcoef(far, c[:20])[0, 1], abs=1e-4) and many[("a", "c")] == narrow
+
+
 def test_simple_imputation(spark, dirty):
     model = Imputer("median", "most_frequent").fit(dirty, exclude=["id"])
     out = {r["id"]: r for r in model.transform(dirty).collect()}
