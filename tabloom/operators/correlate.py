@@ -2,44 +2,34 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.storagelevel import StorageLevel
 
 from ..functions.kinds import clean_double
 from ..functions.stats import pair_corr
 
-PAIRS_A_PASS = 300  # beyond this, generated code gets too large to compile well
+MAX_PAIR_EXPRESSIONS = 300  # beyond this, generated code gets too large to compile well
 
 
 def correlations(
-    df: DataFrame, pairs: Sequence[tuple[str, str]], a_pass: int = PAIRS_A_PASS
+    df: DataFrame, pairs: Sequence[tuple[str, str]], wide_above: int = MAX_PAIR_EXPRESSIONS
 ) -> dict[tuple[str, str], float | None]:
-    """Pearson r of each pair over rows where both sides are present, None if undefined.
-
-    Every pair is aggregated by the same formula however many there are; many pairs take several
-    passes over the columns, which are then kept between passes.
-    """
+    """Pearson r of each pair over rows where both sides are present, None if undefined."""
     if not pairs:
         return {}
+    if len(pairs) > wide_above:
+        return _moment_correlations(df, pairs)
     names = list(dict.fromkeys(c for p in pairs for c in p))
     at = {c: F.col(f"x{i}") for i, c in enumerate(names)}
     base = df.select(*[clean_double(df, c).alias(f"x{i}") for i, c in enumerate(names)])
-    several = len(pairs) > a_pass
-    if several:
-        base = base.persist(StorageLevel.MEMORY_AND_DISK)
-    found = {}
-    try:
-        for start in range(0, len(pairs), a_pass):
-            part = pairs[start : start + a_pass]
-            row = base.agg(*[pair_corr(at[a], at[b]).alias(f"r{i}") for i, (a, b) in enumerate(part)]).first()
-            found.update((p, _unit(row[f"r{i}"])) for i, p in enumerate(part))
-    finally:
-        if several:
-            base.unpersist()
-    return found
+    row = base.agg(
+        *[pair_corr(at[a], at[b]).alias(f"r{i}") for i, (a, b) in enumerate(pairs)]
+    ).first()
+    return {p: _unit(row[f"r{i}"]) for i, p in enumerate(pairs)}
 
 
 def _unit(r: float | None) -> float | None:
