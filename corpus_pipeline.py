@@ -25,8 +25,11 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def remove_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that stand at many sources are cut but for their first occurrence; documents of which nothing is left go."""
-    cut = line_dedup.dedup_lines(docs)
+    """Lines that stand at many sources are cut but for their first occurrence; documents of which nothing is left go.
+
+    The lines around private keys stay, since the secret scan finds the keys by them.
+    """
+    cut = line_dedup.dedup_lines(docs, spare=secrets.KEY_LINE)
     kept = cut.where((F.col("n_removed") == 0) | (F.trim("text") != ""))
     return kept.withColumn("n_chars", F.length("text").cast("long")).select(*DOCUMENT_COLUMNS)
 

@@ -27,18 +27,20 @@ def _row_key(id_col: str, text_col: str, site_col: str) -> Column:
     return F.xxhash64(F.col(id_col), F.col(text_col), F.col(site_col))
 
 
-def occurrences(df: DataFrame, id_col: str, text_col: str, site_col: str, min_chars: int) -> DataFrame:
-    """(row, id, site, place, line, check): every line that is long enough, by two hashes."""
+def occurrences(df: DataFrame, id_col: str, text_col: str, site_col: str, min_chars: int, spare: str | None = None) -> DataFrame:
+    """(row, id, site, place, line, check): every line that is long enough, by two hashes; none that holds the expression `spare`."""
     lines = df.select(_row_key(id_col, text_col, site_col).alias("row"), F.col(id_col).alias("id"), F.col(site_col).cast("string").alias("site"),
                       F.posexplode(F.split(F.col(text_col), "\n", -1)).alias("place", "text"))
     trimmed = F.trim(F.col("text"))
+    if spare is not None:
+        lines = lines.where(~F.col("text").rlike(spare))
     return lines.where(F.length(trimmed) >= min_chars).select("row", "id", "site", "place", F.xxhash64(trimmed).alias("line"), F.xxhash64(F.lit(7), trimmed).alias("check"))
 
 
 def spread_lines(df: DataFrame, min_sites: int = MIN_SITES, min_chars: int = MIN_CHARS, id_col: str = "doc_id", text_col: str = "text",
-                 site_col: str = "source") -> DataFrame:
+                 site_col: str = "source", spare: str | None = None) -> DataFrame:
     """(line, check, first): the lines at `min_sites` sites or more, with the id and place of the first occurrence."""
-    found = occurrences(df, id_col, text_col, site_col, min_chars)
+    found = occurrences(df, id_col, text_col, site_col, min_chars, spare)
     first = F.min(F.struct(F.col("id").isNull().alias("unknown"), "id", "place")).alias("first")
     lines = found.groupBy("line", "check").agg(first, F.hll_sketch_agg("site", F.lit(REGISTERS)).alias("sketch"))
     error = NEAR * 1.04 / (1 << REGISTERS) ** 0.5
@@ -58,10 +60,10 @@ def _without(lines: Column, places: Column) -> Column:
 
 
 def dedup_lines(df: DataFrame, min_sites: int = MIN_SITES, min_chars: int = MIN_CHARS, keep_first: bool = True, id_col: str = "doc_id",
-                text_col: str = "text", site_col: str = "source") -> DataFrame:
-    """The rows with boilerplate lines cut from their text, and n_lines, n_removed."""
-    spread = spread_lines(df, min_sites, min_chars, id_col, text_col, site_col)
-    found = occurrences(df, id_col, text_col, site_col, min_chars).join(spread, ["line", "check"])
+                text_col: str = "text", site_col: str = "source", spare: str | None = None) -> DataFrame:
+    """The rows with boilerplate lines cut from their text, and n_lines, n_removed. Lines that hold the expression `spare` stay."""
+    spread = spread_lines(df, min_sites, min_chars, id_col, text_col, site_col, spare)
+    found = occurrences(df, id_col, text_col, site_col, min_chars, spare).join(spread, ["line", "check"])
     if keep_first:
         stays = F.col("id").eqNullSafe(F.col("first.id")) & (F.col("place") == F.col("first.place"))
         found = found.where(~stays)

@@ -8,6 +8,9 @@ bounded in bytes, so neither the index nor a task's memory grows with the table,
 
 Null and empty texts have no spans. Every row gives one row, repeated rows as well; only `id_col` and `text_col` are
 read. Spans are in code points, end exclusive; a kind's spans don't overlap, those of different kinds may.
+
+A private key runs from its BEGIN line to the END line. If another BEGIN or the end of the text comes before END, it runs over
+its headers and the base64 that follows. Token lengths have a least, but no greatest.
 """
 
 from __future__ import annotations
@@ -41,20 +44,31 @@ class Rule:
     least: int = 1
 
 
+_KEY = r"(?:[A-Z0-9]+ )*PRIVATE KEY(?: BLOCK)?-----"
+#: The lines around the body of a private key, in PEM or PGP armour.
+KEY_LINE = rf"-----(?:BEGIN|END) {_KEY}"
+# what may stand around a line in quotes, comments and mails; what ends a line, in source code as well
+_DECO, _EOL = r"""[ \t\r"'`>#*|,;]""", r"(?:\n|\\n|\\r)"
+_BARE_KEY = (
+    rf"(?:{_DECO}*+{_EOL}(?:{_DECO}|{_EOL})*+(?:Proc-Type|DEK-Info|Version|Comment|MessageID|Hash|Charset):(?:(?!{_EOL}).)*+)*+"
+    rf"(?:(?:{_DECO}|{_EOL})*+[A-Za-z0-9+/=]{{16,}}+|{_DECO}*+{_EOL}(?:{_DECO}|{_EOL})*+[A-Za-z0-9+/=]++(?={_DECO}*+(?:{_EOL}|\Z)))*+"
+)
+
 #: Kinds in the order in which spans with the same start are listed. The first three are the base.
 RULES = (
     Rule("assign", r"""(?ai:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 12),
     Rule("access", r"AKIA[A-Z0-9]+", 0, 18),
     Rule("hex", r"[0-9a-f]+", 0, 16),
-    Rule("private_key", r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----"),
-    Rule("github", r"\bgh[pousr]_[A-Za-z0-9]{36}", 0, 40),
-    Rule("gitlab", r"\bglpat-[A-Za-z0-9_-]{20}", 0, 26),
+    Rule("private_key", rf"-----BEGIN {_KEY}(?:(?:[^-]++|-(?!----(?:BEGIN|END) ))*+-----END {_KEY}|{_BARE_KEY})"),
+    Rule("github", r"\bgh[pousr]_[A-Za-z0-9_]{36,}", 0, 40),
+    Rule("github_pat", r"\bgithub_pat_[A-Za-z0-9_]{36,}", 0, 47),
+    Rule("gitlab", r"\bglpat-[A-Za-z0-9_-]{20,}(?:\.[0-9a-z]{2}\.?[0-9a-z]{7,})?", 0, 26),
     Rule("slack", r"\bxox[abeprs]-[A-Za-z0-9-]{10,}", 0, 15),
-    Rule("google", r"\bAIza[A-Za-z0-9_-]{35}", 0, 39),
+    Rule("google", r"\bAIza[A-Za-z0-9_-]{35,}", 0, 39),
     Rule("stripe", r"\b[rs]k_(?:live|test)_[A-Za-z0-9]{16,}", 0, 24),
     Rule("jwt", r"\beyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]*"),
     Rule("bearer", r"(?ai:bearer) [A-Za-z0-9._~+/-]{20,}=*", 0, 27),
-    Rule("login_url", r"[a-z][a-z0-9+.-]{0,19}://[^\s/:@]{1,64}:[^\s/:@]{3,64}@"),
+    Rule("login_url", r"[a-z][a-z0-9+.-]{0,19}://[^\s/:@]+:[^\s/:@]{3,}@"),
 )
 
 BASE_KINDS = ("assign", "access", "hex")

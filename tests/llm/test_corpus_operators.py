@@ -376,6 +376,14 @@ def test_pipeline_stage_by_stage(spark, documents, awkward):
     assert {r["doc_id"] for r in packed} == {r["doc_id"] for r in before.collect()}
 
 
+def test_no_key_body_passes_line_dedup_and_redaction(spark, documents):
+    key = "-----BEGIN RSA PRIVATE KEY-----\n{}\n-----END RSA PRIVATE KEY-----"
+    docs = documents([(i, f"words of {i}\n" + key.format(f"MIIE{i}abcdefghijklmnop+/" * 3), "en", f"site{i}") for i in range(8)])
+    stages = dict(corpus_pipeline.STAGES)
+    clean = stages["secret scans"](spark, stages["line dedup"](spark, docs, ""), "").collect()
+    assert {r["text"] for r in clean} == {f"words of {i}\n[private_key]" for i in range(8)}
+
+
 def test_pipeline_of_an_empty_table(spark, documents, tmp_path):
     documents([]).write.parquet(f"{tmp_path}/documents.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0

@@ -175,6 +175,34 @@ def test_secret_frames(spark, documents, awkward):
     assert texts["20"] == 'é [assign]" and [access] [hex]' and texts["21"] == "password=short" and texts["1"] is None and texts["7"] == "x" * 20_000
 
 
+BODY = ["MIIEpAIBAAKCAQEA7bq" + f"{i:02d}+/Zq" * 7 for i in range(9)] + ["Qz9/ab=="]
+
+
+@pytest.mark.parametrize("label", ["RSA PRIVATE KEY", "PRIVATE KEY", "OPENSSH PRIVATE KEY", "PGP PRIVATE KEY BLOCK"])
+@pytest.mark.parametrize("end", ["\n", "\r\n", "\\n", "\n# ", '\\n"\n"'])
+@pytest.mark.parametrize("closed", [True, False])
+def test_no_key_body_is_left(spark, documents, label, end, closed):
+    head = ["Proc-Type: 4,ENCRYPTED", ""] if "RSA" in label else []
+    key = end.join([f"-----BEGIN {label}-----", *head, *BODY, *([f"-----END {label}-----"] if closed else [])])
+    text = f"before\n{key}\nplain words after -----BEGIN CERTIFICATE-----"
+    (span,) = [(a, b) for a, k, b in secrets.Scanner(secrets.RULES).spans([text])[0] if secrets.RULES[k].kind == "private_key"]
+    assert text[span[0] : span[1]] == key
+    if label == "PGP PRIVATE KEY BLOCK" and end == "\n":
+        assert secrets.redact(documents([(1, text)])).first()["text"] == "before\n[private_key]\nplain words after -----BEGIN CERTIFICATE-----"
+
+
+@pytest.mark.parametrize("token", ["ghp_" + "a1B2" * 15, "github_pat_" + "a1B2_c3D4E5" * 8, "glpat-" + "a1B2" * 7, "glpat-" + "aB" * 14 + ".01.0a1b2c3d4", "AIza" + "x_Y-" * 12,
+                                   "https://" + "user" * 20 + ":" + "pw12" * 30 + "@"])
+def test_long_tokens_are_whole(token):
+    text = f"see {token} there"
+    assert (4, 4 + len(token)) in [(a, b) for a, _, b in secrets.Scanner(secrets.RULES).spans([text])[0]]
+
+
+def test_many_open_keys_take_linear_time():
+    text = "-----BEGIN RSA PRIVATE KEY-----\nnot a key " * 50_000
+    assert len(secrets.Scanner(secrets.RULES).spans([text])[0]) == 50_000
+
+
 # licences
 
 def plain_licenses(text):
