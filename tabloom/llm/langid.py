@@ -4,9 +4,10 @@ For each language a suffix automaton is built over labelled text. A text is pars
 match that starts where the last one ended. The fewer phrases a letter takes, weighted by the bits that name a place in the
 training text, the closer the language; the language with the lowest cost wins.
 
-Fitting reads a bounded sample of labelled rows: up to `SAMPLE_ROWS` documents a language, chosen by a hash of their id,
-up to `ROW_CHARS` characters of each and `SAMPLE_CHARS` letters in all, for the `LANGUAGES` most frequent labels. The automata are a table of at most 2 x SAMPLE_CHARS states a language, so their
-size does not depend on the corpus. Scoring reads every whole text. Texts are lower-cased; what isn't a letter ends a word,
+Fitting reads a bounded sample of the labelled rows of every language: up to `SAMPLE_ROWS` documents, chosen by a hash of their id,
+and up to `SAMPLE_CHARS` letters of them, in windows of `WINDOW` letters that are spread over each whole text. The automata have at
+most 3 x SAMPLE_CHARS arcs a language and are stored by arcs, so their size depends neither on the corpus nor on the alphabets.
+Languages are sent and scored `GROUP` at a time; a task holds the automata of one group. Scoring reads every whole text. Texts are lower-cased; what isn't a letter ends a word,
 and runs of such characters count as one. Parsing goes through stretches of `STRETCH` characters in lockstep, so a phrase
 ends where a stretch does.
 
@@ -17,8 +18,10 @@ is `und`. Rows with a null label teach nothing; every row gives one row, repeate
 
 from __future__ import annotations
 
+import random
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from copy import copy
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +31,7 @@ from pyspark.sql import functions as F
 
 from tabloom.llm.frames import small, strings
 
-SAMPLE_ROWS, SAMPLE_CHARS, ROW_CHARS, LANGUAGES, STRETCH = 200, 20_000, 2_000, 64, 128
+SAMPLE_ROWS, SAMPLE_CHARS, WINDOW, GROUP, STRETCH = 200, 20_000, 40, 64, 128
 UNKNOWN = "und"
 
 #: Anything but letters and the few numerals that aren't digits.
@@ -73,35 +76,70 @@ class SuffixAutomaton:
             last = own
 
 
+class Arcs:
+    """The arcs of an automaton in one array: that of a state and a symbol is at base[state] + symbol, if `own` there is the state."""
+
+    def __init__(self, arcs: list[dict[int, int]], width: int):
+        size = sum(map(len, arcs)) * 3 // 2 + 2 * width
+        base, own, target = [0] * len(arcs), [-1] * size, [0] * size
+        place, free = random.Random(0), 0
+        for state in sorted(range(len(arcs)), key=lambda i: -len(arcs[i])):
+            symbols = list(arcs[state])
+            if len(symbols) == 1:  # the last ones fill what is left
+                while own[free] >= 0 or free < symbols[0]:
+                    free += 1
+                base[state] = free - symbols[0]
+            elif symbols:
+                at, tries = place.randrange(size - width), 0
+                while any(own[at + c] >= 0 for c in symbols):
+                    tries += 1
+                    if tries % 500 == 0:
+                        own, target, size = own + [-1] * size, target + [0] * size, 2 * size
+                    at = place.randrange(size - width)
+                base[state] = at
+            for c, to in arcs[state].items():
+                own[base[state] + c], target[base[state] + c] = state, to
+        self.base, self.own, self.target = (np.array(x, np.int32) for x in (base, own, target))
+
+    def step(self, state: np.ndarray, symbol: np.ndarray) -> np.ndarray:
+        """The next states, 0 where there is no arc."""
+        at = self.base[state] + symbol
+        return self.target[at] * (self.own[at] == state)
+
+
 class Parser:
-    """The automata of all languages as one table of steps; 0 is the start, and as a target it means no step."""
+    """The automata of languages; state 0 is the start, and as a target it means no step."""
 
     def __init__(self, samples: dict[str, str]):
         self.languages = sorted(samples)
-        known = sorted(set("".join(samples.values())) - {" "})
+        known = sorted(set().union(*samples.values()) - {" "})
         self.width = len(known) + 2
-        self.code = np.zeros(0x110000, np.uint16)
+        self.code = np.zeros(0x110000, np.int32)
         self.code[32] = _GAP
         for i, c in enumerate(known):
             self.code[ord(c)] = i + 2
-        self.steps, self.bits = [], []
+        self.arcs, self.bits = [], []
         for language in self.languages:
             codes = self._codes(samples[language]).tolist()
-            automaton = SuffixAutomaton(codes)
-            table = np.zeros((len(automaton.next), self.width), np.int32)
-            for state, arcs in enumerate(automaton.next):
-                for c, target in arcs.items():
-                    table[state, c] = target * self.width
-            self.steps.append(table.ravel())
+            self.arcs.append(Arcs(SuffixAutomaton(codes).next, self.width))
             self.bits.append(np.log2(max(len(codes), 2)))
 
+    def groups(self, size: int = GROUP) -> list[Parser]:
+        """Parsers of at most `size` of the languages each."""
+        out = []
+        for at in range(0, max(len(self.languages), 1), size):
+            part = copy(self)
+            part.languages, part.arcs, part.bits = (x[at : at + size] for x in (self.languages, self.arcs, self.bits))
+            out.append(part)
+        return out
+
     def _codes(self, text: str) -> np.ndarray:
         return self.code[np.frombuffer(text.encode("utf-32-le"), np.uint32)]
 
     def costs(self, texts: list[str]) -> np.ndarray:
         """Bits a character of each text (rows) in each language (columns); nan without letters."""
         sizes = np.array([len(t) for t in texts], np.int64)
-        flat = self._codes("".join(texts)).astype(np.int32)
+        flat = self._codes("".join(texts))
         pieces = -(-sizes // STRETCH)
         owner = np.repeat(np.arange(len(texts)), pieces)
         first = np.cumsum(sizes) - sizes
@@ -113,88 +151,119 @@ class Parser:
         alive = np.searchsorted(-length, -np.arange(STRETCH), "left")  # stretches longer than each position
         out = np.full((len(texts), len(self.languages)), np.nan)
         symbols = [flat[begin[:n] + t] for t, n in enumerate(alive.tolist()) if n]
-        for k, (steps, bits) in enumerate(zip(self.steps, self.bits)):
+        for k, (arcs, bits) in enumerate(zip(self.arcs, self.bits)):
             state, phrases = np.zeros(owner.size, np.int32), np.zeros(owner.size, np.int32)
             for symbol in symbols:
                 n = symbol.size
-                to = steps[state[:n] + symbol]
+                to = arcs.step(state[:n], symbol)
                 miss = to == 0
                 phrases[:n] += miss | (state[:n] == 0)
-                to[miss] = steps[symbol[miss]]
+                again = symbol[miss]
+                to[miss] = arcs.step(np.zeros_like(again), again)
                 state[:n] = to
             total = np.bincount(owner, phrases, len(texts))
             with np.errstate(invalid="ignore", divide="ignore"):
                 out[:, k] = np.where(sizes > 0, total * bits / sizes, np.nan)
         return out
 
-    def predict(self, texts: list[str]) -> tuple[list[str], np.ndarray]:
-        """Languages and scores of whole texts."""
-        bare = [letters(t) for t in texts]
-        if not self.languages:
-            return [UNKNOWN] * len(texts), np.zeros(len(texts))
-        costs = self.costs(bare)
-        empty = np.isnan(costs[:, 0])
-        costs[empty] = 1.0
-        best = costs.argmin(axis=1)
-        low = costs[np.arange(len(texts)), best]
-        if len(self.languages) > 1:
-            lead = 1 - low / np.partition(costs, 1, axis=1)[:, 1]
-        else:
-            lead = np.ones(len(texts))
-        return [UNKNOWN if e else self.languages[b] for e, b in zip(empty, best)], np.where(empty, 0.0, np.clip(lead, 0, 1))
+
+def decide(languages: list[str], costs: np.ndarray) -> tuple[list[str], np.ndarray]:
+    """The language and score of each row of costs."""
+    if not languages:
+        return [UNKNOWN] * len(costs), np.zeros(len(costs))
+    empty = np.isnan(costs[:, 0])
+    costs[empty] = 1.0
+    best = costs.argmin(axis=1)
+    low = costs[np.arange(len(costs)), best]
+    if len(languages) > 1:
+        lead = 1 - low / np.partition(costs, 1, axis=1)[:, 1]
+    else:
+        lead = np.ones(len(costs))
+    return [UNKNOWN if e else languages[b] for e, b in zip(empty, best)], np.where(empty, 0.0, np.clip(lead, 0, 1))
 
 
 def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", rows: int = SAMPLE_ROWS,
         chars: int = SAMPLE_CHARS) -> Parser:
-    """Automata of the bounded sample, which is all that the driver gets to hold.
+    """Automata of the bounded sample of every label, which is all that the driver gets to hold.
 
     The letters are taken evenly: as many from each document, and what short documents leave goes to the others.
     """
+
+    def bare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in small(batches):
+            texts = pa.array([spread(letters(t), chars) for t in strings(batch)], pa.string())
+            yield pa.RecordBatch.from_arrays([batch.column(0), texts], ["lang", "text"])
+
+    def sampled(own: pa.Table) -> pa.Table:
+        texts = sorted(own.column("text").to_pylist())[: 2 * rows]
+        return pa.table({"lang": own.column("lang")[:1], "text": pa.array([sample(texts, chars)], pa.string())})
+
     named = labelled.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
         F.col(lang_col).cast("string").alias("lang"), F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text"))
-    frequent = named.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).select("lang")
     nth = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id"))
-    ids = named.select("lang", "id").withColumn("nth", nth).where(F.col("nth") <= rows).join(F.broadcast(frequent), "lang", "left_semi")
+    ids = named.select("lang", "id").withColumn("nth", nth).where(F.col("nth") <= rows)
     # rows x languages at most
     taken = named.join(F.broadcast(ids.select("lang", "id")), ["lang", "id"], "left_semi")
-    held: dict[str, list[str]] = {}
-    for r in taken.select("lang", F.substring("text", 1, ROW_CHARS).alias("text")).collect():
-        held.setdefault(r["lang"], []).append(letters(r["text"]))
-    return Parser({lang: sample(sorted(own)[: 2 * rows], chars) for lang, own in held.items()})
+    short = taken.select("lang", "text").mapInArrow(bare, "lang string, text string")
+    held = short.groupBy("lang").applyInArrow(sampled, "lang string, text string").collect()
+    return Parser({r["lang"]: r["text"] for r in held})
+
+
+def spread(text: str, chars: int) -> str:
+    """At most `chars` characters, in windows from the first to the last part of the text."""
+    if len(text) <= chars:
+        return text
+    n = max((chars + 1) // (WINDOW + 1), 1)
+    if n == 1:
+        return text[(len(text) - chars) // 2 :][:chars]
+    return " ".join(text[i : i + WINDOW] for i in ((len(text) - WINDOW) * k // (n - 1) for k in range(n)))
 
 
 def sample(texts: list[str], chars: int) -> str:
     """At most `chars` characters, evenly from all texts."""
     out, left = [], chars
     for i, text in enumerate(sorted(texts, key=len)):
-        part = text[: left // (len(texts) - i)]
+        part = spread(text, max(left, 0) // (len(texts) - i))
         out.append(part)
         left -= len(part) + 1
     return " ".join(out)
 
 
-def _predicted(parser: Parser, texts: list[str]) -> tuple[list[str], np.ndarray]:
-    """Predictions for texts of any number, a few million characters at a time."""
-    langs, scores, at = [], [], 0
-    while at < len(texts):
-        end, size = at, 0
-        while end < len(texts) and (end == at or size + len(texts[end]) <= 2_000_000):
-            size += len(texts[end])
-            end += 1
-        own, lead = parser.predict(texts[at:end])
-        langs += own
-        scores.append(lead)
-        at = end
-    return langs, np.concatenate(scores) if scores else np.zeros(0)
+def _sent(df: DataFrame, parser: Parser) -> Callable[[list[str]], tuple[list[str], np.ndarray]]:
+    """What predicts the languages and scores of texts of any number in a task, a few million characters at a time."""
+    groups = [df.sparkSession.sparkContext.broadcast(g) for g in parser.groups()]  # at most GROUP x 3 x SAMPLE_CHARS arcs each
+    languages = parser.languages
+
+    def costs(group, texts: list[str]) -> np.ndarray:
+        out = group.value.costs(texts)
+        if len(groups) > 1:
+            vars(group).pop("_value", None)  # read again from the executor's file for the next texts
+        return out
+
+    def predicted(texts: list[str]) -> tuple[list[str], np.ndarray]:
+        langs, scores, at = [], [], 0
+        while at < len(texts):
+            end, size = at, 0
+            while end < len(texts) and (end == at or size + len(texts[end]) <= 2_000_000):
+                size += len(texts[end])
+                end += 1
+            bare = [letters(t) for t in texts[at:end]]
+            own, lead = decide(languages, np.hstack([costs(g, bare) for g in groups]))
+            langs += own
+            scores.append(lead)
+            at = end
+        return langs, np.concatenate(scores) if scores else np.zeros(0)
+
+    return predicted
 
 
 def identify(df: DataFrame, parser: Parser, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id_col, lang_pred, score for every whole text."""
-    sent = df.sparkSession.sparkContext.broadcast(parser)  # at most LANGUAGES tables of 2 x SAMPLE_CHARS states
+    predicted = _sent(df, parser)
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small(rows):
-            langs, scores = _predicted(sent.value, strings(batch))
+            langs, scores = predicted(strings(batch))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(langs, pa.string()), pa.array(scores)], ["id", "lang_pred", "score"])
 
     picked = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
@@ -204,12 +273,12 @@ def identify(df: DataFrame, parser: Parser, id_col: str = "doc_id", text_col: st
 
 def in_known_language(df: DataFrame, parser: Parser, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """The rows with a language, all columns as they are but for a null `lang_col`, which gets the predicted one."""
-    sent = df.sparkSession.sparkContext.broadcast(parser)
+    predicted = _sent(df, parser)
     where, named = df.columns.index(text_col), df.columns.index(lang_col)
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small(rows):
-            langs = pa.array(_predicted(sent.value, [t or "" for t in batch.column(where).to_pylist()])[0], pa.string())
+            langs = pa.array(predicted([t or "" for t in batch.column(where).to_pylist()])[0], pa.string())
             columns = list(batch.columns)
             columns[named] = pc.coalesce(columns[named], langs.cast(columns[named].type))
             yield pa.RecordBatch.from_arrays(columns, schema=batch.schema).filter(pc.not_equal(langs, UNKNOWN))

@@ -273,6 +273,20 @@ def test_language_of_awkward_rows(spark, documents, awkward):
     assert langid.identify(documents([]), parser).count() == 0
 
 
+def test_every_label_is_learnt_from_whole_texts(spark, documents):
+    rows = []
+    for k in range(70):
+        rng = random.Random(k)
+        words = ["".join(chr(0x4E00 + 40 * k + rng.randrange(40)) for _ in range(3)) for _ in range(30)]
+        rows += [(100 * k + i, " ".join(rng.choice(words) for _ in range(30)), f"lang{k:02d}", "a") for i in range(3 if k == 69 else 4)]
+    rows.append((10_000, "same words " * 400 + "wholly other ending " * 400, "tail", "a"))
+    parser = langid.fit(documents(rows))
+    assert len(parser.languages) == 71 and sum(a.own.nbytes + a.target.nbytes + a.base.nbytes for a in parser.arcs) < 40_000_000
+    asked = documents([*rows, (10_001, "wholly other ending", None, "a")])
+    got = {r["doc_id"]: r["lang_pred"] for r in langid.identify(asked, parser).collect()}
+    assert all(got[i] == lang for i, _, lang, _ in rows) and got[10_001] == "tail"
+
+
 # quality
 
 def quality_rows(n):
