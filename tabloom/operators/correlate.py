@@ -1,8 +1,8 @@
-"""Pairwise-complete correlations for few or many columns."""
+"""Pairwise-complete correlations, by one method for any number of columns."""
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -10,26 +10,49 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.kinds import clean_double
-from ..functions.stats import pair_corr
 
-MAX_PAIR_EXPRESSIONS = 300  # beyond this, generated code gets too large to compile well
+MAX_PAIR_EXPRESSIONS = 300
 
 
 def correlations(
     df: DataFrame, pairs: Sequence[tuple[str, str]], wide_above: int = MAX_PAIR_EXPRESSIONS
 ) -> dict[tuple[str, str], float | None]:
-    """Pearson r of each pair over rows where both sides are present, None if undefined."""
+    """Pearson r of each pair over rows where both sides are present, None if undefined.
+
+    Two passes, k*k numbers each for k columns: counts, sums and ranges of every pair's own rows, then
+    products of what is centred on these means and scaled by these ranges. Undefined is a side without
+    spread. ``wide_above`` no longer changes anything.
+    """
     if not pairs:
         return {}
-    if len(pairs) > wide_above:
-        return _moment_correlations(df, pairs)
     names = list(dict.fromkeys(c for p in pairs for c in p))
-    at = {c: F.col(f"x{i}") for i, c in enumerate(names)}
+    at = {c: i for i, c in enumerate(names)}
+    k = len(names)
     base = df.select(*[clean_double(df, c).alias(f"x{i}") for i, c in enumerate(names)])
-    row = base.agg(
-        *[pair_corr(at[a], at[b]).alias(f"r{i}") for i, (a, b) in enumerate(pairs)]
-    ).first()
-    return {p: _unit(row[f"r{i}"]) for i, p in enumerate(pairs)}
+
+    def extent(x: np.ndarray, both: np.ndarray, i: int) -> list[np.ndarray]:
+        own = x[:, i : i + 1]
+        sums = np.where(both, own, 0.0).sum(0)
+        return [both.sum(0), sums, np.where(both, own, np.inf).min(0), np.where(both, own, -np.inf).max(0)]
+
+    n, total, low, high = _cells(base, k, extent, ("sum", "sum", "min", "max"))
+    with np.errstate(all="ignore"):
+        mean, width = total / n, high - low
+        scale = np.where(width > 0, width, 1.0)
+
+    def products(x: np.ndarray, both: np.ndarray, i: int) -> list[np.ndarray]:
+        own = np.where(both, (x[:, i : i + 1] - mean[i]) / scale[i], 0.0)
+        other = np.where(both, (x - mean[:, i]) / scale[:, i], 0.0)
+        return [(own * own).sum(0), (own * other).sum(0)]
+
+    square, cross = _cells(base, k, products, ("sum", "sum"))
+    out = {}
+    for a, b in pairs:
+        i, j = at[a], at[b]
+        spread = n[i, j] > 0 and width[i, j] > 0 and width[j, i] > 0
+        norm = np.sqrt(square[i, j]) * np.sqrt(square[j, i]) if spread else 0.0
+        out[(a, b)] = _unit(float(cross[i, j] / norm)) if norm > 0 else None
+    return out
 
 
 def _unit(r: float | None) -> float | None:
@@ -39,50 +62,26 @@ def _unit(r: float | None) -> float | None:
     return max(-1.0, min(1.0, r))
 
 
-def _moment_correlations(df: DataFrame, pairs: Iterable[tuple[str, str]]) -> dict:
-    """Masked cross-product sums per batch, added up by Spark: k*k numbers, any row count."""
-    pairs = list(pairs)
-    names = list(dict.fromkeys(c for p in pairs for c in p))
-    k = len(names)
-    base = df.select(*[clean_double(df, c).alias(f"x{i}") for i, c in enumerate(names)])
-    centre_row = base.agg(*[F.avg(f"x{i}").alias(f"m{i}") for i in range(k)]).first()
-    centre = np.array([centre_row[i] or 0.0 for i in range(k)])
+def _cells(base: DataFrame, k: int, of_column: Callable, merge: Sequence[str]) -> np.ndarray:
+    """k x k arrays from ``of_column(rows, rows where both are present, column)`` per batch, merged by Spark."""
+    names = [f"v{i}" for i in range(len(merge))]
+    join = {"sum": np.add, "min": np.minimum, "max": np.maximum}
 
-    def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros((4, k, k))
+    def parts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = None
         for batch in batches:
-            x = batch.to_numpy(dtype=float) - centre
+            if not len(batch):
+                continue
+            x = batch.to_numpy(dtype=float)
             present = ~np.isnan(x)
-            x = np.where(present, x, 0.0)
-            p = present.astype(float)
-            total += np.stack([p.T @ p, x.T @ p, (x * x).T @ p, x.T @ x])
-        yield pd.DataFrame(
-            {
-                "cell": np.arange(k * k),
-                **{c: total[i].ravel() for i, c in enumerate(("n", "sx", "sxx", "sxy"))},
-            }
-        )
-
-    parts = base.mapInPandas(sums, "cell int, n double, sx double, sxx double, sxy double")
-    rows = parts.groupBy("cell").agg(*[F.sum(c).alias(c) for c in ("n", "sx", "sxx", "sxy")]).collect()
-    moments = np.zeros((4, k * k))
-    for r in rows:
-        moments[:, r["cell"]] = r["n"], r["sx"], r["sxx"], r["sxy"]
-    n, sx, sxx, sxy = moments.reshape(4, k, k)
-    at = {c: i for i, c in enumerate(names)}
-    out = {}
-    for a, b in pairs:
-        i, j = at[a], at[b]
-        m = n[i, j]
-        if m < 1:
-            out[(a, b)] = None
-            continue
-        vx = sxx[i, j] - sx[i, j] ** 2 / m
-        vy = sxx[j, i] - sx[j, i] ** 2 / m
-        cov = sxy[i, j] - sx[i, j] * sx[j, i] / m
-        floor = 1e-14
-        if vx <= floor * max(sxx[i, j], 1e-300) or vy <= floor * max(sxx[j, i], 1e-300):
-            out[(a, b)] = None
-        else:
-            out[(a, b)] = _unit(cov / np.sqrt(vx * vy))
-    return {p: (float(r) if r is not None else None) for p, r in out.items()}
+            with np.errstate(all="ignore"):
+                found = np.stack([of_column(x, present & present[:, i : i + 1], i) for i in range(k)], axis=1)
+                held = found if held is None else np.stack([join[m](*v) for m, v in zip(merge, zip(held, found))])
+        if held is not None:
+            yield pd.DataFrame({"cell": np.arange(k * k), **{c: v.ravel() for c, v in zip(names, held)}})
+
+    rows = base.mapInPandas(parts, ", ".join(["cell int", *(f"{c} double" for c in names)]))
+    out = np.zeros((len(merge), k * k))
+    for r in rows.groupBy("cell").agg(*[getattr(F, m)(c).alias(c) for m, c in zip(merge, names)]).collect():
+        out[:, r["cell"]] = [r[c] for c in names]
+    return out.reshape(-1, k, k)

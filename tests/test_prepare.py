@@ -92,6 +92,21 @@ def test_correlation_edges(spark):
     assert wide[("a", "b")] == pytest.approx(1.0) and wide[("a", "k")] is None
 
 
+def test_correlation_is_the_same_for_any_width(spark):
+    rng = np.random.default_rng(3)
+    a = rng.normal(size=300)
+    far = rng.normal(size=20)
+    a[:20] = 1e8 + far
+    c = [float(x + 0.1 * e) for x, e in zip(far, rng.normal(size=20))] + [None] * 280
+    rows = [(float(x), y, *(float(x) * i for i in range(26))) for x, y in zip(a, c)]
+    names = ["a", "c", *(f"x{i}" for i in range(26))]
+    wide = spark.createDataFrame(rows, ", ".join(f"{n} double" for n in names)).repartition(3)
+    narrow = correlations(wide, [("a", "c")])[("a", "c")]
+    many = correlations(wide, [(p, q) for i, p in enumerate(names) for q in names[i + 1 :]])
+    assert narrow == pytest.approx(np.corrcoef(a[:20] - 1e8, c[:20])[0, 1], abs=1e-6)
+    assert many[("a", "c")] == pytest.approx(narrow, abs=1e-9) and many[("a", "x0")] is None
+
+
 def test_simple_imputation(spark, dirty):
     model = Imputer("median", "most_frequent").fit(dirty, exclude=["id"])
     out = {r["id"]: r for r in model.transform(dirty).collect()}
