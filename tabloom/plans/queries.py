@@ -22,7 +22,7 @@ from ..operators.encode import Encoder, LabelEncoder
 from ..operators.ensemble import hard_vote, soft_vote
 from ..operators.features import GroupTiers, PassengerFeatures
 from ..operators.impute import GroupMedianImputer, Imputer
-from ..operators.models import assemble, train
+from ..operators.models import FULL_GRIDS, assemble, train
 from ..operators.outliers import Outliers
 from ..operators.quantiles import exact_quantiles, grouped_quantiles
 from ..operators.reduce import Reducer
@@ -588,7 +588,7 @@ def leaderboard(spark, sf_dir):
 # ---- models ---------------------------------------------------------------------
 
 
-def training_frame(spark, sf_dir, folds: int = 3) -> DataFrame:
+def training_frame(spark, sf_dir, folds: int = 5) -> DataFrame:
     """Standardised document shape with one-hot language, label and fold."""
     df = add_folds(labelled_documents(spark, sf_dir).drop("toxic"), "quality", "doc_id", folds)
     meta = ["doc_id", "quality", "fold"]
@@ -597,7 +597,7 @@ def training_frame(spark, sf_dir, folds: int = 3) -> DataFrame:
     return assemble(data, [c for c in data.columns if c not in ("doc_id", "label", "fold")], ["doc_id", "label", "fold"])
 
 
-def _trained(name: str, grid="short"):
+def _trained(name: str, grid=None):
     def run(spark, sf_dir):
         data = training_frame(spark, sf_dir)
         return train(name, data, grid=grid).score(data).drop("features")
@@ -611,7 +611,7 @@ for _name in ("logreg", "decision_tree", "random_forest", "svm"):
 _boosted = _trained("xgboost")
 _boosted.__name__ = "train_boosted_trees"
 query(_boosted)
-_kernel = _trained("svm", [{"kernel": "rbf", "C": 1, "gamma": "scale"}])
+_kernel = _trained("svm", [p for p in FULL_GRIDS["svm"] if p["kernel"] == "rbf"])
 _kernel.__name__ = "train_svm_rbf"
 query(_kernel)
 
@@ -619,13 +619,13 @@ query(_kernel)
 @query
 def oof_report(spark, sf_dir):
     data = training_frame(spark, sf_dir)
-    return train("decision_tree", data, grid="short").oof_report(data, reuse=True)
+    return train("decision_tree", data).oof_report(data, reuse=True)
 
 
 @query
 def tuned_threshold(spark, sf_dir):
     data = training_frame(spark, sf_dir)
-    return train("logreg", data, grid="short").tune_threshold(data, reuse=True)[1]
+    return train("logreg", data).tune_threshold(data, reuse=True)[1]
 
 
 @lru_cache(maxsize=1)
@@ -637,7 +637,7 @@ def document_spec() -> dict:
         "multicollinearity": {"threshold": 0.85, "apply_to": ["logreg"]},
         "pca": {"n_components": 0.95, "apply_to": ["logreg"]},
         "encoder": {"num_strategy": "standard", "cat_strategy": "ohe"},
-        "models": {"active": ["logreg", "decision_tree"], "cv": 3, "scoring": "f1_weighted", "grid": "short"},
+        "models": {"active": ["logreg", "decision_tree", "random_forest", "xgboost", "svm"], "cv": 5, "scoring": "f1_weighted"},
         "ensemble": {"enabled": True, "voting": "soft", "weights": "auto"},
     }
 

@@ -1,5 +1,7 @@
 """Splits, folds, scores, voting, models and the whole workflow."""
 
+import inspect
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -8,6 +10,7 @@ from tabloom.operators import evaluate as ev
 from tabloom.operators.ensemble import hard_vote, member_weights, soft_vote
 from tabloom.operators.models import FULL_GRIDS, TrainedModel, assemble, train
 from tabloom.operators.split import Splitter, add_folds, fold_sizes, share_out
+from tabloom.plans import queries
 from tabloom.plans.workflow import check_spec, fit_workflow, variants_of
 from tabloom.sources import store
 
@@ -223,3 +226,26 @@ def test_registering_a_family(vectors, monkeypatch):
     monkeypatch.setitem(models.REGISTRY, "bayes", Bayes)
     model = train("bayes", vectors)
     assert model.platt is None and model.evaluate(vectors)["accuracy"] > 0.65
+
+
+def test_registered_queries_search_full_grids(monkeypatch):
+    asked = []
+
+    class Trained:
+        def __getattr__(self, _):
+            return lambda *a, **k: (0, self) if _ == "tune_threshold" else self
+
+    def noted(name, data, *rest, grid=None, **more):
+        asked.append((name, data, list(grid) if grid else None))
+        return Trained()
+
+    monkeypatch.setattr(queries, "train", noted)
+    monkeypatch.setattr(queries, "training_frame", lambda spark, sf_dir, folds=inspect.signature(queries.training_frame).parameters["folds"].default: folds)
+    for name in ("logreg", "decision_tree", "random_forest", "svm", "boosted_trees"):
+        queries.QUERIES[f"train_{name}"](None, "")
+    queries.QUERIES["oof_report"](None, ""), queries.QUERIES["tuned_threshold"](None, "")
+    assert {(folds, grid) for _, folds, grid in asked} == {(5, None)}
+    queries.QUERIES["train_svm_rbf"](None, "")
+    assert asked[-1][2] == [p for p in FULL_GRIDS["svm"] if p["kernel"] == "rbf"] and len(asked[-1][2]) == 6
+    models = queries.document_spec()["models"]
+    assert set(models["active"]) == set(FULL_GRIDS) and models["cv"] == 5 and "grid" not in models
