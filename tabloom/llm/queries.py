@@ -6,11 +6,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabloom.llm import fingerprints, langid, licenses, line_dedup, ngram_join, packing, pieces, quality, secrets, topk
+from tabloom.llm import chat, fingerprints, langid, licenses, line_dedup, ngram_join, packing, phrases, pieces, quality, secrets, topk, trie
 from tabloom.llm.frames import fold, table
 
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 WORD_MODEL = public_tokenizers.path("word_bpe_49k.json")
+BYTE_MODEL = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,9 +61,24 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(table(spark, sf_dir, "documents"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+def op13_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    told = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = "</s>[INST] ok [/INST]"
+    more = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], told.schema)
+    return chat.read_back(chat.format_chats(told.unionByName(more), BYTE_MODEL))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_license_scan, op2_ngram_jaccard_join, op3_sentencepiece, op4_order_minhash, op5_quality, op6_best_fit_packing, op7_language_id,
-    op8_line_dedup, op9_exact_top_k, op10_secret_scan)}
+    op8_line_dedup, op9_exact_top_k, op10_secret_scan, op11_prefix_trie, op12_collocations, op13_chat_format)}
 
 SQL = {
     "op2_ngram_jaccard_join": r"""
@@ -91,5 +107,46 @@ scored AS (SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v, c.v)::BI
            FROM scaled q JOIN scaled c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0),
 ranked AS (SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank, vec_id, score FROM scored)
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+""",
+    "op11_prefix_trie": r"""
+WITH crc_table AS (SELECT [list_reduce([n, 0, 0, 0, 0, 0, 0, 0, 0], lambda a, z: CASE WHEN a % 2 = 1 THEN xor(a // 2, 3988292384) ELSE a // 2 END)
+                           FOR n IN range(256)] AS t),
+turns AS (SELECT conv_id AS c, coalesce(text, '') AS text, sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS h, turn
+          FROM conversations WHERE conv_id IS NOT NULL),
+original AS (SELECT c, list(h ORDER BY turn NULLS FIRST, h) AS hs, list(length(text) ORDER BY turn NULLS FIRST, h) AS ns FROM turns GROUP BY c),
+coded AS (SELECT c, hs, ns, xor(list_reduce(list_prepend(4294967295, [ascii(x) FOR x IN string_split(c::VARCHAR, '')]),
+                                            lambda a, x: xor(a >> 8, t[(xor(a, x) & 255) + 1])), 4294967295) % 6 AS k FROM original, crc_table),
+rebuilt AS (SELECT o.c, coalesce(b.hs, [])[1:o.k] || o.hs[o.k + 1:] AS hs, coalesce(b.ns, [])[1:o.k] || o.ns[o.k + 1:] AS ns
+            FROM coded o LEFT JOIN original b ON b.c = o.c - o.c % 100),
+prefixes AS (SELECT c, d, array_to_string(hs[1:d], ',') AS node, CASE WHEN d = 0 THEN 0 ELSE ns[d] END AS chars, d = len(hs) AS last
+             FROM rebuilt, unnest(range(0, len(hs) + 1)) AS u(d)),
+nodes AS (SELECT node, any_value(d) AS d, min(c) AS c, count(*) AS n, any_value(chars) AS chars,
+                 sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (last), '')) AS ends FROM prefixes GROUP BY node),
+linked AS (SELECT *, CASE WHEN d > 0 THEN substr(node, 1, greatest(0, 65 * (d - 1) - 1)) END AS up FROM nodes),
+children AS (SELECT up, count(*) AS n FROM linked WHERE d > 0 GROUP BY up),
+counted AS (SELECT l.*, coalesce(k.n, 0) AS kids FROM linked l LEFT JOIN children k ON k.up = l.node),
+above AS (SELECT substr(node, 1, greatest(0, 65 * a - 1)) AS top, (kids = 0)::INTEGER AS leaf, (n - 1) * chars AS saved
+          FROM counted, unnest(range(0, d + 1)) AS u(a)),
+sums AS (SELECT top, sum(leaf)::BIGINT AS leaves, sum(saved)::BIGINT AS saved FROM above GROUP BY top)
+SELECT x.c AS conv_id, x.d AS depth, p.c AS parent_conv_id, x.n AS n_convs, x.kids AS n_children, s.leaves AS n_leaves, s.saved AS saved_tokens, x.ends AS ends_sha256
+FROM counted x JOIN sums s ON s.top = x.node LEFT JOIN nodes p ON p.node = x.up
+""",
+    "op12_collocations": r"""
+WITH pieces AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?
+-]')) AS p FROM documents),
+worded AS (SELECT lang, [x FOR x IN string_split_regex(p, '[ 	]+') IF x <> ''] AS w FROM pieces),
+grams AS (SELECT lang, k, w[i:i + k - 1] AS ws FROM worded, unnest(range(1, 4)) AS u(k), unnest(range(1, len(w) - k + 2)) AS v(i)),
+f AS (SELECT lang, array_to_string(ws, ' ') AS phrase, any_value(ws) AS ws, count(*) AS a FROM grams GROUP BY lang, array_to_string(ws, ' ')),
+totals AS (SELECT lang, sum(len(w))::BIGINT AS n FROM worded GROUP BY lang),
+candidates AS (SELECT * FROM f WHERE len(ws) > 1 AND a >= 10),
+inside AS (SELECT lang, array_to_string(ws[i:i + k - 1], ' ') AS phrase, max(a) AS most FROM candidates, unnest(range(2, len(ws))) AS u(k),
+           unnest(range(1, len(ws) - k + 2)) AS v(i) GROUP BY 1, 2),
+kept AS (SELECT c.* FROM candidates c LEFT JOIN inside i ON i.lang = c.lang AND i.phrase = c.phrase WHERE i.most IS NULL OR 100 * i.most < 50 * c.a),
+cuts AS (SELECT lang, phrase, a, k, array_to_string(ws[1:k], ' ') AS head, array_to_string(ws[k + 1:], ' ') AS tail FROM kept, unnest(range(1, len(ws))) AS u(k)),
+rated AS (SELECT c.lang, c.phrase, c.a, c.k, h.a AS l, t.a AS r, (1000000::HUGEINT * c.a * c.a // (h.a::HUGEINT * t.a))::BIGINT AS score
+          FROM cuts c JOIN f h ON h.lang = c.lang AND h.phrase = c.head JOIN f t ON t.lang = c.lang AND t.phrase = c.tail),
+lowest AS (SELECT * FROM rated QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM lowest)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
 """,
 }
