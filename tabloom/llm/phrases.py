@@ -20,6 +20,7 @@ from __future__ import annotations
 
 from collections import Counter, defaultdict
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -49,21 +50,28 @@ class BidirectionalIndex:
     """FM-indexes of a sequence of ids and of its reverse, for patterns of up to `depth` ids. Id 0 ends pieces; no pattern crosses it."""
 
     def __init__(self, ids: np.ndarray, depth: int):
-        ids = np.r_[0, ids, 0].astype(np.int64)
-        self.size, self.sigma = len(ids), int(ids.max()) + 1
-        self.first = np.r_[0, np.cumsum(np.bincount(ids, minlength=self.sigma))]
-        self.forward, self.backward = self._transform(ids, depth), self._transform(ids[::-1], depth)
+        self.ids, self.depth = np.r_[0, ids, 0].astype(np.int64), depth
+        self.size, self.sigma = len(self.ids), int(self.ids.max()) + 1
+        self.first = np.r_[0, np.cumsum(np.bincount(self.ids, minlength=self.sigma))]
 
-    def _transform(self, ids: np.ndarray, depth: int) -> np.ndarray:
+    @cached_property
+    def forward(self) -> np.ndarray:
+        return self._transform(self.ids)
+
+    @cached_property
+    def backward(self) -> np.ndarray:
+        return self._transform(self.ids[::-1])
+
+    def _transform(self, ids: np.ndarray) -> np.ndarray:
         """The id before each suffix, suffixes in the order of their first `depth` ids."""
         rank, top = ids, self.sigma
-        for k in range(1, depth):
+        for k in range(1, self.depth):
             after = np.r_[ids[k:], np.zeros(min(k, len(ids)), np.int64)]
             if top * self.sigma >= 2**62:
                 rank = np.unique(rank, return_inverse=True)[1]
                 top = int(rank.max()) + 1
             rank, top = rank * self.sigma + after, top * self.sigma
-        return np.roll(ids, 1)[np.argsort(rank, kind="stable")]
+        return np.roll(ids, 1)[np.argsort(rank)]
 
     def _before(self, transform: np.ndarray, symbol: np.ndarray, row: np.ndarray) -> np.ndarray:
         """How often each symbol stands in the transform before each row."""
@@ -77,30 +85,31 @@ class BidirectionalIndex:
         symbol, count = symbol[count > 0], count[count > 0]
         return symbol[:, None], self.first[symbol], self.first[symbol], count
 
-    def extended(self, patterns: tuple[np.ndarray, ...], right: bool, last: bool = False) -> tuple[np.ndarray, ...]:
-        """All patterns that are one id longer at one side. `last`: their rows aren't needed."""
+    def extended(self, patterns: tuple[np.ndarray, ...], right: bool, more: int = 2) -> tuple[np.ndarray, ...]:
+        """All patterns that are one id longer at one side.
+
+        `more` extensions are to come, the next at the other side: if it is 1, rows at this side aren't needed, if 0, none are.
+        """
         ids, low, back, count = patterns
         transform, own, other = (self.backward, back, low) if right else (self.forward, low, back)
         owner = np.repeat(np.arange(len(ids)), count)
-        row = np.arange(count.sum()) + np.repeat(own - (np.cumsum(count) - count), count)
+        row = np.arange(len(owner)) + np.repeat(own - (np.cumsum(count) - count), count)
         pair, many = np.unique(owner * self.sigma + transform[row], return_counts=True)
         owner, symbol = np.divmod(pair, self.sigma)
-        smaller = np.cumsum(many) - many
-        smaller -= np.repeat(smaller[np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])], np.bincount(owner, minlength=len(ids))[np.unique(owner)]) if len(owner) else 0
+        before = np.cumsum(many) - many
+        smaller = before - (np.cumsum(count) - count)[owner]  # of the rows of a pattern, those with a smaller id
         inside = symbol > 0
         owner, symbol, many, smaller = owner[inside], symbol[inside], many[inside], smaller[inside]
         longer = np.c_[ids[owner], symbol] if right else np.c_[symbol, ids[owner]]
-        if last:
-            return longer, None, None, many
-        own = self.first[symbol] + self._before(transform, symbol, own[owner])
-        other = other[owner] + smaller
+        other = other[owner] + smaller if more else None
+        own = self.first[symbol] + self._before(transform, symbol, own[owner]) if more > 1 else None
         return (longer, other, own, many) if right else (longer, own, other, many)
 
     def phrases(self, depth: int) -> tuple[np.ndarray, np.ndarray]:
         """All patterns of `depth` ids, a row each, and their counts."""
         found = self.words()
         for k in range(1, depth):
-            found = self.extended(found, right=k % 2 == 1, last=k == depth - 1)
+            found = self.extended(found, right=k % 2 == 1, more=depth - 1 - k)
         return found[0], found[3]
 
 
@@ -197,24 +206,39 @@ def bit_table(phrases: DataFrame) -> bytes:
     return bytes(table)
 
 
+class _Vocabulary(dict):
+    """Numbers of a language's words in a task, from 1 in the order of their coming; a piece's end is 0."""
+
+    def __init__(self, lang: str):
+        super().__init__({_BREAK: 0})
+        self.seed, self.words, self.hashes, self.often = _seed(lang), [_BREAK], [np.zeros(1, np.uint64)], np.zeros(1, bool)
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = number = len(self.words)
+        self.words.append(word)
+        return number
+
+    def numbers(self, words: list[bytes], table: BitTable) -> np.ndarray:
+        """The words' numbers, 0 for those that the table doesn't hold."""
+        numbers = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+        if len(self.words) > len(self.often):
+            self.hashes.append(np.array([xxhash.xxh64_intdigest(w, self.seed) for w in self.words[len(self.often):]], np.uint64))
+            self.often = np.r_[self.often, table.holds(phrase_places(self.hashes[-1], 1))]
+        return np.where(self.often[numbers], numbers, 0)
+
+
 class _Shards:
-    """A task's words by language, as ids; rare words and piece ends are 0."""
+    """A task's words by language, as numbers; rare words and piece ends are 0."""
 
     def __init__(self, words: BitTable, shorter: BitTable | None, depth: int):
         self.words, self.shorter, self.depth, self.size = words, shorter, depth, 0
-        self.id_of: dict[str, dict[bytes, int]] = {}
+        self.known: dict[str, _Vocabulary] = {}
         self.ids: dict[str, list[np.ndarray]] = defaultdict(list)
 
     def add(self, lang: str, texts: list[bytes]) -> None:
-        known = self.id_of.setdefault(lang, {_BREAK: 0})
-        words = words_of(texts)
-        fresh = [w for w in dict.fromkeys(words) if w not in known]
-        if fresh:
-            seed = _seed(lang)
-            place = phrase_places(np.array([xxhash.xxh64_intdigest(w, seed) for w in fresh], np.uint64), 1)
-            for w, often in zip(fresh, self.words.holds(place).tolist()):
-                known[w] = len(known) if often else 0
-        ids = np.fromiter(map(known.__getitem__, words), np.int64, len(words))
+        if lang not in self.known:
+            self.known[lang] = _Vocabulary(lang)
+        ids = self.known[lang].numbers(words_of(texts), self.words)
         ids = ids[np.r_[True, (ids[1:] > 0) | (ids[:-1] > 0)]] if len(ids) else ids
         self.ids[lang].append(np.r_[ids, 0])
         self.size += len(ids)
@@ -236,30 +260,28 @@ class _Shards:
         return out
 
     def counted(self) -> Iterator[pa.RecordBatch]:
-        """The phrases of all shards, which are let go."""
+        """The phrases of all shards, which are let go; so are the vocabularies, once they are large."""
         for lang, parts in self.ids.items():
-            known = self.id_of[lang]
-            vocabulary = [_BREAK] + [w for w, i in known.items() if i]
-            number = np.zeros(len(known) + 1, np.int64)
-            number[[known[w] for w in vocabulary]] = np.arange(len(vocabulary))
-            ids = number[np.concatenate(parts)]
+            known = self.known[lang]
+            ids = np.concatenate(parts)
             if self.shorter is not None:
-                seed = _seed(lang)
-                ids = self._runs(ids, np.array([xxhash.xxh64_intdigest(w, seed) for w in vocabulary], np.uint64))
+                known.hashes = [np.concatenate(known.hashes)]
+                ids = self._runs(ids, known.hashes[0])
             used = np.unique(ids[ids > 0])
             if not used.size:
                 continue
-            dense = np.zeros(len(vocabulary), np.int64)
+            dense = np.zeros(len(known.words), np.int64)
             dense[used] = np.arange(1, used.size + 1)
-            text = pa.array([vocabulary[i] for i in used], pa.binary())
+            text = pa.array([known.words[i] for i in used.tolist()], pa.binary())
             found, count = BidirectionalIndex(dense[ids], self.depth).phrases(self.depth)
             for at in range(0, len(found), 50_000):
                 part = found[at : at + 50_000]
                 columns = [text.take(pa.array(part[:, k] - 1)) for k in range(self.depth)]
                 yield _rows(lang, pc.binary_join_element_wise(*columns, b" ").cast(pa.string()), count[at : at + 50_000])
         self.ids.clear()
-        self.id_of.clear()
         self.size = 0
+        if sum(map(len, self.known.values())) > COUNTED_WORDS:
+            self.known.clear()
 
 
 def phrase_counts(docs: DataFrame, depth: int, words: bytes, shorter: bytes | None) -> DataFrame:
@@ -277,7 +299,8 @@ def phrase_counts(docs: DataFrame, depth: int, words: bytes, shorter: bytes | No
                 yield from shards.counted()
         yield from shards.counted()
 
-    return docs.mapInArrow(run, _COUNTS).groupBy("lang", "phrase").agg(F.sum("a").alias("a"))
+    # shards have counted already: a second count before the rows move would find few equal ones
+    return docs.mapInArrow(run, _COUNTS).repartition("lang", "phrase").groupBy("lang", "phrase").agg(F.sum("a").alias("a"))
 
 
 def counts(df: DataFrame, longest: int = 3, least: int = 10, text_col: str = "text", lang_col: str = "lang") -> list[DataFrame]:
