@@ -21,9 +21,10 @@ from __future__ import annotations
 import re
 import unicodedata
 import zlib
+from array import array
 from bisect import bisect_left, insort
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -33,19 +34,21 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tabloom.llm.frames import Memo, small, utf8
+from tabloom.llm.frames import small, utf8
 from tabloom.session import checkpointed
 
 CAPACITY, END_ID = 4096, 1
 #: Words whose ids a task keeps at a time, and the bytes up to which a word is kept.
-KNOWN_WORDS, KEPT_BYTES = 100_000, 64
+KNOWN_WORDS, KEPT_BYTES = 600_000, 64
 
 
 #: The tokenizer's split of lower-case ASCII text, and the characters for which its byte-level step writes bytes. Fixed values.
 _ASCII_PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
 _PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
 _BYTE_CHARS = {b: b if b in _PRINTED else 256 + b - sum(p < b for p in _PRINTED) for b in range(256)}
-_TAIL = ".,!?;:|*#%&$"
+_TAIL = b".,!?;:|*#%&$"
+#: Below it, letters are lower-cased alike by the tokenizer and by Python.
+_LATIN = "\u0250"
 
 
 @lru_cache(maxsize=2)
@@ -53,43 +56,66 @@ def _tokenizer(path: str) -> Tokenizer:
     return Tokenizer.from_file(path)
 
 
+class _Aged(dict):
+    """A dictionary of bounded size that computes what it lacks. When half of it is new, the older half goes, but for what was asked for since."""
+
+    def __init__(self, make: Callable, size: int):
+        super().__init__()
+        self.make, self.half, self.old = make, size // 2, {}
+
+    def __missing__(self, key):
+        value = self.old.get(key)
+        if value is None:
+            value = self.make(key)
+        if len(self) >= self.half:
+            self.old = dict(self)
+            self.clear()
+        self[key] = value
+        return value
+
+
 class _Known:
     """Ids of words between ASCII white space, which this kind of tokenizer drops and never crosses.
 
-    Plain lower-case words go to the tokenizer's merges directly, without its normaliser and splitter, which leave them
-    as they are; any other word takes the whole way.
+    Plain words go to the tokenizer's merges directly, lower-cased, without its normaliser and splitter, which leave them as
+    they are; any other word takes the whole way.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, size: int = KNOWN_WORDS):
         self.tokenizer = _tokenizer(path)
         self.model = self.tokenizer.model
-        self.words, self.parts = Memo(self._word), Memo(self._part)
+        self.words, self.parts = _Aged(self._word, size), _Aged(self._part, size)
 
-    def _part(self, part: str) -> bytes:
-        return np.array([t.id for t in self.model.tokenize(part.encode().decode("latin-1").translate(_BYTE_CHARS))], "<u4").tobytes()
+    def _part(self, part: bytes) -> bytes:
+        text = part.decode() if part.isascii() else part.decode("latin-1").translate(_BYTE_CHARS)
+        return array("I", [t.id for t in self.model.tokenize(text)]).tobytes()
 
     def _whole(self, word: str) -> bytes:
         return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
 
     def _word(self, word: bytes) -> bytes:
+        core = word.rstrip(_TAIL)
+        if core.isalpha():  # ASCII letters
+            begin = self.parts[core.lower()]
+            return begin + self.parts[word[len(core):]] if len(core) < len(word) else begin
         text = word.decode()
         if "<|" in text or len(text) > KEPT_BYTES:
             return self._whole(text)
-        text = text.lower() if text.isascii() else text
-        if text.isascii() and text.isprintable():
-            return b"".join(map(self.parts.__getitem__, _ASCII_PARTS.findall(text)))
-        core = text.rstrip(_TAIL)
-        if core.isalpha() and core.lower() == core and unicodedata.is_normalized("NFC", core):
-            return self.parts[core] + (self.parts[text[len(core):]] if len(core) < len(text) else b"")
+        if text.isascii():
+            if not text.isprintable():
+                return self._whole(text)
+            return b"".join([self.parts[p.encode()] for p in _ASCII_PARTS.findall(text.lower())])
+        core = core.decode()
+        lower = core.lower()
+        if core and lower.isalpha() and max(core) < _LATIN and core.isalpha() and unicodedata.is_normalized("NFC", core):
+            begin = self.parts[lower.encode()]
+            return begin + self.parts[text[len(core):].encode()] if len(core) < len(text) else begin
         return self._whole(text)
 
     def ids(self, words: list[bytes]) -> bytes:
         """Ids of a text's words, as little-endian 32-bit numbers."""
-        for known in (self.words, self.parts):
-            if len(known) > KNOWN_WORDS:
-                known.clear()
         if max(map(len, words), default=0) > KEPT_BYTES:
-            return b"".join(self.words[w] if len(w) <= KEPT_BYTES else self._word(w) for w in words)
+            return b"".join([self.words[w] if len(w) <= KEPT_BYTES else self._word(w) for w in words])
         return b"".join(map(self.words.__getitem__, words))
 
 
