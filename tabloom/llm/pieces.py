@@ -4,8 +4,10 @@ A text falls into words that no piece crosses. The distinct words of a batch tha
 arrays of symbols. In each round every word finds the smallest rank among its neighbouring pairs (a segmented minimum),
 merges all pairs of that rank at once, leftmost first, and the arrays are compacted; words without a pair leave. A
 piece of which a longer piece of smaller or equal rank is made must merge one occurrence at a time, since the longer
-piece comes before the next occurrence. Very long words are merged through a queue instead, to the same result: their
-rounds would be too many. Ids are those of the library for the same model, without begin or end ids or sampling.
+piece comes before the next occurrence. A long word is cut wherever its two neighbouring characters stand together in no
+piece, since no merge reaches over such a place; only what is still longer than `ROUND_SYMBOLS` is merged through a
+queue, to the same result: its rounds would be too many. Ids are those of the library for the same model, without begin
+or end ids or sampling.
 
 Null and empty texts have no ids and decode to the empty text. Every row gives one row, repeated rows as well, and only
 `id_col` and `text_col` are read, whatever other columns hold.
@@ -19,6 +21,7 @@ import heapq
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -28,9 +31,9 @@ from pyspark.sql import functions as F
 
 from tabloom.llm.frames import strings
 
-#: Words known at a time in a task, and the symbols up to which a word is merged in rounds.
-KNOWN_WORDS, ROUND_SYMBOLS = 300_000, 256
-#: Longer words aren't kept.
+#: Characters of the words that a task knows at a time, those beyond which a word is cut, and symbols that are merged in rounds at most.
+KNOWN_CHARS, CUT_CHARS, ROUND_SYMBOLS = 6_000_000, 256, 4_096
+#: Longer runs of spaces aren't kept.
 KEPT_CHARS = 64
 
 _SPACE = "▁"
@@ -45,6 +48,12 @@ def _each_byte(error: UnicodeDecodeError) -> tuple[str, int]:
 codecs.register_error("piece-bytes", _each_byte)
 
 
+def _gathered(flat: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """The stretches of `flat` from each start on, one after another."""
+    end = np.cumsum(length)
+    return flat[np.repeat(start - (end - length), length) + np.arange(end[-1] if len(end) else 0)]
+
+
 class PieceModel:
     """The pieces of a model, the pairs they are made of, and the merging and decoding of ids."""
 
@@ -77,6 +86,9 @@ class PieceModel:
             if len(piece) == 1:
                 self.char_id[ord(piece)] = i
 
+        inside = {(ord(a), ord(b)) for p in self.id_of for a, b in zip(p, p[1:])}
+        self.inside = np.array(sorted((a << 21) + b for a, b in inside), np.int64)
+
         text = [b"" if model.is_control(i) else " ⁇ ".encode() if model.is_unknown(i) else bytes([int(pieces[i][1:-1], 16)])
                 if model.is_byte(i) else pieces[i].replace(_SPACE, " ").encode() for i in range(self.size)]
         self.spaced = np.array([p.startswith(_SPACE) for p in pieces], bool)
@@ -85,6 +97,10 @@ class PieceModel:
         self.text_length = np.array([len(t) for t in text], np.int64)
         self.text_start = np.cumsum(self.text_length) - self.text_length
         self.runs: dict[int, list[int]] = {}
+        digits = [f"{i},".encode() for i in range(self.size)]
+        self.digit_bytes = np.frombuffer(b"".join(digits), np.uint8)
+        self.digit_length = np.array([len(d) for d in digits], np.int64)
+        self.digit_start = np.cumsum(self.digit_length) - self.digit_length
 
     def _symbols(self, word: str) -> np.ndarray:
         """Ids of the characters; those without a piece count from the size on."""
@@ -92,13 +108,21 @@ class PieceModel:
         found = self.char_id[code]
         return np.where(found < 0, self.size + code, found)
 
-    def _ids(self, symbols: np.ndarray) -> list[int]:
-        if symbols.size and symbols.max() >= self.size:
-            out: list[int] = []
-            for s in symbols.tolist():
-                out += [s] if s < self.size else [self.byte_id[b] for b in chr(s - self.size).encode()]
-            return out
-        return symbols.tolist()
+    def _ids(self, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of symbols, and how many each has: the bytes of those without a piece."""
+        many = np.ones(len(symbols), np.int64)
+        at = np.flatnonzero(symbols >= self.size)
+        if not at.size:
+            return symbols, many
+        code, which = np.unique(symbols[at] - self.size, return_inverse=True)
+        coded = [[self.byte_id[b] for b in chr(c).encode()] for c in code.tolist()]
+        many[at] = np.array([len(c) for c in coded])[which]
+        out, begin = np.repeat(symbols, many), np.cumsum(many) - many
+        table = np.array([c + [0] * (4 - len(c)) for c in coded])
+        for k in range(4):
+            held = many[at] > k
+            out[begin[at[held]] + k] = table[which[held], k]
+        return out, many
 
     def _queue(self, symbols: list[int]) -> np.ndarray:
         """One word through a queue of pairs: smallest rank first, then leftmost."""
@@ -128,29 +152,30 @@ class PieceModel:
             offer(i)
         return np.array([s for s in symbols if s >= 0], np.int64)
 
-    def _rounds(self, words: list[str]) -> list[np.ndarray]:
-        """All words at once, in rounds."""
-        sizes = np.array([len(w) for w in words], np.int64)
-        symbol, word = self._symbols("".join(words)), np.repeat(np.arange(len(words)), sizes)
+    def _pairs(self, symbol: np.ndarray, word: np.ndarray, at: np.ndarray, rank: np.ndarray, into: np.ndarray) -> None:
+        """Sets rank and result of the pairs that begin at the places `at`."""
+        rank[at] = _NO_PAIR
+        at = at[at + 1 < symbol.size]
+        at = at[(word[at] == word[at + 1]) & (symbol[at] < self.size) & (symbol[at + 1] < self.size)]
+        key = symbol[at] * self.size + symbol[at + 1]
+        place = np.minimum(np.searchsorted(self.pair, key), len(self.pair) - 1)
+        real = self.pair[place] == key
+        rank[at[real]], into[at[real]] = self.pair_rank[place[real]], self.pair_into[place[real]]
+
+    def _rounds(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All words at once, in rounds: (symbols, their words' numbers)."""
+        symbol, word = self._symbols("".join(words)), np.repeat(np.arange(len(words)), [len(w) for w in words])
+        rank, into = np.full(symbol.size, _NO_PAIR), np.zeros(symbol.size, np.int64)
+        if symbol.size:
+            self._pairs(symbol, word, np.arange(symbol.size), rank, into)
         done: list[tuple[np.ndarray, np.ndarray]] = []
         while symbol.size:
-            inner = (word[1:] == word[:-1]) & (symbol[1:] < self.size) & (symbol[:-1] < self.size)
-            at = np.flatnonzero(inner)
-            key = symbol[at] * self.size + symbol[at + 1]
-            place = np.minimum(np.searchsorted(self.pair, key), len(self.pair) - 1)
-            real = self.pair[place] == key
-            at, place = at[real], place[real]
-            rank = np.full(symbol.size, _NO_PAIR)
-            rank[at] = self.pair_rank[place]
-            into = np.zeros(symbol.size, np.int64)
-            into[at] = self.pair_into[place]
-
             first = np.flatnonzero(np.r_[True, word[1:] != word[:-1]])
             least = np.minimum.reduceat(rank, first)
             spread = np.repeat(least, np.diff(np.r_[first, symbol.size]))
             live = spread < _NO_PAIR
             if not live.all():
-                done.append((word[~live], symbol[~live]))
+                done.append((symbol[~live], word[~live]))
                 symbol, word, rank, into, spread = symbol[live], word[live], rank[live], into[live], spread[live]
                 if not symbol.size:
                     break
@@ -164,38 +189,66 @@ class PieceModel:
             symbol[hit] = into[hit]
             keep = np.ones(symbol.size, bool)
             keep[hit + 1] = False
-            symbol, word = symbol[keep], word[keep]
-        word, symbol = (np.concatenate(x) for x in zip(*done)) if done else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+            symbol, word, rank, into = symbol[keep], word[keep], rank[keep], into[keep]
+            fresh = hit - np.arange(hit.size)  # where the merged symbols lie now
+            self._pairs(symbol, word, np.union1d(fresh, np.maximum(fresh - 1, 0)), rank, into)
+        symbol, word = (np.concatenate(x) for x in zip(*done)) if done else (np.zeros(0, np.int64), np.zeros(0, np.int64))
         order = np.argsort(word, kind="stable")
-        return np.split(symbol[order], np.searchsorted(word[order], np.arange(1, len(words))))
+        return symbol[order], word[order]
 
     def _run(self, spaces: int) -> list[int]:
         if spaces not in self.runs:
-            ids = self._ids(self._queue(self._symbols(_SPACE * spaces).tolist()))
+            ids = self._ids(self._queue(self._symbols(_SPACE * spaces).tolist()))[0].tolist()
             if spaces > KEPT_CHARS:
                 return ids
             self.runs[spaces] = ids
         return self.runs[spaces]
 
-    def encode_words(self, words: list[str]) -> list[list[int]]:
-        """Ids of words: spaces, then other characters. Runs of spaces merge last, since their rank is the largest."""
+    def _cut(self, word: str) -> list[str]:
+        """A word's parts between characters that no piece holds side by side."""
+        code = np.frombuffer(word.encode("utf-32-le"), np.uint32).astype(np.int64)
+        pair = (code[:-1] << 21) + code[1:]
+        apart = self.inside[np.minimum(np.searchsorted(self.inside, pair), len(self.inside) - 1)] != pair
+        edges = [0, *(np.flatnonzero(apart) + 1).tolist(), len(word)]
+        return [word[b:e] for b, e in zip(edges, edges[1:])]
+
+    def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words (spaces, then other characters), one after another, and how many each word has.
+
+        Runs of spaces merge last, since their rank is the largest.
+        """
         bare = [w.lstrip(" ") for w in words]
         spaces = [len(w) - len(b) for w, b in zip(words, bare)]
         core = [_SPACE + b if s and b else b for s, b in zip(spaces, bare)]
-        short = [i for i, c in enumerate(core) if 0 < len(c) <= ROUND_SYMBOLS]
-        merged: dict[int, np.ndarray] = dict(zip(short, self._rounds([core[i] for i in short]))) if short else {}
-        out = []
-        for i, c in enumerate(core):
-            symbols = merged[i] if i in merged else self._queue(self._symbols(c).tolist()) if c else None
-            if symbols is None:
-                out.append(self._run(spaces[i]))
-            elif spaces[i] < 2:
-                out.append(self._ids(symbols))
-            elif symbols[0] == self.char_id[ord(_SPACE)]:
-                out.append(self._run(spaces[i]) + self._ids(symbols[1:]))
-            else:
-                out.append(self._run(spaces[i] - 1) + self._ids(symbols))
-        return out
+        parts, owner = core, np.arange(len(core))
+        if max(map(len, core), default=0) > CUT_CHARS:
+            cut = [self._cut(c) if len(c) > CUT_CHARS else [c] for c in core]
+            parts, owner = [p for c in cut for p in c], np.repeat(owner, [len(c) for c in cut])
+        symbol, part = self._rounds([p if len(p) <= ROUND_SYMBOLS else "" for p in parts])
+        queued = [(i, self._queue(self._symbols(p).tolist())) for i, p in enumerate(parts) if len(p) > ROUND_SYMBOLS]
+        if queued:
+            symbol = np.concatenate([symbol, *(x for _, x in queued)])
+            part = np.concatenate([part, *(np.full(len(x), i) for i, x in queued)])
+            order = np.argsort(part, kind="stable")
+            symbol, part = symbol[order], part[order]
+        ids, many = self._ids(symbol)
+        word = np.repeat(owner[part], many)
+
+        blank = [i for i, s in enumerate(spaces) if s > 1 or s and not bare[i]]
+        if blank:
+            begin, end = np.searchsorted(word, blank, "left"), np.searchsorted(word, blank, "right")
+            lone, runs = self.char_id[ord(_SPACE)], []
+            gone = np.zeros(len(ids), bool)
+            for i, b, e in zip(blank, begin.tolist(), end.tolist()):
+                alone = b < e and ids[b] == lone
+                if alone:
+                    gone[b] = True
+                runs.append(self._run(spaces[i] - (b < e and not alone)))
+            ids = np.concatenate([np.array([x for r in runs for x in r], np.int64), ids[~gone]])
+            word = np.concatenate([np.repeat(blank, [len(r) for r in runs]), word[~gone]])
+            order = np.argsort(word, kind="stable")
+            ids, word = ids[order], word[order]
+        return ids, np.bincount(word, minlength=len(words))
 
     @staticmethod
     def words(text: str) -> list[str]:
@@ -203,12 +256,7 @@ class PieceModel:
 
     def decode(self, ids: np.ndarray) -> str:
         """The text of ids, as the library's decode gives it."""
-        if not ids.size:
-            return ""
-        length = self.text_length[ids]
-        end = np.cumsum(length)
-        flat = self.text_bytes[np.repeat(self.text_start[ids] - (end - length), length) + np.arange(end[-1])]
-        text = flat.tobytes().decode("utf-8", "piece-bytes")
+        text = _gathered(self.text_bytes, self.text_start[ids], self.text_length[ids]).tobytes().decode("utf-8", "piece-bytes")
         lead = np.flatnonzero(~self.control[ids])
         return text[1:] if lead.size and self.spaced[ids[lead[0]]] else text
 
@@ -218,30 +266,50 @@ def piece_model(path: str) -> PieceModel:
     return PieceModel(path)
 
 
-class _Known:
-    """Ids of the words seen so far in a task, as bytes and as text; starts anew when full."""
+class _Known(dict):
+    """Numbers of the words that a task knows, and their ids in one flat array. When it is full, the words of the last texts stay."""
 
     def __init__(self, model: PieceModel):
-        self.model, self.ids, self.text = model, {}, {}
-
-    def learn(self, words: list[list[str]]) -> tuple[dict, dict]:
-        fresh = list({w for one in words for w in one if w not in self.ids})
-        if len(self.ids) + len(fresh) > KNOWN_WORDS:
-            self.ids, self.text = {}, {}
-            fresh = list({w for one in words for w in one})
-        ids, text = self.ids, self.text
-        for begin in range(0, len(fresh), 50_000):
-            part = fresh[begin : begin + 50_000]
-            for w, x in zip(part, self.model.encode_words(part)):
-                ids[w], text[w] = np.array(x, np.int32).tobytes(), ",".join(map(str, x))
-        if any(len(w) > KEPT_CHARS for w in fresh):
-            self.ids = {w: x for w, x in ids.items() if len(w) <= KEPT_CHARS}
-            self.text = {w: x for w, x in text.items() if len(w) <= KEPT_CHARS}
-        return ids, text
-
-
-def _groups(texts: list[str], chars: int = 4_000_000) -> Iterator[list[str]]:
-    """Texts in order, a few million characters at a time."""
+        super().__init__()
+        self.model, self.words, self.chars = model, [], 0
+        self.ids, self.start, self.count = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.last = np.zeros(0, np.int64)
+
+    def __missing__(self, word: str) -> int:
+        self[word] = number = len(self.words)
+        self.words.append(word)
+        return number
+
+    def _forget(self) -> None:
+        kept = [i for i in np.unique(self.last).tolist() if len(self.words[i]) <= KEPT_CHARS]
+        words, at = [self.words[i] for i in kept], np.array(kept, np.int64)
+        self.ids, self.count = _gathered(self.ids, self.start[at], self.count[at]), self.count[at]
+        self.start, self.words = np.cumsum(self.count) - self.count, words
+        self.chars = sum(map(len, words))
+        self.clear()
+        self.update(zip(words, range(len(words))))
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of texts, one after another, and how many each text has."""
+        if self.chars > KNOWN_CHARS:
+            self._forget()
+        words = [self.model.words(t) for t in texts]
+        size = np.array([len(w) for w in words], np.int64)
+        number = np.fromiter(map(self.__getitem__, chain.from_iterable(words)), np.int64, int(size.sum()))
+        for begin in range(len(self.count), len(self.words), 50_000):
+            fresh = self.words[begin : begin + 50_000]
+            ids, count = self.model.encode_words(fresh)
+            self.start = np.r_[self.start, len(self.ids) + np.cumsum(count) - count]
+            self.ids, self.count = np.r_[self.ids, ids.astype(np.int32)], np.r_[self.count, count]
+            self.chars += sum(map(len, fresh))
+        self.last = number
+        upto = np.r_[0, np.cumsum(self.count[number])]
+        edge = np.cumsum(size)
+        return _gathered(self.ids, self.start[number], self.count[number]), np.diff(np.r_[0, upto[edge]])
+
+
+def _groups(texts: list[str], chars: int = 1_500_000) -> Iterator[list[str]]:
+    """Texts in order, some million characters at a time."""
     part, total = [], 0
     for text in texts:
         if part and total + len(text) > chars:
@@ -261,9 +329,8 @@ def encode(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
         for batch in rows:
             at = 0
             for texts in _groups(strings(batch, "text")):
-                words = [known.model.words(t) for t in texts]
-                ids, _ = known.learn(words)
-                out = [np.frombuffer(b"".join(map(ids.__getitem__, w)), np.int32) for w in words]
+                ids, count = known.encode(texts)
+                out = np.split(ids, np.cumsum(count)[:-1])
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(texts)), pa.array(out, pa.list_(pa.int32()))], ["id", "ids"])
                 at += len(texts)
 
@@ -291,16 +358,15 @@ def round_trip(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
         for batch in rows:
             at = 0
             for texts in _groups(strings(batch, "text")):
-                words = [known.model.words(t) for t in texts]
-                ids, text = known.learn(words)
-                n, coded, decoded = [], [], []
-                for w in words:
-                    own = np.frombuffer(b"".join(map(ids.__getitem__, w)), np.int32)
-                    n.append(own.size)
-                    coded.append(hashlib.sha256(",".join(map(text.__getitem__, w)).encode()).hexdigest())
-                    decoded.append(hashlib.sha256(known.model.decode(own).encode()).hexdigest())
+                ids, count = known.encode(texts)
+                model, end = known.model, np.cumsum(count)
+                length = model.digit_length[ids]
+                digits = _gathered(model.digit_bytes, model.digit_start[ids], length).tobytes()
+                stop = np.r_[0, np.cumsum(length)][np.r_[0, end]].tolist()
+                coded = [hashlib.sha256(digits[b : max(b, e - 1)]).hexdigest() for b, e in zip(stop, stop[1:])]
+                decoded = [hashlib.sha256(model.decode(own).encode()).hexdigest() for own in np.split(ids, end[:-1])]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(at, len(texts)), pa.array(n, pa.int64()), pa.array(coded), pa.array(decoded)],
+                    [batch.column(0).slice(at, len(texts)), pa.array(count, pa.int64()), pa.array(coded), pa.array(decoded)],
                     ["id", "n_tokens", "ids_sha256", "decoded_sha256"])
                 at += len(texts)
 

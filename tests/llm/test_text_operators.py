@@ -23,7 +23,26 @@ def library():
 
 def own_ids(text):
     model = pieces.piece_model(MODEL)
-    return [i for ids in model.encode_words(model.words(text)) for i in ids]
+    return model.encode_words(model.words(text))[0].tolist()
+
+
+def test_cut_and_queued_words_and_forgotten_ones(monkeypatch):
+    """Long words cut in parts, parts too long for rounds, and a task that knows few words."""
+    model, library = pieces.piece_model(MODEL), sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    rng = random.Random(12)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    texts = ["".join(rng.choice(letters + "漢字日本語é😀ß-") for _ in range(n)) for n in (1, 300, 5_000)]
+    texts += ["".join(rng.choice("etaoin") for _ in range(6_000)), "ab" * 4_000, "漢" * 3_000, "a  b   c" * 50 + " " * 100, "\u2581 x \u2581", ""]
+    for symbols in (4_096, 20):
+        monkeypatch.setattr(pieces, "ROUND_SYMBOLS", symbols)
+        known = pieces._Known(model)
+        monkeypatch.setattr(pieces, "KNOWN_CHARS", 500)
+        for _ in range(3):
+            ids, count = known.encode(texts)
+            got = [x.tolist() for x in np.split(ids, np.cumsum(count)[:-1])]
+            assert got == [library.encode(t) for t in texts]
+            rng.shuffle(texts)
+    assert len(known) < 2_000
 
 
 def test_ids_equal_the_library(library):
