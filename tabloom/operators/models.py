@@ -1,4 +1,4 @@
-"""Classifiers trained by grid search over given folds, on the native ML library."""
+"""Classifiers trained by grid search over given folds: linear ones on the native ML library, trees all points and folds at once."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ import json
 import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field, replace
-from functools import reduce
+from functools import partial, reduce
 from itertools import product
 from multiprocessing.pool import ThreadPool
 
@@ -14,13 +14,7 @@ import numpy as np
 import pandas as pd
 from pyspark import inheritable_thread_target
 from pyspark.ml import Model, PipelineModel
-from pyspark.ml.classification import (
-    DecisionTreeClassifier,
-    GBTClassifier,
-    LinearSVC,
-    LogisticRegression,
-    RandomForestClassifier,
-)
+from pyspark.ml.classification import LinearSVC, LogisticRegression
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -30,6 +24,8 @@ from pyspark.storagelevel import StorageLevel
 
 from ..functions.kinds import clean_double
 from . import evaluate as ev
+from . import trees
+from .fitting import best_point, held_out_score
 
 FEATURES, LABEL, FOLD = "features", "label", "fold"
 
@@ -45,14 +41,14 @@ def _grid(**axes) -> list[dict]:
     return [dict(zip(axes, values)) for values in product(*axes.values())]
 
 
-# The full search grids. Axes without a counterpart in the ML library
-# (solver choice, minimum rows to split) are left out.
+# The full search grids. The choice of a solver has no counterpart and is left out.
 _C = (0.001, 0.01, 0.1, 1, 10, 100)
 FULL_GRIDS = {
     "logreg": _grid(C=_C, l1_ratio=(1.0,)) + _grid(C=_C, l1_ratio=(0.0,))
     + _grid(C=_C[:5], l1_ratio=(0.2, 0.5, 0.8)),
-    "decision_tree": _grid(max_depth=(None, 3, 5, 10, 20), criterion=("gini", "entropy"), min_samples_leaf=(1, 2, 4)),
-    "random_forest": _grid(n_estimators=(100, 200), max_depth=(5, 10), max_features=("sqrt", "log2")),
+    "decision_tree": _grid(max_depth=(None, 3, 5, 10, 20), min_samples_split=(2, 5, 10), criterion=("gini", "entropy"),
+                           min_samples_leaf=(1, 2, 4)),
+    "random_forest": _grid(n_estimators=(100, 200), max_depth=(5, 10), min_samples_split=(2, 5), max_features=("sqrt", "log2")),
     "xgboost": _grid(n_estimators=(100, 200), max_depth=(3, 5), learning_rate=(0.05, 0.1),
                      subsample=(0.8, 1.0), min_child_weight=(1, 3)),
     "svm": _grid(kernel=("rbf",), C=(0.1, 1, 10), gamma=("scale", 0.1)) + _grid(kernel=("linear",), C=(0.1, 1, 10)),
@@ -65,7 +61,6 @@ SHORT_GRIDS = {
     "xgboost": _grid(n_estimators=(10,), max_depth=(3,), learning_rate=(0.1,), subsample=(1.0,), min_child_weight=(1,)),
     "svm": _grid(kernel=("linear",), C=(1,)),
 }
-MAX_DEPTH = 30
 UNTIL_SETTLED = 1_000_000  # iterations; the tolerance ends the fit
 FOURIER_FEATURES = 128
 
@@ -114,22 +109,6 @@ def _estimator(name: str, params: Mapping, rows: int, seed: int, features: str):
             **io, regParam=1.0 / (params["C"] * rows), elasticNetParam=params.get("l1_ratio", 0.0),
             standardization=False, maxIter=params.get("max_iter", 5000), tol=1e-4,
         )
-    if name == "decision_tree":
-        return DecisionTreeClassifier(
-            **io, maxDepth=params.get("max_depth") or MAX_DEPTH, impurity=params.get("criterion", "gini"),
-            minInstancesPerNode=params.get("min_samples_leaf", 1), seed=seed,
-        )
-    if name == "random_forest":
-        return RandomForestClassifier(
-            **io, numTrees=params.get("n_estimators", 100), maxDepth=params.get("max_depth") or MAX_DEPTH,
-            featureSubsetStrategy=params.get("max_features", "sqrt"), seed=seed,
-        )
-    if name == "xgboost":
-        return GBTClassifier(
-            **io, maxIter=params.get("n_estimators", 100), maxDepth=params.get("max_depth", 3),
-            stepSize=params.get("learning_rate", 0.1), subsamplingRate=params.get("subsample", 1.0),
-            minInstancesPerNode=params.get("min_child_weight", 1), seed=seed,
-        )
     return LinearSVC(**io, regParam=1.0 / (params["C"] * rows), standardization=False,
                      maxIter=params.get("max_iter", UNTIL_SETTLED), tol=1e-3)
 
@@ -251,20 +230,26 @@ class TrainedModel:
         return json.loads(json.dumps(out))
 
     def save(self, path: str) -> None:
-        PipelineModel([self.model]).write().overwrite().save(f"{path}/classifier")
-        if self.platt is not None:
-            PipelineModel([self.platt]).write().overwrite().save(f"{path}/calibration")
         from ..sources.store import write_json
 
+        if isinstance(self.model, trees.TreeModel):
+            write_json(self.model.to_dict(), f"{path}/trees")
+        else:
+            PipelineModel([self.model]).write().overwrite().save(f"{path}/classifier")
+        if self.platt is not None:
+            PipelineModel([self.platt]).write().overwrite().save(f"{path}/calibration")
         write_json({**self.describe(), "calibrated": self.platt is not None}, f"{path}/about")
 
     @classmethod
     def load(cls, path: str) -> "TrainedModel":
-        from ..sources.store import read_json
+        from ..sources.store import exists, read_json
 
         about = read_json(f"{path}/about")
         calibrated, fourier = about.pop("calibrated"), about.pop("fourier", None)
-        model = PipelineModel.load(f"{path}/classifier").stages[0]
+        if exists(f"{path}/trees"):
+            model = trees.TreeModel.from_dict(read_json(f"{path}/trees"))
+        else:
+            model = PipelineModel.load(f"{path}/classifier").stages[0]
         platt = PipelineModel.load(f"{path}/calibration").stages[0] if calibrated else None
         return cls(model=model, platt=platt, fourier=FourierMap(**fourier) if fourier else None, **about)
 
@@ -393,8 +378,10 @@ class Classifier:
             return judge.evaluate(copy.transform(view.where(F.col(FOLD) == fold))), copy
 
         tasks, best = list(product(range(len(points)), range(k))), None
+        # the target made for a session copies the thread properties once, so each task gets one of its own
+        spark = view.sparkSession
         with ThreadPool(min(parallelism, len(tasks))) as pool:
-            found = pool.imap(inheritable_thread_target(view.sparkSession)(attempt), tasks)
+            found = pool.imap(lambda call: call(), [inheritable_thread_target(spark)(partial(attempt, task)) for task in tasks])
             for point in points:
                 folds = [next(found) for _ in range(k)]
                 score = sum(s for s, _ in folds) / k
@@ -403,4 +390,39 @@ class Classifier:
         return best
 
 
-REGISTRY = {name: Classifier for name in FULL_GRIDS}
+@dataclass(frozen=True)
+class _TreeEstimator:
+    name: str
+    point: Mapping
+    seed: int
+    features: str
+
+    def fit(self, df: DataFrame) -> trees.TreeModel:
+        return trees.grow(self.name, df, self.point, self.seed, self.features)
+
+
+@dataclass(frozen=True)
+class TreeClassifier(Classifier):
+    """Families of trees: points that can be read off one growth share it, and all growths of all folds are fitted together.
+
+    Bins are cut once, over all rows of a search; no label takes part in that.
+    """
+
+    def estimator(self, params: Mapping, rows: int, seed: int, features: str):
+        return _TreeEstimator(self.name, params, seed, features)
+
+    def train(self, df, scoring="f1_weighted", seed=42, grid=None, parallelism=8) -> TrainedModel:
+        evaluator(scoring)
+        data, points = df.select(FEATURES, LABEL, FOLD).persist(StorageLevel.MEMORY_AND_DISK), list(self.points(grid))
+        try:
+            sizes = _fold_sizes(data)
+            counts, model = trees.search(self.name, data, points, sorted(sizes), seed)
+            scores = {i: [held_out_score(counts[i, f], scoring) for f in sorted(sizes)] for i in range(len(points))}
+            best, score = best_point(scores)
+            copies = [model(best, f) for f in sorted(sizes)]
+            return _fit_one(self.name, points[best], data, seed, None, sum(sizes.values()), score=float(score), fold_models=copies)
+        finally:
+            data.unpersist()
+
+
+REGISTRY = {name: TreeClassifier if name in trees.GROWN else Classifier for name in FULL_GRIDS}

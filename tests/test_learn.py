@@ -132,7 +132,7 @@ def test_threshold_report_and_reload(vectors, tmp_path):
     assert a == again.score(vectors).orderBy("id").select("prediction").collect()
     with pytest.raises(ValueError):
         train("nope", vectors)
-    assert [len(g) for g in FULL_GRIDS.values()] == [27, 30, 8, 32, 9]
+    assert [len(g) for g in FULL_GRIDS.values()] == [27, 90, 16, 32, 9]
 
 
 @pytest.mark.parametrize("name,points", [
