@@ -13,12 +13,13 @@ from __future__ import annotations
 
 import math
 from collections import defaultdict
-from collections.abc import Generator, Iterator, Sequence
+from collections.abc import Callable, Generator, Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext, cloudpickle
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -81,6 +82,21 @@ def _rows(batch: pa.RecordBatch, kind: str) -> Rows:
     return Rows(batch.column("id").to_numpy(), x, batch.column("label").to_numpy(), batch.column("fold").to_numpy())
 
 
+def packed_table(data: DataFrame, pack: Callable[[np.ndarray], np.ndarray], features: str = "features") -> DataFrame:
+    """id, x, label, fold: rows with their packed cells, numbered and written once, so that a number stays with its row."""
+    fold = F.col("fold").cast("int") if "fold" in data.columns else F.lit(0)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                x = pack(batch.column("f").flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1))
+                yield pa.RecordBatch.from_arrays([pa.array([r.tobytes() for r in x], pa.binary()), batch.column("label"), batch.column("fold")], ["x", "label", "fold"])
+
+    rows = data.select(vector_to_array(features).alias("f"), F.col("label").cast("double").alias("label"), fold.alias("fold"))
+    rows = rows.mapInArrow(run, "x binary, label double, fold int")
+    return checkpointed(rows.select(F.monotonically_increasing_id().alias("id"), "x", "label", "fold"))
+
+
 def alone(fit: Fit, rows: Rows) -> object:
     """The fit over rows that are all here."""
     steps = fit.run()

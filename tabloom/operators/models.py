@@ -1,10 +1,10 @@
-"""Classifiers trained by grid search over given folds: linear ones on the native ML library, trees all points and folds at once."""
+"""Classifiers trained by grid search over given folds, all points and folds fitted together."""
 
 from __future__ import annotations
 
 import json
 import math
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field, replace
 from functools import partial, reduce
 from itertools import product
@@ -14,7 +14,7 @@ import numpy as np
 import pandas as pd
 from pyspark import inheritable_thread_target
 from pyspark.ml import Model, PipelineModel
-from pyspark.ml.classification import LinearSVC, LogisticRegression
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -24,7 +24,7 @@ from pyspark.storagelevel import StorageLevel
 
 from ..functions.kinds import clean_double
 from . import evaluate as ev
-from . import trees
+from . import linear, trees
 from .fitting import best_point, held_out_score
 
 FEATURES, LABEL, FOLD = "features", "label", "fold"
@@ -61,7 +61,6 @@ SHORT_GRIDS = {
     "xgboost": _grid(n_estimators=(10,), max_depth=(3,), learning_rate=(0.1,), subsample=(1.0,), min_child_weight=(1,)),
     "svm": _grid(kernel=("linear",), C=(1,)),
 }
-UNTIL_SETTLED = 1_000_000  # iterations; the tolerance ends the fit
 FOURIER_FEATURES = 128
 
 
@@ -101,18 +100,6 @@ def kernel_scale(df: DataFrame, width: int) -> float:
     return 1.0 / (width * variance) if variance > 0 else 1.0
 
 
-def _estimator(name: str, params: Mapping, rows: int, seed: int, features: str):
-    """The library estimator for one grid point."""
-    io = {"featuresCol": features, "labelCol": LABEL}
-    if name == "logreg":
-        return LogisticRegression(
-            **io, regParam=1.0 / (params["C"] * rows), elasticNetParam=params.get("l1_ratio", 0.0),
-            standardization=False, maxIter=params.get("max_iter", 5000), tol=1e-4,
-        )
-    return LinearSVC(**io, regParam=1.0 / (params["C"] * rows), standardization=False,
-                     maxIter=params.get("max_iter", UNTIL_SETTLED), tol=1e-3)
-
-
 class _Counted:
     """A score that follows from the confusion counts."""
 
@@ -232,8 +219,8 @@ class TrainedModel:
     def save(self, path: str) -> None:
         from ..sources.store import write_json
 
-        if isinstance(self.model, trees.TreeModel):
-            write_json(self.model.to_dict(), f"{path}/trees")
+        if isinstance(self.model, OWN_MODELS):
+            write_json({"kind": type(self.model).__name__, **self.model.to_dict()}, f"{path}/model")
         else:
             PipelineModel([self.model]).write().overwrite().save(f"{path}/classifier")
         if self.platt is not None:
@@ -246,8 +233,9 @@ class TrainedModel:
 
         about = read_json(f"{path}/about")
         calibrated, fourier = about.pop("calibrated"), about.pop("fourier", None)
-        if exists(f"{path}/trees"):
-            model = trees.TreeModel.from_dict(read_json(f"{path}/trees"))
+        if exists(f"{path}/model"):
+            held = read_json(f"{path}/model")
+            model = next(m for m in OWN_MODELS if m.__name__ == held["kind"]).from_dict(held)
         else:
             model = PipelineModel.load(f"{path}/classifier").stages[0]
         platt = PipelineModel.load(f"{path}/calibration").stages[0] if calibrated else None
@@ -330,7 +318,7 @@ class Classifier:
         return SHORT_GRIDS[self.name] if grid == "short" else list(grid)
 
     def estimator(self, params: Mapping, rows: int, seed: int, features: str):
-        return _estimator(self.name, params, rows, seed, features)
+        raise NotImplementedError
 
     def train(self, df, scoring="f1_weighted", seed=42, grid=None, parallelism=8) -> TrainedModel:
         data = df.select(FEATURES, LABEL, FOLD).persist(StorageLevel.MEMORY_AND_DISK)
@@ -340,6 +328,7 @@ class Classifier:
             for fourier, points in self._groups(data, self.points(grid), seed):
                 view = data if fourier is None else fourier.transform(data, "__z")
                 features = FEATURES if fourier is None else "__z"
+                evaluator(scoring)
                 score, point, copies = self._search(view, points, sizes, scoring, seed, features, parallelism)
                 if best is None or score > best[0]:
                     best = (score, point, fourier, copies)
@@ -391,14 +380,29 @@ class Classifier:
 
 
 @dataclass(frozen=True)
-class _TreeEstimator:
-    name: str
-    point: Mapping
-    seed: int
-    features: str
+class _Grown:
+    """What fits one point, in the manner of the library's estimators."""
+
+    make: Callable[[DataFrame], object]
+
+    def fit(self, df: DataFrame):
+        return self.make(df)
+
 
-    def fit(self, df: DataFrame) -> trees.TreeModel:
-        return trees.grow(self.name, df, self.point, self.seed, self.features)
+OWN_MODELS = (trees.TreeModel, linear.LinearModel)
+
+
+@dataclass(frozen=True)
+class LinearClassifier(Classifier):
+    """Linear families, and the kernel one through its map: per map all points and folds are fitted together."""
+
+    def estimator(self, params: Mapping, rows: int, seed: int, features: str):
+        return _Grown(lambda df: linear.fit(self.name, df, params, features))
+
+    def _search(self, view, points, sizes, scoring, seed, features, parallelism):
+        counts, found = linear.search(self.name, view, points, sorted(sizes), features)
+        best, score = best_point({i: [held_out_score(counts[i, f], scoring) for f in sorted(sizes)] for i in range(len(points))})
+        return score, points[best], tuple(found[best, f] for f in sorted(sizes))
 
 
 @dataclass(frozen=True)
@@ -409,7 +413,7 @@ class TreeClassifier(Classifier):
     """
 
     def estimator(self, params: Mapping, rows: int, seed: int, features: str):
-        return _TreeEstimator(self.name, params, seed, features)
+        return _Grown(lambda df: trees.grow(self.name, df, params, seed, features))
 
     def train(self, df, scoring="f1_weighted", seed=42, grid=None, parallelism=8) -> TrainedModel:
         evaluator(scoring)
@@ -425,4 +429,4 @@ class TreeClassifier(Classifier):
             data.unpersist()
 
 
-REGISTRY = {name: TreeClassifier if name in trees.GROWN else Classifier for name in FULL_GRIDS}
+REGISTRY = {name: TreeClassifier if name in trees.GROWN else LinearClassifier for name in FULL_GRIDS}

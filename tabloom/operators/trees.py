@@ -18,13 +18,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import checkpointed
-from .fitting import Fit, Rows, fit_together, grouped, held_out_counts, uniform
+from .fitting import Fit, Rows, fit_together, grouped, held_out_counts, packed_table, uniform
 
 BINS, MAX_DEPTH, SHRINK = 256, 30, 1.0
 _POISSON = np.cumsum([math.exp(-1) / math.factorial(k) for k in range(12)])
@@ -117,19 +115,8 @@ def bin_layout(data: DataFrame, features: str = "features", bins: int = BINS) ->
 
 
 def binned_table(data: DataFrame, layout: Layout, features: str = "features") -> DataFrame:
-    """id, x, label, fold: rows with their bins, numbered and written once, so that a number stays with its row."""
-    fold = F.col("fold").cast("int") if "fold" in data.columns else F.lit(0)
-
-    def run(batches):
-        for batch in batches:
-            cells = batch.column("f")
-            x = cells.flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1) if batch.num_rows else np.zeros((0, len(layout.cuts)))
-            packed = pa.array([r.tobytes() for r in layout.binned(x)], pa.binary())
-            yield pa.RecordBatch.from_arrays([packed, batch.column("label"), batch.column("fold")], ["x", "label", "fold"])
-
-    rows = data.select(vector_to_array(features).alias("f"), F.col("label").cast("double").alias("label"), fold.alias("fold"))
-    rows = rows.mapInArrow(run, "x binary, label double, fold int")
-    return checkpointed(rows.select(F.monotonically_increasing_id().alias("id"), "x", "label", "fold"))
+    """id, x, label, fold: rows with their bins."""
+    return packed_table(data, layout.binned, features)
 
 
 # ---- sums and splits ------------------------------------------------------------
