@@ -361,6 +361,65 @@ EVENT_STEPS = {
 }
 
 
+SMALL = f"SELECT doc_id, words % 7 AS x, quality AS y, CAST(doc_id % 5 AS INTEGER) AS fold FROM ({LABELLED})"
+
+
+def _one_split(seen: str) -> dict[str, str]:
+    """Per way `f` of leaving rows out, the cut of least impurity and the share of class 1 on either side. `seen`: rows (f, x, y)."""
+    return {
+        "d": SMALL, "t": seen,
+        "c": """SELECT f, cut, count(*) FILTER (t.x <= cut) AS n1, coalesce(sum(y) FILTER (t.x <= cut), 0) AS s1,
+                       count(*) FILTER (t.x > cut) AS n2, coalesce(sum(y) FILTER (t.x > cut), 0) AS s2
+                FROM t, (SELECT DISTINCT x AS cut FROM d) GROUP BY f, cut""",
+        "best": """SELECT f, cut, s1 / n1 AS p1, s2 / n2 AS p2 FROM c WHERE n1 > 0 AND n2 > 0
+                   QUALIFY row_number() OVER (PARTITION BY f ORDER BY round(s1 * (n1 - s1) / n1 + s2 * (n2 - s2) / n2, 9), cut) = 1""",
+    }
+
+
+_ALL_SEEN, _FOLD_LEFT_OUT = "SELECT 0 AS f, x, y FROM d", "SELECT g.fold AS f, d.x, d.y FROM d JOIN (SELECT DISTINCT fold FROM d) g ON g.fold <> d.fold"
+
+
+def _model_queries() -> dict[str, str]:
+    p = "CASE WHEN d.x <= cut THEN p1 ELSE p2 END"
+    side = "CASE WHEN x <= cut THEN -0.3 * gl / (hl + 1) ELSE -0.3 * gr / (hr + 1) END"
+    return {
+        "tree_one_split": with_tables(
+            f"SELECT doc_id, round({p}, 6) AS probability, CAST({p} > 0.5 AS DOUBLE) AS prediction FROM d, best", **_one_split(_ALL_SEEN)),
+        "oof_one_split": with_tables(
+            f"SELECT doc_id, fold, round({p}, 6) AS probability, CAST({p} > 0.5 AS DOUBLE) AS prediction FROM d JOIN best ON best.f = d.fold",
+            **_one_split(_FOLD_LEFT_OUT)),
+        "search_one_split": with_tables(
+            f"""SELECT round(avg(hit), 6) AS score, CAST(count(*) AS INTEGER) AS folds
+                FROM (SELECT fold, avg(CAST(({p} > 0.5) = (y = 1) AS DOUBLE)) AS hit FROM d JOIN best ON best.f = d.fold GROUP BY fold)""",
+            **_one_split(_FOLD_LEFT_OUT)),
+        "boost_one_round": with_tables(
+            f"SELECT doc_id, round(1 / (1 + exp(-(start + {side}))), 6) AS probability FROM d, m, best",
+            d=SMALL, m="SELECT avg(y) AS p, ln(avg(y) / (1 - avg(y))) AS start FROM d",
+            g="SELECT x, sum(p - y) AS g, sum(p * (1 - p)) AS h FROM d, m GROUP BY x",
+            c="""SELECT a.x AS cut, coalesce(sum(b.g) FILTER (b.x <= a.x), 0) AS gl, coalesce(sum(b.h) FILTER (b.x <= a.x), 0) AS hl,
+                        coalesce(sum(b.g) FILTER (b.x > a.x), 0) AS gr, coalesce(sum(b.h) FILTER (b.x > a.x), 0) AS hr FROM g a, g b GROUP BY a.x""",
+            best="""SELECT * FROM c WHERE hl >= 1 AND hr >= 1
+                    ORDER BY round(gl * gl / (hl + 1) + gr * gr / (hr + 1) - (gl + gr) * (gl + gr) / (hl + hr + 1), 9) DESC, cut LIMIT 1"""),
+    }
+
+
+def _pca_two_columns() -> str:
+    """The first axis lies at half the angle of (variance difference, twice the covariance); the largest loading is positive."""
+    sign = lambda big, other: f"CASE WHEN abs({big}) >= abs({other}) THEN sign({big}) ELSE sign({other}) END"
+    return with_tables(
+        f"""SELECT doc_id, round(({sign('u', 'v')}) * ((a - ma) * u + (b - mb) * v), 4) AS "PC1",
+                   round(({sign('-v', 'u')}) * ((b - mb) * u - (a - ma) * v), 4) AS "PC2" FROM s, t""",
+        s=f"SELECT doc_id, n_chars / 1000.0::DOUBLE AS a, words / 100.0::DOUBLE AS b FROM ({SHAPE})",
+        r="SELECT avg(a) AS ma, avg(b) AS mb, atan2(2 * covar_samp(a, b), var_samp(a) - var_samp(b)) / 2 AS angle FROM s",
+        t="SELECT ma, mb, cos(angle) AS u, sin(angle) AS v FROM r",
+    )
+
+
+def _collinear_drop_cells() -> str:
+    cells = " UNION ALL ".join(f"""SELECT doc_id, '{c}' AS "column", CAST({c} AS DOUBLE) AS value FROM ({SHAPE})""" for c in ("n_chars", "words", "lines"))
+    return f"""SELECT doc_id, "column", value FROM ({cells}) WHERE "column" NOT IN (SELECT "column" FROM ({_collinear_choice()}))"""
+
+
 def equivalents() -> dict[str, str]:
     sql = {
         "records_out": """SELECT to_json({c_custkey: c_custkey, c_name: c_name, c_nationkey: c_nationkey,
@@ -452,6 +511,9 @@ def equivalents() -> dict[str, str]:
             "SELECT col_a, col_b, round(r, 4) AS r FROM p WHERE r > 0.8", s=SHAPE, p=_pair_strength()
         ),
         "collinear_choice": _collinear_choice(),
+        "collinear_drop_cells": _collinear_drop_cells(),
+        "pca_two_columns": _pca_two_columns(),
+        **_model_queries(),
         "extract_and_map": r"""SELECT p_partkey, word, CASE word WHEN 'small' THEN 'compact' WHEN 'large' THEN 'bulky'
             WHEN 'red' THEN 'coloured' WHEN 'blue' THEN 'coloured' ELSE 'Rare' END AS kind
             FROM (SELECT p_partkey, nullif(trim(regexp_extract(p_name, '^(\w+)\s', 1)), '') AS word FROM part)""",

@@ -352,6 +352,15 @@ def collinear_drop(spark, sf_dir):
     return model.transform(df)
 
 
+@query
+def collinear_drop_cells(spark, sf_dir):
+    """The columns that stay, cell by cell."""
+    df, model = _collinear(spark, sf_dir)
+    kept = model.transform(df)
+    cells = [F.struct(F.lit(c).alias("column"), col(c).cast("double").alias("value")) for c in kept.columns if c not in ("doc_id", "lang")]
+    return kept.select("doc_id", F.explode(F.array(*cells)).alias("cell")).select("doc_id", "cell.column", "cell.value")
+
+
 # ---- derived features -----------------------------------------------------------
 
 
@@ -492,6 +501,13 @@ def pca_variance(spark, sf_dir):
     return Reducer(0.95).fit_transform(df, df.columns[1:], ["vec_id"])
 
 
+@query
+def pca_two_columns(spark, sf_dir):
+    """Two columns, whose axes have a closed form."""
+    df = document_shape(spark, sf_dir).select("doc_id", (col("n_chars") / 1000.0).alias("a"), (col("words") / 100.0).alias("b"))
+    return rounded(Reducer(2).fit_transform(df, ["a", "b"], ["doc_id"]), "PC1", "PC2")
+
+
 # ---- splits and folds -----------------------------------------------------------
 
 
@@ -628,6 +644,43 @@ def tuned_threshold(spark, sf_dir):
     return train("logreg", data).tune_threshold(data, reuse=True)[1]
 
 
+def small_frame(spark, sf_dir) -> DataFrame:
+    """Labelled documents with one column of seven values, and folds by id: models of it can be written out in SQL."""
+    d = labelled_documents(spark, sf_dir).select(
+        "doc_id", (col("words") % 7).cast("double").alias("x"), col("quality").cast("double").alias("label"), (col("doc_id") % 5).cast("int").alias("fold"))
+    return assemble(d, ["x"], ["doc_id", "label", "fold"])
+
+
+@query
+def tree_one_split(spark, sf_dir):
+    data = small_frame(spark, sf_dir)
+    out = train("decision_tree", data, grid=[{"max_depth": 1}]).score(data)
+    return rounded(out.select("doc_id", "probability", "prediction"), "probability", digits=6)
+
+
+@query
+def oof_one_split(spark, sf_dir):
+    """Every document scored by the tree that did not see its fold."""
+    data = small_frame(spark, sf_dir)
+    out = train("decision_tree", data, grid=[{"max_depth": 1}]).out_of_fold(data, reuse=True)
+    return rounded(out.select("doc_id", "fold", "probability", "prediction"), "probability", digits=6)
+
+
+@query
+def boost_one_round(spark, sf_dir):
+    data = small_frame(spark, sf_dir)
+    grid = [{"n_estimators": 1, "max_depth": 1, "learning_rate": 0.3, "min_child_weight": 1}]
+    out = train("xgboost", data, grid=grid).score(data)
+    return rounded(out.select("doc_id", "probability"), "probability", digits=6)
+
+
+@query
+def search_one_split(spark, sf_dir):
+    """Accuracy of the search: mean over folds of trees that did not see them, and the number of folds."""
+    model = train("decision_tree", small_frame(spark, sf_dir), scoring="accuracy", grid=[{"max_depth": 1}])
+    return spark.createDataFrame([(round(model.best_score, 6), len(model.fold_models))], "score double, folds int")
+
+
 @lru_cache(maxsize=1)
 def document_spec() -> dict:
     return {
