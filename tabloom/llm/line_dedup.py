@@ -8,8 +8,8 @@ boilerplate line the first occurrence stays (smallest id, then smallest place; w
 All steps are DataFrame operations. Only hashes and places are exploded; texts are read again for the result, and moved
 once, to meet the places of their removed lines.
 
-Lines are what newlines part; their ends are trimmed for comparison. Lines shorter than `min_chars` are never removed, so that
-blank and one-word lines stay. Null and empty texts stay as they are. A null site adds nothing to a line's spread. Rows
+Lines are what newlines part; ASCII white space at their ends is trimmed for comparison. Blank lines are never counted nor removed;
+nor are lines shorter than `min_chars`, if it is more than 1. Null and empty texts stay as they are. A null site adds nothing to a line's spread. Rows
 equal in id, text and site are treated alike: what stays in one stays in all. A null id is later than any other.
 """
 
@@ -18,7 +18,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MIN_SITES, MIN_CHARS = 5, 20
+MIN_SITES, MIN_CHARS = 5, 1
+#: What is trimmed off the ends of a line.
+SPACES = " \t\x0b\x0c\r"
 #: Registers of a sketch as a power of two, and standard errors that count as near the threshold.
 REGISTERS, NEAR = 12, 5
 
@@ -31,10 +33,10 @@ def occurrences(df: DataFrame, id_col: str, text_col: str, site_col: str, min_ch
     """(row, id, site, place, line, check): every line that is long enough, by two hashes; none that holds the expression `spare`."""
     lines = df.select(_row_key(id_col, text_col, site_col).alias("row"), F.col(id_col).alias("id"), F.col(site_col).cast("string").alias("site"),
                       F.posexplode(F.split(F.col(text_col), "\n", -1)).alias("place", "text"))
-    trimmed = F.trim(F.col("text"))
+    trimmed = F.btrim(F.col("text"), F.lit(SPACES))
     if spare is not None:
         lines = lines.where(~F.col("text").rlike(spare))
-    return lines.where(F.length(trimmed) >= min_chars).select("row", "id", "site", "place", F.xxhash64(trimmed).alias("line"), F.xxhash64(F.lit(7), trimmed).alias("check"))
+    return lines.where(F.length(trimmed) >= max(1, min_chars)).select("row", "id", "site", "place", F.xxhash64(trimmed).alias("line"), F.xxhash64(F.lit(7), trimmed).alias("check"))
 
 
 def spread_lines(df: DataFrame, min_sites: int = MIN_SITES, min_chars: int = MIN_CHARS, id_col: str = "doc_id", text_col: str = "text",
@@ -81,11 +83,12 @@ def dedup_lines(df: DataFrame, min_sites: int = MIN_SITES, min_chars: int = MIN_
 
 def line_dedup_sql(min_sites: int = MIN_SITES, min_chars: int = MIN_CHARS) -> str:
     """The same for `documents` in SQL, by exact counts."""
+    spaces = " || ".join(f"chr({ord(c)})" for c in SPACES)
     return f"""
 WITH parted AS (SELECT doc_id, source, string_split(text, chr(10)) AS ls FROM documents),
-lines AS (SELECT doc_id, source, i - 1 AS place, ls[i] AS raw, trim(ls[i], ' ') AS line FROM parted, unnest(range(1, len(ls) + 1)) AS u(i)),
+lines AS (SELECT doc_id, source, i - 1 AS place, ls[i] AS raw, trim(ls[i], {spaces}) AS line FROM parted, unnest(range(1, len(ls) + 1)) AS u(i)),
 spread AS (SELECT line, arg_min(doc_id, (doc_id, place)) AS fd, arg_min(place, (doc_id, place)) AS fp FROM lines
-           WHERE length(line) >= {min_chars} GROUP BY line HAVING count(DISTINCT source) >= {min_sites}),
+           WHERE length(line) >= {max(1, min_chars)} GROUP BY line HAVING count(DISTINCT source) >= {min_sites}),
 marked AS (SELECT l.*, s.line IS NOT NULL AND NOT (l.doc_id = s.fd AND l.place = s.fp) AS cut FROM lines l LEFT JOIN spread s ON l.line = s.line)
 SELECT doc_id, coalesce(string_agg(raw, chr(10) ORDER BY place) FILTER (NOT cut), '') AS text,
        count(*)::BIGINT AS n_lines, (count(*) FILTER (cut))::BIGINT AS n_removed

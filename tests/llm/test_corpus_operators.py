@@ -118,7 +118,7 @@ def test_line_dedup_of_awkward_rows(spark, documents, awkward):
     line = "this line stands at many sites of the web"
     rows = [*awkward, *[(50 + i, f"own line number {i} of this text\n{line}\nend", "en", f"site{i}") for i in range(6)],
             *[(70 + i, "a line at four sites only, too few", "en", f"site{i}") for i in range(4)], (90, f"  {line} \n{line}", "en", None), (50, f"{line}", "en", "site9")]
-    out = line_dedup.dedup_lines(documents(rows))
+    out = line_dedup.dedup_lines(documents(rows), min_chars=20)
     assert out.columns == [c for c in documents(rows).columns if c != "n_lines"] + ["n_lines", "n_removed"]
     got = defaultdict(list)
     for r in out.collect():
@@ -128,11 +128,23 @@ def test_line_dedup_of_awkward_rows(spark, documents, awkward):
     assert got["53"] == [("own line number 3 of this text\nend", 3, 1)] and got["90"] == [("", 2, 2)]
     assert got["71"] == [("a line at four sites only, too few", 1, 0)]
     assert got["1"] == [(None, 0, 0)] and got["2"] == [("", 1, 0)] and got["5"][0][2] == 0
-    none = line_dedup.dedup_lines(documents(rows), keep_first=False).where("doc_id = 50").collect()
+    none = line_dedup.dedup_lines(documents(rows), min_chars=20, keep_first=False).where("doc_id = 50").collect()
     assert sorted(r["text"] for r in none) == ["", "own line number 0 of this text\nend"]
     assert line_dedup.dedup_lines(documents([])).count() == 0
 
 
+def test_short_lines_count_and_ends_are_trimmed_of_any_ascii_space(spark, documents):
+    ends = ["", " ", "\t", "\r", "\x0b \x0c", "\u00a0"]
+    rows = [(i, f"own {i}\n{e}Go{e}\n \t\r\n\n.", "en", f"site{i % 5}") for i, e in enumerate(ends)]
+    got = {r["doc_id"]: (r["text"], r["n_removed"]) for r in line_dedup.dedup_lines(documents(rows)).collect()}
+    # five sites share the two short lines; the blank lines stay, and a no-break space makes another line
+    assert got[0] == ("own 0\nGo\n \t\r\n\n.", 0)
+    assert all(got[i] == (f"own {i}\n \t\r\n", 2) for i in range(1, 5))
+    assert got[5] == ("own 5\n\u00a0Go\u00a0\n \t\r\n", 1)
+    kept = line_dedup.dedup_lines(documents(rows), min_chars=2).where("doc_id = 3").first()
+    assert kept["text"] == "own 3\n \t\r\n\n."
+
+
 @pytest.mark.parametrize("sites", [1, 5, 60, 400])
 def test_spread_near_the_threshold_is_exact(spark, documents, sites):
     rows = [(s * 10 + k, f"a line of its own for threshold number {t}", "en", f"site{s}") for t in (sites, sites + 1) for s in range(t) for k in range(2)]
