@@ -37,9 +37,9 @@ def extract_group(value: Column, pattern: str, group: int = 1) -> Column:
 
 
 def map_values(value: Column, mapping: Mapping, default=None) -> Column:
-    """Look a value up in a small mapping; missing and unknown keys get the default."""
+    """Look a value up in a small mapping; missing and unknown keys get the default. ``map_column`` takes any size."""
     if len(mapping) > MAX_LITERAL_MAP:
-        raise ValueError(f"mapping has {len(mapping)} entries; join it as a table instead")
+        raise ValueError(f"mapping has {len(mapping)} entries; use operators.dictionary.map_column")
     if not mapping:
         return F.lit(default)
     pairs = [F.lit(x) for item in mapping.items() for x in item]

@@ -25,6 +25,7 @@ from ..functions.kinds import categorical_columns, clean_double, col, numeric_co
 from ..session import checkpointed
 from .encode import discover_categories
 
+MAX_CATEGORIES = 1000  # of a column; their codes are literals here
 MAX_CELLS = 16_384  # per layout
 MAX_LAYOUTS = 4
 _LAYOUT_BITS = 40
@@ -289,7 +290,7 @@ class KnnImputer:
         numeric = numeric_columns(df, skip)
         cats = categorical_columns(df, skip)
         text = df.withColumns({c: col(c).cast("string") for c in cats}) if cats else df
-        labels = {c: [v for v in vs if v is not None] for c, vs in discover_categories(text, cats).items()}
+        labels = {c: [v for v in vs if v is not None] for c, vs in discover_categories(text, cats, MAX_CATEGORIES).items()}
         xs = [f"__x{i}" for i in range(len(numeric) + len(cats))]
         coded = text.select(
             col(self.id_col).alias("__i"), *[c.alias(x) for c, x in zip(_codes(text, numeric, labels), xs)]

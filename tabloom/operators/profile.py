@@ -52,13 +52,16 @@ def drop_sparse(df: DataFrame, threshold: float) -> DataFrame:
 
 
 def info(df: DataFrame, target: str) -> dict:
-    """Shape, column kinds and target distribution."""
-    found = value_counts(df, target).limit(MAX_TARGET_VALUES + 1).collect()
-    if len(found) > MAX_TARGET_VALUES:
-        raise ValueError(f"target {target!r} has more than {MAX_TARGET_VALUES} values; use value_counts")
-    counts = {r["value"]: r["count"] for r in found}
-    total = sum(counts.values())
-    counts.pop(None, None)
+    """Shape, column kinds and target distribution.
+
+    ``target_counts`` is a frame whatever the number of values; ``target_distribution`` the same as a dict, None if
+    the driver would have to hold more than its bound.
+    """
+    found = value_counts(df, target)
+    present = found.where("value IS NOT NULL")
+    listed = present.limit(MAX_TARGET_VALUES + 1).collect()
+    counts = {r["value"]: r["count"] for r in listed} if len(listed) <= MAX_TARGET_VALUES else None
+    total = df.count()
     return {
         "rows": total,
         "columns": len(df.columns),
@@ -67,6 +70,7 @@ def info(df: DataFrame, target: str) -> dict:
         "categorical": categorical_columns(df, [target]),
         "target": target,
         "target_distribution": counts,
+        "target_counts": present,
     }
 
 

@@ -16,17 +16,20 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.kinds import clean_double, col
+from ..session import checkpointed
 
 INLINE_VALUES = 200_000  # map entries one job may hold in exact percentiles
-HOT_GROUPS = 256  # groups searched one by one; no other group can hold more than 1/257
+MAX_SENT_BRACKETS = 10_000  # rows of a bracket table that is sent to all executors
 _ACCURACY = 10_000
 _MARGIN = 2.0 / _ACCURACY
 _GRID = 512
 _SLOTS_PER_JOB = 64
+_GROUP_GRID, _GROUP_ACCURACY = 256, 2_000  # cells and accuracy of the sketches of one round over groups
+_SALTS = 64  # keys a group is dealt over where brackets are too many to be sent
 
 
 @dataclass
@@ -309,53 +312,90 @@ def grouped_quantiles(
 ) -> DataFrame:
     """One row per non-null group: its exact quantiles; NULL for an all-missing group.
 
-    Groups beyond the inline bound are narrowed like a column of their own, largest
-    first. Should more of them exist, the rest each hold under 1/257 of the rows and
-    are ranked by a window over counted distinct values, whose sort may spill.
+    Groups beyond the inline bound, however many, are narrowed together: their brackets
+    are rows of a table. No group is gathered or sorted in one task.
     """
     budget = INLINE_VALUES if inline is None else inline
     rows = df.select(col(group).alias("g"), clean_double(df, value).alias("x")).where("g IS NOT NULL")
-    sizes = (
-        rows.groupBy("g").agg(F.count("x").alias("n")).where(F.col("n") > budget)
-        .orderBy(F.desc("n"), "g").limit(HOT_GROUPS + 1).collect()
-    )
-    hot = [r["g"] for r in sizes[:HOT_GROUPS]]
-    schema = [rows.schema["g"].simpleString().replace("g:", f"`{group}` ")]
-    schema += [f"`{n}` double" for n in names]
-
-    rest = rows.where(~F.col("g").isin(hot)) if hot else rows
-    if len(sizes) > HOT_GROUPS:
-        small = _windowed_quantiles(rest, probs)
-    else:
-        small = rest.groupBy("g").agg(F.percentile("x", F.array(*[F.lit(float(p)) for p in probs])).alias("q"))
-    out = small.select(F.col("g").alias(group), *[F.col("q")[i].alias(n) for i, n in enumerate(names)])
-    if not hot:
-        return out
-    slots = [Slot(F.when(F.col("g") == F.lit(g), F.col("x"))) for g in hot]
-    order_statistics(rows, slots, probs, inline)
-    narrowed = df.sparkSession.createDataFrame(
-        [(g, *[_interpolate(s, p) for p in probs]) for g, s in zip(hot, slots)], ", ".join(schema)
-    )
-    return out.unionByName(narrowed)
-
-
-def _windowed_quantiles(rows: DataFrame, probs: Sequence[float]) -> DataFrame:
-    counted = rows.groupBy("g", "x").agg(F.count("x").alias("c"))
-    upto = F.sum("c").over(Window.partitionBy("g").orderBy(F.col("x").asc_nulls_first()))
-    total = F.sum("c").over(Window.partitionBy("g"))
-    ranked = counted.select("g", "x", "c", upto.alias("upto"), total.alias("n"))
-
-    def at(rank: Column) -> Column:
-        here = (F.col("upto") > rank) & (F.col("upto") - F.col("c") <= rank)
-        return F.max(F.when(here, F.col("x")))
-
-    parts = []
-    for p in probs:
-        h = (F.col("n") - 1) * F.lit(float(p))
-        parts += [at(F.floor(h)), at(F.ceil(h)), F.max(h - F.floor(h))]
-    agg = ranked.groupBy("g").agg(*[c.alias(f"p{i}") for i, c in enumerate(parts)])
-    q = [
-        F.col(f"p{3 * i}") + (F.col(f"p{3 * i + 1}") - F.col(f"p{3 * i}")) * F.col(f"p{3 * i + 2}")
-        for i in range(len(probs))
-    ]
-    return agg.select("g", F.array(*q).alias("q"))
+    hot = checkpointed(rows.groupBy("g").agg(F.count("x").alias("n")).where(F.col("n") > budget))
+    n_hot = hot.count()
+    rest = _with_groups(rows, hot.select("g"), n_hot, "left_anti") if n_hot else rows
+    small = rest.groupBy("g").agg(F.percentile("x", F.array(*[F.lit(float(p)) for p in probs])).alias("q"))
+    if n_hot:
+        small = small.unionByName(_searched_quantiles(rows, hot, probs, budget))
+    return small.select(F.col("g").alias(group), *[F.col("q")[i].alias(n) for i, n in enumerate(names)])
+
+
+def _searched_quantiles(rows: DataFrame, hot: DataFrame, probs: Sequence[float], budget: int) -> DataFrame:
+    at = [(F.col("n") - 1) * F.lit(float(p)) for p in probs]
+    ends = F.array_distinct(F.array(*[f(h) for h in at for f in (F.floor, F.ceil)]))
+    found = group_order_statistics(rows, hot.select("g", "n", F.explode(ends).alias("rank")), budget)
+    by_rank = F.map_from_entries(F.collect_list(F.struct("rank", "value")))
+    wide = found.groupBy("g", "n").agg(by_rank.alias("v"))
+
+    def between(h: Column) -> Column:
+        low, high = F.try_element_at("v", F.floor(h)), F.try_element_at("v", F.ceil(h))
+        return F.when(low == high, low).otherwise(low + (high - low) * (h - F.floor(h)))
+
+    return wide.select("g", F.array(*[between(h) for h in at]).alias("q"))
+
+
+def _with_groups(rows: DataFrame, table: DataFrame, size: int, how: str = "inner") -> DataFrame:
+    """Rows joined by group with a table of counted size: sent out if small, else each group is dealt over several keys."""
+    if size <= MAX_SENT_BRACKETS:
+        return rows.join(F.broadcast(table), "g", how)
+    dealt = rows.withColumn("__salt", F.pmod(F.monotonically_increasing_id(), F.lit(_SALTS)))
+    copies = table.withColumn("__salt", F.explode(F.expr(f"sequence(0L, {_SALTS - 1}L)")))
+    return dealt.join(copies, ["g", "__salt"], how).drop("__salt")
+
+
+def group_order_statistics(rows: DataFrame, wanted: DataFrame, inline: int | None = None) -> DataFrame:
+    """(g, n, rank, value): the 0-based ranks of ``wanted`` (g, n, rank) among the non-null ``x`` of ``rows`` (g, x).
+
+    A bracket is a row (low, high, whether each end is left out, values below, values inside) that surely holds its
+    rank. Each round sketches the inside of all open brackets, guesses a narrower one, counts around the guess and
+    keeps the part that holds the rank; each such part is smaller. Brackets of one value or within the budget are done.
+    """
+    budget = INLINE_VALUES if inline is None else inline
+    rows = rows.where("x IS NOT NULL").select("g", "x")
+    known = ["g", "n", "rank", "low", "high", "low_out", "high_out", "before", "inside"]
+    start = {"low": F.lit(-math.inf), "high": F.lit(math.inf), "low_out": F.lit(False), "high_out": F.lit(False),
+             "before": F.lit(0).cast("long"), "inside": F.col("n")}
+    brackets = checkpointed(wanted.withColumns(start).select(*known))
+    x, low, high = F.col("x"), F.col("low"), F.col("high")
+    within = ((x > low) | ((x == low) & ~F.col("low_out"))) & ((x < high) | ((x == high) & ~F.col("high_out")))
+    is_open = (low < high) & (F.col("inside") > budget)
+    while n_open := brackets.where(is_open).count():
+        inside = _with_groups(rows, brackets.where(is_open).drop("n"), n_open).where(within)
+        grid = [k / _GROUP_GRID for k in range(_GROUP_GRID + 1)]
+        sketched = inside.groupBy("g", "rank").agg(F.percentile_approx("x", grid, _GROUP_ACCURACY).alias("grid"))
+        place = F.floor((F.col("rank") - F.col("before") + 0.5) / F.col("inside") * _GROUP_GRID).cast("int")
+        left = F.get("grid", F.greatest(place - 1, F.lit(0)))
+        right = F.get("grid", F.least(place + 2, F.lit(_GROUP_GRID)))
+        middle, same = F.get("grid", place), (left <= low) & (right >= high)
+        guesses = checkpointed(brackets.where(is_open).join(sketched, ["g", "rank"]).select(
+            *known, F.when(same, middle).otherwise(left).alias("p"), F.when(same, middle).otherwise(right).alias("q")))
+        counted = _with_groups(rows, guesses.drop("n"), n_open).where(within).groupBy("g", "rank").agg(
+            F.count_if(x < F.col("p")).alias("a"), F.count_if((x >= F.col("p")) & (x <= F.col("q"))).alias("b"))
+        at = F.col("rank") - F.col("before")
+        under, over = at < F.col("a"), at >= F.col("a") + F.col("b")
+
+        def part(below, here, above):
+            return F.when(under, below).when(over, above).otherwise(here)
+
+        narrowed = guesses.join(counted, ["g", "rank"]).select(
+            "g", "n", "rank", part(low, F.col("p"), F.col("q")).alias("low"), part(F.col("p"), F.col("q"), high).alias("high"),
+            part(F.col("low_out"), F.lit(False), F.lit(True)).alias("low_out"),
+            part(F.lit(True), F.lit(False), F.col("high_out")).alias("high_out"),
+            (F.col("before") + part(F.lit(0), F.col("a"), F.col("a") + F.col("b"))).alias("before"),
+            part(F.col("a"), F.col("b"), F.col("inside") - F.col("a") - F.col("b")).alias("inside"),
+        )
+        brackets = checkpointed(brackets.where(~is_open).unionByName(narrowed))
+    sure = brackets.where(low == high).select("g", "n", "rank", low.alias("value"))
+    loose = brackets.where(low < high)
+    n_loose = loose.count()
+    if not n_loose:
+        return sure
+    values = _with_groups(rows, loose, n_loose).where(within).groupBy("g", "n", "rank", "before").agg(
+        F.array_sort(F.collect_list("x")).alias("xs"))
+    return sure.unionByName(values.select("g", "n", "rank", F.get("xs", (F.col("rank") - F.col("before")).cast("int")).alias("value")))

@@ -41,6 +41,9 @@ def percent(part: str, total: str) -> str:
     return f"((({part}) * 20000 + ({total})) // (2 * ({total}))) / 100.0::DOUBLE"
 
 
+CUSTOMER_TEXT = """SELECT o_orderkey, CASE WHEN o_custkey % 11 <> 4 THEN CAST(o_custkey AS VARCHAR) END AS customer FROM orders"""
+
+
 def with_tables(body: str, **tables: str) -> str:
     heads = ", ".join(f"{k} AS ({v})" for k, v in tables.items())
     return f"WITH {heads} {body}"
@@ -469,6 +472,9 @@ def equivalents() -> dict[str, str]:
         "group_median_many": with_tables(
             "SELECT o_custkey, round(median(o_totalprice), 4) AS median FROM m GROUP BY o_custkey", m=MASKED_ORDERS
         ),
+        "group_median_searched": with_tables(
+            "SELECT o_custkey, round(median(o_totalprice), 4) AS median FROM m GROUP BY o_custkey", m=MASKED_ORDERS
+        ),
         "global_median": with_tables("SELECT median(l_extendedprice) AS median FROM m", m=MASKED_LINEITEM),
         "column_spread": with_tables(
             """SELECT round(avg(o_totalprice), 2) AS mean, round(min(o_totalprice), 2) AS min,
@@ -564,6 +570,22 @@ def equivalents() -> dict[str, str]:
         ),
         "label_roundtrip": """SELECT o_orderkey, o_orderpriority,
             CAST(dense_rank() OVER (ORDER BY o_orderpriority) - 1 AS DOUBLE) AS code, o_orderpriority AS decoded FROM orders""",
+        "ordinal_many": with_tables(
+            """SELECT o_orderkey, CASE WHEN d.customer IS NOT NULL THEN coalesce(code, -1) END AS customer
+               FROM d LEFT JOIN k ON d.customer = k.customer""", d=CUSTOMER_TEXT,
+            k="""SELECT customer, CAST(row_number() OVER (ORDER BY customer) - 1 AS DOUBLE) AS code
+                 FROM (SELECT DISTINCT customer FROM d WHERE o_orderkey % 5 <> 0 AND customer IS NOT NULL)""",
+        ),
+        "label_many": with_tables(
+            """SELECT o_orderkey, d.customer, code, d.customer AS decoded FROM d LEFT JOIN k ON d.customer = k.customer""",
+            d=CUSTOMER_TEXT,
+            k="""SELECT customer, CAST(row_number() OVER (ORDER BY customer) - 1 AS DOUBLE) AS code
+                 FROM (SELECT DISTINCT customer FROM d WHERE customer IS NOT NULL)""",
+        ),
+        "map_many": with_tables(
+            """SELECT o_orderkey, customer, coalesce(c_mktsegment, 'none') AS segment FROM d
+               LEFT JOIN customer c ON d.customer = CAST(c_custkey AS VARCHAR) AND c_custkey % 2 = 0""", d=CUSTOMER_TEXT,
+        ),
         "prepare_table": _prepare_table(),
         "split_stratified": _split_stratified(),
         "split_plain": """SELECT 0 AS is_test, n - CAST(ceil(0.2 * n) AS BIGINT) AS rows FROM (SELECT count(*) AS n FROM orders)

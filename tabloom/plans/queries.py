@@ -18,6 +18,7 @@ from ..functions.kinds import col
 from ..operators import evaluate as ev
 from ..operators import profile
 from ..operators.collinear import Collinear
+from ..operators.dictionary import map_column
 from ..operators.encode import Encoder, LabelEncoder
 from ..operators.ensemble import hard_vote, soft_vote
 from ..operators.features import GroupTiers, PassengerFeatures
@@ -238,6 +239,13 @@ def group_median_many(spark, sf_dir):
     return rounded(out, "median")
 
 
+@query
+def group_median_searched(spark, sf_dir):
+    """The same with a small budget, so that most groups are narrowed by brackets."""
+    out = grouped_quantiles(masked_orders(spark, sf_dir), "o_custkey", "o_totalprice", [0.5], ["median"], inline=3)
+    return rounded(out, "median")
+
+
 @query
 def global_median(spark, sf_dir):
     q = exact_quantiles(masked_lineitem(spark, sf_dir), ["l_extendedprice"], [0.5])
@@ -473,6 +481,33 @@ def label_roundtrip(spark, sf_dir):
     return model.decode(model.encode(df, "o_orderpriority", "code"), "code", "decoded")
 
 
+def customer_text(spark, sf_dir) -> DataFrame:
+    """As many categories as customers."""
+    key = F.when(col("o_custkey") % 11 != 4, col("o_custkey").cast("string"))
+    return table(spark, sf_dir, "orders").select("o_orderkey", key.alias("customer"))
+
+
+@query
+def ordinal_many(spark, sf_dir):
+    """Fitted without every fifth order, so that customers only seen there read -1."""
+    df = customer_text(spark, sf_dir)
+    return Encoder("none", "ordinal").fit(df.where("o_orderkey % 5 <> 0"), ["o_orderkey"]).transform(df, ["o_orderkey"])
+
+
+@query
+def label_many(spark, sf_dir):
+    df = customer_text(spark, sf_dir)
+    model = LabelEncoder.fit(df, "customer")
+    return model.decode(model.encode(df, "customer", "code"), "code", "decoded")
+
+
+@query
+def map_many(spark, sf_dir):
+    """The segment of each customer of an even number."""
+    segments = table(spark, sf_dir, "customer").where("c_custkey % 2 = 0").select(col("c_custkey").cast("string"), "c_mktsegment")
+    return map_column(customer_text(spark, sf_dir), col("customer"), segments, "segment", "none")
+
+
 @query
 def prepare_table(spark, sf_dir):
     """Impute, clip, scale and one-hot encode one mixed table."""

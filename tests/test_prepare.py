@@ -44,19 +44,33 @@ def test_quantiles_are_exact_whatever_the_budget(spark, inline):
     assert np.allclose(got, np.quantile(x, probs), rtol=1e-12)
 
 
-@pytest.mark.parametrize("hot", [256, 1])
-def test_grouped_quantiles(spark, monkeypatch, hot):
-    monkeypatch.setattr(quantiles, "HOT_GROUPS", hot)
+@pytest.mark.parametrize("sent", [10_000, 1])
+def test_grouped_quantiles(spark, monkeypatch, sent):
+    monkeypatch.setattr(quantiles, "MAX_SENT_BRACKETS", sent)
     rng = np.random.default_rng(2)
     rows = [("big" if i % 3 else f"g{i % 7}", float(v)) for i, v in enumerate(rng.normal(size=600))]
+    rows += [("tied", float(v)) for v in rng.integers(0, 3, 300)] + [("one", 4.0)] * 50 + [("ends", v) for v in (-np.inf, np.inf) for _ in range(30)]
     rows += [("void", None), (None, 1.0)]
     df = spark.createDataFrame(rows, "g string, x double")
     got = {r["g"]: (r["a"], r["b"]) for r in
            quantiles.grouped_quantiles(df, "g", "x", [0.33, 0.66], ["a", "b"], inline=20).collect()}
-    assert got.pop("void") == (None, None)
+    assert got.pop("void") == (None, None) and got.pop("ends") == (-np.inf, np.inf)
     for g, pair in got.items():
         assert np.allclose(pair, np.quantile([v for k, v in rows if k == g], [0.33, 0.66]))
-    assert len(got) == 8
+    assert len(got) == 10
+
+
+def test_a_thousand_hot_groups_are_narrowed_together(spark):
+    rng = np.random.default_rng(5)
+    g = np.repeat(np.arange(1000), 60)
+    x = np.where(rng.random(len(g)) < 0.2, 1.5, np.round(rng.lognormal(0, 4, len(g)), 2))
+    df = spark.createDataFrame([(int(a), float(b)) for a, b in zip(g, x)], "g int, x double")
+    out = quantiles.grouped_quantiles(df, "g", "x", [0.0, 0.5, 1.0], ["a", "b", "c"], inline=8)
+    assert "Window" not in out._jdf.queryExecution().toString()
+    got = {r["g"]: (r["a"], r["b"], r["c"]) for r in out.collect()}
+    assert len(got) == 1000
+    for i in range(1000):
+        assert np.allclose(got[i], np.quantile(x[g == i], [0, 0.5, 1]), rtol=1e-12)
 
 
 def test_missing_report_and_sparse_columns(spark, dirty):
