@@ -25,6 +25,7 @@ from ..sources import store
 from ..sources.tables import Loader, write_predictions
 
 FEATURE_PRESETS = {"passenger": PassengerFeatures}
+PASSENGER_ID = "PassengerId"  # fixed value
 
 
 @dataclass(frozen=True)
@@ -105,27 +106,69 @@ class Prepared:
         return assemble(wide, [c for c in wide.columns if c not in keep], keep)
 
 
+# What a spec may say, by section.
+KNOWN_KEYS = {
+    "loader": ("target_col", "id_col", "train_path", "test_path", "format", "schema", "drop_cols", "drop_missing_thresh",
+               "promote_numeric", "multi_line"),
+    "feature_engineering": ("enabled", "preset", "drop_cols_for", "drop_raw_fare_for"),
+    "cleaner": ("num_strategy", "cat_strategy", "knn_neighbors"),
+    "outliers": ("detection", "treatment", "iqr_threshold", "zscore_threshold", "cols", "apply_to"),
+    "multicollinearity": ("threshold", "drop", "apply_to"),
+    "pca": ("n_components", "apply_to"),
+    "encoder": ("num_strategy", "cat_strategy"),
+    "models": ("active", "cv", "scoring", "random_state", "tune_threshold", "threshold_scoring", "grid", "grids", "parallelism",
+               "shuffle_folds"),
+    "model_cache": ("enabled", "path"),
+    "ensemble": ("enabled", "voting", "weights", "members"),
+    "output": ("submission_dir",),
+}
+
+
+def section(spec: Mapping, name: str) -> Mapping:
+    """A section, empty if absent or left blank."""
+    return spec.get(name) or {}
+
+
+def id_of(spec: Mapping) -> str:
+    """The id column. A passenger list needn't name it."""
+    named = section(spec, "loader").get("id_col")
+    if named:
+        return named
+    fe = section(spec, "feature_engineering")
+    if fe.get("enabled") and fe.get("preset", "passenger") == "passenger":
+        return PASSENGER_ID
+    raise ValueError("the spec needs loader.id_col")
+
+
 def check_spec(spec: Mapping) -> None:
+    """Stop at names that mean nothing here: a misspelt setting would otherwise be ignored."""
+    strange = [s for s in spec if s not in KNOWN_KEYS]
+    strange += [f"{s}.{k}" for s in spec if s in KNOWN_KEYS for k in section(spec, s) if k not in KNOWN_KEYS[s]]
+    if strange:
+        raise ValueError(f"unknown settings in the spec: {strange}")
     unknown = [m for m in spec["models"]["active"] if m not in REGISTRY]
     if unknown:
         raise ValueError(f"unknown models in the spec: {unknown}")
 
 
 def loader_of(spec: Mapping) -> Loader:
+    """The id stays in the table whether or not it is listed to be dropped; it is never a feature."""
     part = spec["loader"]
     return Loader(
         target=part["target_col"], path=part.get("train_path", ""), format=part.get("format", "csv"),
-        schema=part.get("schema"), drop_cols=tuple(part.get("drop_cols", ())),
+        schema=part.get("schema"), drop_cols=tuple(c for c in part.get("drop_cols") or () if c != id_of(spec)),
         drop_missing_thresh=part.get("drop_missing_thresh"), promote=part.get("promote_numeric", False),
+        multi_line=part.get("multi_line", False),
     )
 
 
 def variants_of(spec: Mapping) -> list[tuple[str, str, Variant]]:
     """(key, base model, variant) of everything to train, reduced variants after plain ones."""
-    winsor = set(spec.get("outliers", {}).get("apply_to", ()))
-    flat = set(spec.get("multicollinearity", {}).get("apply_to", ()))
-    reduced = set(spec.get("pca", {}).get("apply_to", ()))
-    dropped = spec.get("feature_engineering", {}).get("drop_cols_for", {})
+    winsor, flat, reduced = (set(section(spec, s).get("apply_to") or ()) for s in ("outliers", "multicollinearity", "pca"))
+    fe = section(spec, "feature_engineering")
+    dropped = {m: list(names) for m, names in (fe.get("drop_cols_for") or {}).items()}
+    for m in (fe.get("drop_raw_fare_for") or ()) if fe.get("enabled") else ():
+        dropped.setdefault(m, []).append("Fare")
     out = []
     for name in spec["models"]["active"]:
         plain = Variant(name in winsor, name in flat, tuple(dropped.get(name, ())))
@@ -142,19 +185,19 @@ def prepare(spec: Mapping, raw: DataFrame) -> tuple[Prepared, DataFrame, DataFra
     frame the caller has to unpersist.
     """
     check_spec(spec)
-    loader, id_col = loader_of(spec), spec["loader"]["id_col"]
+    loader, id_col = loader_of(spec), id_of(spec)
     target = loader.target
     table = loader.prepare(raw)
     keep = [id_col, target]
 
-    fe = spec.get("feature_engineering", {})
+    fe = section(spec, "feature_engineering")
     features = None
     if fe.get("enabled"):
         preset = fe.get("preset", "passenger")
         features = (FEATURE_PRESETS[preset]() if isinstance(preset, str) else preset).fit(table)
     derived = table if features is None else features.transform(table)
 
-    cl = spec.get("cleaner", {})
+    cl = section(spec, "cleaner")
     imputer = Imputer(
         cl.get("num_strategy", "median"), cl.get("cat_strategy", "unknown"), cl.get("knn_neighbors", 5)
     ).fit(derived, exclude=keep, id_col=id_col)
@@ -171,28 +214,28 @@ def prepare(spec: Mapping, raw: DataFrame) -> tuple[Prepared, DataFrame, DataFra
     nums = numeric_columns(cleaned_folds, meta)
 
     outliers = None
-    if "outliers" in spec:
+    if section(spec, "outliers"):
         o = spec["outliers"]
         outliers = Outliers(
             o.get("detection", "iqr"), o.get("treatment", "winsorization"), o.get("iqr_threshold", 1.5),
             o.get("zscore_threshold", 3.0), tuple(o.get("cols") or nums),
         ).fit(cleaned_folds)
     collinear = None
-    if "multicollinearity" in spec:
+    if section(spec, "multicollinearity"):
         m = spec["multicollinearity"]
         both = any(v.winsor and v.decollinear for _, _, v in plan) and outliers is not None
         seen = outliers.transform(cleaned_folds) if both else cleaned_folds
         collinear = Collinear(m.get("threshold", 0.85), m.get("drop", True), nums).fit(seen)
 
     prepared = Prepared(loader, id_col, features, imputer, outliers, collinear, {}, labels)
-    e = spec.get("encoder", {})
+    e = section(spec, "encoder")
     encoder = Encoder(e.get("num_strategy", "standard"), e.get("cat_strategy", "ohe"))
     prepared.encoders[(False, False)] = encoder.fit(cleaned_folds, meta)
     for winsor in {v.winsor for _, _, v in plan if v.decollinear}:
         df = outliers.transform(cleaned_folds) if winsor and outliers else cleaned_folds
         df = collinear.transform(df) if collinear else df
         prepared.encoders[(winsor, True)] = encoder.fit(df, meta)
-    share = spec.get("pca", {}).get("n_components", 0.95)
+    share = section(spec, "pca").get("n_components", 0.95)
     for _, _, v in plan:
         if v.pca and v not in prepared.reducers:
             plain = Variant(v.winsor, v.decollinear, v.drop_cols)
@@ -299,13 +342,13 @@ def score_side_by_side(
 def fit_workflow(spec: Mapping, raw: DataFrame, reports: bool = False) -> FittedWorkflow:
     """Prepare, search every active model and its variants, then form the vote."""
     prepared, cleaned, cached = prepare(spec, raw)
-    models, cache = spec["models"], spec.get("model_cache", {})
+    models, cache = spec["models"], section(spec, "model_cache")
     scoring, seed = models.get("scoring", "f1_weighted"), models.get("random_state", 42)
     meta = [prepared.id_col, LABEL, FOLD]
     digest = store.config_hash(spec, spec["loader"].get("train_path"), raw) if cache.get("enabled") else ""
     entries: dict[str, Entry] = {}
     copies: dict[str, list[TrainedModel]] = {}
-    ens = spec.get("ensemble", {})
+    ens = section(spec, "ensemble")
     wanted = list(ens.get("members", models["active"])) if ens.get("enabled") else []
     try:
         for key, base, variant in variants_of(spec):

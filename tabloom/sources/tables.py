@@ -87,12 +87,13 @@ class Loader:
     drop_cols: Sequence[str] = field(default_factory=tuple)
     drop_missing_thresh: float | None = None
     promote: bool = False
+    multi_line: bool = False  # line breaks inside quoted CSV cells
 
     def load(self, spark: SparkSession) -> DataFrame:
         if not self.path:
             raise ValueError("a source path is needed")
         if self.format == "csv":
-            df = read_csv(spark, self.path, self.schema)
+            df = read_csv(spark, self.path, self.schema, multi_line=self.multi_line)
         else:
             df = nan_to_null(spark.read.format(self.format).load(self.path))
         return self.prepare(df)
