@@ -209,8 +209,9 @@ def class_balance_unlabelled(spark, sf_dir):
 @query
 def target_distribution(spark, sf_dir):
     found = profile.info(table(spark, sf_dir, "orders").drop("o_orderdate"), "o_orderstatus")
-    rows = [(k, n, found["rows"], found["features"]) for k, n in found["target_distribution"].items()]
-    return spark.createDataFrame(rows, "value string, count long, rows long, features int")
+    return found["target_counts"].select(
+        col("value"), col("count"), F.lit(found["rows"]).cast("long").alias("rows"), F.lit(found["features"]).alias("features")
+    )
 
 
 @query
