@@ -4,16 +4,18 @@ For each language a suffix automaton is built over labelled text. A text is pars
 match that starts where the last one ended. The fewer phrases a letter takes, weighted by the bits that name a place in the
 training text, the closer the language; the language with the lowest cost wins.
 
-Fitting reads a bounded sample of the labelled rows of every language: up to `SAMPLE_ROWS` documents, chosen by a hash of their id,
+Fitting reads a bounded sample of the labelled rows of every language: up to `SAMPLE_ROWS` documents, chosen by a hash of their id and text,
 and up to `SAMPLE_CHARS` letters of them, in windows of `WINDOW` letters that are spread over each whole text. The automata have at
 most 3 x SAMPLE_CHARS arcs a language and are stored by arcs, so their size depends neither on the corpus nor on the alphabets.
 Languages are sent and scored `GROUP` at a time; a task holds the automata of one group. Scoring reads every whole text. Texts are lower-cased; what isn't a letter ends a word,
-and runs of such characters count as one. Parsing goes through stretches of `STRETCH` characters in lockstep, so a phrase
-ends where a stretch does.
+and runs of such characters count as one. Stretches of `STRETCH` characters are parsed in lockstep; then the phrase that is open at the
+end of a stretch is followed into the next one until a phrase begins where one begins there too. From that place on both
+parses are the same, so the phrases are the longest matches of the whole text, wherever it was cut.
 
 A text that is null or has no letter is `und`, with score 0. Ties go to the language that comes first in order. The score is
 the lead of the winner: 1 - its cost / the next one's (1 if there is one language only). Without labelled rows every text
-is `und`. Rows with a null label teach nothing; every row gives one row, repeated rows as well.
+is `und`. Rows with a null label teach nothing; repeated rows teach once, those of a null id like any others; every row gives one
+row, repeated rows as well.
 """
 
 from __future__ import annotations
@@ -31,7 +33,7 @@ from pyspark.sql import functions as F
 
 from tabloom.llm.frames import small, strings
 
-SAMPLE_ROWS, SAMPLE_CHARS, WINDOW, GROUP, STRETCH = 200, 20_000, 40, 64, 128
+SAMPLE_ROWS, SAMPLE_CHARS, WINDOW, GROUP, STRETCH = 200, 20_000, 40, 64, 512
 UNKNOWN = "und"
 
 #: Anything but letters and the few numerals that aren't digits.
@@ -136,37 +138,74 @@ class Parser:
     def _codes(self, text: str) -> np.ndarray:
         return self.code[np.frombuffer(text.encode("utf-32-le"), np.uint32)]
 
-    def costs(self, texts: list[str]) -> np.ndarray:
+    def costs(self, texts: list[str], stretch: int = STRETCH) -> np.ndarray:
         """Bits a character of each text (rows) in each language (columns); nan without letters."""
         sizes = np.array([len(t) for t in texts], np.int64)
         flat = self._codes("".join(texts))
-        pieces = -(-sizes // STRETCH)
+        pieces = -(-sizes // stretch)
         owner = np.repeat(np.arange(len(texts)), pieces)
-        first = np.cumsum(sizes) - sizes
+        ends = np.cumsum(sizes)
         nth = np.arange(owner.size) - np.repeat(np.cumsum(pieces) - pieces, pieces)
-        begin = first[owner] + nth * STRETCH
-        length = np.minimum(STRETCH, sizes[owner] - nth * STRETCH)
+        begin = (ends - sizes)[owner] + nth * stretch
+        length = np.minimum(stretch, sizes[owner] - nth * stretch)
         order = np.argsort(-length, kind="stable")
-        begin, length, owner = begin[order], length[order], owner[order]
-        alive = np.searchsorted(-length, -np.arange(STRETCH), "left")  # stretches longer than each position
+        alive = np.searchsorted(-length[order], -np.arange(stretch), "left")  # stretches longer than each position
+        places = [begin[order[:n]] + t for t, n in enumerate(alive.tolist()) if n]
+        symbols = [flat[at] for at in places]
+        later = np.flatnonzero(nth)
         out = np.full((len(texts), len(self.languages)), np.nan)
-        symbols = [flat[begin[:n] + t] for t, n in enumerate(alive.tolist()) if n]
         for k, (arcs, bits) in enumerate(zip(self.arcs, self.bits)):
-            state, phrases = np.zeros(owner.size, np.int32), np.zeros(owner.size, np.int32)
-            for symbol in symbols:
+            state, starts = np.zeros(owner.size, np.int32), np.zeros(flat.size, bool)
+            for at, symbol in zip(places, symbols):
                 n = symbol.size
                 to = arcs.step(state[:n], symbol)
                 miss = to == 0
-                phrases[:n] += miss | (state[:n] == 0)
+                starts[at] = miss | (state[:n] == 0)
                 again = symbol[miss]
                 to[miss] = arcs.step(np.zeros_like(again), again)
                 state[:n] = to
-            total = np.bincount(owner, phrases, len(texts))
+            left = np.empty_like(state)
+            left[order] = state
+            open_ = later[arcs.step(left[later - 1], flat[begin[later]]) > 0]
+            counts = np.concatenate([[0], np.cumsum(starts)])
+            total = counts[ends] - counts[ends - sizes]
+            extra = _joined(arcs, flat, starts, begin[open_], left[open_ - 1], ends[owner[open_]])
+            np.add.at(total, owner[open_], extra)
             with np.errstate(invalid="ignore", divide="ignore"):
                 out[:, k] = np.where(sizes > 0, total * bits / sizes, np.nan)
         return out
 
 
+def _joined(arcs: Arcs, flat: np.ndarray, starts: np.ndarray, begin: np.ndarray, states: np.ndarray, end: np.ndarray) -> list[int]:
+    """By how many phrases each phrase that goes on over the border at `begin` changes the count of its text.
+
+    The walk from a border ends where a phrase starts in both parses; borders that an earlier walk has passed change nothing more.
+    """
+    base, own, target = memoryview(arcs.base), memoryview(arcs.own), memoryview(arcs.target)
+    symbols, marks = memoryview(flat), memoryview(starts)
+    out, p = [], 0
+    for first, state, stop in zip(begin.tolist(), states.tolist(), end.tolist()):
+        change = 0
+        if first >= p:
+            p = first
+            while p < stop:
+                c = symbols[p]
+                at = base[state] + c
+                to = target[at] if own[at] == state else 0
+                if not (state and to):  # a phrase starts here
+                    if marks[p]:
+                        p += 1  # a border here is settled
+                        break
+                    change += 1
+                    to = target[base[0] + c] if own[base[0] + c] == 0 else 0
+                elif marks[p]:
+                    change -= 1
+                state = to
+                p += 1
+        out.append(change)
+    return out
+
+
 def decide(languages: list[str], costs: np.ndarray) -> tuple[list[str], np.ndarray]:
     """The language and score of each row of costs."""
     if not languages:
@@ -195,15 +234,14 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
             yield pa.RecordBatch.from_arrays([batch.column(0), texts], ["lang", "text"])
 
     def sampled(own: pa.Table) -> pa.Table:
-        texts = sorted(own.column("text").to_pylist())[: 2 * rows]
+        texts = sorted(own.column("text").to_pylist())
         return pa.table({"lang": own.column("lang")[:1], "text": pa.array([sample(texts, chars)], pa.string())})
 
     named = labelled.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
-        F.col(lang_col).cast("string").alias("lang"), F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text"))
-    nth = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id"))
-    ids = named.select("lang", "id").withColumn("nth", nth).where(F.col("nth") <= rows)
-    # rows x languages at most
-    taken = named.join(F.broadcast(ids.select("lang", "id")), ["lang", "id"], "left_semi")
+        F.col(lang_col).cast("string").alias("lang"), F.xxhash64(F.col(id_col).cast("string"), F.col(text_col)).alias("h"), F.col(text_col).alias("text"))
+    nth = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
+    keys = named.select("lang", "h").distinct().withColumn("nth", nth).where(F.col("nth") <= rows).select("lang", "h")
+    taken = named.join(keys, ["lang", "h"], "left_semi").dropDuplicates(["lang", "h"])
     short = taken.select("lang", "text").mapInArrow(bare, "lang string, text string")
     held = short.groupBy("lang").applyInArrow(sampled, "lang string, text string").collect()
     return Parser({r["lang"]: r["text"] for r in held})

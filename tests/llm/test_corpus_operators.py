@@ -252,24 +252,35 @@ def test_language_of_held_out_rows(spark, documents):
     assert all(0 <= r["score"] <= 1 for r in got.values())
 
 
-def test_phrases_are_longest_matches():
+@pytest.mark.parametrize("stretch", [1, 2, 7, 64, langid.STRETCH])
+def test_phrases_are_longest_matches_wherever_a_text_is_cut(stretch):
     rng = random.Random(8)
     samples = {lang: " ".join(rng.choice(w) for _ in range(150)) for lang, w in LANGUAGES.items()}
+    samples["runs"] = "aaaaa b " * 3
     parser = langid.Parser(samples)
-    texts = [langid.letters(r[1]) for r in language_rows(30)] + ["qqq zzz", "a", "w" * 300]
-    for row, text in zip(parser.costs(texts), texts):
+    texts = [langid.letters(r[1]) for r in language_rows(30)] + ["", "qqq zzz", "a", "w" * 300, "a" * 2_000, samples["de"] * 3, ""]
+    for row, text in zip(parser.costs(texts, stretch), texts):
+        if not text:
+            assert np.isnan(row).all()
+            continue
         for cost, lang in zip(row, parser.languages):
-            phrases = 0
-            for begin in range(0, len(text), langid.STRETCH):
-                part, i = text[begin : begin + langid.STRETCH], 0
-                while i < len(part):
-                    j = i
-                    while j < len(part) and part[i : j + 1] in samples[lang]:
-                        j += 1
-                    i, phrases = max(j, i + 1), phrases + 1
+            phrases = i = 0
+            while i < len(text):
+                j = i
+                while j < len(text) and text[i : j + 1] in samples[lang]:
+                    j += 1
+                i, phrases = max(j, i + 1), phrases + 1
             assert cost == pytest.approx(phrases * np.log2(len(samples[lang])) / len(text))
 
 
+def test_one_id_of_many_texts_teaches_once_a_text(spark, documents):
+    rows = language_rows(60)
+    one_id = documents([(None if i % 2 else 7, text, lang, source) for i, text, lang, source in rows])
+    parser = langid.fit(one_id.unionByName(one_id), rows=30)
+    got = {r["doc_id"]: r["lang_pred"] for r in langid.identify(documents(rows), parser).collect()}
+    assert parser.languages == sorted(LANGUAGES) and np.mean([got[i] == lang for i, _, lang, _ in rows]) > 0.95
+
+
 def test_language_of_awkward_rows(spark, documents, awkward):
     rows = [*awkward, (30, "12 34 !!", "en", "a"), (31, "½²", "en", "a")]
     df = documents(rows)
