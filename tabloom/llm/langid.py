@@ -32,9 +32,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabloom.llm.frames import small, strings
+from tabloom.session import checkpointed
 
 SAMPLE_ROWS, SAMPLE_CHARS, WINDOW, GROUP, STRETCH = 200, 20_000, 40, 64, 512
 UNKNOWN = "und"
+MAX_SENT_KEYS = 200_000  # some 10 MB: a thousand labels
 
 #: Anything but letters and the few numerals that aren't digits.
 _OTHER = re.compile(r"[\W\d_]+")
@@ -239,8 +241,13 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
 
     named = labelled.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
         F.col(lang_col).cast("string").alias("lang"), F.xxhash64(F.col(id_col).cast("string"), F.col(text_col)).alias("h"), F.col(text_col).alias("text"))
-    nth = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
-    keys = named.select("lang", "h").distinct().withColumn("nth", nth).where(F.col("nth") <= rows).select("lang", "h")
+    keys = named.select("lang", "h", F.pmod("h", F.lit(16)).alias("part")).distinct()
+    for within in (["lang", "part"], ["lang"]):  # few rows are left to the one task of a label
+        nth = F.row_number().over(Window.partitionBy(*within).orderBy("h"))
+        keys = keys.withColumn("nth", nth).where(F.col("nth") <= rows).drop("nth")
+    keys = checkpointed(keys.select("lang", "h"))
+    if keys.count() <= MAX_SENT_KEYS:
+        keys = F.broadcast(keys)
     taken = named.join(keys, ["lang", "h"], "left_semi").dropDuplicates(["lang", "h"])
     short = taken.select("lang", "text").mapInArrow(bare, "lang string, text string")
     held = short.groupBy("lang").applyInArrow(sampled, "lang string, text string").collect()
