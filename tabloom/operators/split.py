@@ -1,8 +1,12 @@
-"""Exact stratified splits and folds that compile to a row-level expression.
+"""Exact stratified splits and folds.
 
 Fitting finds, per class, the key at which each part ends; applying compares a row's
-key with those ends. No row is shuffled to assign it, and a row keeps its part however
-the frame is partitioned. ``id_col`` must be unique.
+key with those ends, so a row keeps its part however the frame is partitioned. A few
+classes with numeric keys compile to a row-level expression. Many classes, ids that are
+ordered as text and ids that repeat where a part ends take a table of ends: rows are
+counted over ranges of (class, key, id, row), and only ranges in which a part ends are
+read closely. Rows of one id may part; rows equal in every column stay together, in the
+part of the first of them.
 """
 
 from __future__ import annotations
@@ -15,9 +19,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.kinds import col
+from ..session import checkpointed
+from .dictionary import COMMON, MAX_SENT_BYTES, look_up
 from .quantiles import Slot, order_statistics
 
-MAX_CLASSES = 1000
+MAX_LITERAL_CLASSES = 200  # more than that are looked up
+MAX_CLASSES = 1_000_000  # their sizes are shared out on the driver
 
 
 @dataclass(frozen=True)
@@ -58,6 +65,69 @@ class Parts:
         return df.withColumn(output, out.cast("int"))
 
 
+@dataclass(frozen=True)
+class TableParts:
+    """Part ends per class as a table (value, found, common), ``found`` holding the parts that are empty and the ends."""
+
+    id_col: str
+    label: str | None
+    seed: int | None
+    row_cols: tuple[str, ...]
+    table: DataFrame
+    sent: bool
+
+    def assign(self, df: DataFrame, output: str) -> DataFrame:
+        """Add the 0-based part number of each row."""
+        order = [c for c in df.columns if c != output]
+        cls = F.lit("") if self.label is None else col(self.label)
+        found = look_up(df, cls, self.table, "__ends", self.sent)
+        at = _place(df, self.id_col, self.seed, self.row_cols)
+        passed = F.size(F.filter("__ends.ends", lambda end: at > end))
+        return found.withColumn(output, F.col("__ends.empty") + passed).select(*[f"`{c}`" for c in order], output)
+
+
+def _place(df: DataFrame, id_col: str, seed: int | None, row_cols: tuple[str, ...]) -> Column:
+    """What rows are ordered by: key, id, then the whole row."""
+    textual = seed is None and not isinstance(df.schema[id_col].dataType, (T.NumericType, T.TimestampType, T.DateType))
+    key = F.lit(0.0) if textual else _order_key(df, id_col, seed)
+    return F.struct(key.alias("key"), col(id_col).alias("id"), F.xxhash64(*[col(c) for c in row_cols]).alias("row"))
+
+
+def _fit_table(df: DataFrame, label: str | None, id_col: str, seed: int | None, ends: dict, sizes: dict) -> TableParts:
+    """Ends of parts for any number of classes and any ids."""
+    spark = df.sparkSession
+    row_cols = tuple(f.name for f in df.schema if not isinstance(f.dataType, (T.MapType, T.VariantType)))
+    cls = F.lit("") if label is None else col(label)
+    kind = "string" if label is None else df.schema[label].dataType.simpleString()
+    rows = df.select(cls.alias("c"), _place(df, id_col, seed, row_cols).alias("at")).groupBy("c", "at").agg(F.count(F.lit(1)).alias("n"))
+    ordered = checkpointed(rows.repartitionByRange("c", "at")).withColumn("range", F.spark_partition_id())
+    ranges = ordered.groupBy("c", "range").agg(F.sum("n").alias("n"))
+    earlier = Window.partitionBy("c").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = ranges.withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
+    wanted = [("" if c is None else c, e) for c, own in ends.items() for e in sorted(set(own)) if e > 0]
+    ends_at = spark.createDataFrame(wanted, f"c {kind}, end long")
+    inside = (F.col("before") < F.col("end")) & (F.col("end") <= F.col("before") + F.col("n"))
+    near = checkpointed(ranges.join(ends_at, "c").where(inside).select("c", "range", "before", "end"))
+    begun = ordered.join(near.select("c", "range", "before").distinct(), ["c", "range"])
+    upto = F.col("before") + F.sum("n").over(
+        Window.partitionBy("c", "range").orderBy("at").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    counted = begun.select("c", "range", "at", "n", upto.alias("upto"))
+    last = counted.join(near.select("c", "range", "end"), ["c", "range"]).where(
+        (F.col("upto") - F.col("n") < F.col("end")) & (F.col("end") <= F.col("upto")))
+    found = last.groupBy("c").agg(F.collect_list(F.struct("end", "at")).alias("found"))
+    total = sum(sizes.values())
+    shape = spark.createDataFrame(
+        [("" if c is None else c, sizes[c], list(own)) for c, own in ends.items()], f"c {kind}, n long, own array<long>")
+    each = F.flatten(F.transform("own", lambda e: F.transform(F.filter("found", lambda f: f["end"] == e), lambda f: f["at"])))
+    empty = F.size(F.filter("own", lambda e: e == 0))
+    none = F.array().cast(last.select(F.array("at").alias("a")).schema["a"].dataType)
+    table = checkpointed(shape.join(found, "c", "left").select(
+        F.col("c").alias("value"), F.struct(empty.alias("empty"), F.coalesce(each, none).alias("ends")).alias("found"),
+        (F.col("n") * COMMON > total).alias("common")))
+    size = table.agg(F.sum(64 + F.octet_length(F.to_json("found")) + F.octet_length(F.col("value").cast("string"))).alias("b")).first()["b"]
+    return TableParts(id_col, label, seed, row_cols, table, (size or 0) <= MAX_SENT_BYTES)
+
+
 def _order_key(df: DataFrame, id_col: str, seed: int | None) -> Column:
     """Seeded hash order, or id order without a seed, as an exact double."""
     if seed is not None:
@@ -65,13 +135,11 @@ def _order_key(df: DataFrame, id_col: str, seed: int | None) -> Column:
     kind = df.schema[id_col].dataType
     if isinstance(kind, (T.TimestampType, T.DateType)):
         return F.unix_micros(col(id_col).cast("timestamp")).cast("double")
-    if not isinstance(kind, T.NumericType):
-        raise ValueError("id order needs a numeric or time id_col; pass a seed for hash order")
     return col(id_col).cast("double")
 
 
 def _class_sizes(df: DataFrame, label: str | None, id_col: str) -> list[tuple]:
-    """(class, rows) ordered by first appearance in id order."""
+    """(class, rows) ordered by first appearance in id order, then by name."""
     if label is None:
         return [(None, df.count())]
     rows = (
@@ -82,11 +150,14 @@ def _class_sizes(df: DataFrame, label: str | None, id_col: str) -> list[tuple]:
         raise ValueError(f"more than {MAX_CLASSES} classes in {label!r}")
     if any(r["c"] is None for r in rows):
         raise ValueError(f"{label!r} has missing labels")
-    return [(r["c"], r["n"]) for r in sorted(rows, key=lambda r: r["first"])]
+    return [(r["c"], r["n"]) for r in sorted(rows, key=lambda r: (r["first"] is not None, r["first"], str(r["c"])))]
 
 
-def _fit(df: DataFrame, label: str | None, id_col: str, seed: int | None, ends: dict, sizes: dict) -> Parts:
+def _fit(df: DataFrame, label: str | None, id_col: str, seed: int | None, ends: dict, sizes: dict) -> Parts | TableParts:
     """``ends``: class -> number of rows up to the end of each part but the last."""
+    textual = not isinstance(df.schema[id_col].dataType, (T.NumericType, T.TimestampType, T.DateType))
+    if len(ends) > MAX_LITERAL_CLASSES or seed is None and (textual or df.where(col(id_col).isNull()).head(1)):
+        return _fit_table(df, label, id_col, seed, ends, sizes)
     key = _order_key(df, id_col, seed)
     classes = list(ends)
 
@@ -98,6 +169,8 @@ def _fit(df: DataFrame, label: str | None, id_col: str, seed: int | None, ends:
     ]
     order_statistics(df, slots)
     wanted = {(c, v) for c, s in zip(classes, slots) for v in set(s.found.values())}
+    if _repeated(df, id_col, key, wanted):
+        return _fit_table(df, label, id_col, seed, ends, sizes)
     last: dict[tuple, dict] = _tied(df, label, id_col, key, classes, wanted)
     cuts = {}
     for c, s in zip(classes, slots):
@@ -112,6 +185,14 @@ def _fit(df: DataFrame, label: str | None, id_col: str, seed: int | None, ends:
     return Parts(id_col, label, seed, cuts)
 
 
+def _repeated(df: DataFrame, id_col: str, key: Column, wanted: set) -> bool:
+    """Whether an id repeats, or is missing, where a part ends."""
+    if not wanted:
+        return False
+    rows = df.where(key.isin([v for _, v in wanted])).select(col(id_col).alias("i"))
+    return bool(rows.groupBy("i").agg(F.count(F.lit(1)).alias("n")).where("n > 1 OR i IS NULL").head(1))
+
+
 def _tied(df, label, id_col, key, classes, wanted) -> dict:
     """For cut keys shared by several rows: a frame of those rows in id order."""
     if not wanted:

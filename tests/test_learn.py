@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tabloom.operators import evaluate as ev
 from tabloom.operators.ensemble import hard_vote, member_weights, soft_vote
 from tabloom.operators.models import FULL_GRIDS, TrainedModel, assemble, train
+from tabloom.operators import split
 from tabloom.operators.split import Splitter, add_folds, fold_sizes, share_out
 from tabloom.plans import queries
 from tabloom.plans.workflow import check_spec, fit_workflow, variants_of
@@ -57,6 +58,61 @@ def test_folds_with_ids_beyond_double_precision(spark):
     assert all(r["count"] == 5 for r in sizes) and len(sizes) == 8
 
 
+def parts_by_hand(rows, k):
+    """Fold sizes of classes by smallest id, then name, dealt in id order: (y, id) -> folds."""
+    ids = {}
+    for i, y in rows:
+        ids.setdefault(y, []).append(i)
+    classes = sorted(ids, key=lambda y: (min(ids[y]), str(y)))
+    out = {}
+    for y, sizes in zip(classes, fold_sizes([len(ids[y]) for y in classes], k)):
+        folds = [f for f, n in enumerate(sizes) for _ in range(n)]
+        for i, f in zip(sorted(ids[y]), folds):
+            out.setdefault((y, i), []).append(f)
+    return out
+
+
+def held_parts(frame):
+    out = {}
+    for r in frame.collect():
+        out.setdefault((r["y"], r["id"]), []).append(r["fold"])
+    return {k: sorted(v) for k, v in out.items()}
+
+
+@pytest.mark.parametrize("sent_bytes", [8 << 20, 0])
+def test_folds_and_splits_of_5000_classes(spark, monkeypatch, sent_bytes):
+    monkeypatch.setattr(split, "MAX_SENT_BYTES", sent_bytes)
+    df = spark.range(40_000).select("id", F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 5_000).alias("y"))
+    got = held_parts(add_folds(df.repartition(5), "y", "id", 4))
+    assert got == parts_by_hand([(r["id"], r["y"]) for r in df.collect()], 4)
+    test_part = Splitter(0.25).split(df, "id", "y")[1]
+    assert test_part.count() == 10_000
+    off = test_part.groupBy("y").count().withColumnRenamed("count", "t").join(df.groupBy("y").count(), "y", "right")
+    assert off.where("abs(coalesce(t, 0) - count / 4) >= 1").count() == 0
+
+
+@pytest.mark.parametrize("classes", [3, 300])
+def test_text_ids_and_repeated_ids_are_dealt_exactly(spark, classes):
+    df = spark.range(6_000).select(
+        F.concat(F.lit("k"), F.lpad((F.col("id") * 7919 % 6_000).cast("string"), 5, "0")).alias("id"), (F.col("id") % classes).alias("y"))
+    rows = [(r["id"], r["y"]) for r in df.collect()]
+    assert held_parts(add_folds(df, "y", "id", 3)) == parts_by_hand(rows, 3)
+    repeated = spark.range(6_000).select(
+        F.when(F.col("id") % 3 == 0, 5).otherwise(F.col("id") % 900).alias("id"), (F.col("id") % classes).alias("y"), F.col("id").alias("x"))
+    rows = [(r["id"], r["y"]) for r in repeated.collect()]
+    assert held_parts(add_folds(repeated, "y", "id", 3)) == parts_by_hand(rows, 3)
+    marked = Splitter(0.2).assign(repeated, "id", "y")
+    assert marked.where("is_test = 1").count() == 1_200
+    again = Splitter(0.2).assign(repeated.repartition(7, "x"), "id", "y")
+    assert marked.where("is_test = 1").select("x").exceptAll(again.where("is_test = 1").select("x")).count() == 0
+
+
+def test_equal_rows_and_missing_ids_keep_one_part(spark):
+    df = spark.createDataFrame([(1, "a")] * 7 + [(2, "a"), (None, "a"), (3, "a")], "id int, y string")
+    got = held_parts(add_folds(df, "y", "id", 2))
+    assert got == {("a", None): [0], ("a", 1): [0] * 7, ("a", 2): [1], ("a", 3): [1]}
+
+
 def test_threshold_scan_golden(spark):
     df = spark.createDataFrame([(1, 0.9), (1, 0.45), (0, 0.4), (0, 0.6), (1, 0.35)], "label int, probability double")
     scan = {r["threshold"]: r for r in ev.threshold_scan(df).collect()}
