@@ -293,13 +293,24 @@ def _fold_counts(table: str, label: str, key: str, k: int = 5) -> dict[str, str]
     """Rows of class c in fold i: how many places i, i+k, .. the class covers when sorted."""
     return {
         "c": f"SELECT {label} AS cls, count(*) AS n, min({key}) AS first FROM {table} GROUP BY {label}",
-        "z": "SELECT *, sum(n) OVER (ORDER BY first) - n AS start FROM c",
+        "z": "SELECT *, sum(n) OVER (ORDER BY first, CAST(cls AS VARCHAR)) - n AS start FROM c",
         "s": f"""SELECT cls, i, CAST(greatest((start + n - i + {k - 1}) // {k}, 0)
                         - greatest((start - i + {k - 1}) // {k}, 0) AS BIGINT) AS size
                  FROM z, (SELECT unnest(range({k})) AS i)""",
     }
 
 
+def _folds_of(source: str, table: str, label: str, key: str, out: str) -> str:
+    """Folds by place in id order; ``source`` is a query of (key, label)."""
+    return with_tables(
+        out, **{table: source} if source else {}, **_fold_counts(table, label, key),
+        e="SELECT cls, i, sum(size) OVER (PARTITION BY cls ORDER BY i) AS upto FROM s",
+        l=f"SELECT {key}, {label}, row_number() OVER (PARTITION BY {label} ORDER BY {key}) AS pos FROM {table}",
+        f=f"""SELECT {key}, {label}, pos, CAST(min(i) AS INTEGER) AS fold FROM l JOIN e ON cls = {label} AND pos <= upto
+              GROUP BY {key}, {label}, pos""",
+    )
+
+
 def _folds_in_order() -> str:
     return with_tables(
         """SELECT doc_id, quality, CAST(min(i) AS INTEGER) AS fold FROM (
@@ -595,6 +606,13 @@ def equivalents() -> dict[str, str]:
             "SELECT cls AS o_orderstatus, CAST(i AS INTEGER) AS fold, size AS rows FROM s",
             **_fold_counts("orders", "o_orderstatus", "o_orderkey"),
         ),
+        "folds_many": _folds_of("", "orders", "o_custkey", "o_orderkey", "SELECT o_orderkey, o_custkey, fold FROM f"),
+        "folds_text_ids": _folds_of(
+            "SELECT CAST(o_orderkey AS VARCHAR) AS order_id, o_orderpriority FROM orders", "t", "o_orderpriority", "order_id",
+            "SELECT order_id, o_orderpriority, fold FROM f"),
+        "folds_repeated_ids": _folds_of(
+            "", "lineitem", "l_returnflag", "l_orderkey",
+            "SELECT l_orderkey, l_returnflag, fold, count(*) AS rows FROM f GROUP BY l_orderkey, l_returnflag, fold"),
         "confusion": with_tables(
             "SELECT label, prediction, count(*) AS count FROM d GROUP BY label, prediction", d=SCORED
         ),

@@ -573,6 +573,26 @@ def folds_shuffled(spark, sf_dir):
     return _sizes(folds, "o_orderstatus", "fold")
 
 
+@query
+def folds_many(spark, sf_dir):
+    """As many classes as customers."""
+    return add_folds(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"), "o_custkey", "o_orderkey", 5)
+
+
+@query
+def folds_text_ids(spark, sf_dir):
+    """In the order of ids that are text."""
+    df = table(spark, sf_dir, "orders").select(col("o_orderkey").cast("string").alias("order_id"), "o_orderpriority")
+    return add_folds(df, "o_orderpriority", "order_id", 5)
+
+
+@query
+def folds_repeated_ids(spark, sf_dir):
+    """Lines by order: an order in which a fold ends is parted by its rows."""
+    folds = add_folds(table(spark, sf_dir, "lineitem"), "l_returnflag", "l_orderkey", 5)
+    return _sizes(folds, "l_orderkey", "l_returnflag", "fold")
+
+
 # ---- evaluation and voting on given scores --------------------------------------
 
 
