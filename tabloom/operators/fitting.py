@@ -32,13 +32,14 @@ _MASK = (1 << 64) - 1
 
 @dataclass
 class Rows:
-    """Rows that a task holds: their numbers, cells, labels and folds, and what fits keep about them meanwhile."""
+    """Rows that a task holds: their numbers, cells, labels and folds, what a fit keeps about them meanwhile, and what all fits share."""
 
     id: np.ndarray
     x: np.ndarray
     y: np.ndarray
     fold: np.ndarray
     kept: dict = field(default_factory=dict)
+    shared: dict = field(default_factory=dict)
 
 
 class Fit:
@@ -108,12 +109,12 @@ def alone(fit: Fit, rows: Rows) -> object:
         return end.value
 
 
-def fit_together(table: DataFrame, fits: Sequence[Fit], kind: str) -> list:
+def fit_together(table: DataFrame, fits: Sequence[Fit], kind: str, width: int = 0) -> list:
     """The results of all fits over `table`: id long, x binary (cells of the numpy type `kind`), label double, fold int.
 
-    The table is read in every round and should be cached or checkpointed.
+    The table is read in every round and should be cached or checkpointed. `width` is the bytes of a row as fits see it, if they are more.
     """
-    size = table.agg(F.sum(F.length("x") + 20)).first()[0] or 0
+    size = table.agg(F.sum(F.greatest(F.length("x"), F.lit(width)) + 20)).first()[0] or 0
     return _beside(table, fits, kind) if size <= SMALL_BYTES else _across(table, fits, kind)
 
 

@@ -3,13 +3,15 @@
 Minimised is C times the summed loss plus the penalty; the intercept isn't penalised. Losses are smooth: the logistic one, or the
 hinge with its corner rounded over a width that shrinks step by step to `WIDTHS[-1]`. Up to `SECOND_ORDER` columns a round
 sums gradient and curvature, and the next point solves the penalised quadratic model (coordinate by coordinate where the
-penalty has corners), halved until the target falls. Wider fits sum gradients only and take accelerated proximal steps. Both
-end at the same minimum, since the target is convex.
+penalty has corners). The same round sums the loss at shorter steps, in case the target doesn't fall over the whole one. Wider
+fits sum gradients only and take accelerated proximal steps. Both end at the same minimum, since the target is convex.
+
+A fit may read its rows through a map of their cells, which is taken in tasks, so that only the cells themselves are stored.
 """
 
 from __future__ import annotations
 
-from collections.abc import Generator, Mapping, Sequence
+from collections.abc import Generator, Iterator, Mapping, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -20,19 +22,35 @@ from pyspark.sql import functions as F
 from .fitting import Fit, Rows, fit_together, held_out_counts, packed_table
 
 SECOND_ORDER, WIDTHS, ROUNDS = 256, (1.0, 0.3, 0.1, 0.03, 0.01), 5_000
+#: Rows mapped at once, bytes of mapped rows that a task keeps, and the share of the steepest curvature below which a row's adds nothing.
+BLOCK, KEPT_BYTES, FLAT = 4096, 192 << 20, 1e-4
+#: Shorter steps tried in the round of a whole one.
+SHORTER = tuple(2.0**-k for k in range(1, 11))
 
 
-def _loss(margin: np.ndarray, width: float | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _loss(margin: np.ndarray, width: float | None, above: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Loss, slope and curvature at margins; a width of None is the logistic loss.
 
-    The hinge's curvature is that of the parabola which touches the loss here and lies above it elsewhere, so a step can't overshoot.
+    With `above` the hinge's curvature is that of the parabola which touches the loss here and lies above it elsewhere, so a step can't
+    overshoot. Its own curvature needs a tenth of the rounds; rows far from the corner have next to none, and it is left out.
     """
     if width is None:
         p = 1 / (1 + np.exp(np.clip(margin, -700, 700)))
         return np.logaddexp(0, -margin), -p, p * (1 - p)
     lack = 1 - margin
     far = np.sqrt(lack**2 + width**2)
-    return (far + lack) / 2, -(lack / far + 1) / 2, 1 / (2 * far)
+    curve = 1 / (2 * far)
+    if not above:
+        curve = curve * (width / far) ** 2
+        curve[curve < FLAT / (2 * width)] = 0.0
+    return (far + lack) / 2, -(lack / far + 1) / 2, curve
+
+
+def _loss_alone(margin: np.ndarray, width: float | None) -> float:
+    if width is None:
+        return float(np.logaddexp(0, -margin).sum())
+    lack = 1 - margin
+    return float((np.sqrt(lack**2 + width**2) + lack).sum() / 2)
 
 
 def _descent(a: np.ndarray, b: np.ndarray, w: np.ndarray, corner: float) -> np.ndarray:
@@ -57,29 +75,65 @@ def _descent(a: np.ndarray, b: np.ndarray, w: np.ndarray, corner: float) -> np.n
     return step
 
 
+def _blocks(rows: Rows, how) -> Iterator[tuple[slice, np.ndarray]]:
+    """Stretches of rows with their mapped cells and a column of ones; kept for all fits of the task if they take few bytes."""
+    own, n = ("blocks", how), len(rows.y)
+    if own in rows.shared:
+        yield from rows.shared[own]
+        return
+    kept, room = [], KEPT_BYTES - sum(x.nbytes for held in rows.shared.values() for _, x in held)
+    for i in range(0, n, BLOCK):
+        at = slice(i, min(i + BLOCK, n))
+        x = rows.x[at] if how is None else how.cells(rows.x[at])
+        x = np.c_[x, np.ones(len(x))]
+        kept = kept + [(at, x)] if kept is not None and x.nbytes * (n / len(x)) <= room else None
+        yield at, x
+    if kept:
+        rows.shared[own] = kept
+
+
 @dataclass
 class LinearFit(Fit):
-    """One point on all folds but one."""
+    """One point on all folds but one, or but some."""
 
     key: object
-    fold: int
+    fold: int | tuple[int, ...]
     columns: int
     point: Mapping
     hinge: bool = False
     second: bool = True
+    map: object = None
+
+    def _out(self, fold: np.ndarray) -> np.ndarray:
+        return np.isin(fold, self.fold) if isinstance(self.fold, tuple) else fold == self.fold
 
     def sums(self, rows: Rows, state) -> np.ndarray:
-        what, w, width = state
+        what, w, step, width, above = state
         if what == "score":
-            held = rows.fold == self.fold
-            return held_out_counts(rows.y[held], 1 / (1 + np.exp(-np.clip(rows.x[held] @ w[:-1] + w[-1], -700, 700))))
-        seen = rows.fold != self.fold
-        x, sign = np.c_[rows.x[seen], np.ones(seen.sum())], 2 * rows.y[seen] - 1
-        loss, slope, curve = _loss(sign * (x @ w), width)
-        out = [[loss.sum()], x.T @ (slope * sign)]
-        if self.second:
-            out.append(((x * curve[:, None]).T @ x).ravel())
-        return np.concatenate(out)
+            total = 0.0
+            for at, x in _blocks(rows, self.map):
+                held = self._out(rows.fold[at])
+                total = total + held_out_counts(rows.y[at][held], 1 / (1 + np.exp(-np.clip((x @ w)[held], -700, 700))))
+            return total if len(rows.y) else held_out_counts(rows.y, rows.y)
+        n = len(w)
+        loss, slopes, curves = np.zeros(1 + len(SHORTER)), np.zeros(n), np.zeros((n, n))
+        for at, x in _blocks(rows, self.map):
+            seen = ~self._out(rows.fold[at])
+            sign = 2 * rows.y[at] - 1
+            margin = sign * (x @ (w if step is None else w + step))
+            value, slope, curve = _loss(margin, width, above)
+            loss[0] += value[seen].sum()
+            slopes += x.T @ np.where(seen, slope * sign, 0.0)
+            if step is not None:
+                moved = (sign * (x @ step))[seen]
+                start = margin[seen] - moved
+                loss[1:] += [_loss_alone(start + t * moved, width) for t in SHORTER]
+            if self.second:
+                bent = np.flatnonzero(seen & (curve > 0))
+                scaled = x[bent]
+                scaled *= np.sqrt(curve[bent])[:, None]
+                curves += scaled.T @ scaled
+        return np.concatenate([loss, slopes, curves.ravel()] if self.second else [loss, slopes])
 
     @property
     def _parts(self) -> tuple[float, float, float]:
@@ -94,46 +148,64 @@ class LinearFit(Fit):
     def run(self) -> Generator:
         w = np.zeros(self.columns + 1)
         solve = self._newton if self.second else self._proximal
-        for width in WIDTHS if self.hinge else (None,):
-            w = yield from solve(w, width)
-        return w, ((yield "score", w, None) if self.fold >= 0 else None)
+        widths = WIDTHS if self.hinge else (None,)
+        for width in widths:
+            w = yield from solve(w, width, 1e-11 if width == widths[-1] else 1e-6)
+        return w, ((yield "score", w, None, None, False) if isinstance(self.fold, int) and self.fold >= 0 else None)
 
-    def _newton(self, w: np.ndarray, width: float | None) -> Generator:
-        (c, corner, ridge), n = self._parts, len(w)
+    def _newton(self, w: np.ndarray, width: float | None, least: float) -> Generator:
+        """Steps until the target falls by less than the share `least`."""
+        (c, corner, ridge), n, lengths = self._parts, len(w), len(SHORTER) + 1
         flat = np.r_[np.ones(n - 1), 0.0]
-        sums = yield "sums", w, width
+        above = False
+        sums = yield "sums", w, None, width, above
         value = self._target(sums[0], w)
         for _ in range(self.point.get("max_iter") or ROUNDS):
-            slope = c * sums[1 : n + 1] + ridge * flat * w
-            curve = c * sums[n + 1 :].reshape(n, n) + ridge * np.diag(flat)
+            slope = c * sums[lengths : lengths + n] + ridge * flat * w
+            curve = c * sums[lengths + n :].reshape(n, n) + ridge * np.diag(flat)
             curve = curve + np.eye(n) * (1e-9 * max(1.0, float(np.trace(curve)) / n))
-            step, scale = _descent(curve, slope, w, corner), 1.0
+            step = _descent(curve, slope, w, corner)
             fall = float(slope @ step) + corner * (np.abs((w + step)[:-1]).sum() - np.abs(w[:-1]).sum())
             while True:
-                sums = yield "sums", w + scale * step, width
-                new = self._target(sums[0], w + scale * step)
-                if new <= value + 1e-4 * scale * min(fall, 0.0) or scale < 1e-8:
+                sums = yield "sums", w, step, width, above
+                tried = [(t, self._target(loss, w + t * step)) for t, loss in zip((1.0, *SHORTER), sums)]
+                # corners bend the target along a step, so the fall of the whole step bounds that of a part of it
+                good = next((t for t, new in tried if new <= value + 1e-4 * t * min(fall, 0.0)), None)
+                if good is not None or np.abs(step).max() < 1e-8 * (1 + np.abs(w).max()):
+                    break
+                step, fall = step * SHORTER[-1], fall * SHORTER[-1]
+                if self.hinge and not above:
                     break
-                scale /= 2
+            if good is None and self.hinge and not above:  # far from its minimum the loss may be flatter here than on the way
+                above = True
+                sums = yield "sums", w, None, width, above
+                continue
+            scale = 1.0 if good is None else good
+            if good is None or scale != 1.0:
+                sums = yield "sums", w + scale * step, None, width, False
+            new = self._target(sums[0], w + scale * step)
             gained, value, w = value - new, new, w + scale * step
-            if np.abs(scale * step).max() < 1e-7 * (1 + np.abs(w).max()) or gained < 1e-11 * (1 + abs(value)):
+            if np.abs(scale * step).max() < 1e-7 * (1 + np.abs(w).max()) or gained < least * (1 + abs(value)):
                 break
+            if above:
+                above = False
+                sums = yield "sums", w, None, width, above
         return w
 
-    def _proximal(self, w: np.ndarray, width: float | None) -> Generator:
+    def _proximal(self, w: np.ndarray, width: float | None, least: float) -> Generator:
         """Accelerated proximal gradient steps, their length found by trial, started anew where the target rises."""
-        (c, corner, ridge), n = self._parts, len(w)
+        (c, corner, ridge), n, lengths = self._parts, len(w), len(SHORTER) + 1
         flat = np.r_[np.ones(n - 1), 0.0]
         ahead, pace, steep = w, 1.0, 1.0
         value = np.inf
         for _ in range(self.point.get("max_iter") or ROUNDS):
-            sums = yield "sums", ahead, width
+            sums = yield "sums", ahead, None, width, False
             smooth = c * sums[0] + ridge / 2 * ((flat * ahead) ** 2).sum()
-            slope = c * sums[1 : n + 1] + ridge * flat * ahead
+            slope = c * sums[lengths : lengths + n] + ridge * flat * ahead
             while True:
                 aim = ahead - slope / steep
                 new = np.r_[np.sign(aim[:-1]) * np.maximum(np.abs(aim[:-1]) - corner / steep, 0), aim[-1]]
-                sums = yield "sums", new, width
+                sums = yield "sums", new, None, width, False
                 held = c * sums[0] + ridge / 2 * ((flat * new) ** 2).sum()
                 move = new - ahead
                 if held <= smooth + slope @ move + steep / 2 * (move @ move) + 1e-12 * abs(smooth):
@@ -183,18 +255,24 @@ class LinearModel:
         return cls(tuple(d["coefficients"]), d["intercept"], d["calibrated"], d["features"])
 
 
-def search(name: str, data: DataFrame, points: Sequence[Mapping], folds: Sequence[int], features: str = "features"):
-    """(held-out counts, models), both by place of the point and fold. The fits of all points and folds are one run."""
+def search(name: str, data: DataFrame, points: Sequence[Mapping], folds: Sequence, features: str = "features", maps: Sequence | None = None):
+    """(held-out counts, models), both by place of the point and fold. The fits of all points and folds are one run.
+
+    A fold may be a tuple of folds that are all left out, which gives no counts. `maps` has each point's map of the cells, or None;
+    a mapped model reads the column `__z`.
+    """
     first = data.select(F.size(vector_to_array(features))).first()
     table = packed_table(data, lambda x: x.astype(np.float64), features)
     hinge, width = name == "svm", first[0] if first else 0
+    maps = maps or [None] * len(points)
+    widths = [width if how is None else how.size for how in maps]
     tasks = [(i, f) for i in range(len(points)) for f in folds]
-    fits = [LinearFit(t, f, width, points[i], hinge, width <= SECOND_ORDER) for t, (i, f) in enumerate(tasks)]
-    found = dict(zip(tasks, fit_together(table, fits, "float64")))
-    models = {t: LinearModel(tuple(w[:-1].tolist()), float(w[-1]), not hinge, features) for t, (w, _) in found.items()}
+    fits = [LinearFit(t, f, widths[i], points[i], hinge, widths[i] <= SECOND_ORDER, maps[i]) for t, (i, f) in enumerate(tasks)]
+    found = dict(zip(tasks, fit_together(table, fits, "float64", 8 * max([width, *widths]))))
+    models = {t: LinearModel(tuple(w[:-1].tolist()), float(w[-1]), not hinge, features if maps[t[0]] is None else "__z") for t, (w, _) in found.items()}
     return {t: held for t, (_, held) in found.items()}, models
 
 
-def fit(name: str, data: DataFrame, point: Mapping, features: str = "features") -> LinearModel:
+def fit(name: str, data: DataFrame, point: Mapping, features: str = "features", how=None) -> LinearModel:
     """The model of one point over all rows."""
-    return search(name, data, [point], [-1], features)[1][0, -1]
+    return search(name, data, [point], [-1], features, [how])[1][0, -1]

@@ -73,17 +73,17 @@ class FourierMap:
     seed: int
     size: int = FOURIER_FEATURES
 
-    def transform(self, df: DataFrame, output: str) -> DataFrame:
+    def cells(self, x: np.ndarray) -> np.ndarray:
+        """The features of rows of cells."""
         rng = np.random.default_rng(self.seed)
         weights = rng.normal(0.0, math.sqrt(2 * self.gamma), (self.inputs, self.size))
         shift = rng.uniform(0.0, 2 * math.pi, self.size)
-        scale = math.sqrt(2.0 / self.size)
+        return math.sqrt(2.0 / self.size) * np.cos(x @ weights + shift)
 
+    def transform(self, df: DataFrame, output: str) -> DataFrame:
         @F.pandas_udf("array<double>")
         def project(x: pd.Series) -> pd.Series:
-            if not len(x):
-                return pd.Series([], dtype=object)
-            return pd.Series(list(scale * np.cos(np.stack(x.to_list()) @ weights + shift)))
+            return pd.Series(list(self.cells(np.stack(x.to_list()))) if len(x) else [], dtype=object)
 
         return df.withColumn(output, array_to_vector(project(vector_to_array(FEATURES))))
 
@@ -173,11 +173,18 @@ class TrainedModel:
         ``reuse`` takes the copies the search already fitted; only for the searched frame. Either
         way a copy is penalised for the rows it sees and calibrated on these alone.
         """
+        folds, family = _folds(df, fold), REGISTRY[self.name](self.name)
+        known = {i: m for i, m in enumerate(self.fold_models) if i in folds} if reuse else {}
+        whole = df.withColumn(FOLD, F.col(fold)) if fold != FOLD else df
+        pairs = [] if self.model.hasParam("probabilityCol") else [(i, j) for i in folds for j in folds if i < j]
+        groups = [(i,) for i in folds if i not in known] + pairs
+        made = family.left_out(self.best_params, whole, self.seed, self.fourier, groups) if groups else {}
         out = []
-        for i in _folds(df, fold):
-            rest = df.where(F.col(fold) != i)
-            known = self.fold_models[i] if reuse and i < len(self.fold_models) else None
-            out.append(_fit_one(self.name, self.best_params, rest, self.seed, self.fourier, model=known))
+        for i in folds:
+            inner = {j: made[min(i, j), max(i, j)] for j in folds if j != i} if pairs else {}
+            model = known[i] if i in known else made[i,]
+            rest = whole.where(F.col(FOLD) != i)
+            out.append(_fit_one(self.name, self.best_params, rest, self.seed, self.fourier, model=model, inner=inner))
         return out
 
     def out_of_fold(
@@ -250,33 +257,34 @@ def _fold_sizes(df: DataFrame) -> dict[int, int]:
     return {r[0]: r[1] for r in df.groupBy(FOLD).count().orderBy(FOLD).collect()}
 
 
+def _mapped(df: DataFrame, fourier: FourierMap | None) -> tuple[DataFrame, str]:
+    return (df, FEATURES) if fourier is None else (fourier.transform(df, "__z"), "__z")
+
+
 def _fit_one(
-    name, params, df, seed, fourier, rows=None, threshold=0.5, score=float("nan"), fold_models=(), model=None
+    name, params, df, seed, fourier, rows=None, threshold=0.5, score=float("nan"), fold_models=(), model=None, inner=None
 ) -> TrainedModel:
+    """``inner`` has, by fold, models known already that saw neither that fold nor rows outside the frame."""
     rows = df.count() if rows is None else rows
-    data = df if fourier is None else fourier.transform(df, "__z")
-    features = FEATURES if fourier is None else "__z"
     if model is None:
-        model = REGISTRY[name](name).estimator(params, rows, seed, features).fit(data)
+        model = REGISTRY[name](name).fit(params, rows, seed, fourier, df)
     trained = TrainedModel(
         name, model, dict(params), score, rows, seed, threshold, fourier, None, tuple(fold_models)
     )
-    return trained if model.hasParam("probabilityCol") else replace(trained, platt=_calibrate(trained, data, features))
+    if model.hasParam("probabilityCol"):
+        return trained
+    return replace(trained, platt=_calibrate(trained, df, inner or dict(enumerate(fold_models))))
 
 
-def _calibrate(trained: TrainedModel, data: DataFrame, features: str) -> Model:
+def _calibrate(trained: TrainedModel, df: DataFrame, known: Mapping[int, Model]) -> Model:
     """Logistic curve over out-of-fold margins (Platt, 1999); margins of the fit without folds."""
-    present = _fold_sizes(data) if FOLD in data.columns else {}
+    present = _fold_sizes(df) if FOLD in df.columns else {}
+    data, _ = _mapped(df, trained.fourier)
     if len(present) > 1:
-        parts = []
-        for i, held_out in present.items():
-            if i < len(trained.fold_models):
-                copy = trained.fold_models[i]
-            else:
-                rest = data.where(F.col(FOLD) != i)
-                family = REGISTRY[trained.name](trained.name)
-                copy = family.estimator(trained.best_params, trained.rows - held_out, trained.seed, features).fit(rest)
-            parts.append(copy.transform(data.where(F.col(FOLD) == i)))
+        missing = [(i,) for i in present if i not in known]
+        family = REGISTRY[trained.name](trained.name)
+        made = family.left_out(trained.best_params, df, trained.seed, trained.fourier, missing) if missing else {}
+        parts = [(known[i] if i in known else made[i,]).transform(data.where(F.col(FOLD) == i)) for i in present]
         margins = reduce(DataFrame.unionByName, parts)
     else:
         margins = trained.model.transform(data)
@@ -320,6 +328,19 @@ class Classifier:
     def estimator(self, params: Mapping, rows: int, seed: int, features: str):
         raise NotImplementedError
 
+    def fit(self, params: Mapping, rows: int, seed: int, fourier: FourierMap | None, df: DataFrame) -> Model:
+        """The model of one point over all rows."""
+        data, features = _mapped(df, fourier)
+        return self.estimator(params, rows, seed, features).fit(data)
+
+    def left_out(self, params: Mapping, df: DataFrame, seed: int, fourier: FourierMap | None, groups: Sequence[tuple]) -> dict[tuple, Model]:
+        """Models of one point that don't see some folds, by tuples of these."""
+        sizes = _fold_sizes(df)
+        return {
+            g: self.fit(params, sum(n for f, n in sizes.items() if f not in g), seed, fourier, df.where(~F.col(FOLD).isin(*g)))
+            for g in groups
+        }
+
     def train(self, df, scoring="f1_weighted", seed=42, grid=None, parallelism=8) -> TrainedModel:
         data = df.select(FEATURES, LABEL, FOLD).persist(StorageLevel.MEMORY_AND_DISK)
         try:
@@ -394,15 +415,31 @@ OWN_MODELS = (trees.TreeModel, linear.LinearModel)
 
 @dataclass(frozen=True)
 class LinearClassifier(Classifier):
-    """Linear families, and the kernel one through its map: per map all points and folds are fitted together."""
+    """Linear families, and the kernel one through its maps: all points, maps and folds are fitted together."""
 
     def estimator(self, params: Mapping, rows: int, seed: int, features: str):
         return _Grown(lambda df: linear.fit(self.name, df, params, features))
 
-    def _search(self, view, points, sizes, scoring, seed, features, parallelism):
-        counts, found = linear.search(self.name, view, points, sorted(sizes), features)
-        best, score = best_point({i: [held_out_score(counts[i, f], scoring) for f in sorted(sizes)] for i in range(len(points))})
-        return score, points[best], tuple(found[best, f] for f in sorted(sizes))
+    def fit(self, params, rows, seed, fourier, df):
+        return linear.fit(self.name, df, params, FEATURES, fourier)
+
+    def left_out(self, params, df, seed, fourier, groups):
+        _, found = linear.search(self.name, df, [params], groups, FEATURES, [fourier])
+        return {g: found[0, g] for g in groups}
+
+    def train(self, df, scoring="f1_weighted", seed=42, grid=None, parallelism=8) -> TrainedModel:
+        evaluator(scoring)
+        data = df.select(FEATURES, LABEL, FOLD).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            sizes = _fold_sizes(data)
+            asked = [(p, fourier) for fourier, members in self._groups(data, self.points(grid), seed) for p in members]
+            points, maps = [p for p, _ in asked], [m for _, m in asked]
+            counts, found = linear.search(self.name, data, points, sorted(sizes), FEATURES, maps)
+            best, score = best_point({i: [held_out_score(counts[i, f], scoring) for f in sorted(sizes)] for i in range(len(points))})
+            copies = [found[best, f] for f in sorted(sizes)]
+            return _fit_one(self.name, points[best], data, seed, maps[best], sum(sizes.values()), score=float(score), fold_models=copies)
+        finally:
+            data.unpersist()
 
 
 @dataclass(frozen=True)

@@ -89,3 +89,16 @@ def test_jobs_do_not_grow_with_points_and_folds(spark, data):
         return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
 
     assert jobs(1, [0]) == jobs(6, [0, 1, 2]) > 0
+
+
+def test_support_vectors_end_in_few_rounds():
+    x, y, fold = cells(2000)
+    rows = fitting.Rows(np.arange(len(y)), x, y, fold)
+    for c in (0.1, 10, 100):
+        fit, rounds = linear.LinearFit(0, 1, 4, {"C": c}, True), 0
+        steps = fit.run()
+        state = next(steps)
+        with pytest.raises(StopIteration):
+            while True:
+                rounds, state = rounds + 1, steps.send(fit.sums(rows, state))
+        assert rounds < 90
