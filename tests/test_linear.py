@@ -6,7 +6,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from tabloom.operators import fitting, linear
-from tabloom.operators.models import FULL_GRIDS, TrainedModel, train
+from tabloom.operators.models import FULL_GRIDS, FourierMap, TrainedModel, train
 
 
 def cells(n=200):
@@ -102,3 +102,28 @@ def test_support_vectors_end_in_few_rounds():
             while True:
                 rounds, state = rounds + 1, steps.send(fit.sums(rows, state))
         assert rounds < 90
+
+
+def test_mapped_rows_give_what_mapped_cells_give_and_only_cells_are_stored(data, monkeypatch):
+    how, point, widths = FourierMap(0.3, 4, 7, 16), {"C": 1.0, "max_iter": 2}, []
+    plain = linear.search("svm", how.transform(data, "__z"), [point], [0, 1], "__z")[1]
+    original = linear.fit_together
+
+    def seen(table, fits, kind, width=0):
+        widths.append((table.selectExpr("max(length(x))").first()[0], width))
+        return original(table, fits, kind, width)
+
+    monkeypatch.setattr(linear, "fit_together", seen)
+    near = linear.search("svm", data, [point], [0, 1], maps=[how])[1]
+    monkeypatch.setattr(fitting, "SMALL_BYTES", -1)
+    far = linear.search("svm", data, [point], [0, 1], maps=[how])[1]
+    assert widths == [(4 * 8, 16 * 8)] * 2
+    assert all(np.allclose(numbers(plain[k]), numbers(m[k]), atol=1e-5) for m in (near, far) for k in plain)
+
+
+def test_copies_of_all_folds_are_calibrated_in_one_run(data, monkeypatch):
+    model = train("svm", data, grid=[{"kernel": "rbf", "C": 1, "gamma": 0.2}])
+    runs, original = [], linear.search
+    monkeypatch.setattr(linear, "search", lambda *a, **k: runs.append(a[3]) or original(*a, **k))
+    model.fold_copies(data, reuse=True)
+    assert runs == [[(0, 1), (0, 2), (1, 2)]]
