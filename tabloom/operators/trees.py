@@ -5,6 +5,10 @@ from sums per (tree, node, column, bin). Smaller models are read off larger ones
 split is the deep tree cut short, fewer trees are the first ones of many. So a search grows one tree for each criterion and
 leaf size, one forest for each column choice, one booster for each of the other parameters.
 
+Rows of equal bins always fall to the same leaf, so tasks hold them as one shape with counts, and sums run over shapes. A forest's
+trees grow `OPEN_TREES` at a time, and a level in parts, so that the sums of a round take about `ROUND_BYTES`; rows keep nothing of trees
+that are done.
+
 Which rows a tree sees (bootstrap, subsample) and which columns a node may use follow from hashes of row, tree and node.
 Bootstrap counts are Poisson numbers. Of equal splits the first column and the lowest bin win. A split needs a gain in boosting;
 in other trees an impure node is split even without one.
@@ -25,6 +29,8 @@ from pyspark.sql import functions as F
 from .fitting import Fit, Rows, fit_together, grouped, held_out_counts, packed_table, uniform
 
 BINS, MAX_DEPTH, SHRINK = 256, 30, 1.0
+#: Bytes of sums and open trees of a fit in a round.
+ROUND_BYTES, OPEN_TREES = 16 << 20, 8
 _POISSON = np.cumsum([math.exp(-1) / math.factorial(k) for k in range(12)])
 
 
@@ -122,12 +128,35 @@ def binned_table(data: DataFrame, layout: Layout, features: str = "features") ->
 # ---- sums and splits ------------------------------------------------------------
 
 
+def _shapes(rows: Rows) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct rows of bins, and the number of its shape for each row; found once for all fits of a task."""
+    if "shapes" not in rows.shared:
+        x = np.ascontiguousarray(rows.x)
+        if not x.shape[1]:
+            rows.shared["shapes"] = x[: min(1, len(x))], np.zeros(len(x), np.int32)
+        else:
+            key = x.view(np.dtype((np.void, x.dtype.itemsize * x.shape[1]))).ravel()
+            _, first, shape = np.unique(key, return_index=True, return_inverse=True)
+            rows.shared["shapes"] = x[first], shape.astype(np.int32).ravel()
+    return rows.shared["shapes"]
+
+
+def _counts(rows: Rows, at: np.ndarray, *weights: np.ndarray) -> list[np.ndarray]:
+    """Rows of each shape among the rows `at`, and their sums of each weight."""
+    x, shape = _shapes(rows)
+    own = shape[at]
+    return [np.bincount(own, w, len(x)) for w in (None, *weights)]
+
+
 def _histogram(x: np.ndarray, place: np.ndarray, nodes: int, layout: Layout, channels: Sequence[np.ndarray]) -> np.ndarray:
-    """Sums of each channel per node and bin, for rows at nodes 0, 1 ..."""
-    size = layout.size
-    at = (place[:, None] * size + layout.begin + x).ravel()
-    width = x.shape[1]
-    return np.stack([np.bincount(at, np.repeat(c, width), nodes * size) for c in channels]).reshape(len(channels), nodes, size)
+    """Sums of each channel per node and bin, for shapes at nodes 0, 1 ..."""
+    out = np.zeros((len(channels), nodes, layout.size))
+    for column, (begin, cuts) in enumerate(zip(layout.begin.tolist(), layout.cuts)):
+        width = len(cuts) + 1
+        at = place * width + x[:, column]
+        for i, c in enumerate(channels):
+            out[i, :, begin : begin + width] = np.bincount(at, c, nodes * width).reshape(nodes, width)
+    return out
 
 
 def _sides(sums: np.ndarray, layout: Layout) -> tuple[np.ndarray, np.ndarray]:
@@ -186,46 +215,65 @@ class ClassTrees(Fit):
     bootstrap: bool = False
     seed: int = 42
 
-    def weights(self, rows: Rows, tree: int) -> np.ndarray:
+    def weights(self, rows: Rows, tree: int) -> tuple[np.ndarray, ...]:
+        """By shape: rows that the tree sees, their weight, and that of class 1."""
         own = (self.key, "weight", tree)
         if own not in rows.kept:
-            seen = (rows.fold != self.fold).astype(float)
-            rows.kept[own] = seen * np.searchsorted(_POISSON, uniform(rows.id, self.seed, tree), "right") if self.bootstrap else seen
+            seen = rows.fold != self.fold
+            if self.bootstrap:
+                weight = np.searchsorted(_POISSON, uniform(rows.id, self.seed, tree), "right").astype(float)
+                at = np.flatnonzero(seen & (weight > 0))
+                rows.kept[own] = _counts(rows, at, weight[at], weight[at] * rows.y[at])
+            else:
+                at = np.flatnonzero(seen)
+                n, ones = _counts(rows, at, rows.y[at])
+                rows.kept[own] = n, n.astype(float), ones
         return rows.kept[own]
 
     def sums(self, rows: Rows, state) -> np.ndarray:
         if state[0] == "score":
             return self._held_out(rows, state[1])
+        x, _ = _shapes(rows)
+        for own in [k for k in rows.kept if k[0] == self.key and k[2] < min(state[1])]:  # trees that are done
+            del rows.kept[own]
         out = []
-        for t, (tree, frontier) in enumerate(zip(*state[1:])):
-            if not len(frontier):
-                continue
+        for t, (tree, frontier) in state[1].items():
             own = (self.key, "node", t)
-            rows.kept[own] = node = tree.leaves(rows.x, rows.kept.get(own))
+            rows.kept[own] = node = tree.leaves(x, rows.kept.get(own))
             place = np.full(len(tree.column), -1)
             place[frontier] = np.arange(len(frontier))
-            weight = self.weights(rows, t)
-            at = np.flatnonzero((place[node] >= 0) & (weight > 0))
-            w = weight[at]
-            out.append(_histogram(rows.x[at], place[node[at]], len(frontier), self.layout, (np.ones(len(at)), w, w * rows.y[at])).ravel())
+            n, weight, ones = self.weights(rows, t)
+            at = np.flatnonzero((place[node] >= 0) & (n > 0))
+            out.append(_histogram(x[at], place[node[at]], len(frontier), self.layout, (n[at], weight[at], ones[at])).ravel())
         return np.concatenate(out)
 
     def run(self) -> Generator:
         deepest = max((p.get("max_depth") or MAX_DEPTH) for p in self.points)
         least = min(p.get("min_samples_split", 2) for p in self.points)
         trees, size = [Tree.root() for _ in range(self.trees)], self.layout.size
-        frontier = [np.zeros(1, np.int64) for _ in trees]
-        for depth in range(deepest + 1):
-            sums, at = (yield ("grow", trees, frontier)), 0
-            for t, tree in enumerate(trees):
-                m = len(frontier[t])
-                if not m:
-                    continue
+        most = max(1, ROUND_BYTES // (3 * 8 * size))
+        # nodes whose sums are still to be taken, at this level and the next one, by tree; a tree that is done leaves
+        waiting = {t: (np.zeros(1, np.int64), []) for t in range(self.trees)}
+        while waiting:
+            asked, room = {}, most
+            for t, (level, _) in waiting.items():
+                if room <= 0 or len(asked) == OPEN_TREES:
+                    break
+                asked[t] = trees[t], level[:room]
+                room -= len(level)
+            sums, at = (yield ("grow", asked)), 0
+            for t, (tree, frontier) in asked.items():
+                m = len(frontier)
                 own = sums[at : at + 3 * m * size].reshape(3, m, size)
                 at += 3 * m * size
-                frontier[t] = self._grown(tree, t, frontier[t], own, depth < deepest, least)
-            if not any(map(len, frontier)):
-                break
+                level, below = waiting.pop(t)
+                made = self._grown(tree, t, frontier, own, int(tree.depth[frontier[0]]) < deepest, least)
+                level, below = level[m:], [*below, made]
+                if not len(level):
+                    level, below = np.sort(np.concatenate(below)), []
+                if len(level):
+                    waiting[t] = level, below
+            waiting = dict(sorted(waiting.items()))
         counts = (yield ("score", trees)) if self.fold >= 0 else None
         return trees, None if counts is None else counts.reshape(len(self.points), -1)
 
@@ -253,17 +301,20 @@ class ClassTrees(Fit):
         return np.sort(np.r_[made, made + 1])
 
     def _held_out(self, rows: Rows, trees: Sequence[Tree]) -> np.ndarray:
+        x, shape = _shapes(rows)
         held = rows.fold == self.fold
-        x, y = rows.x[held], rows.y[held]
+        own, y = shape[held], rows.y[held]
+        rows.kept = {k: v for k, v in rows.kept.items() if k[0] != self.key}
+        seen = np.unique(own)
         out = []
         for limits, points in grouped(self.points, "max_depth", "min_samples_split").items():
             wanted = {p.get("n_estimators", 1) for p in points}
             total, at = np.zeros(len(x)), {}
             for k, tree in enumerate(trees, 1):
-                own = tree.cut(limits[0], limits[1] or 2)
-                total = total + own.value[own.leaves(x)]
+                cut = tree.cut(limits[0], limits[1] or 2)
+                total[seen] += cut.value[cut.leaves(x[seen])]
                 if k in wanted:
-                    at[k] = held_out_counts(y, total / k)
+                    at[k] = held_out_counts(y, (total / k)[own])
             out += [(self.points.index(p), at[p.get("n_estimators", 1)]) for p in points]
         return np.concatenate([c for _, c in sorted(out, key=lambda o: o[0])])
 
@@ -293,38 +344,58 @@ class Boosted(Fit):
         return state if state["what"] == "score" else {**state, "before": done, "trees": state["trees"][done - state["before"]:]}
 
     def margins(self, rows: Rows, state) -> np.ndarray:
-        done, margin = rows.kept.get((self.key, "margin"), (0, None))
-        if margin is None:
-            margin = np.full(len(rows.id), state["start"])
+        """Rows of one shape have one margin, so it is kept by shape in a task and by row between rounds over rows that stay."""
+        x, shape = _shapes(rows)
+        own = (self.key, "margin")
+        if (self.key, "shape margin") in rows.kept:
+            done, margin = rows.kept[self.key, "shape margin"]
+        elif own in rows.kept:
+            done, held = rows.kept[own]
+            margin = np.zeros(len(x))
+            margin[shape] = held
+        else:
+            done, margin = 0, np.full(len(x), state["start"])
         for tree in state["trees"][done - state["before"]:]:
-            margin = margin + tree.value[tree.leaves(rows.x)]
-        rows.kept[self.key, "margin"] = (self.rounds(state), margin)
-        return margin
+            margin = margin + tree.value[tree.leaves(x)]
+        rows.kept[self.key, "shape margin"] = (self.rounds(state), margin)
+        return margin[shape]
+
+    def _sampled(self, rows: Rows, round_: int) -> list[np.ndarray]:
+        """Rows of each shape that the round's tree sees, and those of class 1."""
+        own = (self.key, "sample")
+        if own not in rows.kept or (self.subsample < 1 and rows.kept[own][0] != round_):
+            if (self.key, "seen") not in rows.kept:
+                rows.kept[self.key, "seen"] = np.flatnonzero(rows.fold != self.fold)
+            at = rows.kept[self.key, "seen"]
+            if self.subsample < 1:
+                at = at[uniform(rows.id[at], self.seed, round_) < self.subsample]
+            rows.kept[own] = round_, _counts(rows, at, rows.y[at])
+        return rows.kept[own][1]
 
     def sums(self, rows: Rows, state) -> np.ndarray:
         if state["what"] == "mean":
             seen = rows.fold != self.fold
             return np.array([seen.sum(), rows.y[seen].sum()], float)
+        x, shape = _shapes(rows)
         if state["what"] == "score":
             held = rows.fold == self.fold
-            part = Rows(rows.id[held], rows.x[held], rows.y[held], rows.fold[held])
-            margin, at = np.full(held.sum(), state["start"]), {}
+            margin, own, at = np.full(len(x), state["start"]), shape[held], {}
+            wanted = {p["n_estimators"] for p in self.points}
             for k, tree in enumerate(state["trees"], 1):
-                margin = margin + tree.value[tree.leaves(part.x)]
-                at[k] = margin
-            return np.concatenate([held_out_counts(part.y, 1 / (1 + np.exp(-at[p["n_estimators"]]))) for p in self.points])
-        round_ = self.rounds(state)
-        margin = self.margins(rows, state)
-        seen = rows.fold != self.fold
-        if self.subsample < 1:
-            seen = seen & (uniform(rows.id, self.seed, round_) < self.subsample)
+                margin = margin + tree.value[tree.leaves(x)]
+                if k in wanted:
+                    at[k] = margin[own]
+            return np.concatenate([held_out_counts(rows.y[held], 1 / (1 + np.exp(-at[p["n_estimators"]]))) for p in self.points])
+        self.margins(rows, state)
+        margin = rows.kept[self.key, "shape margin"][1]
+        n, ones = self._sampled(rows, self.rounds(state))
         tree, frontier = state["tree"], state["frontier"]
-        node = tree.leaves(rows.x)
+        node = tree.leaves(x)
         place = np.full(len(tree.column), -1)
         place[frontier] = np.arange(len(frontier))
-        at = np.flatnonzero(seen & (place[node] >= 0))
+        at = np.flatnonzero((place[node] >= 0) & (n > 0))
         p = 1 / (1 + np.exp(-margin[at]))
-        return _histogram(rows.x[at], place[node[at]], len(frontier), self.layout, (p - rows.y[at], p * (1 - p))).ravel()
+        return _histogram(x[at], place[node[at]], len(frontier), self.layout, (n[at] * p - ones[at], n[at] * p * (1 - p))).ravel()
 
     def _leaf(self, g: np.ndarray, h: np.ndarray) -> np.ndarray:
         return -self.rate * g / (h + self.shrink)

@@ -215,3 +215,22 @@ def test_each_task_of_a_search_has_properties_of_its_own(spark, data, monkeypatc
     monkeypatch.setattr(models.Classifier, "estimator", lambda self, *a: Recorder())
     models.Classifier("svm")._search(data, [{}, {}, {}], {0: 100, 1: 100, 2: 100}, "f1", 1, "features", 3)
     assert len(seen) == 9 and len(set(seen)) == 9
+
+
+def test_a_forest_keeps_a_few_trees_and_small_sums_at_a_time(monkeypatch):
+    x, y, fold = cells(600)
+    layout = trees.Layout(tuple(middle_cuts(x)))
+    rows = fitting.Rows(np.arange(len(y)), layout.binned(x), y, fold)
+    whole = fitting.alone(trees.ClassTrees(0, 1, layout, [{"n_estimators": 20}], trees=20, bootstrap=True), rows)
+    monkeypatch.setattr(trees, "ROUND_BYTES", 10 * 24 * layout.size)
+    fit = trees.ClassTrees(0, 1, layout, [{"n_estimators": 20}], trees=20, bootstrap=True)
+    rows = fitting.Rows(np.arange(len(y)), layout.binned(x), y, fold)
+    steps = fit.run()
+    state = next(steps)
+    with pytest.raises(StopIteration) as end:
+        while True:
+            sums = fit.sums(rows, state)
+            assert state[0] == "score" or sums.nbytes <= trees.ROUND_BYTES
+            assert sum(v.nbytes for k, held in rows.kept.items() for v in (held if isinstance(held, (list, tuple)) else [held])) <= (trees.OPEN_TREES + 1) * 4 * 8 * len(y)
+            state = steps.send(sums)
+    assert np.array_equal(end.value.value[1], whole[1])
