@@ -68,12 +68,12 @@ class Tree:
 
     def leaves(self, x: np.ndarray, node: np.ndarray | None = None) -> np.ndarray:
         """The leaf of each row, from the root or from nodes reached before."""
-        node = np.zeros(len(x), np.int64) if node is None else node.copy()
-        at = np.arange(len(x))
+        node = np.zeros(len(x), np.int32) if node is None else node.copy()
+        at = np.flatnonzero(self.column[node] >= 0)
         while len(at):
-            at = at[self.column[node[at]] >= 0]
             own = node[at]
-            node[at] = self.left[own] + (x[at, self.column[own]] > self.bin[own])
+            node[at] = below = self.left[own] + (x[at, self.column[own]] > self.bin[own])
+            at = at[self.column[below] >= 0]
         return node
 
     def cut(self, max_depth: int | None, min_rows: float) -> "Tree":
@@ -345,20 +345,30 @@ class Boosted(Fit):
 
     def margins(self, rows: Rows, state) -> np.ndarray:
         """Rows of one shape have one margin, so it is kept by shape in a task and by row between rounds over rows that stay."""
+        return self._margin(rows, state)[_shapes(rows)[1]]
+
+    def _margin(self, rows: Rows, state) -> np.ndarray:
         x, shape = _shapes(rows)
-        own = (self.key, "margin")
         if (self.key, "shape margin") in rows.kept:
             done, margin = rows.kept[self.key, "shape margin"]
-        elif own in rows.kept:
-            done, held = rows.kept[own]
+        elif (self.key, "margin") in rows.kept:
+            done, held = rows.kept[self.key, "margin"]
             margin = np.zeros(len(x))
             margin[shape] = held
         else:
             done, margin = 0, np.full(len(x), state["start"])
-        for tree in state["trees"][done - state["before"]:]:
-            margin = margin + tree.value[tree.leaves(x)]
+        for round_, tree in enumerate(state["trees"][done - state["before"]:], done):
+            margin = margin + tree.value[self._node(rows, tree, round_)]
         rows.kept[self.key, "shape margin"] = (self.rounds(state), margin)
-        return margin[shape]
+        return margin
+
+    def _node(self, rows: Rows, tree: Tree, round_: int) -> np.ndarray:
+        """The leaf of each shape in the tree of a round, from where its last levels led."""
+        x, _ = _shapes(rows)
+        was, node = rows.kept.get((self.key, "node"), (None, None))
+        node = tree.leaves(x, node if was == round_ else None)
+        rows.kept[self.key, "node"] = round_, node
+        return node
 
     def _sampled(self, rows: Rows, round_: int) -> list[np.ndarray]:
         """Rows of each shape that the round's tree sees, and those of class 1."""
@@ -386,11 +396,10 @@ class Boosted(Fit):
                 if k in wanted:
                     at[k] = margin[own]
             return np.concatenate([held_out_counts(rows.y[held], 1 / (1 + np.exp(-at[p["n_estimators"]]))) for p in self.points])
-        self.margins(rows, state)
-        margin = rows.kept[self.key, "shape margin"][1]
+        margin = self._margin(rows, state)
         n, ones = self._sampled(rows, self.rounds(state))
         tree, frontier = state["tree"], state["frontier"]
-        node = tree.leaves(x)
+        node = self._node(rows, tree, self.rounds(state))
         place = np.full(len(tree.column), -1)
         place[frontier] = np.arange(len(frontier))
         at = np.flatnonzero((place[node] >= 0) & (n > 0))

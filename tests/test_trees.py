@@ -234,3 +234,15 @@ def test_a_forest_keeps_a_few_trees_and_small_sums_at_a_time(monkeypatch):
             assert sum(v.nbytes for k, held in rows.kept.items() for v in (held if isinstance(held, (list, tuple)) else [held])) <= (trees.OPEN_TREES + 1) * 4 * 8 * len(y)
             state = steps.send(sums)
     assert np.array_equal(end.value.value[1], whole[1])
+
+
+def test_sums_run_over_shapes_of_rows(monkeypatch):
+    """Ten copies of each row take as many steps as one."""
+    x, y, fold = cells(60)
+    layout = trees.Layout(tuple(middle_cuts(x)))
+    held, original = [], trees._histogram
+    monkeypatch.setattr(trees, "_histogram", lambda b, *a: held.append(len(b)) or original(b, *a))
+    for copies in (1, 10):
+        rows = fitting.Rows(np.arange(60 * copies), np.tile(layout.binned(x), (copies, 1)), np.tile(y, copies), np.tile(fold, copies))
+        fitting.alone(trees.Boosted(0, 1, layout, [{"n_estimators": 3}], subsample=0.8), rows)
+    assert max(held) <= 60
