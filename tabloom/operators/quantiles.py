@@ -29,7 +29,8 @@ _MARGIN = 2.0 / _ACCURACY
 _GRID = 512
 _SLOTS_PER_JOB = 64
 _GROUP_GRID, _GROUP_ACCURACY = 256, 2_000  # cells and accuracy of the sketches of one round over groups
-_SALTS = 64  # keys a group is dealt over where brackets are too many to be sent
+CROWDED = 200_000  # rows of a group beyond which it is dealt over keys, where brackets are too many to be sent
+_SALTS = 64  # these keys
 
 
 @dataclass
@@ -319,7 +320,7 @@ def grouped_quantiles(
     rows = df.select(col(group).alias("g"), clean_double(df, value).alias("x")).where("g IS NOT NULL")
     hot = checkpointed(rows.groupBy("g").agg(F.count("x").alias("n")).where(F.col("n") > budget))
     n_hot = hot.count()
-    rest = _with_groups(rows, hot.select("g"), n_hot, "left_anti") if n_hot else rows
+    rest = _with_groups(rows, hot, n_hot, "left_anti") if n_hot else rows
     small = rest.groupBy("g").agg(F.percentile("x", F.array(*[F.lit(float(p)) for p in probs])).alias("q"))
     if n_hot:
         small = small.unionByName(_searched_quantiles(rows, hot, probs, budget))
@@ -341,12 +342,15 @@ def _searched_quantiles(rows: DataFrame, hot: DataFrame, probs: Sequence[float],
 
 
 def _with_groups(rows: DataFrame, table: DataFrame, size: int, how: str = "inner") -> DataFrame:
-    """Rows joined by group with a table of counted size: sent out if small, else each group is dealt over several keys."""
+    """Rows joined by group with a table (g, n, ...) of counted size: sent out if small, else crowded groups are dealt over several keys."""
     if size <= MAX_SENT_BRACKETS:
         return rows.join(F.broadcast(table), "g", how)
-    dealt = rows.withColumn("__salt", F.pmod(F.monotonically_increasing_id(), F.lit(_SALTS)))
-    copies = table.withColumn("__salt", F.explode(F.expr(f"sequence(0L, {_SALTS - 1}L)")))
-    return dealt.join(copies, ["g", "__salt"], how).drop("__salt")
+    many = F.col("n") > CROWDED
+    crowded = table.where(many).select("g").distinct().withColumn("__many", F.lit(True))  # as many as the rows allow, at most
+    dealt = rows.join(F.broadcast(crowded), "g", "left").withColumn(
+        "__salt", F.when(F.col("__many"), F.pmod(F.monotonically_increasing_id(), F.lit(_SALTS))).otherwise(F.lit(0)).cast("int")).drop("__many")
+    keys = F.when(many, F.expr(f"sequence(0, {_SALTS - 1})")).otherwise(F.array(F.lit(0)))
+    return dealt.join(table.withColumn("__salt", F.explode(keys)), ["g", "__salt"], how).drop("__salt")
 
 
 def group_order_statistics(rows: DataFrame, wanted: DataFrame, inline: int | None = None) -> DataFrame:
@@ -366,16 +370,17 @@ def group_order_statistics(rows: DataFrame, wanted: DataFrame, inline: int | Non
     within = ((x > low) | ((x == low) & ~F.col("low_out"))) & ((x < high) | ((x == high) & ~F.col("high_out")))
     is_open = (low < high) & (F.col("inside") > budget)
     while n_open := brackets.where(is_open).count():
-        inside = _with_groups(rows, brackets.where(is_open).drop("n"), n_open).where(within)
+        inside = _with_groups(rows, brackets.where(is_open), n_open).where(within)
         grid = [k / _GROUP_GRID for k in range(_GROUP_GRID + 1)]
-        sketched = inside.groupBy("g", "rank").agg(F.percentile_approx("x", grid, _GROUP_ACCURACY).alias("grid"))
+        # a bracket's columns follow from its group and rank: grouping by all of them saves a join, and grids stay where they are made
+        sketched = inside.groupBy(*known).agg(F.percentile_approx("x", grid, _GROUP_ACCURACY).alias("grid"))
         place = F.floor((F.col("rank") - F.col("before") + 0.5) / F.col("inside") * _GROUP_GRID).cast("int")
         left = F.get("grid", F.greatest(place - 1, F.lit(0)))
         right = F.get("grid", F.least(place + 2, F.lit(_GROUP_GRID)))
         middle, same = F.get("grid", place), (left <= low) & (right >= high)
-        guesses = checkpointed(brackets.where(is_open).join(sketched, ["g", "rank"]).select(
+        guesses = checkpointed(sketched.select(
             *known, F.when(same, middle).otherwise(left).alias("p"), F.when(same, middle).otherwise(right).alias("q")))
-        counted = _with_groups(rows, guesses.drop("n"), n_open).where(within).groupBy("g", "rank").agg(
+        counted = _with_groups(rows, guesses, n_open).where(within).groupBy(*known, "p", "q").agg(
             F.count_if(x < F.col("p")).alias("a"), F.count_if((x >= F.col("p")) & (x <= F.col("q"))).alias("b"))
         at = F.col("rank") - F.col("before")
         under, over = at < F.col("a"), at >= F.col("a") + F.col("b")
@@ -383,7 +388,7 @@ def group_order_statistics(rows: DataFrame, wanted: DataFrame, inline: int | Non
         def part(below, here, above):
             return F.when(under, below).when(over, above).otherwise(here)
 
-        narrowed = guesses.join(counted, ["g", "rank"]).select(
+        narrowed = counted.select(
             "g", "n", "rank", part(low, F.col("p"), F.col("q")).alias("low"), part(F.col("p"), F.col("q"), high).alias("high"),
             part(F.col("low_out"), F.lit(False), F.lit(True)).alias("low_out"),
             part(F.lit(True), F.lit(False), F.col("high_out")).alias("high_out"),

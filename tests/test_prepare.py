@@ -224,3 +224,17 @@ def test_pca_matches_singular_vectors(spark):
                               "variance_explained": pytest.approx(share, abs=1e-4)}
     assert Reducer(3).fit(df, names).components == 3
     assert kept_components([0.5, 0.3, 0.2], 0.8) == 3 or kept_components([0.5, 0.3, 0.2], 0.79) == 2
+
+
+def test_only_crowded_groups_are_dealt_over_keys(spark, monkeypatch):
+    """A bracket of a small group is one row of the join, not one for each key."""
+    monkeypatch.setattr(quantiles, "MAX_SENT_BRACKETS", 0)
+    monkeypatch.setattr(quantiles, "CROWDED", 50)
+    rows = spark.range(160).selectExpr("if(id < 100, 0, 1 + id % 6) g", "double(id) x")
+    table = rows.groupBy("g").agg(F.count("x").alias("n"))
+    copies, original = [], F.explode
+    monkeypatch.setattr(quantiles.F, "explode", lambda c: copies.append(c) or original(c))
+    assert quantiles._with_groups(rows, table, 7).count() == 160
+    sizes = {r["g"]: r["k"] for r in table.select("g", F.size(copies[0]).alias("k")).collect()}
+    assert sizes == {0: 64, **{g: 1 for g in range(1, 7)}}
+    assert quantiles._with_groups(rows, table.where("g > 0"), 6, "left_anti").count() == 100
