@@ -5,8 +5,8 @@ the sum over some rows, as one packed array, so sums of parts add up. There are
 but for the order in which numbers are added:
 
 - A table of at most `SMALL_BYTES`, counted first, is broadcast, and each fit runs in a task of its own: one job for all fits.
-- A larger table stays where it is. In every round one job takes the sums of all fits over each partition; packed sums are
-  added in two steps, so no task adds more than about the square root of all partitions' sums of a fit.
+- A larger table stays where it is. In every round one job takes the sums of all fits over each partition, and packed sums are
+  added; those of more than `ADDED` partitions in two steps, so no task adds more than about the square root of all partitions' sums of a fit.
 """
 
 from __future__ import annotations
@@ -27,6 +27,8 @@ from ..session import checkpointed
 
 #: Bytes up to which a table is broadcast, and rounds after which a large table's rows are written anew with what fits know of them.
 SMALL_BYTES, KEPT_ROUNDS = 64 << 20, 10
+#: Partitions whose sums of a fit one task adds.
+ADDED = 64
 _MASK = (1 << 64) - 1
 
 
@@ -54,6 +56,11 @@ class Fit:
     def sums(self, rows: Rows, state: object) -> np.ndarray:
         raise NotImplementedError
 
+    @staticmethod
+    def all_sums(rows: Rows, asked: Sequence[tuple["Fit", object]]) -> list[np.ndarray]:
+        """The sums of many fits over the same rows."""
+        return [fit.sums(rows, state) for fit, state in asked]
+
     def trimmed(self, state: object, done: int) -> object:
         """The state without what rows already know after `done` rounds."""
         return state
@@ -78,7 +85,8 @@ def uniform(ids: np.ndarray, *numbers: int) -> np.ndarray:
     return (h ^ (h >> np.uint64(31))).astype(np.float64) / 2.0**64
 
 
-def _rows(batch: pa.RecordBatch, kind: str) -> Rows:
+def rows_of(batch: pa.RecordBatch, kind: str) -> Rows:
+    """The rows of a batch of a packed table."""
     x = np.frombuffer(b"".join(batch.column("x").to_pylist()), kind).reshape(batch.num_rows, -1) if batch.num_rows else np.zeros((0, 0), kind)
     return Rows(batch.column("id").to_numpy(), x, batch.column("label").to_numpy(), batch.column("fold").to_numpy())
 
@@ -114,8 +122,12 @@ def fit_together(table: DataFrame, fits: Sequence[Fit], kind: str, width: int =
 
     The table is read in every round and should be cached or checkpointed. `width` is the bytes of a row as fits see it, if they are more.
     """
-    size = table.agg(F.sum(F.greatest(F.length("x"), F.lit(width)) + 20)).first()[0] or 0
-    return _beside(table, fits, kind) if size <= SMALL_BYTES else _across(table, fits, kind)
+    return _beside(table, fits, kind) if table_bytes(table, width) <= SMALL_BYTES else _across(table, fits, kind)
+
+
+def table_bytes(table: DataFrame, width: int = 0) -> int:
+    """Bytes of all rows as fits see them."""
+    return table.agg(F.sum(F.greatest(F.length("x"), F.lit(width)) + 20)).first()[0] or 0
 
 
 def _beside(table: DataFrame, fits: Sequence[Fit], kind: str) -> list:
@@ -123,7 +135,7 @@ def _beside(table: DataFrame, fits: Sequence[Fit], kind: str) -> list:
     spark = table.sparkSession
     held = table.select("id", "x", "label", "fold").toArrow().sort_by("id").combine_chunks()
     batch = pa.RecordBatch.from_arrays([c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c for c in held.columns], held.column_names)
-    shared = spark.sparkContext.broadcast((_rows(batch, kind), cloudpickle.dumps(list(fits))))
+    shared = spark.sparkContext.broadcast((rows_of(batch, kind), cloudpickle.dumps(list(fits))))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows, packed = shared.value
@@ -156,7 +168,8 @@ def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _across(table: DataFrame, fits: Sequence[Fit], kind: str) -> list:
     """All fits side by side over rows that stay where they are, a job a round."""
     spark, types = table.sparkSession, "fit long, part long, sums binary"
-    parts = max(1, math.isqrt(table.rdd.getNumPartitions()))
+    count = table.rdd.getNumPartitions()
+    parts = 1 if count <= ADDED else math.isqrt(count)
     table, done = table.withColumn("kept", F.lit(None).cast("binary")), {}
     steps, results, asked = {}, {}, {}
 
@@ -176,7 +189,7 @@ def _across(table: DataFrame, fits: Sequence[Fit], kind: str) -> list:
         known = dict(done)
 
         def of(batch: pa.RecordBatch, kept=kept, known=known) -> Rows:
-            rows = _rows(batch, kind)
+            rows = rows_of(batch, kind)
             if kept:
                 held = np.frombuffer(b"".join(batch.column("kept").to_pylist())).reshape(-1, len(kept))
                 rows.kept = {(i, "margin"): (known[i], held[:, k].copy()) for k, i in enumerate(kept)}
@@ -204,15 +217,17 @@ def _across(table: DataFrame, fits: Sequence[Fit], kind: str) -> list:
             for batch in batches:
                 rows = of(batch)
                 if batch.num_rows:
-                    for i, fit, state in own:
-                        sums = fit.sums(rows, state).astype(np.float64).ravel()
-                        total[i] = sums if i not in total else total[i] + sums
+                    for members in grouped_by(own, lambda o: type(o[1])).values():
+                        for (i, *_), sums in zip(members, type(members[0][1]).all_sums(rows, [m[1:] for m in members])):
+                            sums = sums.astype(np.float64).ravel()
+                            total[i] = sums if i not in total else total[i] + sums
             part = TaskContext.get().partitionId() % parts
             for i, sums in total.items():
                 yield pa.RecordBatch.from_arrays([pa.array([i]), pa.array([part]), pa.array([sums.tobytes()])], schema=_PACKED)
 
         taken = table.select("id", "x", "label", "fold", "kept").mapInArrow(take, types)
-        taken = taken.repartition("fit", "part").mapInArrow(_added, types).withColumn("part", F.lit(0).cast("long"))
+        if parts > 1:
+            taken = taken.repartition("fit", "part").mapInArrow(_added, types).withColumn("part", F.lit(0).cast("long"))
         found = taken.repartition("fit").mapInArrow(_added, types).collect()
         shared.unpersist()
         for r in found:
@@ -271,9 +286,14 @@ def best_point(scores: dict[object, list[float]]) -> tuple[object, float]:
     return best, means[best]
 
 
-def grouped(points: Sequence[dict], *names: str) -> dict[tuple, list[dict]]:
-    """Points by the values that they have of some parameters."""
+def grouped_by(items, key: Callable) -> dict:
+    """Items by their keys, in their order."""
     out = defaultdict(list)
-    for p in points:
-        out[tuple(p.get(n) for n in names)].append(p)
+    for item in items:
+        out[key(item)].append(item)
     return out
+
+
+def grouped(points: Sequence[dict], *names: str) -> dict[tuple, list[dict]]:
+    """Points by the values that they have of some parameters."""
+    return grouped_by(points, lambda p: tuple(p.get(n) for n in names))

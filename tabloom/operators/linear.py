@@ -3,29 +3,39 @@
 Minimised is C times the summed loss plus the penalty; the intercept isn't penalised. Losses are smooth: the logistic one, or the
 hinge with its corner rounded over a width that shrinks step by step to `WIDTHS[-1]`. Up to `SECOND_ORDER` columns a round
 sums gradient and curvature, and the next point solves the penalised quadratic model (coordinate by coordinate where the
-penalty has corners). The same round sums the loss at shorter steps, in case the target doesn't fall over the whole one. Wider
-fits sum gradients only and take accelerated proximal steps. Both end at the same minimum, since the target is convex.
+penalty has corners). The same round sums the loss at other lengths of the step; the best one is taken, and the next step is tried at
+about that length. Wider fits sum gradients only and take accelerated proximal steps. Both end at the same minimum, since the target is convex.
+
+So a fit may start anywhere: near others it knows, or, over a large table, at the minimum over some of its rows. The start is all that
+these decide; every round sums over all rows. Fits that are capped by `max_iter` start at zero.
 
 A fit may read its rows through a map of their cells, which is taken in tasks, so that only the cells themselves are stored.
 """
 
 from __future__ import annotations
 
-from collections.abc import Generator, Iterator, Mapping, Sequence
-from dataclasses import dataclass
+from collections.abc import Callable, Generator, Iterator, Mapping, Sequence
+from dataclasses import dataclass, replace
+from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .fitting import Fit, Rows, fit_together, held_out_counts, packed_table
+from . import fitting
+from .fitting import Fit, Rows, fit_together, grouped_by, held_out_counts, packed_table, table_bytes, uniform
 
 SECOND_ORDER, WIDTHS, ROUNDS = 256, (1.0, 0.3, 0.1, 0.03, 0.01), 5_000
+#: Rows of a large table from which its fits take their starts.
+START_ROWS = 20_000
 #: Rows mapped at once, bytes of mapped rows that a task keeps, and the share of the steepest curvature below which a row's adds nothing.
-BLOCK, KEPT_BYTES, FLAT = 4096, 192 << 20, 1e-4
-#: Shorter steps tried in the round of a whole one.
-SHORTER = tuple(2.0**-k for k in range(1, 11))
+BLOCK, KEPT_BYTES, FLAT = 4096, 192 << 20, 1e-2
+#: The C of fits that aren't meant to be penalised.
+UNBOUND = 1e9
+#: Lengths tried in the round of a whole step.
+LENGTHS = (4.0, 2.0, *(2.0**-k for k in (1, 2, 3, 4, 6, 10)))
 
 
 def _loss(margin: np.ndarray, width: float | None, above: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -92,6 +102,54 @@ def _blocks(rows: Rows, how) -> Iterator[tuple[slice, np.ndarray]]:
         rows.shared[own] = kept
 
 
+@lru_cache(maxsize=8)
+def _upper(n: int) -> tuple[np.ndarray, np.ndarray]:
+    return np.triu_indices(n)
+
+
+def _square(upper: np.ndarray, n: int) -> np.ndarray:
+    """The symmetric matrix of which sums hold the upper half."""
+    out = np.zeros((n, n))
+    out[_upper(n)] = upper
+    return out + np.triu(out, 1).T
+
+
+class _Sums:
+    """What one fit sums over stretches of rows in a round."""
+
+    def __init__(self, fit: "LinearFit", state: tuple):
+        self.fit, (self.what, w, step, self.width, self.above) = fit, state
+        n = len(w)
+        self.vectors = (w if step is None else np.stack([w + step, step], 1)).reshape(n, -1)
+        self.loss, self.slopes, self.pull, self.total = np.zeros(1 + len(LENGTHS)), np.zeros(n), None, 0.0
+        self.curves = np.zeros((n, n)) if fit.second and self.what != "score" else None
+
+    def take(self, rows: Rows, at: slice, x: np.ndarray, products: np.ndarray) -> None:
+        out, y = self.fit._out(rows.fold[at]), rows.y[at]
+        if self.what == "score":
+            self.total = self.total + held_out_counts(y[out], 1 / (1 + np.exp(-np.clip(products[out, 0], -700, 700))))
+            return
+        seen, sign = ~out, 2 * y - 1
+        margin = sign * products[:, 0]
+        value, slope, curve = _loss(margin, self.width, self.above)
+        self.loss[0] += value[seen].sum()
+        self.pull = np.where(seen, slope * sign, 0.0)
+        if products.shape[1] > 1:
+            moved = (sign * products[:, 1])[seen]
+            start = margin[seen] - moved
+            self.loss[1:] += [_loss_alone(start + t * moved, self.width) for t in LENGTHS]
+        if self.curves is not None:
+            bent = np.flatnonzero(seen & (curve > 0))
+            scaled = x[bent]
+            scaled *= np.sqrt(curve[bent])[:, None]
+            self.curves += scaled.T @ scaled
+
+    def packed(self, rows: Rows) -> np.ndarray:
+        if self.what == "score":
+            return self.total if len(rows.y) else held_out_counts(rows.y, rows.y)
+        return np.concatenate([self.loss, self.slopes] + ([] if self.curves is None else [self.curves[_upper(len(self.slopes))]]))
+
+
 @dataclass
 class LinearFit(Fit):
     """One point on all folds but one, or but some."""
@@ -103,37 +161,33 @@ class LinearFit(Fit):
     hinge: bool = False
     second: bool = True
     map: object = None
+    start: np.ndarray | None = None
 
     def _out(self, fold: np.ndarray) -> np.ndarray:
         return np.isin(fold, self.fold) if isinstance(self.fold, tuple) else fold == self.fold
 
     def sums(self, rows: Rows, state) -> np.ndarray:
-        what, w, step, width, above = state
-        if what == "score":
-            total = 0.0
-            for at, x in _blocks(rows, self.map):
-                held = self._out(rows.fold[at])
-                total = total + held_out_counts(rows.y[at][held], 1 / (1 + np.exp(-np.clip((x @ w)[held], -700, 700))))
-            return total if len(rows.y) else held_out_counts(rows.y, rows.y)
-        n = len(w)
-        loss, slopes, curves = np.zeros(1 + len(SHORTER)), np.zeros(n), np.zeros((n, n))
-        for at, x in _blocks(rows, self.map):
-            seen = ~self._out(rows.fold[at])
-            sign = 2 * rows.y[at] - 1
-            margin = sign * (x @ (w if step is None else w + step))
-            value, slope, curve = _loss(margin, width, above)
-            loss[0] += value[seen].sum()
-            slopes += x.T @ np.where(seen, slope * sign, 0.0)
-            if step is not None:
-                moved = (sign * (x @ step))[seen]
-                start = margin[seen] - moved
-                loss[1:] += [_loss_alone(start + t * moved, width) for t in SHORTER]
-            if self.second:
-                bent = np.flatnonzero(seen & (curve > 0))
-                scaled = x[bent]
-                scaled *= np.sqrt(curve[bent])[:, None]
-                curves += scaled.T @ scaled
-        return np.concatenate([loss, slopes, curves.ravel()] if self.second else [loss, slopes])
+        return self.all_sums(rows, [(self, state)])[0]
+
+    @staticmethod
+    def all_sums(rows: Rows, asked: Sequence[tuple["LinearFit", tuple]]) -> list[np.ndarray]:
+        """The sums of many fits: those that share a map take their products with each stretch of rows at once."""
+        out = [None] * len(asked)
+        for how, members in grouped_by(range(len(asked)), lambda i: asked[i][0].map).items():
+            parts = [_Sums(*asked[i]) for i in members]
+            for at, x in _blocks(rows, how):
+                products, begin = x @ np.concatenate([p.vectors for p in parts], axis=1), 0
+                for p in parts:
+                    p.take(rows, at, x, products[:, begin : begin + p.vectors.shape[1]])
+                    begin += p.vectors.shape[1]
+                pulled = [p for p in parts if p.pull is not None]
+                if pulled:
+                    slopes = x.T @ np.stack([p.pull for p in pulled], 1)
+                    for k, p in enumerate(pulled):
+                        p.slopes += slopes[:, k]
+            for i, p in zip(members, parts):
+                out[i] = p.packed(rows)
+        return out
 
     @property
     def _parts(self) -> tuple[float, float, float]:
@@ -146,55 +200,63 @@ class LinearFit(Fit):
         return c * loss + corner * np.abs(w[:-1]).sum() + ridge / 2 * (w[:-1] ** 2).sum()
 
     def run(self) -> Generator:
-        w = np.zeros(self.columns + 1)
+        known = self.start is not None and not self.point.get("max_iter")
+        w = self.start if known else np.zeros(self.columns + 1)
         solve = self._newton if self.second else self._proximal
-        widths = WIDTHS if self.hinge else (None,)
+        widths = (None,) if not self.hinge else WIDTHS[-1:] if known else WIDTHS
         for width in widths:
-            w = yield from solve(w, width, 1e-11 if width == widths[-1] else 1e-6)
+            w = yield from solve(w, width, 1e-11 if width == widths[-1] else 1e-3)
         return w, ((yield "score", w, None, None, False) if isinstance(self.fold, int) and self.fold >= 0 else None)
 
     def _newton(self, w: np.ndarray, width: float | None, least: float) -> Generator:
         """Steps until the target falls by less than the share `least`."""
-        (c, corner, ridge), n, lengths = self._parts, len(w), len(SHORTER) + 1
+        (c, corner, ridge), n, lengths = self._parts, len(w), len(LENGTHS) + 1
         flat = np.r_[np.ones(n - 1), 0.0]
-        above = False
+        above, share, little = False, 1.0, 0
         sums = yield "sums", w, None, width, above
         value = self._target(sums[0], w)
         for _ in range(self.point.get("max_iter") or ROUNDS):
             slope = c * sums[lengths : lengths + n] + ridge * flat * w
-            curve = c * sums[lengths + n :].reshape(n, n) + ridge * np.diag(flat)
+            curve = c * _square(sums[lengths + n :], n) + ridge * np.diag(flat)
             curve = curve + np.eye(n) * (1e-9 * max(1.0, float(np.trace(curve)) / n))
-            step = _descent(curve, slope, w, corner)
+            step = share * _descent(curve, slope, w, corner)
             fall = float(slope @ step) + corner * (np.abs((w + step)[:-1]).sum() - np.abs(w[:-1]).sum())
             while True:
                 sums = yield "sums", w, step, width, above
-                tried = [(t, self._target(loss, w + t * step)) for t, loss in zip((1.0, *SHORTER), sums)]
+                tried = {t: self._target(loss, w + t * step) for t, loss in zip((1.0, *LENGTHS), sums)}
                 # corners bend the target along a step, so the fall of the whole step bounds that of a part of it
-                good = next((t for t, new in tried if new <= value + 1e-4 * t * min(fall, 0.0)), None)
-                if good is not None or np.abs(step).max() < 1e-8 * (1 + np.abs(w).max()):
+                good = any(new <= value + 1e-4 * t * min(fall, 0.0) for t, new in tried.items() if t <= 1)
+                if good or np.abs(step).max() < 1e-8 * (1 + np.abs(w).max()):
                     break
-                step, fall = step * SHORTER[-1], fall * SHORTER[-1]
+                step, fall = step * LENGTHS[-1], fall * LENGTHS[-1]
                 if self.hinge and not above:
                     break
-            if good is None and self.hinge and not above:  # far from its minimum the loss may be flatter here than on the way
-                above = True
+            if not good and self.hinge and not above:  # far from its minimum the loss may be flatter here than on the way
+                above, share = True, 1.0
                 sums = yield "sums", w, None, width, above
                 continue
-            scale = 1.0 if good is None else good
-            if good is None or scale != 1.0:
+            best = min(tried, key=lambda t: tried[t]) if good else 1.0
+            # another length costs a round more
+            scale = 1.0 if value - tried[1.0] >= (value - tried[best]) / 2 else best
+            whole, share = share == 1.0 and scale == 1.0, min(1.0, share * best)
+            if not good or scale != 1.0:
                 sums = yield "sums", w + scale * step, None, width, False
             new = self._target(sums[0], w + scale * step)
             gained, value, w = value - new, new, w + scale * step
-            if np.abs(scale * step).max() < 1e-7 * (1 + np.abs(w).max()) or gained < least * (1 + abs(value)):
+            little = little + 1 if gained < least * (1 + abs(value)) else 0
+            if not good or np.abs(scale * step).max() < 1e-7 * (1 + np.abs(w).max()) or little > (not whole):
                 break
+            if little:
+                share = 1.0
             if above:
                 above = False
-                sums = yield "sums", w, None, width, above
+                if scale == 1.0:
+                    sums = yield "sums", w, None, width, above
         return w
 
     def _proximal(self, w: np.ndarray, width: float | None, least: float) -> Generator:
         """Accelerated proximal gradient steps, their length found by trial, started anew where the target rises."""
-        (c, corner, ridge), n, lengths = self._parts, len(w), len(SHORTER) + 1
+        (c, corner, ridge), n, lengths = self._parts, len(w), len(LENGTHS) + 1
         flat = np.r_[np.ones(n - 1), 0.0]
         ahead, pace, steep = w, 1.0, 1.0
         value = np.inf
@@ -247,6 +309,10 @@ class LinearModel:
             added["probability"] = array_to_vector(F.array(1 - p, p))
         return out.withColumns(added).drop("__side")
 
+    def probability(self, margin):
+        """The probability at a column of numbers, for a model of one column."""
+        return 1 / (1 + F.exp(-(F.lit(float(self.coefficients[0])) * margin + F.lit(float(self.intercept)))))
+
     def to_dict(self) -> dict:
         return {"coefficients": list(self.coefficients), "intercept": self.intercept, "calibrated": self.calibrated, "features": self.features}
 
@@ -255,11 +321,38 @@ class LinearModel:
         return cls(tuple(d["coefficients"]), d["intercept"], d["calibrated"], d["features"])
 
 
-def search(name: str, data: DataFrame, points: Sequence[Mapping], folds: Sequence, features: str = "features", maps: Sequence | None = None):
+def _starts(table: DataFrame, fits: Sequence[LinearFit], size: int, row: int) -> None:
+    """Start hinge fits over a large table at the minimum over some of its rows, one for each point, with their losses weighted up."""
+    todo = [f for f in fits if f.hinge and f.start is None and not f.point.get("max_iter")]
+    if not todo or size <= fitting.SMALL_BYTES:
+        return
+    rows = table.count()
+    wanted = min(START_ROWS, fitting.SMALL_BYTES // row)
+
+    def some(batches):
+        for batch in batches:
+            yield batch.filter(uniform(batch.column("id").to_numpy(), 1) * rows < wanted)
+
+    part = table.mapInArrow(some, table.schema).persist()
+    try:
+        held = part.count()
+        if not held:
+            return
+        asked = list(grouped_by(todo, lambda f: (f.map, tuple(sorted(f.point.items())))).values())
+        near = [replace(g[0], key=k, fold=-1, point={**g[0].point, "C": float(g[0].point.get("C", 1.0)) * rows / held}) for k, g in enumerate(asked)]
+        for g, (w, _) in zip(asked, fit_together(part, near, "float64", row - 20)):
+            for f in g:
+                f.start = w
+    finally:
+        part.unpersist()
+
+
+def search(name: str, data: DataFrame, points: Sequence[Mapping], folds: Sequence, features: str = "features", maps: Sequence | None = None,
+           near: Callable[[int, object], Sequence["LinearModel"]] | None = None):
     """(held-out counts, models), both by place of the point and fold. The fits of all points and folds are one run.
 
     A fold may be a tuple of folds that are all left out, which gives no counts. `maps` has each point's map of the cells, or None;
-    a mapped model reads the column `__z`.
+    a mapped model reads the column `__z`. `near` gives models between which the fit of a point and fold starts.
     """
     first = data.select(F.size(vector_to_array(features))).first()
     table = packed_table(data, lambda x: x.astype(np.float64), features)
@@ -268,7 +361,13 @@ def search(name: str, data: DataFrame, points: Sequence[Mapping], folds: Sequenc
     widths = [width if how is None else how.size for how in maps]
     tasks = [(i, f) for i in range(len(points)) for f in folds]
     fits = [LinearFit(t, f, widths[i], points[i], hinge, widths[i] <= SECOND_ORDER, maps[i]) for t, (i, f) in enumerate(tasks)]
-    found = dict(zip(tasks, fit_together(table, fits, "float64", 8 * max([width, *widths]))))
+    for f, t in zip(fits, tasks):
+        known = list(near(*t)) if near is not None else []
+        if known:
+            f.start = np.mean([np.r_[m.coefficients, m.intercept] for m in known], axis=0)
+    row = 8 * max([width, *widths])
+    _starts(table, fits, table_bytes(table, row), row + 20)
+    found = dict(zip(tasks, fit_together(table, fits, "float64", row)))
     models = {t: LinearModel(tuple(w[:-1].tolist()), float(w[-1]), not hinge, features if maps[t[0]] is None else "__z") for t, (w, _) in found.items()}
     return {t: held for t, (_, held) in found.items()}, models
 
@@ -276,3 +375,49 @@ def search(name: str, data: DataFrame, points: Sequence[Mapping], folds: Sequenc
 def fit(name: str, data: DataFrame, point: Mapping, features: str = "features", how=None) -> LinearModel:
     """The model of one point over all rows."""
     return search(name, data, [point], [-1], features, [how])[1][0, -1]
+
+
+@dataclass(frozen=True)
+class Column:
+    """The map that picks one cell."""
+
+    index: int
+    size: int = 1
+
+    def cells(self, x: np.ndarray) -> np.ndarray:
+        return x[:, [self.index]]
+
+
+def calibrations(data: DataFrame, plans: Sequence[tuple[tuple, Mapping[int, LinearModel]]], how=None, features: str = "features") -> list[LinearModel]:
+    """Logistic curves over out-of-fold margins (Platt, 1999), all fitted in one run.
+
+    A plan has the folds it leaves out, and the model whose margins it reads for each other fold; for all rows if there are no folds.
+    """
+    table = packed_table(data, lambda x: x.astype(np.float64), features)
+    models = list({id(m): m for _, known in plans for m in known.values()}.values())
+    place = {id(m): k for k, m in enumerate(models)}
+    asked = [{f: place[id(m)] for f, m in known.items()} for _, known in plans]
+    weights = np.stack([np.r_[m.coefficients, m.intercept] for m in models], 1)
+
+    def margins(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = fitting.rows_of(batch, "float64")
+            if not len(rows.y):
+                continue
+            out = np.zeros((len(rows.y), len(asked)))
+            for at, x in _blocks(rows, how):
+                found = x @ weights
+                for k, known in enumerate(asked):
+                    for f, m in known.items():
+                        own = rows.fold[at] == f
+                        out[at, k][own] = found[own, m]
+            cells = pa.array([r.tobytes() for r in out], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column("id"), cells, batch.column("label"), batch.column("fold")], ["id", "x", "label", "fold"])
+
+    held = table.mapInArrow(margins, "id long, x binary, label double, fold int").persist()
+    try:
+        fits = [LinearFit(k, tuple(out), 1, {"C": UNBOUND}, map=Column(k)) for k, (out, _) in enumerate(plans)]
+        found = fit_together(held, fits, "float64")
+    finally:
+        held.unpersist()
+    return [LinearModel(tuple(w[:-1].tolist()), float(w[-1]), True, "__m") for w, _ in found]

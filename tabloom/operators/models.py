@@ -137,7 +137,7 @@ class TrainedModel:
     seed: int = 42
     threshold: float = 0.5
     fourier: FourierMap | None = None
-    platt: Model | None = None
+    platt: Model | linear.LinearModel | None = None
     fold_models: tuple[Model, ...] = ()  # from the search; entry i did not see fold i
 
     def score(self, df: DataFrame, prefix: str = "") -> DataFrame:
@@ -147,6 +147,8 @@ class TrainedModel:
         out = self.model.transform(out)
         if "probability" in out.columns:
             p1 = vector_to_array("probability")[1]
+        elif isinstance(self.platt, linear.LinearModel):
+            p1 = self.platt.probability(vector_to_array("rawPrediction")[1])
         else:
             margins = out.withColumn("__margin", vector_to_array("rawPrediction")[1])
             one = VectorAssembler(inputCols=["__margin"], outputCol="__m").transform(margins)
@@ -178,14 +180,20 @@ class TrainedModel:
         whole = df.withColumn(FOLD, F.col(fold)) if fold != FOLD else df
         pairs = [] if self.model.hasParam("probabilityCol") else [(i, j) for i in folds for j in folds if i < j]
         groups = [(i,) for i in folds if i not in known] + pairs
-        made = family.left_out(self.best_params, whole, self.seed, self.fourier, groups) if groups else {}
-        out = []
-        for i in folds:
-            inner = {j: made[min(i, j), max(i, j)] for j in folds if j != i} if pairs else {}
-            model = known[i] if i in known else made[i,]
-            rest = whole.where(F.col(FOLD) != i)
-            out.append(_fit_one(self.name, self.best_params, rest, self.seed, self.fourier, model=model, inner=inner))
-        return out
+        made = family.left_out(self.best_params, whole, self.seed, self.fourier, groups, known) if groups else {}
+        sizes, models = _fold_sizes(whole), [known[i] if i in known else made[i,] for i in folds]
+        rows = {i: sum(n for f, n in sizes.items() if f != i) for i in folds}
+        inner = {i: {j: made[min(i, j), max(i, j)] for j in folds if j != i} if pairs else {} for i in folds}
+        if len(folds) > 1 and pairs and all(isinstance(m, linear.LinearModel) for m in [*models, *made.values()]):
+            curves = linear.calibrations(whole, [((i,), inner[i]) for i in folds], self.fourier)
+            return [
+                TrainedModel(self.name, m, dict(self.best_params), float("nan"), rows[i], self.seed, fourier=self.fourier, platt=c)
+                for i, m, c in zip(folds, models, curves)
+            ]
+        return [
+            _fit_one(self.name, self.best_params, whole.where(F.col(FOLD) != i), self.seed, self.fourier, rows[i], model=m, inner=inner[i])
+            for i, m in zip(folds, models)
+        ]
 
     def out_of_fold(
         self, df: DataFrame, fold: str = FOLD, prefix: str = "", reuse: bool = False
@@ -230,22 +238,28 @@ class TrainedModel:
             write_json({"kind": type(self.model).__name__, **self.model.to_dict()}, f"{path}/model")
         else:
             PipelineModel([self.model]).write().overwrite().save(f"{path}/classifier")
-        if self.platt is not None:
+        about = {**self.describe(), "calibrated": self.platt is not None}
+        if isinstance(self.platt, linear.LinearModel):
+            about["curve"] = self.platt.to_dict()
+        elif self.platt is not None:
             PipelineModel([self.platt]).write().overwrite().save(f"{path}/calibration")
-        write_json({**self.describe(), "calibrated": self.platt is not None}, f"{path}/about")
+        write_json(about, f"{path}/about")
 
     @classmethod
     def load(cls, path: str) -> "TrainedModel":
         from ..sources.store import exists, read_json
 
         about = read_json(f"{path}/about")
-        calibrated, fourier = about.pop("calibrated"), about.pop("fourier", None)
+        calibrated, fourier, curve = about.pop("calibrated"), about.pop("fourier", None), about.pop("curve", None)
         if exists(f"{path}/model"):
             held = read_json(f"{path}/model")
             model = next(m for m in OWN_MODELS if m.__name__ == held["kind"]).from_dict(held)
         else:
             model = PipelineModel.load(f"{path}/classifier").stages[0]
-        platt = PipelineModel.load(f"{path}/calibration").stages[0] if calibrated else None
+        if curve is not None:
+            platt = linear.LinearModel.from_dict(curve)
+        else:
+            platt = PipelineModel.load(f"{path}/calibration").stages[0] if calibrated else None
         return cls(model=model, platt=platt, fourier=FourierMap(**fourier) if fourier else None, **about)
 
 
@@ -276,16 +290,21 @@ def _fit_one(
     return replace(trained, platt=_calibrate(trained, df, inner or dict(enumerate(fold_models))))
 
 
-def _calibrate(trained: TrainedModel, df: DataFrame, known: Mapping[int, Model]) -> Model:
+def _calibrate(trained: TrainedModel, df: DataFrame, known: Mapping[int, Model]) -> Model | linear.LinearModel:
     """Logistic curve over out-of-fold margins (Platt, 1999); margins of the fit without folds."""
     present = _fold_sizes(df) if FOLD in df.columns else {}
-    data, _ = _mapped(df, trained.fourier)
     if len(present) > 1:
         missing = [(i,) for i in present if i not in known]
         family = REGISTRY[trained.name](trained.name)
-        made = family.left_out(trained.best_params, df, trained.seed, trained.fourier, missing) if missing else {}
-        parts = [(known[i] if i in known else made[i,]).transform(data.where(F.col(FOLD) == i)) for i in present]
-        margins = reduce(DataFrame.unionByName, parts)
+        made = family.left_out(trained.best_params, df, trained.seed, trained.fourier, missing, known) if missing else {}
+        models = {i: known[i] if i in known else made[i,] for i in present}
+    else:
+        models = {i: trained.model for i in present or (0,)}
+    if all(isinstance(m, linear.LinearModel) for m in models.values()):
+        return linear.calibrations(df, [((), models)], trained.fourier)[0]
+    data, _ = _mapped(df, trained.fourier)
+    if len(present) > 1:
+        margins = reduce(DataFrame.unionByName, [m.transform(data.where(F.col(FOLD) == i)) for i, m in models.items()])
     else:
         margins = trained.model.transform(data)
     one = margins.select(F.col(LABEL), vector_to_array("rawPrediction")[1].alias("__margin"))
@@ -333,8 +352,10 @@ class Classifier:
         data, features = _mapped(df, fourier)
         return self.estimator(params, rows, seed, features).fit(data)
 
-    def left_out(self, params: Mapping, df: DataFrame, seed: int, fourier: FourierMap | None, groups: Sequence[tuple]) -> dict[tuple, Model]:
-        """Models of one point that don't see some folds, by tuples of these."""
+    def left_out(
+        self, params: Mapping, df: DataFrame, seed: int, fourier: FourierMap | None, groups: Sequence[tuple], known: Mapping[int, Model] = {},
+    ) -> dict[tuple, Model]:
+        """Models of one point that don't see some folds, by tuples of these; `known` has those that left out one fold."""
         sizes = _fold_sizes(df)
         return {
             g: self.fit(params, sum(n for f, n in sizes.items() if f not in g), seed, fourier, df.where(~F.col(FOLD).isin(*g)))
@@ -423,8 +444,9 @@ class LinearClassifier(Classifier):
     def fit(self, params, rows, seed, fourier, df):
         return linear.fit(self.name, df, params, FEATURES, fourier)
 
-    def left_out(self, params, df, seed, fourier, groups):
-        _, found = linear.search(self.name, df, [params], groups, FEATURES, [fourier])
+    def left_out(self, params, df, seed, fourier, groups, known={}):
+        near = lambda _, g: [known[i] for i in g if i in known] or list(known.values())
+        _, found = linear.search(self.name, df, [params], groups, FEATURES, [fourier], near)
         return {g: found[0, g] for g in groups}
 
     def train(self, df, scoring="f1_weighted", seed=42, grid=None, parallelism=8) -> TrainedModel:
@@ -434,10 +456,12 @@ class LinearClassifier(Classifier):
             sizes = _fold_sizes(data)
             asked = [(p, fourier) for fourier, members in self._groups(data, self.points(grid), seed) for p in members]
             points, maps = [p for p, _ in asked], [m for _, m in asked]
-            counts, found = linear.search(self.name, data, points, sorted(sizes), FEATURES, maps)
+            # the fits over all rows run beside the others: alone, the best one would need as many rounds again
+            counts, found = linear.search(self.name, data, points, [*sorted(sizes), -1], FEATURES, maps)
             best, score = best_point({i: [held_out_score(counts[i, f], scoring) for f in sorted(sizes)] for i in range(len(points))})
             copies = [found[best, f] for f in sorted(sizes)]
-            return _fit_one(self.name, points[best], data, seed, maps[best], sum(sizes.values()), score=float(score), fold_models=copies)
+            return _fit_one(
+                self.name, points[best], data, seed, maps[best], sum(sizes.values()), score=float(score), fold_models=copies, model=found[best, -1])
         finally:
             data.unpersist()
 

@@ -127,3 +127,72 @@ def test_copies_of_all_folds_are_calibrated_in_one_run(data, monkeypatch):
     monkeypatch.setattr(linear, "search", lambda *a, **k: runs.append(a[3]) or original(*a, **k))
     model.fold_copies(data, reuse=True)
     assert runs == [[(0, 1), (0, 2), (1, 2)]]
+
+
+def steps_of(fit, rows):
+    steps, rounds = fit.run(), 0
+    state = next(steps)
+    while True:
+        try:
+            rounds, state = rounds + 1, steps.send(fit.sums(rows, state))
+        except StopIteration as end:
+            return end.value[0], rounds
+
+
+def test_a_start_near_the_minimum_saves_rounds_and_gives_the_same():
+    x, y, fold = cells(2000)
+    rows, how = fitting.Rows(np.arange(len(y)), x, y, fold), FourierMap(0.3, 4, 7, 64)
+    make = lambda out, **more: linear.LinearFit(0, out, 64, {"C": 10}, True, True, how, **more)
+    near, _ = steps_of(make(0), rows)
+    cold, many = steps_of(make(1), rows)
+    warm, few = steps_of(make(1, start=near), rows)
+    assert few < many < 60
+    assert np.allclose(how.cells(x) @ (cold - warm)[:-1], (warm - cold)[-1], atol=1e-3)
+
+
+def test_large_tables_start_at_the_minimum_over_some_rows_and_end_at_that_of_all(data, monkeypatch):
+    points, folds = [{"C": 1.0}, {"C": 5.0}], [0, 1, -1]
+    how = [FourierMap(0.3, 4, 7, 16), None]
+    near = linear.search("svm", data, points, folds, maps=how)[1]
+    runs, original = [], linear.fit_together
+    monkeypatch.setattr(linear, "fit_together", lambda table, fits, *rest: runs.append([f.start is not None for f in fits]) or original(table, fits, *rest))
+    monkeypatch.setattr(fitting, "SMALL_BYTES", 16_000)
+    far = linear.search("svm", data, points, folds, maps=how)[1]
+    assert runs == [[False] * 2, [True] * 6]
+    assert all(np.allclose(numbers(near[k]), numbers(far[k]), atol=1e-3) for k in near)
+
+
+def test_sums_of_many_fits_are_those_of_each(data):
+    x, y, fold = cells(500)
+    rng = np.random.default_rng(4)
+    maps = (None, FourierMap(0.3, 4, 7, 16), None, FourierMap(0.3, 4, 7, 16))
+    fits = [linear.LinearFit(i, i % 3, how.size if how else 4, {"C": 1.0}, i > 0, True, how) for i, how in enumerate(maps)]
+    steps = [None if i == 2 else rng.normal(size=f.columns + 1) for i, f in enumerate(fits)]
+    asked = [(f, ("sums", rng.normal(size=f.columns + 1), s, 0.1 if f.hinge else None, False)) for f, s in zip(fits, steps)]
+    asked.append((fits[1], ("score", rng.normal(size=17), None, None, False)))
+    rows = fitting.Rows(np.arange(len(y)), x, y, fold)
+    together = linear.LinearFit.all_sums(rows, asked)
+    assert all(np.allclose(a, fit.sums(rows, state)) for a, (fit, state) in zip(together, asked))
+
+
+def test_curves_over_margins_are_those_of_their_rows(data):
+    """All curves in one run; each reads, row by row, the margins of the model that didn't see the row."""
+    x, y, fold = cells()
+    rng = np.random.default_rng(5)
+    models = [linear.LinearModel(tuple(rng.normal(size=4)), 0.1 * i, False) for i in range(3)]
+    plans = [((), dict(enumerate(models))), ((1,), {0: models[1], 2: models[0]})]
+    for (out, known), curve in zip(plans, linear.calibrations(data, plans)):
+        seen = np.isin(fold, list(known))
+        margin = np.array([x[i] @ known[f].coefficients + known[f].intercept for i, f in enumerate(fold) if f in known])
+        lack = 1 / (1 + np.exp(-(curve.coefficients[0] * margin + curve.intercept))) - y[seen]
+        assert abs(lack.sum()) < 1e-3 and abs((lack * margin).sum()) < 1e-3
+
+
+def test_copies_are_calibrated_together_without_jobs_of_each(spark, data):
+    model = train("svm", data, grid=[{"kernel": "linear", "C": 1}])
+    group = "copies-of-a-search"
+    spark.sparkContext.setJobGroup(group, group)
+    copies = model.fold_copies(data, reuse=True)
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(copies) == 3 and all(isinstance(c.platt, linear.LinearModel) for c in copies)
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup(group)) < 25
