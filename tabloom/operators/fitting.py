@@ -74,12 +74,13 @@ class Fit:
         raise NotImplementedError
 
 
-def uniform(ids: np.ndarray, *numbers: int) -> np.ndarray:
-    """A number in [0, 1) for each row that follows from its id and the given numbers alone."""
-    salt = 0x9E3779B97F4A7C15
+def uniform(ids: np.ndarray, *numbers: int | np.ndarray) -> np.ndarray:
+    """A number in [0, 1) for each row that follows from its id and the given numbers alone; arrays of numbers are dealt like arrays of ids."""
+    salt = np.array([0x9E3779B97F4A7C15], np.uint64)  # an array, which wraps around without a warning
     for n in numbers:
-        salt = ((salt ^ (n & _MASK)) * 0xBF58476D1CE4E5B9 + 0x94D049BB133111EB) & _MASK
-    h = ids.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(salt)
+        salt = (salt ^ (n.astype(np.uint64) if isinstance(n, np.ndarray) else np.uint64(n & _MASK))) * np.uint64(0xBF58476D1CE4E5B9)
+        salt = salt + np.uint64(0x94D049BB133111EB)
+    h = ids.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + salt
     h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
     return (h ^ (h >> np.uint64(31))).astype(np.float64) / 2.0**64

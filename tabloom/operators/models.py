@@ -162,6 +162,23 @@ class TrainedModel:
 
     predict = score
 
+    @property
+    def local(self) -> bool:
+        """Whether `of_cells` can score."""
+        return isinstance(self.model, OWN_MODELS) and (self.platt is None or isinstance(self.platt, linear.LinearModel))
+
+    def of_cells(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Probability of class 1 and prediction for rows of cells."""
+        if isinstance(self.model, trees.TreeModel):
+            p = self.model.shares(x)
+            said = p > 0.5
+        else:
+            margin = self.model.margins(x if self.fourier is None else self.fourier.cells(x))
+            said = margin > 0
+            curve = np.r_[1.0, 0.0] if self.platt is None else np.r_[self.platt.coefficients, self.platt.intercept]
+            p = 1 / (1 + np.exp(-np.clip(curve[0] * margin + curve[1], -700, 700)))
+        return p, (said if self.threshold == 0.5 else p >= self.threshold).astype(float)
+
     def with_threshold(self, threshold: float) -> "TrainedModel":
         return replace(self, threshold=threshold)
 
@@ -199,11 +216,7 @@ class TrainedModel:
         self, df: DataFrame, fold: str = FOLD, prefix: str = "", reuse: bool = False
     ) -> DataFrame:
         """Every row scored by the copy that did not see its fold."""
-        parts = [
-            copy.score(df.where(F.col(fold) == i), prefix)
-            for i, copy in enumerate(self.fold_copies(df, fold, reuse))
-        ]
-        return reduce(DataFrame.unionByName, parts)
+        return FoldCopies(tuple(self.fold_copies(df, fold, reuse)), fold).score(df, prefix)
 
     def tune_threshold(
         self, df: DataFrame, scoring: str = "f1", thresholds: Sequence[float] | None = None,
@@ -263,6 +276,32 @@ class TrainedModel:
         return cls(model=model, platt=platt, fourier=FourierMap(**fourier) if fourier else None, **about)
 
 
+@dataclass(frozen=True)
+class FoldCopies:
+    """Copies of a model by the fold that they did not see. Every row is scored by that of its fold; other rows are left out."""
+
+    copies: tuple[TrainedModel, ...]
+    fold: str = FOLD
+
+    def score(self, df: DataFrame, prefix: str = "") -> DataFrame:
+        if not all(c.local for c in self.copies):
+            parts = [c.score(df.where(F.col(self.fold) == i), prefix) for i, c in enumerate(self.copies)]
+            return reduce(DataFrame.unionByName, parts)
+        own = df.sparkSession.sparkContext.broadcast([replace(c, fold_models=()) for c in self.copies])
+
+        @F.pandas_udf("probability double, prediction double")
+        def score(x: pd.Series, fold: pd.Series) -> pd.DataFrame:
+            out = np.zeros((len(x), 2))
+            for i in fold.unique():
+                at = np.flatnonzero(fold == i)
+                out[at] = np.stack(own.value[i].of_cells(np.stack(x.iloc[at].to_list())), 1)
+            return pd.DataFrame(out, columns=["probability", "prediction"])
+
+        rows = df.where(F.col(self.fold).between(0, len(self.copies) - 1))
+        both = rows.withColumn("__both", score(vector_to_array(FEATURES), F.col(self.fold).cast("int")))
+        return both.select(*df.columns, *[F.col(f"__both.{c}").alias(f"{prefix}{c}") for c in ("probability", "prediction")])
+
+
 def _folds(df: DataFrame, fold: str) -> list[int]:
     return list(range(df.agg(F.max(fold)).first()[0] + 1))
 
@@ -481,11 +520,12 @@ class TreeClassifier(Classifier):
         data, points = df.select(FEATURES, LABEL, FOLD).persist(StorageLevel.MEMORY_AND_DISK), list(self.points(grid))
         try:
             sizes = _fold_sizes(data)
-            counts, model = trees.search(self.name, data, points, sorted(sizes), seed)
+            counts, model = trees.search(self.name, data, points, [*sorted(sizes), -1], seed)
             scores = {i: [held_out_score(counts[i, f], scoring) for f in sorted(sizes)] for i in range(len(points))}
             best, score = best_point(scores)
             copies = [model(best, f) for f in sorted(sizes)]
-            return _fit_one(self.name, points[best], data, seed, None, sum(sizes.values()), score=float(score), fold_models=copies)
+            return _fit_one(
+                self.name, points[best], data, seed, None, sum(sizes.values()), score=float(score), fold_models=copies, model=model(best, -1))
         finally:
             data.unpersist()
 

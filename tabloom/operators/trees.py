@@ -19,6 +19,7 @@ from __future__ import annotations
 import math
 from collections.abc import Generator, Mapping, Sequence
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -26,7 +27,8 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .fitting import Fit, Rows, fit_together, grouped, held_out_counts, packed_table, uniform
+from . import fitting
+from .fitting import Fit, Rows, fit_together, grouped, grouped_by, held_out_counts, packed_table, table_bytes, uniform
 
 BINS, MAX_DEPTH, SHRINK = 256, 30, 1.0
 #: Bytes of sums and open trees of a fit in a round.
@@ -88,11 +90,11 @@ class Layout:
 
     cuts: tuple[np.ndarray, ...]
 
-    @property
+    @cached_property
     def size(self) -> int:
         return sum(len(c) + 1 for c in self.cuts)
 
-    @property
+    @cached_property
     def begin(self) -> np.ndarray:
         return np.cumsum([0] + [len(c) + 1 for c in self.cuts])[:-1]
 
@@ -197,6 +199,11 @@ def _impurity(weight: np.ndarray, ones: np.ndarray, criterion: str) -> np.ndarra
         return weight * (part(p) + part(1 - p))
 
 
+def _most_columns(choice: str, width: int) -> int:
+    """The columns that a node may use."""
+    return max(1, int(math.sqrt(width) if choice == "sqrt" else math.log2(width)))
+
+
 # ---- trees of classes -----------------------------------------------------------
 
 
@@ -292,8 +299,8 @@ class ClassTrees(Fit):
         gain = np.where((left[0] >= max(1, self.min_leaf)) & (right[0] >= max(1, self.min_leaf)), gain, -np.inf)
         allowed, width = None, len(self.layout.cuts)
         if self.max_features:
-            most = max(1, int(math.sqrt(width) if self.max_features == "sqrt" else math.log2(width)))
-            order = np.stack([uniform(np.arange(width), self.seed, t, int(p)) for p in tree.path[frontier]]).argsort(1).argsort(1)
+            most = _most_columns(self.max_features, width)
+            order = uniform(np.arange(width), self.seed, t, tree.path[frontier][:, None]).argsort(1).argsort(1)
             allowed = (order, most)
         column, bins, best = _chosen(gain, self.layout, allowed)
         good = np.isfinite(best)
@@ -389,22 +396,31 @@ class Boosted(Fit):
         x, shape = _shapes(rows)
         if state["what"] == "score":
             held = rows.fold == self.fold
-            margin, own, at = np.full(len(x), state["start"]), shape[held], {}
+            seen, own = np.unique(shape[held], return_inverse=True)
+            x, margin, at = x[seen], np.full(len(seen), state["start"]), {}
             wanted = {p["n_estimators"] for p in self.points}
             for k, tree in enumerate(state["trees"], 1):
                 margin = margin + tree.value[tree.leaves(x)]
                 if k in wanted:
                     at[k] = margin[own]
             return np.concatenate([held_out_counts(rows.y[held], 1 / (1 + np.exp(-at[p["n_estimators"]]))) for p in self.points])
-        margin = self._margin(rows, state)
-        n, ones = self._sampled(rows, self.rounds(state))
+        n, slope, curve = self._bent(rows, state)
         tree, frontier = state["tree"], state["frontier"]
         node = self._node(rows, tree, self.rounds(state))
         place = np.full(len(tree.column), -1)
         place[frontier] = np.arange(len(frontier))
         at = np.flatnonzero((place[node] >= 0) & (n > 0))
-        p = 1 / (1 + np.exp(-margin[at]))
-        return _histogram(x[at], place[node[at]], len(frontier), self.layout, (n[at] * p - ones[at], n[at] * p * (1 - p))).ravel()
+        return _histogram(x[at], place[node[at]], len(frontier), self.layout, (slope[at], curve[at])).ravel()
+
+    def _bent(self, rows: Rows, state) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Rows of each shape that the round's tree sees, and their sums of gradients and curvatures; taken once for all levels."""
+        own, round_ = (self.key, "bent"), self.rounds(state)
+        if own not in rows.kept or rows.kept[own][0] != round_:
+            margin = self._margin(rows, state)
+            n, ones = self._sampled(rows, round_)
+            p = 1 / (1 + np.exp(-margin))
+            rows.kept[own] = round_, (n, n * p - ones, n * p * (1 - p))
+        return rows.kept[own][1]
 
     def _leaf(self, g: np.ndarray, h: np.ndarray) -> np.ndarray:
         return -self.rate * g / (h + self.shrink)
@@ -513,12 +529,28 @@ def _model(name: str, point: Mapping, grown, layout: Layout, features: str) -> T
     return TreeModel(layout, tuple(t.cut(point.get("max_depth"), point.get("min_samples_split", 2)) for t in trees), None, features)
 
 
+def _growths(name: str, points: Sequence[Mapping], width: int) -> list[list[Mapping]]:
+    """Points that can be read off one growth; choices of as many columns are one choice."""
+    def key(p: Mapping) -> tuple:
+        own = [p.get(n) for n in GROWN[name]]
+        if name == "random_forest" and width:
+            own[0] = _most_columns(own[0] or "sqrt", width)
+        return tuple(own)
+
+    return list(grouped_by(points, key).values())
+
+
 def search(name: str, data: DataFrame, points: Sequence[Mapping], folds: Sequence[int], seed: int, features: str = "features"):
-    """(held-out counts by point and fold, models by point and fold as a function). Each growth of each fold is one fit of one run."""
+    """(held-out counts by point and fold, models by point and fold as a function). Each growth of each fold is one fit of one run.
+
+    Fold -1 leaves no row out; these fits are left away where those of all growths would take longer than the one that is wanted.
+    """
     layout = bin_layout(data, features)
     table = binned_table(data, layout, features)
     points = list(points)
-    groups = list(grouped(points, *GROWN[name]).values())
+    groups = _growths(name, points, len(layout.cuts))
+    if len(groups) > data.sparkSession.sparkContext.defaultParallelism and table_bytes(table) <= fitting.SMALL_BYTES:
+        folds = [f for f in folds if f >= 0]
     tasks = [(g, f) for g in groups for f in folds]
     fits = [_fit(name, g, f, layout, seed, i) for i, (g, f) in enumerate(tasks)]
     results = fit_together(table, fits, "uint16")
@@ -527,7 +559,7 @@ def search(name: str, data: DataFrame, points: Sequence[Mapping], folds: Sequenc
         for p, c in zip(g, held if held is not None else [None] * len(g)):
             i = points.index(p)
             counts[i, f], where[i, f] = c, grown
-    return counts, lambda i, f: _model(name, points[i], where[i, f], layout, features)
+    return counts, lambda i, f: _model(name, points[i], where[i, f], layout, features) if (i, f) in where else None
 
 
 def grow(name: str, data: DataFrame, point: Mapping, seed: int, features: str = "features") -> TreeModel:

@@ -28,7 +28,7 @@ from ..operators.outliers import Outliers
 from ..operators.quantiles import exact_quantiles, grouped_quantiles
 from ..operators.reduce import Reducer
 from ..operators.split import Splitter, add_folds
-from ..session import shared_dir
+from ..session import checkpointed, shared_dir
 from ..sources.tables import as_records
 from ..streaming.records import chain
 from .workflow import fit_workflow
@@ -85,6 +85,11 @@ def labelled_documents(spark, sf_dir) -> DataFrame:
     return document_shape(spark, sf_dir).join(table(spark, sf_dir, "labels"), "doc_id")
 
 
+def training_documents(spark, sf_dir) -> DataFrame:
+    """Labelled documents, written once: steps and searches read them many times, their texts only here."""
+    return checkpointed(labelled_documents(spark, sf_dir))
+
+
 def scored_documents(spark, sf_dir) -> DataFrame:
     """Labelled documents with a score in [0, 1) that follows from their length."""
     p = (col("n_chars") % 101) / F.lit(101.0)
@@ -662,7 +667,7 @@ def leaderboard(spark, sf_dir):
 
 def training_frame(spark, sf_dir, folds: int = 5) -> DataFrame:
     """Standardised document shape with one-hot language, label and fold."""
-    df = add_folds(labelled_documents(spark, sf_dir).drop("toxic"), "quality", "doc_id", folds)
+    df = add_folds(training_documents(spark, sf_dir).drop("toxic"), "quality", "doc_id", folds)
     meta = ["doc_id", "quality", "fold"]
     encoded = Encoder().fit_transform(df, meta, meta)
     data = encoded.withColumn("label", col("quality").cast("double")).drop("quality")
@@ -753,13 +758,13 @@ def document_spec() -> dict:
 
 @query
 def ranked_models(spark, sf_dir):
-    return fit_workflow(document_spec(), labelled_documents(spark, sf_dir)).leaderboard(spark)
+    return fit_workflow(document_spec(), training_documents(spark, sf_dir)).leaderboard(spark)
 
 
 @query
 def scored_table(spark, sf_dir):
     """Train on the labelled documents, score all documents with the vote."""
-    fitted = fit_workflow(document_spec(), labelled_documents(spark, sf_dir))
+    fitted = fit_workflow(document_spec(), training_documents(spark, sf_dir))
     return fitted.score(document_shape(spark, sf_dir), "ensemble")
 
 

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
-from functools import reduce
+from functools import partial
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
@@ -17,7 +19,7 @@ from ..operators.encode import Encoder, EncoderModel, LabelEncoder, LabelModel
 from ..operators.ensemble import hard_vote, member_weights, soft_vote, weighted_mean
 from ..operators.features import PassengerFeatures
 from ..operators.impute import Imputer
-from ..operators.models import FOLD, LABEL, REGISTRY, TrainedModel, assemble, train
+from ..operators.models import FOLD, LABEL, REGISTRY, FoldCopies, TrainedModel, assemble, train
 from ..operators.outliers import OutlierModel, Outliers
 from ..operators.reduce import Reducer, ReducerModel
 from ..operators.split import add_folds
@@ -327,7 +329,7 @@ class FittedWorkflow:
 
 
 def score_side_by_side(
-    prepared: Prepared, cleaned: DataFrame, members: list[tuple[Variant, TrainedModel, str]], keep: list[str]
+    prepared: Prepared, cleaned: DataFrame, members: list[tuple[Variant, TrainedModel | FoldCopies, str]], keep: list[str]
 ) -> DataFrame:
     """Score columns of several models. Each reads the same packed row, so nothing is joined."""
     df = cleaned.select(F.struct(*[col(c) for c in cleaned.columns]).alias("__row"))
@@ -339,11 +341,18 @@ def score_side_by_side(
     return df.select(*[F.col("__row")[k].alias(k) for k in keep], *[col(c) for c in done])
 
 
+def side_by_side(spark, calls: Sequence[Callable], most: int) -> list:
+    """The results of calls that run jobs of their own, in order; where one leaves cores idle, the others' tasks take them."""
+    # the target made for a session copies the thread properties once, so each call gets one of its own
+    with ThreadPool(max(1, min(most, len(calls)))) as pool:
+        return list(pool.imap(lambda call: call(), [inheritable_thread_target(spark)(call) for call in calls]))
+
+
 def fit_workflow(spec: Mapping, raw: DataFrame, reports: bool = False) -> FittedWorkflow:
     """Prepare, search every active model and its variants, then form the vote."""
     prepared, cleaned, cached = prepare(spec, raw)
     models, cache = spec["models"], section(spec, "model_cache")
-    scoring, seed = models.get("scoring", "f1_weighted"), models.get("random_state", 42)
+    scoring, seed, parallelism = models.get("scoring", "f1_weighted"), models.get("random_state", 42), models.get("parallelism", 8)
     meta = [prepared.id_col, LABEL, FOLD]
     digest = store.config_hash(spec, spec["loader"].get("train_path"), raw) if cache.get("enabled") else ""
     entries: dict[str, Entry] = {}
@@ -351,12 +360,11 @@ def fit_workflow(spec: Mapping, raw: DataFrame, reports: bool = False) -> Fitted
     ens = section(spec, "ensemble")
     wanted = list(ens.get("members", models["active"])) if ens.get("enabled") else []
     try:
-        for key, base, variant in variants_of(spec):
+        def trained(key: str, base: str, variant: Variant) -> tuple[Entry, list[TrainedModel] | None]:
             data = prepared.vectors(cleaned, variant, meta)  # the search caches what it rereads
 
-            def build(base=base, data=data):
-                model = train(base, data, scoring, seed, models.get("grids", {}).get(base, models.get("grid")),
-                              models.get("parallelism", 8))
+            def build():
+                model = train(base, data, scoring, seed, models.get("grids", {}).get(base, models.get("grid")), parallelism)
                 if models.get("tune_threshold"):
                     model, _ = model.tune_threshold(data, models.get("threshold_scoring", "f1"), reuse=True)
                 return model
@@ -365,12 +373,14 @@ def fit_workflow(spec: Mapping, raw: DataFrame, reports: bool = False) -> Fitted
                 model, _ = store.load_or_train(cache["path"], key, digest, build)
             else:
                 model = build()
-            oof = None
-            if key in wanted:
-                copies[key] = model.fold_copies(data, reuse=True)
-            if reports:
-                oof = ev.score_value(model.out_of_fold(data, reuse=True), scoring)
-            entries[key] = Entry(key, base, variant, model, oof)
+            own = model.fold_copies(data, reuse=True) if key in wanted else None
+            oof = ev.score_value(model.out_of_fold(data, reuse=True), scoring) if reports else None
+            return Entry(key, base, variant, model, oof), own
+
+        for entry, own in side_by_side(cleaned.sparkSession, [partial(trained, *v) for v in variants_of(spec)], parallelism):
+            entries[entry.key] = entry
+            if own is not None:
+                copies[entry.key] = own
         vote = _form_vote(ens, wanted, entries, copies, prepared, cleaned, scoring) if wanted else None
     finally:
         cached.unpersist()
@@ -384,11 +394,8 @@ def _form_vote(ens, wanted, entries, copies, prepared, cleaned, scoring) -> Vote
         return None
     voting = ens.get("voting", "soft")
     kind = "probability" if voting == "soft" else "prediction"
-    parts = []
-    for i in range(len(copies[next(iter(weights))])):
-        members = [(entries[m].variant, copies[m][i], f"{m}_") for m in weights]
-        parts.append(score_side_by_side(prepared, cleaned.where(F.col(FOLD) == i), members, [LABEL]))
-    held_out = reduce(DataFrame.unionByName, parts)
+    members = [(entries[m].variant, FoldCopies(tuple(copies[m]), f"__row.{FOLD}"), f"{m}_") for m in weights]
+    held_out = score_side_by_side(prepared, cleaned, members, [LABEL])
     mean = weighted_mean({f"{m}_{kind}": w for m, w in weights.items()})
     decided = held_out.withColumn("vote", (mean >= F.lit(0.5)).cast("double"))
     return Vote(weights, voting, ev.score_value(decided, scoring, LABEL, "vote"), skipped)

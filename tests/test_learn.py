@@ -305,3 +305,18 @@ def test_registered_queries_search_full_grids(monkeypatch):
     assert asked[-1][2] == [p for p in FULL_GRIDS["svm"] if p["kernel"] == "rbf"] and len(asked[-1][2]) == 6
     models = queries.document_spec()["models"]
     assert set(models["active"]) == set(FULL_GRIDS) and models["cv"] == 5 and "grid" not in models
+
+
+def test_families_run_side_by_side_in_the_order_of_the_spec(spark):
+    from threading import Barrier
+
+    from tabloom.plans.workflow import side_by_side
+
+    met = Barrier(3, timeout=60)
+
+    def call(i):
+        met.wait()  # breaks if one call waits for another to end
+        return i, spark.range(i).count()
+
+    assert side_by_side(spark, [lambda i=i: call(i) for i in (5, 3, 4)], 8) == [(5, 5), (3, 3), (4, 4)]
+    assert side_by_side(spark, [lambda: 1, lambda: 2], 1) == [1, 2]

@@ -6,7 +6,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from tabloom.operators import fitting, linear
-from tabloom.operators.models import FULL_GRIDS, FourierMap, TrainedModel, train
+from tabloom.operators.models import FULL_GRIDS, FoldCopies, FourierMap, TrainedModel, train
 
 
 def cells(n=200):
@@ -196,3 +196,27 @@ def test_copies_are_calibrated_together_without_jobs_of_each(spark, data):
     spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
     assert len(copies) == 3 and all(isinstance(c.platt, linear.LinearModel) for c in copies)
     assert len(spark.sparkContext.statusTracker().getJobIdsForGroup(group)) < 25
+
+
+def test_steps_with_corners_meet_their_conditions():
+    """Columns that nearly repeat each other keep coordinates moving for long; the step is still the minimum."""
+    rng = np.random.default_rng(6)
+    for _ in range(20):
+        x = rng.normal(size=(50, 3))
+        x = np.c_[x, x[:, 0] + 1e-3 * rng.normal(size=50), np.ones(50)]
+        a, b, w, corner = x.T @ x, 5 * rng.normal(size=5), rng.normal(size=5) * [1, 0, 1, 1, 1], 3.0
+        step = linear._descent(a, b, w, corner)
+        slope, end = a @ step + b, (w + step)[:-1]
+        assert abs(slope[-1]) < 1e-6
+        for s, v in zip(slope[:-1], end):
+            assert abs(s + corner * np.sign(v)) < 1e-6 if v else abs(s) <= corner + 1e-6
+
+
+def test_rows_are_scored_by_the_copy_of_their_fold_in_one_pass(spark, data):
+    for name, grid in (("svm", [{"kernel": "rbf", "C": 1, "gamma": 0.2}]), ("logreg", "short"), ("decision_tree", "short")):
+        copies = train(name, data, grid=grid).fold_copies(data, reuse=True)
+        found = FoldCopies(tuple(copies)).score(data, "a_").orderBy("id").toPandas()
+        plain = [c.score(data.where(F.col("fold") == i), "a_") for i, c in enumerate(copies)]
+        plain = plain[0].union(plain[1]).union(plain[2]).orderBy("id").toPandas()
+        assert list(found.columns) == list(plain.columns)
+        assert np.allclose(found["a_probability"], plain["a_probability"]) and (found["a_prediction"] == plain["a_prediction"]).all()

@@ -246,3 +246,18 @@ def test_sums_run_over_shapes_of_rows(monkeypatch):
         rows = fitting.Rows(np.arange(60 * copies), np.tile(layout.binned(x), (copies, 1)), np.tile(y, copies), np.tile(fold, copies))
         fitting.alone(trees.Boosted(0, 1, layout, [{"n_estimators": 3}], subsample=0.8), rows)
     assert max(held) <= 60
+
+
+def test_column_choices_of_as_many_columns_share_a_forest():
+    from tabloom.operators.models import FULL_GRIDS
+
+    points = FULL_GRIDS["random_forest"]
+    assert [len(trees._growths("random_forest", points, width)) for width in (6, 7, 30, 64)] == [1, 1, 2, 2]
+    assert len(trees._growths("xgboost", FULL_GRIDS["xgboost"], 6)) == 16
+
+
+def test_rows_numbers_may_be_arrays():
+    from tabloom.operators.fitting import uniform
+
+    numbers = np.array([1, 5, 2**60])
+    assert np.array_equal(uniform(np.arange(6), 42, numbers[:, None]), np.stack([uniform(np.arange(6), 42, int(n)) for n in numbers]))
