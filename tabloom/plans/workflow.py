@@ -343,9 +343,13 @@ def score_side_by_side(
 
 def side_by_side(spark, calls: Sequence[Callable], most: int) -> list:
     """The results of calls that run jobs of their own, in order; where one leaves cores idle, the others' tasks take them."""
+    def here(call: Callable):
+        spark.createDataFrame([], "n int")  # makes the session the thread's active one
+        return call()
+
     # the target made for a session copies the thread properties once, so each call gets one of its own
     with ThreadPool(max(1, min(most, len(calls)))) as pool:
-        return list(pool.imap(lambda call: call(), [inheritable_thread_target(spark)(call) for call in calls]))
+        return list(pool.imap(lambda call: call(), [inheritable_thread_target(spark)(partial(here, call)) for call in calls]))
 
 
 def fit_workflow(spec: Mapping, raw: DataFrame, reports: bool = False) -> FittedWorkflow:

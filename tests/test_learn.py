@@ -316,6 +316,7 @@ def test_families_run_side_by_side_in_the_order_of_the_spec(spark):
 
     def call(i):
         met.wait()  # breaks if one call waits for another to end
+        assert store.exists("/") and type(spark).getActiveSession() is not None
         return i, spark.range(i).count()
 
     assert side_by_side(spark, [lambda i=i: call(i) for i in (5, 3, 4)], 8) == [(5, 5), (3, 3), (4, 4)]
