@@ -321,3 +321,11 @@ def test_families_run_side_by_side_in_the_order_of_the_spec(spark):
 
     assert side_by_side(spark, [lambda i=i: call(i) for i in (5, 3, 4)], 8) == [(5, 5), (3, 3), (4, 4)]
     assert side_by_side(spark, [lambda: 1, lambda: 2], 1) == [1, 2]
+
+
+def test_training_reads_the_texts_once(spark):
+    """What a workflow or search goes on from is a table that is written, not a scan of the documents."""
+    rows = queries.training_documents(spark, "/root/testdata/sf0.001")
+    plan = rows._jdf.queryExecution().toString()
+    assert "FileScan" not in plan and "labels" not in plan
+    assert rows.count() == queries.labelled_documents(spark, "/root/testdata/sf0.001").count() > 0
