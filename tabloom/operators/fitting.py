@@ -4,13 +4,14 @@ A fit is a generator. It yields what it wants summed over all rows (a state), an
 the sum over some rows, as one packed array, so sums of parts add up. There are two ways to run fits, with the same results
 but for the order in which numbers are added:
 
-- A table of at most `SMALL_BYTES`, counted first, is broadcast, and each fit runs in a task of its own: one job for all fits.
+- A table of at most `SMALL_BYTES`, counted first, is broadcast, and each fit runs in one task.
 - A larger table stays where it is. In every round one job takes the sums of all fits over each partition, and packed sums are
   added; those of more than `ADDED` partitions in two steps, so no task adds more than about the square root of all partitions' sums of a fit.
 """
 
 from __future__ import annotations
 
+import heapq
 import math
 from collections import defaultdict
 from collections.abc import Callable, Generator, Iterator, Sequence
@@ -27,6 +28,8 @@ from ..session import checkpointed
 
 #: Bytes up to which a table is broadcast, and rounds after which a large table's rows are written anew with what fits know of them.
 SMALL_BYTES, KEPT_ROUNDS = 64 << 20, 10
+#: Tasks that short fits are dealt to, if they are more; four times the cores, if these are more.
+TASKS = 32
 #: Partitions whose sums of a fit one task adds.
 ADDED = 64
 _MASK = (1 << 64) - 1
@@ -50,6 +53,11 @@ class Fit:
     key: object
     fold: int
 
+    @property
+    def cost(self) -> float:
+        """About how long it takes, by the measure of the fits that are run with it."""
+        return 1.0
+
     def run(self) -> Generator[object, np.ndarray, object]:
         raise NotImplementedError
 
@@ -131,25 +139,35 @@ def table_bytes(table: DataFrame, width: int = 0) -> int:
     return table.agg(F.sum(F.greatest(F.length("x"), F.lit(width)) + 20)).first()[0] or 0
 
 
+def dealt(costs: Sequence[float], most: int) -> list[list[int]]:
+    """Places of all costs in at most `most` groups of about the same sums, the largest sums first."""
+    groups = [(0.0, i, []) for i in range(min(most, len(costs)))]
+    for place in sorted(range(len(costs)), key=lambda p: -costs[p]):
+        total, i, own = heapq.heappop(groups)
+        heapq.heappush(groups, (total + costs[place], i, [*own, place]))
+    return [own for _, _, own in sorted(groups, key=lambda g: (-g[0], g[1]))]
+
+
 def _beside(table: DataFrame, fits: Sequence[Fit], kind: str) -> list:
-    """Each fit in a task of its own, over a broadcast table of a checked size."""
+    """Each fit in one task, short ones several to a task, over a broadcast table of a checked size."""
     spark = table.sparkSession
     held = table.select("id", "x", "label", "fold").toArrow().sort_by("id").combine_chunks()
     batch = pa.RecordBatch.from_arrays([c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c for c in held.columns], held.column_names)
-    shared = spark.sparkContext.broadcast((rows_of(batch, kind), cloudpickle.dumps(list(fits))))
+    groups = dealt([f.cost for f in fits], max(TASKS, 4 * spark.sparkContext.defaultParallelism))
+    shared = spark.sparkContext.broadcast((rows_of(batch, kind), cloudpickle.dumps([[(i, fits[i]) for i in g] for g in groups])))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows, packed = shared.value
         own = cloudpickle.loads(packed)
         for batch in batches:
-            for i in batch.column(0).to_pylist():
+            for i, fit in [f for g in batch.column(0).to_pylist() for f in own[g]]:
                 rows.kept = {}
-                yield pa.RecordBatch.from_arrays([pa.array([i]), pa.array([cloudpickle.dumps(alone(own[i], rows))])], ["fit", "result"])
+                yield pa.RecordBatch.from_arrays([pa.array([i]), pa.array([cloudpickle.dumps(alone(fit, rows))])], ["fit", "result"])
                 rows.kept = {}
 
-    jobs = spark.range(0, len(fits), 1, len(fits)).mapInArrow(run, "fit long, result binary").collect()
-    shared.unpersist()
+    jobs = spark.range(0, len(groups), 1, len(groups)).mapInArrow(run, "fit long, result binary").collect()
     found = {r["fit"]: cloudpickle.loads(r["result"]) for r in jobs}
+    shared.unpersist()
     return [found[i] for i in range(len(fits))]
 
 

@@ -188,6 +188,10 @@ class LinearFit(Fit):
     map: object = None
     start: np.ndarray | None = None
 
+    @property
+    def cost(self) -> float:
+        return float(self.columns)
+
     def _out(self, fold: np.ndarray) -> np.ndarray:
         return np.isin(fold, self.fold) if isinstance(self.fold, tuple) else fold == self.fold
 

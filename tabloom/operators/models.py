@@ -6,9 +6,10 @@ import json
 import math
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field, replace
-from functools import partial, reduce
+from functools import cached_property, partial, reduce
 from itertools import product
 from multiprocessing.pool import ThreadPool
+from threading import RLock
 
 import numpy as np
 import pandas as pd
@@ -353,6 +354,45 @@ def _calibrate(trained: TrainedModel, df: DataFrame, known: Mapping[int, Model])
     ).fit(packed)
 
 
+@dataclass
+class SharedRows:
+    """What searches take from a frame, taken once by the first that asks. Threads may ask side by side; the owner calls `release`."""
+
+    df: DataFrame
+    lock: object = field(default_factory=RLock)
+
+    @cached_property
+    def _data(self) -> DataFrame:
+        return self.df.select(FEATURES, LABEL, FOLD).persist(StorageLevel.MEMORY_AND_DISK)
+
+    @cached_property
+    def _sizes(self) -> dict[int, int]:
+        return _fold_sizes(self._data)
+
+    @cached_property
+    def _binned(self) -> tuple[trees.Layout, DataFrame]:
+        layout = trees.bin_layout(self._data)
+        return layout, trees.binned_table(self._data, layout)
+
+    def data(self) -> DataFrame:
+        with self.lock:
+            return self._data
+
+    def sizes(self) -> dict[int, int]:
+        """Rows by fold."""
+        with self.lock:
+            return self._sizes
+
+    def binned(self) -> tuple[trees.Layout, DataFrame]:
+        """What families of trees read."""
+        with self.lock:
+            return self._binned
+
+    def release(self) -> None:
+        if "_data" in vars(self):
+            self._data.unpersist()
+
+
 def train(
     name: str,
     df: DataFrame,
@@ -360,15 +400,20 @@ def train(
     seed: int = 42,
     grid: Sequence[Mapping] | str | None = None,
     parallelism: int = 8,
+    shared: SharedRows | None = None,
 ) -> TrainedModel:
     """Grid search over the ``fold`` column, then refit the best point on all rows.
 
     The full grid is searched unless ``grid`` gives points or is ``'short'``. The frame holds
-    ``features``, ``label`` and ``fold``; it is read once per fit, so it is cached here.
+    ``features``, ``label`` and ``fold``; it is read once per fit, so it is cached here. Searches
+    of the same frame may share what they take from it.
     """
     if name not in REGISTRY:
         raise ValueError(f"unknown model {name!r}; known: {sorted(REGISTRY)}")
-    return REGISTRY[name](name).train(df, scoring, seed, grid, parallelism)
+    family = REGISTRY[name](name)
+    if shared is not None and isinstance(family, (LinearClassifier, TreeClassifier)):
+        return family.train(df, scoring, seed, grid, parallelism, shared)
+    return family.train(df, scoring, seed, grid, parallelism)
 
 
 @dataclass(frozen=True)
@@ -488,11 +533,11 @@ class LinearClassifier(Classifier):
         _, found = linear.search(self.name, df, [params], groups, FEATURES, [fourier], near)
         return {g: found[0, g] for g in groups}
 
-    def train(self, df, scoring="f1_weighted", seed=42, grid=None, parallelism=8) -> TrainedModel:
+    def train(self, df, scoring="f1_weighted", seed=42, grid=None, parallelism=8, shared=None) -> TrainedModel:
         evaluator(scoring)
-        data = df.select(FEATURES, LABEL, FOLD).persist(StorageLevel.MEMORY_AND_DISK)
+        own = shared or SharedRows(df)
         try:
-            sizes = _fold_sizes(data)
+            data, sizes = own.data(), own.sizes()
             asked = [(p, fourier) for fourier, members in self._groups(data, self.points(grid), seed) for p in members]
             points, maps = [p for p, _ in asked], [m for _, m in asked]
             # the fits over all rows run beside the others: alone, the best one would need as many rounds again
@@ -502,7 +547,8 @@ class LinearClassifier(Classifier):
             return _fit_one(
                 self.name, points[best], data, seed, maps[best], sum(sizes.values()), score=float(score), fold_models=copies, model=found[best, -1])
         finally:
-            data.unpersist()
+            if shared is None:
+                own.release()
 
 
 @dataclass(frozen=True)
@@ -515,19 +561,20 @@ class TreeClassifier(Classifier):
     def estimator(self, params: Mapping, rows: int, seed: int, features: str):
         return _Grown(lambda df: trees.grow(self.name, df, params, seed, features))
 
-    def train(self, df, scoring="f1_weighted", seed=42, grid=None, parallelism=8) -> TrainedModel:
+    def train(self, df, scoring="f1_weighted", seed=42, grid=None, parallelism=8, shared=None) -> TrainedModel:
         evaluator(scoring)
-        data, points = df.select(FEATURES, LABEL, FOLD).persist(StorageLevel.MEMORY_AND_DISK), list(self.points(grid))
+        own, points = shared or SharedRows(df), list(self.points(grid))
         try:
-            sizes = _fold_sizes(data)
-            counts, model = trees.search(self.name, data, points, [*sorted(sizes), -1], seed)
+            data, sizes = own.data(), own.sizes()
+            counts, model = trees.search(self.name, data, points, [*sorted(sizes), -1], seed, binned=own.binned())
             scores = {i: [held_out_score(counts[i, f], scoring) for f in sorted(sizes)] for i in range(len(points))}
             best, score = best_point(scores)
             copies = [model(best, f) for f in sorted(sizes)]
             return _fit_one(
                 self.name, points[best], data, seed, None, sum(sizes.values()), score=float(score), fold_models=copies, model=model(best, -1))
         finally:
-            data.unpersist()
+            if shared is None:
+                own.release()
 
 
 REGISTRY = {name: TreeClassifier if name in trees.GROWN else LinearClassifier for name in FULL_GRIDS}

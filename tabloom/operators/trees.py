@@ -31,6 +31,8 @@ from . import fitting
 from .fitting import Fit, Rows, fit_together, grouped, grouped_by, held_out_counts, packed_table, table_bytes, uniform
 
 BINS, MAX_DEPTH, SHRINK = 256, 30, 1.0
+#: Bins of several columns that are summed up as one code.
+JOINED = 64
 #: Bytes of sums and open trees of a fit in a round.
 ROUND_BYTES, OPEN_TREES = 16 << 20, 8
 _POISSON = np.cumsum([math.exp(-1) / math.factorial(k) for k in range(12)])
@@ -70,12 +72,18 @@ class Tree:
 
     def leaves(self, x: np.ndarray, node: np.ndarray | None = None) -> np.ndarray:
         """The leaf of each row, from the root or from nodes reached before."""
-        node = np.zeros(len(x), np.int32) if node is None else node.copy()
-        at = np.flatnonzero(self.column[node] >= 0)
-        while len(at):
-            own = node[at]
-            node[at] = below = self.left[own] + (x[at, self.column[own]] > self.bin[own])
-            at = at[self.column[below] >= 0]
+        node = np.zeros(len(x), np.intp) if node is None else node.copy()
+        by_column = x.flags.f_contiguous  # cells are taken by their place, in either order
+        cells = (x.T if by_column else np.ascontiguousarray(x)).reshape(-1)
+        own, at = self.column.take(node), None
+        while (open_ := own >= 0).any():
+            if at is None or not open_.all():
+                at, own = (np.flatnonzero(open_) if at is None else at[open_]), own[open_]
+            above, column = node.take(at), own.astype(np.intp)
+            cell = cells.take(column * len(x) + at if by_column else at * x.shape[1] + column)
+            below = self.left.take(above) + (cell > self.bin.take(above))
+            node[at] = below
+            own = self.column.take(below)
         return node
 
     def cut(self, max_depth: int | None, min_rows: float) -> "Tree":
@@ -98,6 +106,22 @@ class Layout:
     def begin(self) -> np.ndarray:
         return np.cumsum([0] + [len(c) + 1 for c in self.cuts])[:-1]
 
+    @cached_property
+    def widths(self) -> np.ndarray:
+        return np.array([len(c) + 1 for c in self.cuts], np.intp)
+
+    @cached_property
+    def joined(self) -> list[list[int]]:
+        """Neighbouring columns whose bins are summed up as one code, since they have at most `JOINED` of them together."""
+        out, bins = [], JOINED + 1
+        for c, width in enumerate(self.widths.tolist()):
+            bins = bins * width
+            if bins > JOINED:
+                out.append([])
+                bins = width
+            out[-1].append(c)
+        return out
+
     def binned(self, x: np.ndarray) -> np.ndarray:
         if not len(self.cuts):
             return np.zeros((len(x), 0), np.uint16)
@@ -131,7 +155,7 @@ def binned_table(data: DataFrame, layout: Layout, features: str = "features") ->
 
 
 def _shapes(rows: Rows) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct rows of bins, and the number of its shape for each row; found once for all fits of a task."""
+    """The distinct rows of bins, column by column, and the number of its shape for each row; found once for all fits of a task."""
     if "shapes" not in rows.shared:
         x = np.ascontiguousarray(rows.x)
         if not x.shape[1]:
@@ -139,7 +163,7 @@ def _shapes(rows: Rows) -> tuple[np.ndarray, np.ndarray]:
         else:
             key = x.view(np.dtype((np.void, x.dtype.itemsize * x.shape[1]))).ravel()
             _, first, shape = np.unique(key, return_index=True, return_inverse=True)
-            rows.shared["shapes"] = x[first], shape.astype(np.int32).ravel()
+            rows.shared["shapes"] = np.asfortranarray(x[first]), shape.astype(np.int32).ravel()
     return rows.shared["shapes"]
 
 
@@ -150,14 +174,32 @@ def _counts(rows: Rows, at: np.ndarray, *weights: np.ndarray) -> list[np.ndarray
     return [np.bincount(own, w, len(x)) for w in (None, *weights)]
 
 
-def _histogram(x: np.ndarray, place: np.ndarray, nodes: int, layout: Layout, channels: Sequence[np.ndarray]) -> np.ndarray:
-    """Sums of each channel per node and bin, for shapes at nodes 0, 1 ..."""
-    out = np.zeros((len(channels), nodes, layout.size))
-    for column, (begin, cuts) in enumerate(zip(layout.begin.tolist(), layout.cuts)):
-        width = len(cuts) + 1
-        at = place * width + x[:, column]
-        for i, c in enumerate(channels):
-            out[i, :, begin : begin + width] = np.bincount(at, c, nodes * width).reshape(nodes, width)
+def _codes(rows: Rows, layout: Layout) -> np.ndarray:
+    """The bins of each shape, those of joined columns as one code; found once for all fits of a task."""
+    if "codes" not in rows.shared:
+        x, _ = _shapes(rows)
+        out = np.zeros((len(x), len(layout.joined)), np.intp, "F")
+        for i, columns in enumerate(layout.joined):
+            for c in columns:
+                out[:, i] = out[:, i] * layout.widths[c] + x[:, c]
+        rows.shared["codes"] = out
+    return rows.shared["codes"]
+
+
+def _histogram(codes: np.ndarray, at: np.ndarray, place: np.ndarray, nodes: int, layout: Layout, channels: Sequence[np.ndarray]) -> np.ndarray:
+    """Sums of each channel per node and bin over the shapes `at`, which are at nodes 0, 1 ...; the channels hold whole numbers."""
+    out, channels = np.zeros((len(channels), nodes, layout.size)), [c.take(at) for c in channels]
+    for i, columns in enumerate(layout.joined):
+        bins, widths = codes[:, i].take(at), layout.widths[columns]
+        count = int(widths.prod())
+        if nodes > 1:
+            bins = place * count + bins
+        for k, c in enumerate(channels):
+            sums = np.bincount(bins, c, nodes * count).reshape(nodes, *widths)
+            for j, column in enumerate(columns):
+                begin = layout.begin[column]
+                others = tuple(a for a in range(1, 1 + len(columns)) if a != j + 1)
+                out[k, :, begin : begin + widths[j]] = sums.sum(others) if others else sums
     return out
 
 
@@ -166,7 +208,7 @@ def _sides(sums: np.ndarray, layout: Layout) -> tuple[np.ndarray, np.ndarray]:
     upto = np.cumsum(sums, axis=2)
     begin = layout.begin
     before = np.where(begin > 0, upto[:, :, np.maximum(begin - 1, 0)], 0.0)
-    widths = np.diff(np.r_[begin, layout.size])
+    widths = layout.widths
     left = upto - np.repeat(before, widths, axis=2)
     whole = left[:, :, begin + widths - 1]
     return left, np.repeat(whole, widths, axis=2) - left
@@ -184,7 +226,7 @@ def _chosen(gain: np.ndarray, layout: Layout, allowed: np.ndarray | None) -> tup
         alone[np.arange(len(near)), first] = True
         best = np.where(np.where(near.any(1)[:, None], near, alone), best, -np.inf)
     column = np.argmax(best, axis=1)
-    widths = np.diff(np.r_[layout.begin, layout.size])
+    widths = layout.widths
     bins = np.array([int(np.argmax(gain[i, layout.begin[c] : layout.begin[c] + widths[c]])) for i, c in enumerate(column.tolist())], np.int64)
     return column, bins, best[np.arange(len(best)), column]
 
@@ -222,6 +264,10 @@ class ClassTrees(Fit):
     bootstrap: bool = False
     seed: int = 42
 
+    @property
+    def cost(self) -> float:
+        return float(self.trees)
+
     def weights(self, rows: Rows, tree: int) -> tuple[np.ndarray, ...]:
         """By shape: rows that the tree sees, their weight, and that of class 1."""
         own = (self.key, "weight", tree)
@@ -240,7 +286,7 @@ class ClassTrees(Fit):
     def sums(self, rows: Rows, state) -> np.ndarray:
         if state[0] == "score":
             return self._held_out(rows, state[1])
-        x, _ = _shapes(rows)
+        (x, _), codes = _shapes(rows), _codes(rows, self.layout)
         for own in [k for k in rows.kept if k[0] == self.key and k[2] < min(state[1])]:  # trees that are done
             del rows.kept[own]
         out = []
@@ -249,9 +295,9 @@ class ClassTrees(Fit):
             rows.kept[own] = node = tree.leaves(x, rows.kept.get(own))
             place = np.full(len(tree.column), -1)
             place[frontier] = np.arange(len(frontier))
-            n, weight, ones = self.weights(rows, t)
-            at = np.flatnonzero((place[node] >= 0) & (n > 0))
-            out.append(_histogram(x[at], place[node[at]], len(frontier), self.layout, (n[at], weight[at], ones[at])).ravel())
+            place, weights = place.take(node), self.weights(rows, t)
+            at = np.flatnonzero((place >= 0) & (weights[0] > 0))
+            out.append(_histogram(codes, at, place.take(at), len(frontier), self.layout, weights).ravel())
         return np.concatenate(out)
 
     def run(self) -> Generator:
@@ -286,7 +332,7 @@ class ClassTrees(Fit):
 
     def _grown(self, tree: Tree, t: int, frontier: np.ndarray, sums: np.ndarray, deeper: bool, least: int) -> np.ndarray:
         """Values of the nodes of a level, and the next level."""
-        first = int(np.diff(np.r_[self.layout.begin, self.layout.size])[0])
+        first = int(self.layout.widths[0])
         rows, weight, ones = sums[:, :, :first].sum(2)
         tree.rows[frontier] = rows
         tree.value[frontier] = np.where(weight > 0, ones / np.maximum(weight, 1e-300), tree.value[frontier])
@@ -344,6 +390,10 @@ class Boosted(Fit):
     shrink: float = SHRINK
     seed: int = 42
 
+    @property
+    def cost(self) -> float:
+        return float(self.max_depth * max(p["n_estimators"] for p in self.points))
+
     def rounds(self, state) -> int:
         return state["before"] + len(state["trees"])
 
@@ -351,7 +401,10 @@ class Boosted(Fit):
         return state if state["what"] == "score" else {**state, "before": done, "trees": state["trees"][done - state["before"]:]}
 
     def margins(self, rows: Rows, state) -> np.ndarray:
-        """Rows of one shape have one margin, so it is kept by shape in a task and by row between rounds over rows that stay."""
+        """Rows of one shape have one margin, so it is kept by shape in a task and by row between rounds over rows that stay.
+
+        It is that of rows the fit sees; nothing asks for the others'.
+        """
         return self._margin(rows, state)[_shapes(rows)[1]]
 
     def _margin(self, rows: Rows, state) -> np.ndarray:
@@ -365,17 +418,28 @@ class Boosted(Fit):
         else:
             done, margin = 0, np.full(len(x), state["start"])
         for round_, tree in enumerate(state["trees"][done - state["before"]:], done):
-            margin = margin + tree.value[self._node(rows, tree, round_)]
+            for leaf, at in self._leaves(rows, tree, round_).items():
+                margin[at] += tree.value[leaf]
         rows.kept[self.key, "shape margin"] = (self.rounds(state), margin)
         return margin
 
-    def _node(self, rows: Rows, tree: Tree, round_: int) -> np.ndarray:
-        """The leaf of each shape in the tree of a round, from where its last levels led."""
-        x, _ = _shapes(rows)
-        was, node = rows.kept.get((self.key, "node"), (None, None))
-        node = tree.leaves(x, node if was == round_ else None)
-        rows.kept[self.key, "node"] = round_, node
-        return node
+    def _leaves(self, rows: Rows, tree: Tree, round_: int) -> dict[int, np.ndarray]:
+        """The shapes at each leaf in the tree of a round, from where its last levels led; only those of rows that the fit sees."""
+        x, shape = _shapes(rows)
+        was, leaves = rows.kept.get((self.key, "leaves"), (None, None))
+        if was != round_:
+            if (self.key, "all") not in rows.kept:
+                rows.kept[self.key, "all"] = np.flatnonzero(np.bincount(shape[rows.fold != self.fold], minlength=len(x)))
+            leaves = {0: rows.kept[self.key, "all"]}
+            rows.kept[self.key, "leaves"] = round_, leaves
+        column, bin, left = (a.tolist() for a in (tree.column, tree.bin, tree.left))
+        open_ = [i for i in leaves if column[i] >= 0]
+        for i in open_:  # goes on with the children
+            at = leaves.pop(i)
+            above = x[:, column[i]].take(at) > bin[i]
+            leaves[left[i]], leaves[left[i] + 1] = at[~above], at[above]
+            open_ += [c for c in (left[i], left[i] + 1) if column[c] >= 0]
+        return leaves
 
     def _sampled(self, rows: Rows, round_: int) -> list[np.ndarray]:
         """Rows of each shape that the round's tree sees, and those of class 1."""
@@ -393,8 +457,8 @@ class Boosted(Fit):
         if state["what"] == "mean":
             seen = rows.fold != self.fold
             return np.array([seen.sum(), rows.y[seen].sum()], float)
-        x, shape = _shapes(rows)
         if state["what"] == "score":
+            x, shape = _shapes(rows)
             held = rows.fold == self.fold
             seen, own = np.unique(shape[held], return_inverse=True)
             x, margin, at = x[seen], np.full(len(seen), state["start"]), {}
@@ -404,22 +468,22 @@ class Boosted(Fit):
                 if k in wanted:
                     at[k] = margin[own]
             return np.concatenate([held_out_counts(rows.y[held], 1 / (1 + np.exp(-at[p["n_estimators"]]))) for p in self.points])
-        n, slope, curve = self._bent(rows, state)
         tree, frontier = state["tree"], state["frontier"]
-        node = self._node(rows, tree, self.rounds(state))
-        place = np.full(len(tree.column), -1)
-        place[frontier] = np.arange(len(frontier))
-        at = np.flatnonzero((place[node] >= 0) & (n > 0))
-        return _histogram(x[at], place[node[at]], len(frontier), self.layout, (slope[at], curve[at])).ravel()
-
-    def _bent(self, rows: Rows, state) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Rows of each shape that the round's tree sees, and their sums of gradients and curvatures; taken once for all levels."""
+        channels = self._bent(rows, state)
+        leaves = self._leaves(rows, tree, self.rounds(state))
+        asked = [leaves[i] for i in frontier.tolist()]
+        place = np.repeat(np.arange(len(asked)), [len(at) for at in asked])
+        return _histogram(_codes(rows, self.layout), np.concatenate(asked), place, len(asked), self.layout, channels).ravel()
+
+    def _bent(self, rows: Rows, state) -> tuple[np.ndarray, np.ndarray]:
+        """Sums of gradients and curvatures over the rows of each shape that the round's tree sees, in whole units; taken once for all levels."""
         own, round_ = (self.key, "bent"), self.rounds(state)
         if own not in rows.kept or rows.kept[own][0] != round_:
             margin = self._margin(rows, state)
             n, ones = self._sampled(rows, round_)
             p = 1 / (1 + np.exp(-margin))
-            rows.kept[own] = round_, (n, n * p - ones, n * p * (1 - p))
+            slope, curve = np.rint(p * state["unit"]), np.rint(p * (1 - p) * state["unit"])  # a row's, so that parts of a shape add up
+            rows.kept[own] = round_, (n * slope - ones * state["unit"], n * curve)
         return rows.kept[own][1]
 
     def _leaf(self, g: np.ndarray, h: np.ndarray) -> np.ndarray:
@@ -429,12 +493,20 @@ class Boosted(Fit):
         n, ones = yield {"what": "mean", "before": 0, "trees": []}
         share = min(max(ones / n if n else 0.5, 1e-6), 1 - 1e-6)
         start, trees, size = math.log(share / (1 - share)), [], self.layout.size
-        state = {"start": start, "before": 0, "trees": trees}
+        # whole units, of which all rows' sums are exact: what a node's sums are less one child's are the other child's
+        unit = 2.0 ** (52 - int(n).bit_length())
+        state = {"start": start, "before": 0, "trees": trees, "unit": unit}
         for _ in range(max(p["n_estimators"] for p in self.points)):
-            tree, frontier = Tree.root(), np.zeros(1, np.int64)
+            tree, frontier, held, side = Tree.root(), np.zeros(1, np.int64), None, None
             for _ in range(self.max_depth):
-                sums = yield {**state, "what": "grow", "tree": tree, "frontier": frontier}
-                sums = sums.reshape(2, len(frontier), size)
+                asked = frontier if held is None else frontier[side]
+                sums = yield {**state, "what": "grow", "tree": tree, "frontier": asked}
+                sums = sums.reshape(2, len(asked), size) / unit
+                if held is not None:
+                    both = np.repeat(held, 2, axis=1)
+                    both[:, side ^ 1] -= sums
+                    both[:, side] = sums
+                    sums = both
                 left, right = _sides(sums, self.layout)
                 all_ = left + right
                 score = lambda s: s[0] ** 2 / (s[1] + self.shrink)
@@ -447,9 +519,11 @@ class Boosted(Fit):
                 made = tree.split(frontier[able], column[able], bins[able])
                 at = self.layout.begin[column[able]] + bins[able]
                 tree.value[made], tree.value[made + 1] = self._leaf(*left[:, able, at]), self._leaf(*right[:, able, at])
-                frontier = np.sort(np.r_[made, made + 1])
+                frontier = np.repeat(made, 2) + np.tile([0, 1], len(made))
                 if not len(frontier):
                     break
+                # the side with less to sum up, by place in the frontier
+                held, side = sums[:, able], 2 * np.arange(len(made)) + (left[1, able, at] > right[1, able, at])
             trees.append(tree)
         counts = (yield {**state, "what": "score"}) if self.fold >= 0 else None
         return (start, trees), None if counts is None else counts.reshape(len(self.points), -1)
@@ -540,13 +614,15 @@ def _growths(name: str, points: Sequence[Mapping], width: int) -> list[list[Mapp
     return list(grouped_by(points, key).values())
 
 
-def search(name: str, data: DataFrame, points: Sequence[Mapping], folds: Sequence[int], seed: int, features: str = "features"):
+def search(name: str, data: DataFrame, points: Sequence[Mapping], folds: Sequence[int], seed: int, features: str = "features",
+           binned: tuple[Layout, DataFrame] | None = None):
     """(held-out counts by point and fold, models by point and fold as a function). Each growth of each fold is one fit of one run.
 
     Fold -1 leaves no row out; these fits are left away where those of all growths would take longer than the one that is wanted.
+    `binned` has the layout and the binned rows of the frame, if they are known.
     """
-    layout = bin_layout(data, features)
-    table = binned_table(data, layout, features)
+    layout = binned[0] if binned else bin_layout(data, features)
+    table = binned[1] if binned else binned_table(data, layout, features)
     points = list(points)
     groups = _growths(name, points, len(layout.cuts))
     if len(groups) > data.sparkSession.sparkContext.defaultParallelism and table_bytes(table) <= fitting.SMALL_BYTES:

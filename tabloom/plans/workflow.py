@@ -6,6 +6,7 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import partial
 from multiprocessing.pool import ThreadPool
+from threading import Lock
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
@@ -19,7 +20,7 @@ from ..operators.encode import Encoder, EncoderModel, LabelEncoder, LabelModel
 from ..operators.ensemble import hard_vote, member_weights, soft_vote, weighted_mean
 from ..operators.features import PassengerFeatures
 from ..operators.impute import Imputer
-from ..operators.models import FOLD, LABEL, REGISTRY, FoldCopies, TrainedModel, assemble, train
+from ..operators.models import FOLD, LABEL, REGISTRY, FoldCopies, SharedRows, TrainedModel, assemble, train
 from ..operators.outliers import OutlierModel, Outliers
 from ..operators.reduce import Reducer, ReducerModel
 from ..operators.split import add_folds
@@ -180,12 +181,86 @@ def variants_of(spec: Mapping) -> list[tuple[str, str, Variant]]:
     return out
 
 
+@dataclass
+class Steps:
+    """Fits of the preparation steps beyond the cleaned rows. Each is run once, by the first that asks for it; threads may ask side by side."""
+
+    spec: Mapping
+    prepared: Prepared
+    cleaned: DataFrame
+    meta: list[str]
+    locks: dict = field(default_factory=lambda: {s: Lock() for s in ("outliers", "collinear", "encoders", "reducers")})
+    done: set = field(default_factory=set)
+
+    def outliers(self) -> OutlierModel | None:
+        with self.locks["outliers"]:
+            if "outliers" not in self.done and section(self.spec, "outliers"):
+                o = self.spec["outliers"]
+                self.prepared.outliers = Outliers(
+                    o.get("detection", "iqr"), o.get("treatment", "winsorization"), o.get("iqr_threshold", 1.5),
+                    o.get("zscore_threshold", 3.0), tuple(o.get("cols") or numeric_columns(self.cleaned, self.meta)),
+                ).fit(self.cleaned)
+            self.done.add("outliers")
+            return self.prepared.outliers
+
+    def collinear(self) -> CollinearModel | None:
+        outliers = self.outliers()
+        with self.locks["collinear"]:
+            if "collinear" not in self.done and section(self.spec, "multicollinearity"):
+                m = self.spec["multicollinearity"]
+                both = any(v.winsor and v.decollinear for _, _, v in variants_of(self.spec)) and outliers is not None
+                seen = outliers.transform(self.cleaned) if both else self.cleaned
+                nums = numeric_columns(self.cleaned, self.meta)
+                self.prepared.collinear = Collinear(m.get("threshold", 0.85), m.get("drop", True), nums).fit(seen)
+            self.done.add("collinear")
+            return self.prepared.collinear
+
+    def encoder(self, winsor: bool, flat: bool) -> EncoderModel:
+        """That of variants without collinear columns, or of all others."""
+        df, e = self.cleaned, section(self.spec, "encoder")
+        if flat:
+            collinear, outliers = self.collinear(), self.prepared.outliers
+            df = outliers.transform(df) if winsor and outliers else df
+            df = collinear.transform(df) if collinear else df
+        with self.locks.setdefault((winsor, flat), Lock()):
+            if (winsor, flat) not in self.prepared.encoders:
+                encoder = Encoder(e.get("num_strategy", "standard"), e.get("cat_strategy", "ohe"))
+                self.prepared.encoders[(winsor, flat)] = encoder.fit(df, self.meta)
+            return self.prepared.encoders[(winsor, flat)]
+
+    def ready(self, v: Variant) -> None:
+        """All that a variant's rows take."""
+        if v.winsor:
+            self.outliers()
+        self.encoder(v.winsor and v.decollinear, v.decollinear)
+        if v.pca:
+            with self.locks["reducers"]:
+                if v not in self.prepared.reducers:
+                    plain = Variant(v.winsor, v.decollinear, v.drop_cols)
+                    wide = self.prepared.matrix(self.cleaned, plain, self.meta)
+                    names = [c for c in wide.columns if c not in self.meta]
+                    self.prepared.reducers[v] = Reducer(section(self.spec, "pca").get("n_components", 0.95)).fit(wide, names)
+
+    def all(self) -> None:
+        self.collinear()
+        self.encoder(False, False)
+        for _, _, v in variants_of(self.spec):
+            self.ready(v)
+
+
 def prepare(spec: Mapping, raw: DataFrame) -> tuple[Prepared, DataFrame, DataFrame]:
     """Fit the preparation steps; also returns the cleaned training frame with label and fold.
 
     Every later fit reads the cleaned rows, so they are persisted; the last value is the
     frame the caller has to unpersist.
     """
+    steps, cached = begin(spec, raw)
+    steps.all()
+    return steps.prepared, steps.cleaned, cached
+
+
+def begin(spec: Mapping, raw: DataFrame) -> tuple[Steps, DataFrame]:
+    """The cleaned training frame with label and fold, and the steps still to be fitted on it; the caller has to unpersist the last value."""
     check_spec(spec)
     loader, id_col = loader_of(spec), id_of(spec)
     target = loader.target
@@ -211,40 +286,8 @@ def prepare(spec: Mapping, raw: DataFrame) -> tuple[Prepared, DataFrame, DataFra
     cleaned_folds = add_folds(
         cleaned, LABEL, id_col, models.get("cv", 5), FOLD, shuffle=shuffled, seed=models.get("random_state", 42)
     )
-    meta = [*keep, LABEL, FOLD]
-    plan = variants_of(spec)
-    nums = numeric_columns(cleaned_folds, meta)
-
-    outliers = None
-    if section(spec, "outliers"):
-        o = spec["outliers"]
-        outliers = Outliers(
-            o.get("detection", "iqr"), o.get("treatment", "winsorization"), o.get("iqr_threshold", 1.5),
-            o.get("zscore_threshold", 3.0), tuple(o.get("cols") or nums),
-        ).fit(cleaned_folds)
-    collinear = None
-    if section(spec, "multicollinearity"):
-        m = spec["multicollinearity"]
-        both = any(v.winsor and v.decollinear for _, _, v in plan) and outliers is not None
-        seen = outliers.transform(cleaned_folds) if both else cleaned_folds
-        collinear = Collinear(m.get("threshold", 0.85), m.get("drop", True), nums).fit(seen)
-
-    prepared = Prepared(loader, id_col, features, imputer, outliers, collinear, {}, labels)
-    e = section(spec, "encoder")
-    encoder = Encoder(e.get("num_strategy", "standard"), e.get("cat_strategy", "ohe"))
-    prepared.encoders[(False, False)] = encoder.fit(cleaned_folds, meta)
-    for winsor in {v.winsor for _, _, v in plan if v.decollinear}:
-        df = outliers.transform(cleaned_folds) if winsor and outliers else cleaned_folds
-        df = collinear.transform(df) if collinear else df
-        prepared.encoders[(winsor, True)] = encoder.fit(df, meta)
-    share = section(spec, "pca").get("n_components", 0.95)
-    for _, _, v in plan:
-        if v.pca and v not in prepared.reducers:
-            plain = Variant(v.winsor, v.decollinear, v.drop_cols)
-            wide = prepared.matrix(cleaned_folds, plain, meta)
-            names = [c for c in wide.columns if c not in meta]
-            prepared.reducers[v] = Reducer(share).fit(wide, names)
-    return prepared, cleaned_folds, cleaned
+    prepared = Prepared(loader, id_col, features, imputer, None, None, {}, labels)
+    return Steps(spec, prepared, cleaned_folds, [*keep, LABEL, FOLD]), cleaned
 
 
 @dataclass
@@ -354,21 +397,28 @@ def side_by_side(spark, calls: Sequence[Callable], most: int) -> list:
 
 def fit_workflow(spec: Mapping, raw: DataFrame, reports: bool = False) -> FittedWorkflow:
     """Prepare, search every active model and its variants, then form the vote."""
-    prepared, cleaned, cached = prepare(spec, raw)
+    steps, cached = begin(spec, raw)
+    prepared, cleaned = steps.prepared, steps.cleaned
     models, cache = spec["models"], section(spec, "model_cache")
     scoring, seed, parallelism = models.get("scoring", "f1_weighted"), models.get("random_state", 42), models.get("parallelism", 8)
     meta = [prepared.id_col, LABEL, FOLD]
     digest = store.config_hash(spec, spec["loader"].get("train_path"), raw) if cache.get("enabled") else ""
     entries: dict[str, Entry] = {}
+    rows: dict[Variant, SharedRows] = {}
+    lock = Lock()
     copies: dict[str, list[TrainedModel]] = {}
     ens = section(spec, "ensemble")
     wanted = list(ens.get("members", models["active"])) if ens.get("enabled") else []
     try:
         def trained(key: str, base: str, variant: Variant) -> tuple[Entry, list[TrainedModel] | None]:
-            data = prepared.vectors(cleaned, variant, meta)  # the search caches what it rereads
+            steps.ready(variant)  # while the others already search
+            with lock:
+                if variant not in rows:
+                    rows[variant] = SharedRows(prepared.vectors(cleaned, variant, meta))
+            data = rows[variant].df  # the search caches what it rereads
 
             def build():
-                model = train(base, data, scoring, seed, models.get("grids", {}).get(base, models.get("grid")), parallelism)
+                model = train(base, data, scoring, seed, models.get("grids", {}).get(base, models.get("grid")), parallelism, rows[variant])
                 if models.get("tune_threshold"):
                     model, _ = model.tune_threshold(data, models.get("threshold_scoring", "f1"), reuse=True)
                 return model
@@ -385,8 +435,11 @@ def fit_workflow(spec: Mapping, raw: DataFrame, reports: bool = False) -> Fitted
             entries[entry.key] = entry
             if own is not None:
                 copies[entry.key] = own
+        steps.all()
         vote = _form_vote(ens, wanted, entries, copies, prepared, cleaned, scoring) if wanted else None
     finally:
+        for r in rows.values():
+            r.release()
         cached.unpersist()
     return FittedWorkflow(spec, prepared, entries, vote)
 
